@@ -10,11 +10,12 @@ HISTORICAL_NAME = r"\(-\d{4}\)|\(\d{4}-\d{4}\)"
 
 NBSP = "\u00a0"
 THIN_SPACE = "\u2009"
+WHITE_SPACE = " \t\n\r\x0b\f\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(col: Column) -> Column:
     """Trim every kind of white space at both ends."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def name_key(col: Column, drop_suffix: bool = True) -> Column:

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def landing_folder(spark: SparkSession) -> str:
@@ -34,10 +35,18 @@ def land(df: DataFrame) -> DataFrame:
 
 def with_constants(df: DataFrame, one_row: DataFrame, columns: list[str]) -> DataFrame:
     """Add the columns of a one-row frame to every row through a scalar subquery."""
-    from pyspark.sql import functions as F
-
     holder = one_row.select(F.struct(*columns).alias("c")).scalar()
     df = df.withColumn("_constants", holder)
     added = [F.col("_constants").getField(c).alias(c) for c in columns]
     kept = [F.col(f"`{c}`") for c in df.columns if c != "_constants" and c not in columns]
     return df.select(*kept, *added)
+
+
+def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """Columns `keep` and the given expressions, evaluated once per row however often they are used.
+
+    Passing them through a generator of one row keeps the optimizer from copying costly
+    expressions into every column and filter that refers to them.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(made)))

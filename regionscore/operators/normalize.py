@@ -42,35 +42,37 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
     return flat.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Exact median of each column, per group: the mean of the two middle values if n is even.
 
-    Reads `df` two to four times; give it a landed or otherwise cheap input. Groups in `by` must
-    not be NULL. Columns without any value give NULL.
+    Reads `df` up to four times (once when `rows` says that it is small), so give it a landed or
+    otherwise cheap input. Groups in `by` must not be NULL. Columns without any value give NULL.
     """
-    rows = _long(df, columns, by)
+    values = _long(df, columns, by)
     key = [*by, "signal"]
     bins: list[str] = []
     picked = None
     for level in range(len(LEVELS)):
+        if rows is not None and rows <= SMALL_BIN:
+            break
         name = f"b{level}"
-        cells = rows.withColumn(name, _bin(level)) if picked is None else _inside(
-            rows.select("*", *[_bin(i).alias(f"b{i}") for i in range(level + 1)]), picked, [*key, *bins])
-        counts = cells.groupBy(*key, *bins, name).agg(F.count(F.lit(1)).alias("n"))
+        counts = _inside(values, picked, key, bins, [name]).groupBy(*key, *bins, name).agg(F.count(F.lit(1)).alias("n"))
         picked = land(_pick(counts, picked, key, bins, name))
         bins.append(name)
-        if (picked.agg(F.max("n")).first()[0] or 0) <= SMALL_BIN:
-            break
-    cells = _inside(rows.select("*", *[_bin(i).alias(f"b{i}") for i in range(len(bins))]), picked, [*key, *bins])
-    counts = cells.groupBy(*key, *bins, "v").agg(F.count(F.lit(1)).alias("n"))
+        rows = picked.agg(F.max("n")).first()[0] or 0
+    counts = _inside(values, picked, key, bins, []).groupBy(*key, *bins, "v").agg(F.count(F.lit(1)).alias("n"))
     middle = _pick(counts, picked, key, bins, "v")
-    wide = middle.groupBy(*by).pivot("signal", list(columns)).agg(F.avg("v"))
-    return wide
+    wide = [F.avg(F.when(F.col("signal") == c, F.col("v"))).alias(c) for c in columns]
+    return middle.groupBy(*by).agg(*wide)
 
 
-def _inside(rows: DataFrame, picked: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of the bins that hold a middle rank; `picked` is landed and tiny, so its size is known."""
-    return rows.join(picked.select(*key).distinct(), key, "left_semi")
+def _inside(values: DataFrame, picked: DataFrame | None, key: list[str], bins: list[str], new: list[str]) -> DataFrame:
+    """Values in the bins that hold a middle rank, with their bin numbers, the `new` ones included.
+
+    `picked` is landed and tiny, so the join is a broadcast by its true size.
+    """
+    cells = values.select("*", *[_bin(int(b[1:])).alias(b) for b in [*bins, *new]])
+    return cells if picked is None else cells.join(picked.select(*key, *bins).distinct(), [*key, *bins], "left_semi")
 
 
 def _pick(counts: DataFrame, picked: DataFrame | None, key: list[str], bins: list[str], name: str) -> DataFrame:
@@ -98,29 +100,36 @@ def scaled(value: Column, low: Column, high: Column, invert: bool = False) -> Co
     return F.when(low == high, F.lit(0.5)).otherwise(F.coalesce(position, F.lit(0.5)))
 
 
-def signal_stats(df: DataFrame, signals: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows, missing values, minimum, maximum and (where values are missing) median of each signal.
+def _limits(df: DataFrame, signals: Sequence[str]) -> list[Column]:
+    out = [F.count(F.lit(1)).alias("n")]
+    for s in signals:
+        clean = F.nanvl(F.col(s).cast("double"), F.lit(None))
+        out += [F.count_if(clean.isNull()).alias(f"{s}__null"), F.min(clean).alias(f"{s}__min"), F.max(clean).alias(f"{s}__max")]
+    return out
+
+
+def signal_stats(df: DataFrame, signals: Sequence[str]) -> dict[str, float | int | None]:
+    """Rows (`n`), and per signal missing values, minimum, maximum and, where values are missing, median.
 
     Filling gaps with the median changes neither minimum nor maximum, so those come from one
     aggregation; medians are worked out only for signals that have gaps.
     """
-    limits = [F.count(F.lit(1)).alias("n")]
-    for s in signals:
-        clean = F.nanvl(F.col(s).cast("double"), F.lit(None))
-        limits += [F.count_if(clean.isNull()).alias(f"{s}__null"),
-                   F.min(clean).alias(f"{s}__min"), F.max(clean).alias(f"{s}__max")]
-    stats = land(df.groupBy(*by).agg(*limits))
-    gaps = stats.agg(*[F.max((F.col(f"{s}__null") > 0) & F.col(f"{s}__min").isNotNull()).alias(s) for s in signals])
-    with_gaps = [s for s, gap in gaps.first().asDict().items() if gap]
-    if with_gaps:
-        medians = land(exact_median(df, with_gaps, by))
-        medians = medians.select(*by, *[F.col(s).alias(f"{s}__median") for s in with_gaps])
-        stats = stats.join(medians, list(by), "left") if by else stats.select(
-            "*", *[medians.select(f"{s}__median").scalar().alias(f"{s}__median") for s in with_gaps])
-    for s in signals:
-        if s not in with_gaps:
-            stats = stats.withColumn(f"{s}__median", F.lit(None).cast("double"))
-    return stats
+    stats = df.agg(*_limits(df, signals)).first().asDict()
+    gaps = [s for s in signals if stats[f"{s}__null"] and stats[f"{s}__min"] is not None]
+    medians = exact_median(df, gaps, rows=stats["n"]).first().asDict() if gaps else {}
+    return {**stats, **{f"{s}__median": medians.get(s) for s in signals}}
+
+
+def group_stats(df: DataFrame, signals: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The same per group, as a landed table with one row per group."""
+    stats = land(df.groupBy(*by).agg(*_limits(df, signals)))
+    totals = stats.agg(F.max("n").alias("n"), *[
+        F.bool_or((F.col(f"{s}__null") > 0) & F.col(f"{s}__min").isNotNull()).alias(s) for s in signals]).first()
+    gaps = [s for s in signals if totals[s]]
+    if gaps:
+        medians = exact_median(df, gaps, by, rows=totals["n"])
+        stats = land(stats.join(medians.select(*by, *[F.col(s).alias(f"{s}__median") for s in gaps]), list(by), "left"))
+    return stats.select("*", *[F.lit(None).cast("double").alias(f"{s}__median") for s in signals if s not in gaps])
 
 
 def minmax(df: DataFrame, signals: dict[str, bool], by: Sequence[str] = (), suffix: str = "_norm") -> DataFrame:
@@ -128,18 +137,19 @@ def minmax(df: DataFrame, signals: dict[str, bool], by: Sequence[str] = (), suff
 
     Gaps are filled with the median of the rows or group first. `df` is read more than once.
     """
-    stats = signal_stats(df, list(signals), by)
-    columns = [f"{s}__{k}" for s in signals for k in ("min", "max", "median")]
+    limits = [f"{s}__{k}" for s in signals for k in ("min", "max", "median")]
     if by:
-        joined = df.join(land(stats.select(*by, *columns)), list(by), "left")
+        joined = df.join(group_stats(df, list(signals), by).select(*by, *limits), list(by), "left")
+        limit = {c: F.col(c) for c in limits}
     else:
-        row = stats.select(*columns).first()
-        joined = df.select("*", *[F.lit(row[c]).cast("double").alias(c) for c in columns])
-    out = joined
-    for s, invert in signals.items():
-        value = F.coalesce(F.nanvl(F.col(s).cast("double"), F.lit(None)), F.col(f"{s}__median"))
-        out = out.withColumn(s + suffix, scaled(value, F.col(f"{s}__min"), F.col(f"{s}__max"), invert))
-    return out.drop(*columns)
+        stats = signal_stats(df, list(signals))
+        joined, limit = df, {c: F.lit(stats[c]).cast("double") for c in limits}
+
+    def norm(s: str, invert: bool) -> Column:
+        value = F.coalesce(F.nanvl(F.col(s).cast("double"), F.lit(None)), limit[f"{s}__median"])
+        return scaled(value, limit[f"{s}__min"], limit[f"{s}__max"], invert).alias(s + suffix)
+
+    return joined.select(*df.columns, *[norm(s, invert) for s, invert in signals.items()])
 
 
 def minmax_unfilled(df: DataFrame, value: str, name: str) -> DataFrame:

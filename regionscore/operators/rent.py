@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionscore.functions.ratios import rounded
-from regionscore.landing import land, with_constants
+from regionscore.landing import land
 
 # Sizes of the grids, size codes, and the base rents used where no data exists.
 SIZES_SE = (30, 45, 60, 75, 90, 105)
@@ -19,6 +20,8 @@ BASE_RENTS_SE = {
     "3.01": 9500, "3.02": 8500, "3.03": 8000, "3.04": 7000,
     "4.01": 9500, "5.00": 8500, "6.00": 7000, "7.00": 5500,
 }
+# Key of the median grid; no zone is named so.
+MEDIAN = "*"
 DEFAULT_SQM = {"norway": 70.0, "sweden": 65.0}
 DEFAULT_ZONE = {"norway": "21.00", "sweden": "7.00"}
 
@@ -69,43 +72,44 @@ def resolve_zone(df: DataFrame, country: str, direct: DataFrame | None = None, g
     return out.withColumn("_zone", F.coalesce("_direct", "_generic", default)).select(*df.columns, "_zone")
 
 
-def _points(sqm: str, rent: str) -> Column:
-    return F.sort_array(F.collect_list(F.struct(F.col(sqm).alias("s"), F.col(rent).alias("r"))))
+def rent_segments(grid: DataFrame, zone: str) -> DataFrame:
+    """Straight pieces of each zone's rent curve: (_zone, lo, hi, x0, y0, slope), flat beyond both ends.
 
-
-def grid_arrays(grid: DataFrame, zone: str) -> tuple[DataFrame, DataFrame]:
-    """One row per zone with its (size, rent) points, and one row with the median rent per size.
-
-    A grid has one point per zone and size, so the lists are as long as the size scale and the
-    medians span one value per zone.
+    A grid has one point per zone and size, so the windows are as long as the size scale. The pieces
+    under the zone NULL are those of the median rent per size, for zones without a grid.
     """
     points = grid.filter(F.col("sqm").isNotNull() & F.col("monthly_rent").isNotNull())
-    points = points.groupBy(F.col(zone).alias("_zone"), "sqm").agg(F.avg("monthly_rent").alias("monthly_rent"))
-    per_zone = points.groupBy("_zone").agg(_points("sqm", "monthly_rent").alias("_grid"))
-    medians = points.groupBy("sqm").agg(F.median("monthly_rent").alias("monthly_rent"))
-    overall = medians.agg(_points("sqm", "monthly_rent").alias("_median_grid"))
-    return per_zone, overall
-
-
-def rent_at(points: Column, sqm: Column) -> Column:
-    """Linear interpolation between the points around `sqm`; the end points hold beyond the range."""
-    below = F.try_element_at(F.filter(points, lambda p: p.getField("s") <= sqm), F.lit(-1))
-    above = F.get(F.filter(points, lambda p: p.getField("s") >= sqm), F.lit(0))
-    run = above.getField("s") - below.getField("s")
-    slope = F.try_divide(above.getField("r") - below.getField("r"), run)
-    inside = F.coalesce(slope * (sqm - below.getField("s")), F.lit(0.0)) + below.getField("r")
-    return F.when(below.isNull(), above.getField("r")).when(above.isNull(), below.getField("r")).otherwise(inside)
+    points = points.groupBy(F.col(zone).alias("_zone"), "sqm").agg(F.avg("monthly_rent").alias("y"))
+    medians = points.groupBy("sqm").agg(F.median("y").alias("y"))  # one value per zone
+    points = points.unionByName(medians.withColumn("_zone", F.lit(None).cast("string")))
+    w = Window.partitionBy("_zone").orderBy("sqm")
+    x = F.col("sqm").cast("double")
+    steps = points.select(
+        "_zone", x.alias("x0"), F.col("y").alias("y0"), F.lead(x).over(w).alias("x1"), F.lead("y").over(w).alias("y1"),
+        F.lag(x).over(w).alias("before"),
+    )
+    slope = F.coalesce(F.try_divide(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")), F.lit(0.0))
+    inner = F.struct(F.col("x0").alias("lo"), F.coalesce("x1", F.lit(math.inf)).alias("hi"), slope.alias("slope"))
+    head = F.when(F.col("before").isNull(), F.struct(F.lit(-math.inf).alias("lo"), F.col("x0").alias("hi"), F.lit(0.0).alias("slope")))
+    pieces = F.explode(F.array_compact(F.array(head, inner))).alias("p")
+    return steps.select("_zone", "x0", "y0", pieces).select("_zone", "p.lo", "p.hi", "x0", "y0", "p.slope")
 
 
 def estimate_rent(df: DataFrame, grid: DataFrame, country: str, zone: str = "_zone", grid_zone: str = "zone") -> DataFrame:
     """Add `estimated_monthly_rent` from the grid of the row's zone, or from the median grid.
 
-    The grid arrays join on the zone key; listings are never paired with grid rows.
+    The join is by zone with the size as a further condition, and exactly one piece of a zone fits:
+    every listing stays one row. The landed pieces are broadcast if they are as small as they should be.
     """
-    per_zone, overall = grid_arrays(grid, grid_zone)
-    zoned = df.withColumnRenamed(zone, "_zone") if zone != "_zone" else df
-    joined = zoned.join(land(per_zone), "_zone", "left")  # landed: broadcast by its true size
-    joined = with_constants(joined, overall, ["_median_grid"])
-    sqm = F.coalesce(F.col("sqm"), F.lit(DEFAULT_SQM[country]))
-    rent = rent_at(F.coalesce("_grid", "_median_grid"), sqm)
-    return joined.withColumn("estimated_monthly_rent", rent).drop("_grid", "_median_grid", "_zone")
+    pieces = land(rent_segments(grid, grid_zone))
+    zones = pieces.filter(F.col("_zone").isNotNull()).select(F.col("_zone").alias("_known")).distinct()
+    zoned = df.withColumnRenamed(zone, "_of") if zone != "_of" else df
+    zoned = zoned.join(zones, F.col("_of") == F.col("_known"), "left")
+    size = F.coalesce(F.col("sqm").cast("double"), F.lit(DEFAULT_SQM[country]))
+    keyed = zoned.select(*[c for c in zoned.columns if c not in ("_of", "_known")],
+                         F.coalesce("_known", F.lit(MEDIAN)).alias("_key"), size.alias("_size"))
+    pieces = pieces.select(F.coalesce("_zone", F.lit(MEDIAN)).alias("_key2"), "lo", "hi", "x0", "y0", "slope")
+    fits = (F.col("_key") == F.col("_key2")) & (F.col("_size") >= F.col("lo")) & (F.col("_size") < F.col("hi"))
+    rent = F.col("slope") * (F.col("_size") - F.col("x0")) + F.col("y0")
+    joined = keyed.join(pieces, fits, "left").withColumn("estimated_monthly_rent", rent)
+    return joined.drop("_key", "_key2", "_size", "lo", "hi", "x0", "y0", "slope")

@@ -8,7 +8,6 @@ shuffled; a larger gazetteer is joined instead, with the same result.
 from __future__ import annotations
 
 import difflib
-import functools
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -75,7 +74,7 @@ def gazetteer(regions: DataFrame, places: DataFrame, country: str) -> DataFrame:
 
 def _parts(address: Column) -> Column:
     """Comma-separated parts, trimmed, right-most first."""
-    return F.reverse(F.transform(F.split(address, ","), strip))
+    return F.reverse(F.transform(F.split(address, ","), lambda p: strip(p)))
 
 
 def _exact_candidates(address: Column, rules: AddressRules) -> Column:
@@ -99,13 +98,13 @@ def _phrase_candidates(address: Column, words: int) -> Column:
     """Every stretch of 1..`words` whole words as written, separators included."""
     pieces = F.regexp_extract_all(F.lower(address), F.lit(r"(?U)(\w+|\W+)"), F.lit(0))
     first = F.when(F.get(pieces, F.lit(0)).rlike(r"(?U)^\w"), 1).otherwise(2)
-    stretches = []
-    for n in range(1, words + 1):
-        width = 2 * n - 1
+
+    def stretches(width: int) -> Column:
         last = F.size(pieces) - (width - 1)
         starts = F.when(last >= first, F.sequence(first, last, F.lit(2))).otherwise(F.array().cast("array<int>"))
-        stretches.append(F.transform(starts, lambda i, w=width: F.array_join(F.slice(pieces, i, w), "")))
-    return F.concat(*stretches)
+        return F.transform(starts, lambda i: F.array_join(F.slice(pieces, i, width), ""))
+
+    return F.concat(*[stretches(2 * n - 1) for n in range(1, words + 1)])
 
 
 def _longest_first(candidates: Column) -> Column:
@@ -141,19 +140,17 @@ def _first_known(df: DataFrame, candidates: Column, names: DataFrame, inline: li
 def _closest_name(names: list[str], cutoff: float):
     """Arrow UDF: parts, right-most first -> most similar name of the first part that has one."""
 
-    @functools.lru_cache(maxsize=100_000)
-    def best(part: str) -> str | None:
-        found = difflib.get_close_matches(part, names, n=1, cutoff=cutoff)
-        return found[0] if found else None
-
-    def match(parts) -> str | None:
-        if parts is None:
-            return None
-        return next((hit for p in parts if len(p) >= 2 and (hit := best(p))), None)
-
     @F.pandas_udf("string")
     def closest(column: pd.Series) -> pd.Series:
-        return column.map(match)
+        seen: dict[str, str | None] = {}  # within a batch, equal parts are compared once
+
+        def best(part: str) -> str | None:
+            if part not in seen:
+                found = difflib.get_close_matches(part, names, n=1, cutoff=cutoff)
+                seen[part] = found[0] if found else None
+            return seen[part]
+
+        return column.map(lambda parts: next((hit for p in parts if len(p) >= 2 and (hit := best(p))), None))
 
     return closest
 

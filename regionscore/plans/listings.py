@@ -68,8 +68,9 @@ def enrich_listings(
 ) -> DataFrame:
     """Listings (with resolved regions) joined with features, rent estimate, index signals and yield.
 
-    Region tables are landed first: the listing side is then streamed past broadcast tables of a
-    known size and never shuffled, so a region that holds a third of all listings is no hot key.
+    Region tables are landed (features by their builder, the others here): the listing side is then
+    streamed past broadcast tables of a known size and never shuffled, so a region that holds a
+    third of all listings is no hot key.
     """
     out = listings
     if "municipality_clean" not in out.columns:
@@ -78,7 +79,7 @@ def enrich_listings(
         own = set(out.columns) - {"municipality_clean"}
         extra = [c for c in features.columns if c not in own and c not in ("municipality_code", "municipality_clean")]
         unique = first_by_key(features, "municipality_clean", "municipality_code", extra)
-        out = out.join(land(unique), "municipality_clean", "left")
+        out = out.join(unique, "municipality_clean", "left")
     if rent_grid is not None:
         grid = rent_grid.withColumn(dims.grid_zone, zone_key(F.col(dims.grid_zone)))
         out = resolve_zone(out, country, dims.zone_of_code, dims.zone_of_generic)
@@ -135,7 +136,7 @@ def score_listings(
     signals = _signals(listings)
     rows = land(signals)
     names = [c for c in rows.columns if c.startswith("_s_")]
-    stats = signal_stats(rows, names).first()
+    stats = signal_stats(rows, names)
     scored = _scores(rows, names, stats, macro, yield_weight, growth_weight, risk_penalty, weights)
     scored = percentile_rank(scored, "composite_score", "percentile")
     ranked = numbered(scored, [F.col("composite_score").desc(), F.col(id_col).asc()])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from regionscore.functions.clean import number_no, number_se, strip
 from regionscore.functions.ratios import rounded, truthy
+from regionscore.landing import computed_once
 
 # Named character references of the two languages and of common punctuation.
 ENTITIES = {
@@ -195,12 +196,15 @@ def definition_pairs(html: Column) -> Column:
     """(label, value) of every `<dt>`, in page order; the value is the next `<dd>` of the list."""
     after = F.split(html, r"(?i)<dt(?:\s[^>]*)?>")
     sections = F.slice(after, 2, F.greatest(F.size(after), F.lit(1)))
-    dd = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd>|<d[dt][\s>]|</dl>|$)"
+    dd = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd>|<d[dt][\s>]|</dl>|\z)"
+
+    def before(text: Column, pattern: str) -> Column:
+        return F.get(F.split(text, pattern, 2), F.lit(0))
 
     def pair(section: Column, i: Column) -> Column:
-        own = first_match(F.regexp_extract(section, r"(?is)^(.*?)(?=</dl>|\z)", 1), dd, 1)
-        shared = F.when(~F.contains(F.lower(section), F.lit("</dl>")), first_match(F.get(sections, i + 1), dd, 1))
-        name = F.regexp_extract(section, r"(?is)^(.*?)(?=</dt>|<dd[\s>]|\z)", 1)
+        own = first_match(before(section, r"(?i)</dl>"), dd, 1)
+        shared = F.when(~section.rlike(r"(?i)</dl>"), first_match(F.get(sections, i + 1), dd, 1))
+        name = before(section, r"(?i)</dt>|<dd[\s>]")
         return F.struct(_label(name).alias("label"), tag_text(F.coalesce(own, shared)).alias("value"))
 
     return F.filter(F.transform(sections, pair), lambda p: p["value"].isNotNull())
@@ -234,7 +238,7 @@ def plausible_year(number: Column) -> Column:
 def ld_blocks(html: Column) -> Column:
     """Structured-data scripts as JSON object texts; of a list, its first object."""
     pattern = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
-    scripts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), strip)
+    scripts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda s: strip(s))
 
     def as_object(text: Column) -> Column:
         items = F.from_json(text, "array<string>")
@@ -292,7 +296,7 @@ POSTAL_SE = r"(?U)\d{3}\s?\d{2}\s+\w+"
 
 def postal_block(html: Column, block: str, postal: str) -> Column:
     """First text block below 200 characters that holds a postal code and a word after it."""
-    texts = F.transform(F.regexp_extract_all(html, F.lit(block), F.lit(1)), tag_text)
+    texts = F.transform(F.regexp_extract_all(html, F.lit(block), F.lit(1)), lambda t: tag_text(t))
     return F.get(F.filter(texts, lambda t: t.rlike(postal) & (F.length(t) < 200)), F.lit(0))
 
 
@@ -314,8 +318,8 @@ def extract_listings(pages: DataFrame, country: str) -> DataFrame:
 
 
 def _extract_no(pages: DataFrame) -> DataFrame:
-    base = pages.select("listing_id", "url", "html", ld_blocks(F.col("html")).alias("blocks"),
-                        definition_pairs(F.col("html")).alias("dl"), table_pairs(F.col("html")).alias("rows"))
+    base = computed_once(pages, ["listing_id", "url", "html"], {
+        "blocks": ld_blocks(F.col("html")), "dl": definition_pairs(F.col("html")), "rows": table_pairs(F.col("html"))})
 
     def texts(name: str) -> tuple[Column, Column]:
         return field_text(F.col("dl"), LABELS_NO, name, last=True), field_text(F.col("rows"), LABELS_NO, name, last=False)
@@ -340,12 +344,11 @@ def _extract_no(pages: DataFrame) -> DataFrame:
     ld_price = _first_of(F.col("blocks"), _listing_block(
         lambda b: truthy(F.get_json_object(b, "$.offers.price").try_cast("double"))))
     ld_name = _first_of(F.col("blocks"), _listing_block(lambda b: F.get_json_object(b, "$.name")))
-    rows = base.select(
-        "listing_id", "url",
+    rows = _fields(base, [
         F.coalesce(page_title(F.col("html")), ld_name).alias("title"),
         page_address(F.col("html"), F.col("blocks"), "norway").alias("address"),
         *columns, *flags, ld_price.alias("_ld_price"),
-    )
+    ])
     asking = F.when(F.col("_has_asking"), F.col("asking_price")).otherwise(
         F.coalesce("_ld_price", F.when(F.col("_has_total"), F.col("total_price")))
     )
@@ -353,6 +356,12 @@ def _extract_no(pages: DataFrame) -> DataFrame:
     return derive_no(rows)
 
 
+def _fields(base: DataFrame, fields: list[Column]) -> DataFrame:
+    """The extracted fields next to the page's key, so that later filters do not extract again."""
+    made = F.struct(*fields)
+    return base.select("listing_id", "url", F.inline(F.array(made)))
+
+
 def derive_no(rows: DataFrame) -> DataFrame:
     """Best size, total price including shared debt, and price per square metre; zeros count as missing."""
     sqm = F.coalesce(truthy(F.col("sqm_primary")), truthy(F.col("sqm_usable")), truthy(F.col("sqm_gross")))
@@ -375,8 +384,9 @@ def _with_unit_price(rows: DataFrame) -> DataFrame:
 def _extract_se(pages: DataFrame) -> DataFrame:
     script = r"""(?is)<script[^>]*id\s*=\s*["']__NEXT_DATA__["'][^>]*>(.*?)</script>"""
     state = F.get_json_object(strip(first_match(F.col("html"), script, 1)), "$.props.apolloState")
-    base = pages.select("listing_id", "url", "html", ld_blocks(F.col("html")).alias("blocks"),
-                        definition_pairs(F.col("html")).alias("dl"), F.from_json(state, "map<string,string>").alias("cache"))
+    base = computed_once(pages, ["listing_id", "url", "html"], {
+        "blocks": ld_blocks(F.col("html")), "dl": definition_pairs(F.col("html")),
+        "cache": F.from_json(state, "map<string,string>")})
     own = F.try_element_at("cache", F.concat(F.lit("ActivePropertyListing:"), F.col("listing_id")))
     base = base.withColumn("own", own)
 
@@ -409,12 +419,11 @@ def _extract_se(pages: DataFrame) -> DataFrame:
             value = number_se(text)
         return (F.coalesce(cached[name], value) if name in cached else value).alias(name)
 
-    rows = base.select(
-        "listing_id", "url",
+    rows = _fields(base, [
         page_title(F.col("html")).alias("title"),
         page_address(F.col("html"), F.col("blocks"), "sweden").alias("address"),
         *[field(n) for n in (*MONEY_AND_AREA_SE, *COUNTS_SE, *TEXTS_SE)],
-    )
+    ])
     return derive_se(rows)
 
 
