@@ -6,59 +6,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import domain as d
-from catalog.oracle import code, rnd
-from catalog.queries import fixed, register
+from catalog.oracle import code, full, rnd
+from catalog.queries import ORACLE, fixed, register
 from regionscore.landing import land
 from regionscore.operators import resolve
 from regionscore.sources import cubes, pages, tables
 
-# ---- statistics documents: one cube per order, its lines by (line, measure) ---------------------
+# ---- statistics documents: one cube per order, (status, measure), filled only for its own status ----
 
-_LINES = """(select l_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 as i,
-  l_quantity, l_extendedprice from lineitem)"""
+_STATUS = "(case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end)"
+_CELLS = f"""select o_orderkey, ['F', 'O', 'P'][i // 2 + 1] as Status_code, concat('Status ', ['F', 'O', 'P'][i // 2 + 1]) as Status,
+  ['price', 'customer'][i % 2 + 1] as Measure_code, ['Price', 'customer'][i % 2 + 1] as Measure,
+  case when i // 2 = {_STATUS} then case when i % 2 = 0 then o_totalprice else o_custkey::DOUBLE end end as value
+  from orders, (select unnest(range(6)) as i)"""
 
 
-def _line_lists(spark, sf) -> DataFrame:
-    """Lines of an order as sorted lists (an order has a handful of lines)."""
-    line = d.table(spark, sf, "lineitem")
-    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    return line.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-
-
-def _cube_doc(value, n) -> F.Column:
-    lines = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.concat(F.lit("L"), i).alias("c"), i.alias("p")))
-    index = F.map_from_entries(F.transform(lines, lambda s: F.struct(s["c"], s["p"])))
-    label = F.map_from_entries(F.transform(lines, lambda s: F.struct(s["c"], F.concat(F.lit("Line "), s["p"]))))
-    measures = F.struct(F.struct(
-        F.create_map(F.lit("price"), F.lit(1), F.lit("qty"), F.lit(0)).alias("index"),
-        F.create_map(F.lit("qty"), F.lit("Quantity"), F.lit("price"), F.lit("Price")).alias("label")).alias("category"))
-    dimension = F.struct(F.struct(F.struct(index.alias("index"), label.alias("label")).alias("category")).alias("Line"), measures.alias("Measure"))
-    return F.to_json(F.struct(
-        F.array(F.lit("Line"), F.lit("Measure")).alias("id"), F.array(n, F.lit(2)).alias("size"), dimension.alias("dimension"), value.alias("value")))
-
-
-_FLAT = f"""select l_orderkey, concat('L', i) as Line_code, concat('Line ', i) as Line, m as Measure_code,
-  case m when 'qty' then 'Quantity' else 'Price' end as Measure, case m when 'qty' then l_quantity else l_extendedprice end as value
-  from {_LINES}, (select unnest(['qty', 'price']) as m)"""
+def _cubes(spark, sf) -> tuple[DataFrame, F.Column, F.Column]:
+    """Orders, the place of their status, and the document without its values."""
+    o = d.table(spark, sf, "orders")
+    place = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    head = F.lit(
+        '"id":["Status","Measure"],"size":[3,2],"dimension":{'
+        '"Status":{"category":{"index":{"P":2,"F":0,"O":1},"label":{"F":"Status F","O":"Status O","P":"Status P"}}},'
+        '"Measure":{"category":{"index":["price","customer"],"label":{"price":"Price"}}}},"value":')
+    return o, place, head
 
 
-@register(_FLAT)
+@register(_CELLS)
 def cube_flatten(spark, sf):
-    rows = _line_lists(spark, sf)
-    value = F.flatten(F.transform("rows", lambda r: F.array(r["l_quantity"], r["l_extendedprice"])))
-    docs = rows.select("l_orderkey", _cube_doc(value, F.size("rows")).alias("doc"))
-    return cubes.jsonstat_to_long(docs, ["Line", "Measure"], keep=["l_orderkey"])
+    """Dense values in row-major order; one cell more than the cube has must be dropped."""
+    o, place, head = _cubes(spark, sf)
+    pair = F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double"))
+    none = F.array(F.lit(None).cast("double"), F.lit(None).cast("double"))
+    value = F.concat(*[F.when(place == i, pair).otherwise(none) for i in range(3)], F.array(F.lit(7.0)))
+    docs = o.select("o_orderkey", F.concat(F.lit("{"), head, F.to_json(value), F.lit("}")).alias("doc"))
+    return cubes.jsonstat_to_long(docs, ["Status", "Measure"], keep=["o_orderkey"])
 
 
-@register(f"""select * exclude (last) replace (case when Measure_code = 'qty' then value end as value)
-  from (select *, max(Line_code) over (partition by l_orderkey) as last from ({_FLAT.replace("concat('L', i)", "concat('L', lpad(cast(i as varchar), 3, '0'))")}))
-  where not (Measure_code = 'price' and Line_code = last)""".replace("select * exclude (last) replace (case", "select * exclude (last) replace (concat('L', cast(substr(Line_code, 2) as int)) as Line_code, case"))
+@register(f"select * from ({_CELLS.replace('from orders', ', i as place, ' + _STATUS + ' as own from orders')}) where place <= own * 2 + 1"
+          .replace("select * from", "select * exclude (place, own) from"))
 def cube_flatten_sparse(spark, sf):
-    """Only quantities are given, inside a `dataset` envelope; cells between them become NULL."""
-    rows = _line_lists(spark, sf)
-    value = F.map_from_entries(F.transform("rows", lambda r, i: F.struct((i * 2).cast("string"), r["l_quantity"])))
-    doc = F.concat(F.lit('{"dataset":'), _cube_doc(value, F.size("rows")), F.lit("}"))
-    return cubes.jsonstat_to_long(rows.select("l_orderkey", doc.alias("doc")), ["Line", "Measure"], keep=["l_orderkey"])
+    """Two given cells inside a `dataset` envelope; the cells before them become NULL, those after are absent."""
+    o, place, head = _cubes(spark, sf)
+    cell = lambda i, v: F.concat(F.lit('"'), (place * 2 + i).cast("string"), F.lit('":'), F.col(v).cast("string"))
+    value = F.concat(F.lit("{"), cell(1, "o_custkey"), F.lit(","), cell(0, "o_totalprice"), F.lit("}"))
+    docs = o.select("o_orderkey", F.concat(F.lit('{"dataset":{'), head, value, F.lit("}}")).alias("doc"))
+    return cubes.jsonstat_to_long(docs, ["Status", "Measure"], keep=["o_orderkey"])
 
 
 @register(f"select {code('c_custkey')} as code, c_acctbal as value from customer where c_acctbal > 0")
@@ -115,7 +108,7 @@ def cube_slice(spark, sf):
 def _resolved(spark, sf, rows: DataFrame, country: str = "norway") -> DataFrame:
     dim = d.regions(spark, sf)
     aliases = resolve.gazetteer(dim, d.no_places(spark), country)
-    out = resolve.resolve_addresses(land(rows), aliases, dim, country)
+    out = resolve.resolve_addresses(rows, aliases, dim, country)
     return out.select("listing_id", "municipality_code", "municipality_name", "region_code", "region_name", "rent_zone", "match_stage")
 
 
@@ -182,7 +175,7 @@ def _fuzzy(spark, sf):
     dim = r.select(d.code("r_regionkey").alias("code"), F.col("r_name").alias("name"), d.code("r_regionkey", 2).alias("region_code"),
                    F.col("r_name").alias("region_name"), F.lit("99").alias("rent_zone"))
     aliases = resolve.gazetteer(dim, d.no_places(spark), "norway")
-    return resolve.resolve_addresses(land(rows), aliases, dim, "norway").select("listing_id", "municipality_code", "municipality_name", "match_stage")
+    return resolve.resolve_addresses(rows, aliases, dim, "norway").select("listing_id", "municipality_code", "municipality_name", "match_stage")
 
 
 @register()
@@ -191,8 +184,6 @@ def resolve_fuzzy(spark, sf):
     return _fuzzy(spark, sf)
 
 
-from catalog.queries import ORACLE  # noqa: E402
-
 ORACLE["resolve_fuzzy"] = _FUZZY_SQL
 
 # ---- pages -------------------------------------------------------------------------------------
@@ -289,9 +280,6 @@ _DETAIL_NO = f"""select cast(o_orderkey as varchar) as listing_id, concat('Homen
 _NO_COLUMNS = ("listing_id", "title", "address", "asking_price", "fellesgjeld", "sqm", "total_price_calc", "price_per_sqm", "bedrooms", "year_built", "property_type")
 
 
-from catalog.oracle import full  # noqa: E402
-
-
 @register(_DETAIL_NO)
 def extract_listing_pages(spark, sf):
     return pages.extract_listings(detail_pages_no(spark, sf), "norway").select(*_NO_COLUMNS)
@@ -331,3 +319,43 @@ def detail_pages_se(spark, sf) -> DataFrame:
 def extract_cached_pages(spark, sf):
     return pages.extract_listings(detail_pages_se(spark, sf), "sweden").select(
         "listing_id", "address", "asking_price", "sqm", "rooms", "year_built", "property_type", "monthly_fee", "common_costs_monthly", "sqm_secondary", "price_per_sqm")
+
+
+# ---- a whole run: pages to scores --------------------------------------------------------------
+
+_PAGED = f"""select cast(o_orderkey as varchar) as listing_id, floor(o_totalprice)::DOUBLE + o_orderkey * 3 as total_price_calc,
+  (o_orderkey % 90 + 10)::DOUBLE as sqm, {rnd('(floor(o_totalprice) + o_orderkey * 3) / (o_orderkey % 90 + 10)', 0)} as price_per_sqm,
+  code as municipality_code, name as municipality_name, lower(name) as municipality_clean, region_code, region_name, rent_zone
+  from order_nation join regions on {code('nation')} = code where o_orderkey % 7 <> 0 and floor(o_totalprice) > 0"""
+
+
+@register(None)
+def scored_pages(spark, sf):
+    """Detail pages to ranked listings: extraction, resolution, features, rent, scores."""
+    from regionscore.plans.region_features import norway_features
+    from regionscore.plans.runs import scored_listings
+
+    features, grid, index = norway_features(d.norway_tables(spark, sf))
+    dim = d.regions(spark, sf)
+    series = d.series(spark, sf).filter("country = 'O'").withColumn("country", F.lit("norway"))
+    out = scored_listings(
+        detail_pages_no(spark, sf), features, grid, index, series, resolve.gazetteer(dim, d.no_places(spark), "norway"), dim, d.dimensions(spark, sf))
+    return out.select("listing_id", "municipality_name", "yield_score", "growth_score", "composite_score", "rank", "percentile", "recommendation", "risk_label")
+
+
+ORACLE["scored_pages"] = full(
+    "select listing_id, municipality_name, yield_score, growth_score, composite_score, rank, percentile, recommendation, risk_label from tiered",
+    zoned=f"""select l.*, coalesce(d.zone, g.zone, '21.00') as zone, coalesce(sqm, 70.0) as size
+      from ({_PAGED}) l left join zone_direct d using (municipality_code) left join zone_generic g on l.rent_zone = g.rent_zone""")
+
+
+@register(r"""select page_id, text from (select page_id, text, row_number() over (partition by page_id order by i) as rn
+  from (select page_id, i, list_aggregate(list_transform(list_filter(string_split_regex(regexp_extract(concat(part, '<p>'), '(?is)^(.*?)</?(?:p|div|ul|ol|dl|table|section|article|main|h[1-6])[\s>]', 1), '<[^>]*>'),
+            lambda x: trim(x) <> ''), lambda x: trim(x)), 'string_agg', '') as text
+        from (select page_id, unnest(list_slice(parts, 2, 100000)) as part, generate_subscripts(list_slice(parts, 2, 100000), 1) as i
+              from (select page_id, string_split_regex(html, '(?i)<p(?:\s[^>]*)?>') as parts from pages)))
+  where regexp_matches(text, '[0-9]{4}\s+\w') and len(text) < 200) where rn = 1""")
+def page_postal_blocks(spark, sf):
+    """First short paragraph with a postal code, over all pages."""
+    block = pages.postal_block(F.col("html"), pages.BLOCK_P, pages.POSTAL_NO)
+    return d.table(spark, sf, "pages").select("page_id", block.alias("text")).filter(F.col("text").isNotNull())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from regionscore.sources.pages import LABELS_NO
 
 
 def rnd(x: str, digits: int) -> str:
@@ -219,22 +218,16 @@ def rm_scored(yw: str, gw: str) -> str:
 CTES["rm_scores"] = rm_scored("0.5", "0.5")
 
 
-def uses(sql: str) -> list[str]:
-    """Named subqueries that a statement needs, in order of definition."""
+def full(sql: str, **overrides: str) -> str:
+    """The statement with the named subqueries it needs, in order; `overrides` replace some of them."""
+    ctes = {**CTES, **overrides}
     need: set[str] = set()
     todo = [sql]
     while todo:
         text = todo.pop()
-        for name in CTES:
+        for name in ctes:
             if name not in need and re.search(rf"(?<![\w.]){name}(?!\w)", text):
                 need.add(name)
-                todo.append(CTES[name])
-    return [n for n in CTES if n in need]
-
-
-def full(sql: str) -> str:
-    names = uses(sql)
-    if not names:
-        return sql
-    head = ", ".join(f"{n} as materialized ({CTES[n]})" for n in names)
-    return f"with {head} {sql}"
+                todo.append(ctes[name])
+    head = ", ".join(f"{n} as materialized ({ctes[n]})" for n in ctes if n in need)
+    return f"with {head} {sql}" if need else sql

@@ -11,7 +11,7 @@ from catalog import domain as d
 from catalog.oracle import code, full, growth, norm, pct, rm_scored, rnd
 from regionscore.functions.clean import name_key, number_no, number_se, pad_code, county_of, current_regions, zone_key
 from regionscore.functions.ratios import gross_yield, oversupply, risk_label, rounded
-from regionscore.landing import landing_folder
+from regionscore.landing import landing_path
 from regionscore.operators import aggregates as agg
 from regionscore.operators import ranking, rent, timeseries
 from regionscore.operators.normalize import exact_median, minmax, minmax_unfilled
@@ -515,7 +515,7 @@ def guarded_ratios(spark, sf):
 def records_roundtrip(spark, sf):
     """Written as records and read back with a declared schema: codes keep their zeros."""
     rows = d.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", d.code("c_nationkey").alias("code"))
-    path = f"{landing_folder(spark)}/records-customer"
+    path = landing_path(spark)
     T.write_records(rows, path)
     return T.read_records(spark, path, rows.schema)
 
@@ -523,7 +523,7 @@ def records_roundtrip(spark, sf):
 @register("select o_orderkey, o_orderstatus, o_totalprice from orders")
 def csv_export(spark, sf):
     """Listed columns that exist, exported with a header and read back."""
-    path = f"{landing_folder(spark)}/csv-orders"
+    path = landing_path(spark)
     T.export_csv(d.table(spark, sf, "orders"), path, ["o_orderkey", "no_such_column", "o_orderstatus", "o_totalprice"])
     return spark.read.schema("o_orderkey long, o_orderstatus string, o_totalprice double").csv(path, header=True)
 

@@ -25,14 +25,25 @@ def landing_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/regionscore/{spark.sparkContext.applicationId}"
 
 
+def landing_path(spark: SparkSession) -> str:
+    """A new path in the landing folder."""
+    return f"{landing_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def land(df: DataFrame) -> DataFrame:
     """Write `df` as parquet and return a reader of the files, with the same schema."""
     spark = df.sparkSession
-    path = f"{landing_folder(spark)}/{uuid.uuid4().hex}"
+    path = landing_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_landed(spark: SparkSession) -> None:
+    """Delete all that this application has landed; results that still read it must be written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_constants(df: DataFrame, one_row: DataFrame, columns: list[str]) -> DataFrame:
     """Add the columns of a one-row frame to every row through a scalar subquery."""
     holder = one_row.select(F.struct(*columns).alias("c")).scalar()

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionscore.functions.clean import alias_variant_no, alias_variant_se, strip
+from regionscore.landing import land
 
 INLINE_ALIASES = 20_000
 # A gazetteer lists the places of a country; more names than this are taken for a wrong input.
@@ -168,7 +169,7 @@ def resolve_addresses(
 
     1 a comma part is an alias, right-most first; 2 the word after a postal code is one (Sweden);
     3 the longest eligible name occurs as whole words; 4 a part is similar to an eligible name.
-    `df` is read twice (resolved and unresolved rows), so give it a landed table.
+    The outcome of the stages 1-3 is landed; only what they leave open goes through Python.
     """
     rules = RULES[country]
     place = strip(F.coalesce(F.col(address), F.lit("")))
@@ -202,12 +203,13 @@ def resolve_addresses(
         phrases = F.concat(phrases, odd)
     out = step(out, _longest_first(phrases), 3, eligible, names if inline else None)
 
+    # landed, so that both halves read the outcome of the stages and none works it out again
+    out = land(out)
     closest = _closest_name(names, rules.cutoff if cutoff is None else cutoff)
     fuzzy_parts = F.transform(
         _parts(place), lambda p: F.lower(strip(F.regexp_replace(p, rules.postal, "")))
     )
-    unresolved = out.filter(F.col("_alias_hit").isNull())
-    fuzzy = unresolved.withColumn("_alias_hit", closest(fuzzy_parts))
+    fuzzy = out.filter(F.col("_alias_hit").isNull()).withColumn("_alias_hit", closest(fuzzy_parts))
     fuzzy = fuzzy.withColumn("match_stage", F.when(F.col("_alias_hit").isNotNull(), 4).otherwise(0))
     out = out.filter(F.col("_alias_hit").isNotNull()).unionByName(fuzzy)
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from regionscore.landing import land
 from regionscore.operators.resolve import resolve_addresses
 from regionscore.operators.timeseries import macro_signals
 from regionscore.plans.listings import Dimensions, enrich_listings, filter_regions, score_listings
@@ -30,9 +29,9 @@ def scored_listings(
 ) -> DataFrame:
     """Detail pages (listing_id, url, html) to scored listings.
 
-    Extraction is the costly part, so its result is landed before it is read again.
+    Extraction is the costly part; it runs once, because address resolution lands its outcome.
     """
-    listings = land(valid_listings(extract_listings(pages, country), country))
+    listings = valid_listings(extract_listings(pages, country), country)
     placed = resolve_addresses(listings, aliases, regions, country)
     if city_codes:
         placed = filter_regions(placed, city_codes)
