@@ -22,19 +22,8 @@ from regionscore.operators.aggregates import (
 )
 from regionscore.operators.normalize import minmax_unfilled
 from regionscore.operators.timeseries import growth, index_signals, rate_trend
-
-FEATURES_NO = (
-    "municipality_code", "municipality_clean", "price_growth_1y", "price_growth_3y", "latest_price_sqm",
-    "population", "debt_burden_pct", "employment_hhi", "top3_industry_share",
-    "mortgage_rate_current", "mortgage_rate_trend", "wage_growth_1y", "wage_growth_3y", "latest_wage",
-    "permits_per_1000", "permit_momentum",
-)
-FEATURES_SE = (
-    "municipality_code", "municipality_name", "municipality_clean", "price_growth_1y", "price_growth_3y",
-    "latest_price_sqm", "population", "employment_hhi", "latest_wage", "wage_growth_1y",
-    "permits_per_1000", "permit_momentum", "debt_burden_pct",
-)
-
+from regionscore.schemas import FEATURES_NO, FEATURES_SE
+from regionscore.sources.tables import with_columns_in_order
 
 def norway_features(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(features, rent grid, index signals) from the slices of `SLICES_NO`; all but prices may be absent.
@@ -73,9 +62,8 @@ def norway_features(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFra
         else:
             people = first_by_key(population, "municipality_clean", "municipality_code", ["population"])
         features = features.join(supply_pressure(tables["construction"], people, "municipality_clean"), "municipality_clean", "left")
-    columns = [F.col(c) if c in features.columns else F.lit(None).cast("double").alias(c) for c in FEATURES_NO]
     index = index_signals(tables["price_index"], keep=("region",)) if "price_index" in tables else None
-    return land(features.select(*columns)), tables.get("rent"), index
+    return land(with_columns_in_order(features, FEATURES_NO)), tables.get("rent"), index
 
 
 def sweden_features(tables: Mapping[str, DataFrame], regions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -120,5 +108,4 @@ def sweden_features(tables: Mapping[str, DataFrame], regions: DataFrame) -> tupl
         debt = mean_by(padded["debt_burden"], ["municipality_code"], "deduction_tkr")
         debt = minmax_unfilled(debt, "deduction_tkr", "debt_burden_pct").drop("deduction_tkr")
         features = features.join(debt, "municipality_code", "left")
-    columns = [F.col(c) if c in features.columns else none.alias(c) for c in FEATURES_SE]
-    return land(features.select(*columns)), index
+    return land(with_columns_in_order(features, FEATURES_SE)), index
