@@ -5,8 +5,10 @@ Everything happens within the row of a page, so extraction is a projection witho
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,28 +17,28 @@ from regionscore.functions.clean import number_no, number_se, strip
 from regionscore.functions.ratios import rounded, truthy
 from regionscore.landing import computed_once
 
-# Named character references of the two languages and of common punctuation.
-ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-    "&aring;": "å", "&Aring;": "Å", "&aelig;": "æ", "&AElig;": "Æ", "&oslash;": "ø", "&Oslash;": "Ø",
-    "&auml;": "ä", "&Auml;": "Ä", "&ouml;": "ö", "&Ouml;": "Ö", "&eacute;": "é", "&sup2;": "²", "&ndash;": "–",
-}
+# Names of characters, as the HTML standard lists them; `&amp;` is decoded after all others.
+NAMED_CHARACTERS = json.dumps({n: chr(c) for n, c in name2codepoint.items() if n != "amp"})
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters: decimal, hexadecimal, then the named ones, `&amp;` last."""
-    def code_points(pattern: str, as_hex) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        return F.transform(found, lambda n: F.struct(
-            n.alias("ref"), F.decode(F.unhex(F.lpad(as_hex(n), 8, "0")), "UTF-32").alias("ch")))
+    """Character references to characters: decimal, hexadecimal, then named ones, `&amp;` last."""
+    def found(pattern: str, character) -> Column:
+        refs = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        pairs = F.transform(refs, lambda n: F.struct(n.alias("ref"), character(n).alias("ch")))
+        return F.filter(pairs, lambda p: p["ch"].isNotNull())
 
     def put(prefix: str):
-        return lambda acc, r: F.replace(acc, F.concat(F.lit(prefix), r["ref"], F.lit(";")), r["ch"])
+        return lambda acc, p: F.replace(acc, F.concat(F.lit(prefix), p["ref"], F.lit(";")), p["ch"])
+
+    def code_point(hex_digits: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
 
-    plain = F.aggregate(code_points(r"&#(\d{1,7});", lambda n: F.hex(n.cast("long"))), text, put("&#"))
-    plain = F.aggregate(code_points(r"&#x([0-9A-Fa-f]{1,6});", lambda n: n), plain, put("&#x"))
-    for name, char in ENTITIES.items():
-        plain = F.replace(plain, F.lit(name), F.lit(char))
+    numeric = F.aggregate(found(r"&#(\d{1,7});", lambda n: code_point(F.hex(n.cast("long")))), text, put("&#"))
+    numeric = F.aggregate(found(r"&#x([0-9A-Fa-f]{1,6});", code_point), numeric, put("&#x"))
+    plain = F.when(F.contains(text, F.lit("&#")), numeric).otherwise(text)
+    names = F.from_json(F.lit(NAMED_CHARACTERS), "map<string,string>")
+    plain = F.aggregate(found(r"&([A-Za-z]+[0-9]*);", lambda n: F.try_element_at(names, n)), plain, put("&"))
     decoded = F.replace(plain, F.lit("&amp;"), F.lit("&"))
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
