@@ -23,7 +23,7 @@ _CELLS = f"""select o_orderkey, ['F', 'O', 'P'][i // 2 + 1] as Status_code, conc
 
 def _cubes(spark, sf) -> tuple[DataFrame, F.Column, F.Column]:
     """Orders, the place of their status, and the document without its values."""
-    o = d.table(spark, sf, "orders")
+    o = d.spread(d.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey"))
     place = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     head = F.lit(
         '"id":["Status","Measure"],"size":[3,2],"dimension":{'
@@ -251,7 +251,7 @@ def _spaced(col) -> F.Column:
 
 def detail_pages_no(spark, sf) -> DataFrame:
     """Every order as a page: price in a list (given twice, the last counts), size in a table, address as data or paragraph."""
-    rows = d.order_nation(spark, sf, "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    rows = d.spread(d.order_nation(spark, sf, "o_orderkey", "o_totalprice", "o_orderdate"))
     n = d.table(spark, sf, "nation")
     key = F.col("o_orderkey")
     dt = lambda label, value: F.concat(F.lit(f"<dt>{label}</dt>\n<dd class='v'><span>"), value, F.lit("</span></dd>"))
@@ -293,7 +293,7 @@ def valid_listings(spark, sf):
 
 def detail_pages_se(spark, sf) -> DataFrame:
     """Every order as a page with an object cache; even orders give the price through a reference."""
-    rows = d.order_nation(spark, sf, "o_orderkey", "o_totalprice", "o_orderdate")
+    rows = d.spread(d.order_nation(spark, sf, "o_orderkey", "o_totalprice", "o_orderdate"))
     n = d.table(spark, sf, "nation")
     key = F.col("o_orderkey")
     k = key.cast("string")

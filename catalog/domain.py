@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all shuffle partitions: for small rows about to become large documents."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def code(col: str, width: int = 4) -> Column:
     return F.lpad(F.col(col).cast("string"), width, "0")
 
@@ -92,9 +97,9 @@ def listings(spark, sf) -> DataFrame:
     return named.join(dim, "municipality_code")
 
 
-def price_sqm(spark, sf) -> DataFrame:
+def price_sqm(spark, sf, rows: DataFrame | None = None) -> DataFrame:
     """Mean price per square metre by municipality and year."""
-    rows = listings(spark, sf).select("municipality_code", "municipality_clean", "year", "total_price_calc", "sqm")
+    rows = (listings(spark, sf) if rows is None else rows).select("municipality_code", "municipality_clean", "year", "total_price_calc", "sqm")
     unit = ratio(F.col("total_price_calc"), F.col("sqm"))
     return rows.groupBy("municipality_code", "municipality_clean", "year").agg(F.avg(unit).alias("price_sqm"))
 
@@ -166,11 +171,11 @@ def rent_grid(spark, sf) -> DataFrame:
         F.avg("p_retailprice").alias("monthly_rent"))
 
 
-def norway_tables(spark, sf) -> dict[str, DataFrame]:
+def norway_tables(spark, sf, rows: DataFrame | None = None) -> dict[str, DataFrame]:
     mortgage = series(spark, sf).filter("country = 'O' and series_key = 'rate'").select(
         F.col("obs_date").cast("string").alias("period"), F.col("value").alias("mortgage_rate"))
     return {
-        "price_sqm": price_sqm(spark, sf), "price_index": price_index(spark, sf).withColumn("region", F.col("region_code")),
+        "price_sqm": price_sqm(spark, sf, rows), "price_index": price_index(spark, sf).withColumn("region", F.col("region_code")),
         "rent": rent_grid(spark, sf), "population": population(spark, sf), "employment": employment(spark, sf),
         "debt_burden": debt(spark, sf), "wages": wages(spark, sf), "construction": permits(spark, sf),
         "mortgage_rate": mortgage,

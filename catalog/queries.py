@@ -11,7 +11,7 @@ from catalog import domain as d
 from catalog.oracle import code, full, growth, norm, pct, rm_scored, rnd
 from regionscore.functions.clean import name_key, number_no, number_se, pad_code, county_of, current_regions, zone_key
 from regionscore.functions.ratios import gross_yield, oversupply, risk_label, rounded
-from regionscore.landing import landing_path
+from regionscore.landing import land, landing_path
 from regionscore.operators import aggregates as agg
 from regionscore.operators import ranking, rent, timeseries
 from regionscore.operators.normalize import exact_median, minmax, minmax_unfilled
@@ -318,8 +318,9 @@ def index_region_fallback(spark, sf):
 
 
 def enriched(spark, sf) -> DataFrame:
-    features, grid, index = norway_features(d.norway_tables(spark, sf))
-    return L.enrich_listings(d.listings(spark, sf), features, grid, index, d.dimensions(spark, sf))
+    rows = land(d.listings(spark, sf))  # read twice: for the features and for the listings
+    features, grid, index = norway_features(d.norway_tables(spark, sf, rows))
+    return L.enrich_listings(rows, features, grid, index, d.dimensions(spark, sf))
 
 
 def macro(spark, sf) -> dict:
@@ -534,3 +535,22 @@ def ragged_union(spark, sf):
     c = d.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.lit("c").alias("kind"))
     s = d.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("s").alias("kind"))
     return T.union_ragged([c, s])
+
+
+@register("select c_custkey, c_name from customer")
+def named_tables(spark, sf):
+    """A named table, and one that does not exist and is empty."""
+    schema = "c_custkey long, c_name string"
+    there, missing = (T.load_table(spark, sf, n, schema).select("c_custkey", "c_name") for n in ("customer", "no_such_table"))
+    return there.unionByName(missing)
+
+
+@register("select code, name, region_code, region_name, case when n_nationkey % 2 = 0 then '99' else rent_zone end as rent_zone from regions join nation on n_name = name")
+def regions_from_document(spark, sf):
+    """The region dimension written as its JSON document (one entry per region) and loaded; even regions lack a zone."""
+    zone = F.when(F.substring("rent_zone", 2, 9).cast("int") % 2 == 1, F.col("rent_zone"))
+    items = d.regions(spark, sf).withColumn("rent_zone", zone)
+    document = items.agg(F.collect_list(F.struct("*")).alias("municipalities"))
+    path = landing_path(spark)
+    document.select(F.to_json(F.struct("municipalities")).alias("value")).write.text(path)
+    return T.load_regions(spark, path, "norway")

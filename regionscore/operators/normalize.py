@@ -21,25 +21,34 @@ LEVELS = (10, 24, 38)
 SMALL_BIN = 1_000_000
 
 
-def _bin(level: int) -> Column:
-    """Bin number of `v` that grows with `v`, within one bin of the level before."""
+def _with_place(values: DataFrame) -> DataFrame:
+    """Add the exponent `e` and the mantissa above it, `m` in [0, 1), of the size of `v`.
+
+    The steps are separate projections, so that each is worked out once.
+    """
     size = F.abs(F.col("v"))
-    guess = F.floor(F.log2(F.when((size > 0) & (size < F.lit(math.inf)), size))).cast("int")
-    lead = size / F.pow(F.lit(2.0), guess)
+    finite = F.when((size > 0) & (size < F.lit(math.inf)), size)
+    guess = values.withColumn("_guess", F.floor(F.log2(finite)).cast("int"))
+    lead = guess.withColumn("_lead", size / F.pow(F.lit(2.0), F.col("_guess")))
     # the logarithm may be off by one next to a power of two; dividing by the power is exact
-    step = F.when(lead >= 2.0, 1).when(lead < 1.0, -1).otherwise(0)
-    part = lead / F.pow(F.lit(2.0), step) - 1.0
-    cells = F.floor(part * float(2 ** LEVELS[level])).cast("long")
+    high, low = F.col("_lead") >= 2.0, F.col("_lead") < 1.0
+    step = F.when(high, 1).when(low, -1).otherwise(0)
+    part = F.when(high, F.col("_lead") / 2.0).when(low, F.col("_lead") * 2.0).otherwise(F.col("_lead")) - 1.0
+    return lead.select(*values.columns, (F.col("_guess") + step).alias("e"), part.alias("m"))
+
+
+def _bin(level: int) -> Column:
+    """Bin number of `v` that grows with `v`, within one bin of the level before."""
+    cells = F.floor(F.col("m") * float(2 ** LEVELS[level])).cast("long")
     if level == 0:
-        cells = (guess + step + 1100) * F.lit(2 ** LEVELS[0]) + cells
-        cells = F.when(size == F.lit(math.inf), F.lit(2**31)).otherwise(cells)
+        cells = (F.col("e") + 1100) * F.lit(2 ** LEVELS[0]) + cells
+        cells = F.when(F.abs(F.col("v")) == F.lit(math.inf), F.lit(2**31)).otherwise(cells)
     return F.coalesce(F.signum("v") * cells, F.lit(0)).cast("long")
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("signal"), F.col(c).cast("double").alias("v")) for c in columns]
-    flat = df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(*by, "p.signal", "p.v")
-    return flat.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    return doubles.unpivot(list(by), list(columns), "signal", "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
@@ -71,7 +80,9 @@ def _inside(values: DataFrame, picked: DataFrame | None, key: list[str], bins: l
 
     `picked` is landed and tiny, so the join is a broadcast by its true size.
     """
-    cells = values.select("*", *[_bin(int(b[1:])).alias(b) for b in [*bins, *new]])
+    if not bins and not new:
+        return values
+    cells = _with_place(values).select(*values.columns, *[_bin(int(b[1:])).alias(b) for b in [*bins, *new]])
     return cells if picked is None else cells.join(picked.select(*key, *bins).distinct(), [*key, *bins], "left_semi")
 
 

@@ -58,6 +58,21 @@ def synthetic_rent_grid(bases: DataFrame, sizes: Sequence[int] = SIZES_SE) -> Da
     return spread.select("rent_zone", "sqm", rounded(rent, 0).alias("monthly_rent"))
 
 
+def sized_grid(grid: DataFrame, sizes: Mapping[str, float] = SIZE_CODES_NO) -> DataFrame:
+    """A grid with size codes gets its sizes in square metres; one that has them stays as it is."""
+    return grid if "sqm" in grid.columns else grid.withColumn("sqm", size_of_code(F.col("size_code"), sizes))
+
+
+def sweden_rent_grid(rents: DataFrame | None, zones: DataFrame) -> DataFrame:
+    """Grid (grid_zone, sqm, monthly_rent) from rents per square metre, or from base rents if there are none."""
+    spark = zones.sparkSession
+    if rents is not None and not rents.isEmpty():
+        grid = zone_rent_grid(rents, zones)
+    else:
+        grid = synthetic_rent_grid(spark.createDataFrame(list(BASE_RENTS_SE.items()), "rent_zone string, base_rent int"))
+    return grid.withColumnRenamed("rent_zone", "grid_zone")
+
+
 def resolve_zone(df: DataFrame, country: str, direct: DataFrame | None = None, generic: DataFrame | None = None) -> DataFrame:
     """Add `_zone`: the zone of the code itself, else that of the region's generic zone, else the default.
 

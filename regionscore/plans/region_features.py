@@ -21,6 +21,7 @@ from regionscore.operators.aggregates import (
     supply_pressure,
 )
 from regionscore.operators.normalize import minmax_unfilled
+from regionscore.operators.rent import sized_grid
 from regionscore.operators.timeseries import growth, index_signals, rate_trend
 from regionscore.schemas import FEATURES_NO, FEATURES_SE
 from regionscore.sources.tables import with_columns_in_order
@@ -63,7 +64,8 @@ def norway_features(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFra
             people = first_by_key(population, "municipality_clean", "municipality_code", ["population"])
         features = features.join(supply_pressure(tables["construction"], people, "municipality_clean"), "municipality_clean", "left")
     index = index_signals(tables["price_index"], keep=("region",)) if "price_index" in tables else None
-    return land(with_columns_in_order(features, FEATURES_NO)), tables.get("rent"), index
+    rent = sized_grid(tables["rent"]) if "rent" in tables else None
+    return land(with_columns_in_order(features, FEATURES_NO)), rent, index
 
 
 def sweden_features(tables: Mapping[str, DataFrame], regions: DataFrame) -> tuple[DataFrame, DataFrame]:

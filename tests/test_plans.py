@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from regionscore import schemas
+from regionscore import fixed, schemas
 from regionscore.landing import computed_once, drop_landed, land, with_constants
+from regionscore.operators.rent import sized_grid, sweden_rent_grid
 from regionscore.plans import listings as L
 from regionscore.plans import regions as R
 from regionscore.plans.region_features import norway_features, sweden_features
@@ -218,6 +219,24 @@ def test_pages_to_ranked_listings(spark, country):
     assert max(out, key=lambda r: r.gross_yield_pct).listing_id in ("1", "2")
 
 
+def test_fixed_dimensions(spark, rows):
+    no, se = (dict((a, (c, e)) for a, c, e in rows(fixed.places(spark, k))) for k in ("norway", "sweden"))
+    assert len(no) == 183 and no["grorud"] == ("0301", True) and no["mo i rana"] == ("1833", True)
+    assert se["spånga"] == ("0180", True) and se["vasastan"] == ("0180", False) and se["huvudsta"] == ("0183", False)
+    dims = fixed.dimensions(spark, "norway")
+    assert dims.zone_of_code.count() == 25 and dims.zone_of_generic.count() == 17
+    assert dims.index_of_name.count() == 8 and fixed.dimensions(spark, "sweden").index_of_region.count() == 19
+
+
+def test_rent_grids_of_both_countries(spark, rows):
+    coded = spark.createDataFrame([("1.01", "1.030", 9000.0), ("1.01", "4.12", 15000.0)], "zone_code string, size_code string, monthly_rent double")
+    assert rows(sized_grid(coded), "sqm") == [(120.0,), (30.0,)]
+    zones = fixed.rent_zones_sweden(spark)
+    rents = spark.createDataFrame([("0180", 100.0)], "code string, rent_per_sqm double")
+    assert rows(sweden_rent_grid(rents, zones).filter("sqm = 30")) == [("1.01", 30.0, 3000.0)]
+    assert sweden_rent_grid(None, zones).count() == sweden_rent_grid(rents.limit(0), zones).count() == 90
+
+
 # ---- landing -----------------------------------------------------------------------------------
 
 
