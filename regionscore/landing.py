@@ -38,6 +38,19 @@ def land(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """A dimension that the optimizer can size: as it is if known to be small enough to broadcast, else landed.
+
+    Frames made from Python rows or from aggregates of large tables have no useful estimate, and a
+    join with them would shuffle the large side by a skewed key. Landed, the true size decides.
+    """
+    spark = df.sparkSession
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = estimate if isinstance(estimate, int) else int(estimate.toString())
+    return df if size <= limit else land(df)
+
+
 def drop_landed(spark: SparkSession) -> None:
     """Delete all that this application has landed; results that still read it must be written before."""
     path = spark._jvm.org.apache.hadoop.fs.Path(landing_folder(spark))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionscore.functions.ratios import rounded
-from regionscore.landing import land
+from regionscore.landing import land, sized
 
 # Sizes of the grids, size codes, and the base rents used where no data exists.
 SIZES_SE = (30, 45, 60, 75, 90, 105)
@@ -82,6 +82,7 @@ def resolve_zone(df: DataFrame, country: str, direct: DataFrame | None = None, g
     default = F.lit(DEFAULT_ZONE[country])
     if direct is None and generic is None:
         return df.withColumn("_zone", F.coalesce("rent_zone", default))
+    direct, generic = sized(direct), sized(generic)
     out = df.join(direct.select("municipality_code", F.col("zone").alias("_direct")), "municipality_code", "left")
     out = out.join(generic.select("rent_zone", F.col("zone").alias("_generic")), "rent_zone", "left")
     return out.withColumn("_zone", F.coalesce("_direct", "_generic", default)).select(*df.columns, "_zone")

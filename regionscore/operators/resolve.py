@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionscore.functions.clean import alias_variant_no, alias_variant_se, strip
-from regionscore.landing import land
+from regionscore.landing import land, sized
 
 INLINE_ALIASES = 20_000
 # A gazetteer lists the places of a country; more names than this are taken for a wrong input.
@@ -172,6 +172,7 @@ def resolve_addresses(
     The outcome of the stages 1-3 is landed; only what they leave open goes through Python.
     """
     rules = RULES[country]
+    aliases = sized(aliases)
     place = strip(F.coalesce(F.col(address), F.lit("")))
     eligible = aliases.filter("fuzzy_eligible")
     rows = aliases.select("alias", "fuzzy_eligible").limit(INLINE_ALIASES + 1).collect()
@@ -220,7 +221,7 @@ def resolve_addresses(
 
 def with_region_names(df: DataFrame, regions: DataFrame, rules: AddressRules) -> DataFrame:
     """Names, region and rent zone of `municipality_code`, with the country's defaults."""
-    dim = regions.select(
+    dim = sized(regions).select(
         F.col("code").alias("municipality_code"),
         F.col("name").alias("_name"), F.col("region_code").alias("_region"),
         F.col("region_name").alias("_region_name"), F.col("rent_zone").alias("_zone"),

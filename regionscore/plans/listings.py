@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from regionscore.functions.clean import strip, zone_key
 from regionscore.functions.ratios import gross_yield, ratio, risk_label, rounded
-from regionscore.landing import land
+from regionscore.landing import land, sized
 from regionscore.operators.aggregates import first_by_key
 from regionscore.operators.normalize import scaled, signal_stats
 from regionscore.operators.ranking import listing_tier, numbered, percentile_rank
@@ -51,8 +51,8 @@ class Dimensions:
 
 def index_region(df: DataFrame, by_name: DataFrame, by_region: DataFrame) -> DataFrame:
     """Add `index_region_code`: by cleaned name, else by region code, else `TOTAL`."""
-    names = by_name.select(F.col("key").alias("municipality_clean"), F.col("index_region_code").alias("_by_name"))
-    regions = by_region.select(F.col("key").alias("region_code"), F.col("index_region_code").alias("_by_region"))
+    names = sized(by_name).select(F.col("key").alias("municipality_clean"), F.col("index_region_code").alias("_by_name"))
+    regions = sized(by_region).select(F.col("key").alias("region_code"), F.col("index_region_code").alias("_by_region"))
     joined = df.join(names, "municipality_clean", "left").join(regions, "region_code", "left")
     code = F.coalesce("_by_name", "_by_region", F.lit("TOTAL"))
     return joined.select(*df.columns, code.alias("index_region_code"))
@@ -68,9 +68,8 @@ def enrich_listings(
 ) -> DataFrame:
     """Listings (with resolved regions) joined with features, rent estimate, index signals and yield.
 
-    Region tables are landed (features by their builder, the others here): the listing side is then
-    streamed past broadcast tables of a known size and never shuffled, so a region that holds a
-    third of all listings is no hot key.
+    Region tables have a known size (see `sized`): the listing side is streamed past broadcast tables
+    and never shuffled, so a region that holds a third of all listings is no hot key.
     """
     out = listings
     if "municipality_clean" not in out.columns:
@@ -79,7 +78,7 @@ def enrich_listings(
         own = set(out.columns) - {"municipality_clean"}
         extra = [c for c in features.columns if c not in own and c not in ("municipality_code", "municipality_clean")]
         unique = first_by_key(features, "municipality_clean", "municipality_code", extra)
-        out = out.join(unique, "municipality_clean", "left")
+        out = out.join(sized(unique), "municipality_clean", "left")
     if rent_grid is not None:
         grid = rent_grid.withColumn(dims.grid_zone, zone_key(F.col(dims.grid_zone)))
         out = resolve_zone(out, country, dims.zone_of_code, dims.zone_of_generic)
@@ -91,7 +90,7 @@ def enrich_listings(
         out = index_region(out, dims.index_of_name, dims.index_of_region)
         signals = [c for c in INDEX_COLUMNS if c in index.columns]
         level = index.select(F.col("region_code").alias("index_region_code"), *signals)
-        out = out.join(land(level), "index_region_code", "left")
+        out = out.join(sized(level), "index_region_code", "left")
     return out.withColumn(
         "gross_yield_pct", rounded(gross_yield(F.col("estimated_annual_rent"), F.col("total_price_calc")), 2)
     )
