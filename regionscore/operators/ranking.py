@@ -12,6 +12,8 @@ from regionscore.landing import land
 
 # monotonically_increasing_id keeps the row number of a partition in its lower 33 bits.
 ROW_BITS = 33
+# Distinct scores that one window may hold.
+MAX_HISTOGRAM = 1_000_000
 
 
 def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
@@ -32,31 +34,48 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> Data
     return joined.withColumn(name, F.col("_offset") + within + 1).drop("_part", "_place", "_offset")
 
 
-def score_histogram(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct score, rows below it and rows in all, per group.
+def percentile_rank(
+    df: DataFrame, score: str, name: str, by: Sequence[str] = (), digits: int | None = 1, few_scores: bool = False,
+) -> DataFrame:
+    """Percentile with ties sharing their mean rank: (rows below + (ties + 1) / 2) / n * 100.
 
-    Scores rounded to one decimal in 0..100 have at most 1001 values, so the window is that short.
+    A histogram of the scores gives all of it when there are few distinct ones: certain for scores
+    rounded to one decimal in 0..100 (`few_scores`), else checked. Otherwise the rows are numbered by a
+    range-partitioned sort, and the first and last number of a score give its mean rank.
     """
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_same"))
+    if not few_scores:
+        counts = land(counts)
+        if counts.count() > MAX_HISTOGRAM:
+            return _percentile_by_sort(df, score, name, by, digits)
     group = Window.partitionBy(*by)
     below = group.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        "*",
-        F.coalesce(F.sum("_same").over(below), F.lit(0)).alias("_below"),
-        F.sum("_same").over(group).alias("_all"),
-    )
-
-
-def percentile_rank(df: DataFrame, score: str, name: str, by: Sequence[str] = (), digits: int | None = 1) -> DataFrame:
-    """Percentile with ties sharing their mean rank: (rows below + (ties + 1) / 2) / n * 100."""
-    share = (F.col("_below") + (F.col("_same") + 1) / 2.0) / F.col("_all") * 100.0
-    pct = (share if digits is None else rounded(share, digits)).alias(name)
-    histogram = score_histogram(df, score, by).select(*by, score, pct)
-    if not by:
-        histogram = F.broadcast(histogram)  # at most one row per rounded score
+    before = F.coalesce(F.sum("_same").over(below), F.lit(0))
+    share = (before + (F.col("_same") + 1) / 2.0) / F.sum("_same").over(group) * 100.0
+    histogram = counts.select(*by, score, _percentile(share, digits, name))
+    if few_scores and not by:
+        histogram = F.broadcast(histogram)  # at most 1001 rows
     return df.join(histogram, [*by, score])
 
 
+def _percentile(share: Column, digits: int | None, name: str) -> Column:
+    return (share if digits is None else rounded(share, digits)).alias(name)
+
+
+def _percentile_by_sort(df: DataFrame, score: str, name: str, by: Sequence[str], digits: int | None) -> DataFrame:
+    rows = numbered(df, [F.col(c).asc() for c in (*by, score)], "_at")  # any order among ties will do
+    first, last = F.min("_at"), F.max("_at")
+    ties = rows.groupBy(*by, score).agg(((first + last) / 2.0).alias("_mean"))
+    ends = rows.groupBy(*by).agg(first.alias("_first"), F.count(F.lit(1)).alias("_all"))
+    if by:
+        ties = ties.join(land(ends), list(by))
+    else:
+        row = ends.first()
+        ties = ties.select("*", F.lit(row["_first"]).alias("_first"), F.lit(row["_all"]).alias("_all"))
+    share = (F.col("_mean") - F.col("_first") + 1) / F.col("_all") * 100.0
+    return df.join(ties.select(*by, score, _percentile(share, digits, name)), [*by, score])
+
+
 def listing_tier(rank: Column, n: Column) -> Column:
     """First fifth BUY, last fifth AVOID (at least one row each, AVOID wins), the rest HOLD."""
     fifth = F.greatest(F.floor(n / 5), F.lit(1))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,7 +137,7 @@ def score_listings(
     names = [c for c in rows.columns if c.startswith("_s_")]
     stats = signal_stats(rows, names)
     scored = _scores(rows, names, stats, macro, yield_weight, growth_weight, risk_penalty, weights)
-    scored = percentile_rank(scored, "composite_score", "percentile")
+    scored = percentile_rank(scored, "composite_score", "percentile", few_scores=True)
     ranked = numbered(scored, [F.col("composite_score").desc(), F.col(id_col).asc()])
     n = F.lit(stats["n"])
     ranked = ranked.withColumn("recommendation", listing_tier(F.col("rank"), n))

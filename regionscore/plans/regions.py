@@ -138,7 +138,7 @@ def score_regions(
     raw = region_signals(features, weights)
     scored = land(_scaled_scores(raw, F.lit(yield_weight), F.lit(growth_weight), risk_penalty))
     for name in ("yield", "growth", "composite"):
-        scored = percentile_rank(scored, f"{name}_score", f"{name}_pct_rank", by=["country"])
+        scored = percentile_rank(scored, f"{name}_score", f"{name}_pct_rank", by=["country"], few_scores=True)
     return scored
 
 

@@ -74,6 +74,15 @@ def test_percentile_shares_ties(spark, rows):
     assert rows(ranking.percentile_rank(df, "v", "p"), "v", "p") == [(1.0, 25.0), (2.0, 62.5), (2.0, 62.5), (4.0, 100.0)]
 
 
+@pytest.mark.parametrize("limit", [0, 10])
+def test_percentile_by_group_and_by_sort(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(ranking, "MAX_HISTOGRAM", limit)
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 4.0), ("b", 7.0), ("b", 7.0)], "g string, v double")
+    assert rows(ranking.percentile_rank(df, "v", "p", by=["g"]), "g", "v", "p") == [
+        ("a", 1.0, 25.0), ("a", 2.0, 62.5), ("a", 2.0, 62.5), ("a", 4.0, 100.0), ("b", 7.0, 75.0), ("b", 7.0, 75.0)]
+    assert rows(ranking.percentile_rank(df.filter("g = 'a'"), "v", "p"), "p") == [(100.0,), (25.0,), (62.5,), (62.5,)]
+
+
 def test_numbered_equals_a_global_window(spark):
     r = random.Random(3)
     data = [(i, float(r.choice([1, 2, 3, 3, 3]))) for i in range(5000)]

@@ -1,6 +1,5 @@
 import json
 
-import pytest
 
 from regionscore import schemas
 from regionscore.sources import pages

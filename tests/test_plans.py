@@ -10,7 +10,6 @@ from regionscore.plans import listings as L
 from regionscore.plans import regions as R
 from regionscore.plans.region_features import norway_features, sweden_features
 from regionscore.plans.runs import detail_pages, scored_listings
-from regionscore.sources import pages
 from test_resolve_rent import dims as place_dims
 
 SIGNALS = "listing_id string, gross_yield_pct double, price_per_sqm double, latest_price_sqm double, price_growth_1y double, debt_burden_pct double"

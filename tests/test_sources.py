@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from regionscore import schemas
 from regionscore.sources import cubes, tables
