@@ -56,8 +56,7 @@ def zone_key(col: Column) -> Column:
 
 def to_number(col: Column) -> Column:
     """Double, or NULL when the value is not a number (NaN counts as none)."""
-    number = col.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(col.try_cast("double"), F.lit(None))
 
 
 def _digits(text: Column) -> Column:

@@ -44,4 +44,4 @@ def risk_label(risk: Column) -> Column:
 
 def truthy(col: Column) -> Column:
     """Zero counts as missing."""
-    return F.when(col != 0, col)
+    return F.nullif(col, F.lit(0))

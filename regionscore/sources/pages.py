@@ -21,6 +21,11 @@ from regionscore.landing import computed_once
 NAMED_CHARACTERS = json.dumps({n: chr(c) for n, c in name2codepoint.items() if n != "amp"})
 
 
+def bound(value: Column, use) -> Column:
+    """`use(value)` with the value worked out once, though `use` may refer to it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
     """Character references to characters: decimal, hexadecimal, then named ones, `&amp;` last."""
     def found(pattern: str, character) -> Column:
@@ -45,8 +50,13 @@ def decode_entities(text: Column) -> Column:
 
 def tag_text(inner: Column, joiner: str = "") -> Column:
     """Text of a fragment: its text nodes, each stripped, joined by `joiner`."""
-    pieces = F.transform(F.split(inner, r"(?s)<!--.*?-->|<[^>]*>"), lambda p: strip(decode_entities(p)))
-    return F.array_join(F.filter(pieces, lambda p: F.length(p) > 0), joiner)
+    def text(t: Column) -> Column:
+        pieces = F.transform(F.split(t, r"(?s)<!--.*?-->|<[^>]*>"), lambda p: strip(decode_entities(p)))
+        joined = F.array_join(F.filter(pieces, lambda p: F.length(p) > 0), joiner)
+        plain = ~F.contains(t, F.lit("<")) & ~F.contains(t, F.lit("&"))
+        return F.when(plain, strip(t)).otherwise(joined)
+
+    return bound(inner, text)
 
 
 def first_match(text: Column, pattern: str, group: int) -> Column:
@@ -191,7 +201,7 @@ TEXTS_SE = ("ownership_type", "property_type", "floor", "energy_rating")
 
 
 def _label(inner: Column) -> Column:
-    return F.regexp_replace(F.lower(tag_text(inner)), r":+$", "")
+    return F.rtrim(F.lower(tag_text(inner)), F.lit(":"))
 
 
 def definition_pairs(html: Column) -> Column:
@@ -328,7 +338,7 @@ def _extract_no(pages: DataFrame) -> DataFrame:
 
     def either(name: str, of_dl, of_row) -> Column:
         dl, row = texts(name)
-        return F.when(dl.isNotNull(), of_dl(dl)).otherwise(of_row(row)).alias(name)
+        return bound(dl, lambda t: F.when(t.isNotNull(), of_dl(t)).otherwise(of_row(row))).alias(name)
 
     def count(text: Column) -> Column:
         return truthy(number_no(text)).cast("int")
