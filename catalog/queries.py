@@ -15,6 +15,7 @@ from regionscore.landing import land, landing_path
 from regionscore.operators import aggregates as agg
 from regionscore.operators import ranking, rent, timeseries
 from regionscore.operators.normalize import exact_median, minmax, minmax_unfilled
+from regionscore.operators.resolve import gazetteer
 from regionscore.plans import listings as L
 from regionscore.plans import regions as R
 from regionscore.plans.region_features import norway_features, sweden_features
@@ -554,3 +555,31 @@ def regions_from_document(spark, sf):
     path = landing_path(spark)
     document.select(F.to_json(F.struct("municipalities")).alias("value")).write.text(path)
     return T.load_regions(spark, path, "norway")
+
+
+@register("""select p_partkey, (case p_size % 7 when 0 then 30.0 when 1 then 50.0 when 2 then 70.0 when 3 then 90.0 when 4 then 120.0 when 5 then 140.0 end)::DOUBLE as sqm from part""")
+def size_codes(spark, sf):
+    """Size codes written as text or as numbers, and one that is unknown, to square metres."""
+    written = F.element_at(F.array(*map(F.lit, ("1.030", "2.05", "3.07", "3.090", "4.12", "4.140", "9.999"))), F.col("p_size") % 7 + 1)
+    return d.table(spark, sf, "part").select("p_partkey", rent.size_of_code(written, rent.SIZE_CODES_NO).alias("sqm"))
+
+
+@register(f"""select lower(c_name) as alias, {code('c_nationkey')} as code, true as fuzzy_eligible from customer
+  union all select replace(lower(c_name), '#', ''), {code('c_nationkey')}, false from customer where c_custkey % 10 <> 0
+  union all select replace(lower(c_name), '#', ''), 'x', false from customer where c_custkey % 10 = 0""")
+def alias_derivation(spark, sf):
+    """Names give themselves and a cleaned variant; given aliases (of every tenth name) win over the variant."""
+    c = d.table(spark, sf, "customer")
+    regions = c.select(d.code("c_nationkey").alias("code"), F.col("c_name").alias("name"))
+    given = c.filter("c_custkey % 10 = 0").select(
+        F.translate(F.lower("c_name"), "#", "").alias("alias"), F.lit("x").alias("code"), F.lit(False).alias("fuzzy_eligible"))
+    return gazetteer(regions, given, "norway")
+
+
+@register("""select c_custkey from (select c_custkey, 59.0 + c_custkey % 997 / 100.0 as lat, 9.0 + c_acctbal / 5000.0 as lon from customer)
+  where asin(sqrt(pow(sin(radians(lat - 63.43049) / 2), 2) + cos(radians(lat)) * cos(radians(63.43049)) * pow(sin(radians(lon - 10.39506) / 2), 2))) * 2 * 6371000.0 <= 60000.0""")
+def radius_filter(spark, sf):
+    """Listings within a distance of a point."""
+    c = d.table(spark, sf, "customer")
+    placed = c.select("c_custkey", (59.0 + F.col("c_custkey") % 997 / 100.0).alias("lat"), (9.0 + F.col("c_acctbal") / 5000.0).alias("lon"))
+    return L.within_radius(placed, 63.43049, 10.39506, 60000.0).select("c_custkey")
