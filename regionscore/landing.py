@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 
 def landing_folder(spark: SparkSession) -> str:
-    """The folder the session names in `spark.checkpoint.dir`; one of our own only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the session names as its checkpoint folder; one of our own only in local mode."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="regionscore-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="regionscore-"))
+        folder = context.getCheckpointDir()
     return f"{folder.rstrip('/')}/regionscore/{spark.sparkContext.applicationId}"
 
 
