@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+from catalog import documents  # noqa: F401  (registers its queries)
 from catalog.check import connection, difference
+from catalog.queries import ORACLE, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,13 +17,18 @@ def duck():
     return connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = registered.queries()[name](spark, SF)
-    sql = registered.oracle_sql().get(name)
+    df = QUERIES[name](spark, SF)
+    sql = ORACLE.get(name)
     assert sql is not None, "every query has its SQL"
     assert difference(df, duck, sql) is None
 
 
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
+
+
+def test_all_are_registered():
+    assert QUERIES.items() <= registered.queries().items()
+    assert ORACLE.items() <= registered.oracle_sql().items()
