@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regionscore.landing import land
-from regionscore.llm import bpe, langid
+from regionscore.llm import bpe, jaccard, langid, mixing
 from regionscore.llm.common import crc_rest
-
-RANKS = "byte_bpe_multi_50k.tiktoken"
+from regionscore.llm.queries import MIX_EPOCHS, MIX_LEVELS, MIX_SEED, MIX_WEIGHTS, RANKS, with_domain
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,13 +17,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accept(docs, model)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents with similar sets of five-word shingles, the one with the smallest id."""
+    return jaccard.unique(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many words as there are, dealt to domains, languages and sources by weight, each source up to twice.
+
+    A document that a source gives twice is there twice; the one at which a source's budget ends is cut.
+    """
+    mixed = mixing.mix(with_domain(docs), MIX_LEVELS, [F.expr(w) for w in MIX_WEIGHTS], (1, 1), MIX_EPOCHS, MIX_SEED)
+    return mixed.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars")).select(*docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id`, `lang`, `source`, and the token ids of every document that is left."""
+    """`doc_id`, the token `ids` and `n_tokens` of every document that is left."""
     ranks, pattern = bpe.public_vocabulary(RANKS)
     return bpe.encode(docs, ranks, pattern).withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
-STAGES = [("language ID", language), ("byte-level BPE", tokens)]
+STAGES = [("language ID", language), ("n-gram Jaccard join", distinct), ("mixing sources to target weights", mixture), ("byte-level BPE", tokens)]
 #: The stages train a model and run numpy code; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 

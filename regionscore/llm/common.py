@@ -155,3 +155,25 @@ def shingle_hashes(words: np.ndarray, doc: np.ndarray, texts: int, size: int = 5
 def sets_of(hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct hashes of each text."""
     return [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+
+
+def add_up(parts: DataFrame, dtype: str) -> dict[int, np.ndarray]:
+    """Sums by `block` of the vectors in `data` (bytes of `dtype`), one vector for each of a fixed number of blocks.
+
+    Each task adds up what it reads while it reads; a second round adds up the few results of each block.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                vector = np.frombuffer(data.as_buffer(), dtype)
+                if block in sums:
+                    sums[block] += vector
+                else:
+                    sums[block] = vector.copy()
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "data"])
+
+    kind = "block int, data binary"
+    first = parts.select("block", "data").repartition("block", F.pmod(F.spark_partition_id(), F.lit(64))).mapInArrow(run, kind)
+    return {r["block"]: np.frombuffer(r["data"], dtype) for r in first.repartition("block").mapInArrow(run, kind).collect()}

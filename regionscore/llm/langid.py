@@ -32,14 +32,13 @@ _LETTER[128:] = np.arange(128, 256)
 
 @dataclass
 class Sample:
-    """Bounds of the training sample: so many texts of a language, and a window of so many characters of each.
-
-    The windows start at hashed places. `most` bounds the texts of all languages together.
+    """Bounds of the training sample: so many texts of a language, a window of so many characters of each, and so
+    many languages (the commonest). The windows start at hashed places.
     """
 
     per_language: int = 500
     window: int = 2000
-    most: int = 20_000
+    languages: int = 200
 
 
 @dataclass
@@ -163,15 +162,20 @@ def train(texts: list[str], langs: list[str], width: int = 16, epochs: int = 4,
 
 
 def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, sample: Sample) -> list[tuple[str, str]]:
-    """At most `sample.most` windows of texts with their language, chosen by a hash of key and text."""
+    """At most `sample.languages * sample.per_language` windows of texts with their language, chosen by a hash of key and text."""
     text, lang = F.col(quoted(text_col)), F.col(quoted(lang_col)).cast("string")
-    rows = df.filter(learn & text.isNotNull() & lang.isNotNull()).select(
-        lang.alias("lang"), F.xxhash64(F.col(quoted(id_col)), text).alias("h"), text.alias("text")).filter(F.col("text").rlike(r"\p{L}"))
+    rows = df.filter(learn & text.isNotNull() & lang.isNotNull()).select(lang.alias("lang"), F.xxhash64(F.col(quoted(id_col)), text).alias("h"), text.alias("text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample.languages).collect()
+    if not counts:
+        return []
+    # A hash lets about twice as many through as are wanted, so that the ranking within a language stays small.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * sample.per_language / r["n"]))])
+    rows = rows.filter((F.shiftrightunsigned("h", 11) / 2.0**53 < F.element_at(share, F.col("lang"))) & F.col("text").rlike(r"\p{L}"))
     start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - sample.window, F.lit(0)) + 1) + 1
     rows = rows.select("lang", "h", F.substring("text", start.cast("int"), F.lit(sample.window)).alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = rows.withColumn("n", rank).filter(F.col("n") <= sample.per_language).orderBy("n", "lang", "h", "text").limit(sample.most)
-    return [(r["text"], r["lang"]) for r in rows.select("text", "lang").collect()]
+    chosen = rows.withColumn("n", rank).filter(F.col("n") <= sample.per_language).select("text", "lang", "n").collect()
+    return [(r["text"], r["lang"]) for r in sorted(chosen, key=lambda r: (r["n"], r["lang"], r["text"]))]
 
 
 PREDICTED = T.StructType([
@@ -218,15 +222,13 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def accept(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of `df`, all columns as they are, whose language is not rejected (see `predict`)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, place = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            texts = pc.fill_null(batch.column(batch.num_columns - 2).cast(pa.string()), "")
             letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-            keep = pa.array(~classify(texts, letters, shared.value)[2])
-            yield pa.RecordBatch.from_arrays(batch.columns[:-2], names=batch.schema.names[:-2]).filter(keep)
+            keep = pa.array(~classify(pc.fill_null(batch.column(place).cast(pa.string()), ""), letters, shared.value)[2])
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
 
-    text = F.col(quoted(text_col)).cast("string")
-    letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    return df.select(*[F.col(quoted(c)) for c in df.columns], text.alias("_text"), letter.alias("_letters")).mapInArrow(run, df.schema)
+    letter = F.coalesce(F.col(quoted(text_col)).cast("string").rlike(r"\p{L}"), F.lit(False))
+    return df.select(*[F.col(quoted(c)) for c in df.columns], letter.alias("_letters")).mapInArrow(run, df.schema)
