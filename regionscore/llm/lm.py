@@ -39,7 +39,7 @@ class Settings:
     width: int = 24
     noise: int = 32
     batch: int = 2048
-    rate: float = 0.3
+    rate: float = 0.4
     start_texts: int = 400
     start_chars: int = 2000
     start_epochs: int = 4
@@ -199,8 +199,9 @@ def fresh(v: Vocabulary, seed: int = 11) -> Model:
     return Model(random.normal(0, 0.1, (n + 1, d)).astype(np.float32), eye, 0.5 * eye, random.normal(0, 0.1, (n, d)).astype(np.float32), np.log(p).astype(np.float32))
 
 
-#: No parameter grows beyond this.
-_LARGEST = 4.0
+#: No parameter grows beyond `_LARGEST`. A step weighs each token of a batch as one of `_FEW`, but moves no row by more
+#: than `_MEANS` times the mean of its tokens. Steps have shrunk by a third or so after `_DECAY` of them.
+_LARGEST, _FEW, _MEANS, _DECAY = 4.0, 30, 2, 2000
 
 
 def _add_rows(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -220,18 +221,29 @@ def step(m: Model, ids: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.
     true = sigma((q * t).sum(axis=1) + m.bias[ids] - log_noise[ids] - k) - 1
     wrong = sigma(q @ m.targets[noise].T + m.bias[noise] - log_noise[noise] - k)
     back = true[:, None] * t + wrong @ m.targets[noise]
-    lr = np.float32(rate / len(ids))
-    scale = np.float32(rate * 30 / len(ids))  # rows of features are met by few tokens of a batch
+
+    def rates(weight: np.ndarray) -> np.ndarray:
+        """Step of each row, by the weight of the tokens that meet it."""
+        return (rate * np.minimum(_FEW / len(ids), _MEANS / np.maximum(weight, 1e-9))).astype(np.float32)
+
+    n = len(m.bias)
+    of_class = rates(np.bincount(ids, -true, n) + np.bincount(noise, wrong.sum(axis=0), n))
+    each = wrong.sum(axis=1) - true
+    of_context = rates(np.bincount(one, each, n + 1) + np.bincount(two, each, n + 1))
+    # Inputs longer than 1 take shorter steps, or the steps would overshoot.
+    unit = q / np.maximum(1, (q * q).sum(axis=1, keepdims=True))
+    short = lambda x: x / np.maximum(1, np.sqrt((x * x).sum(axis=1, keepdims=True)))
+    to_a, to_b = short(back @ m.near.T), short(back @ m.far.T)
+    back = short(back)
     near, far = a.T @ back, b.T @ back
-    to_a, to_b = back @ m.near.T, back @ m.far.T
-    _add_rows(m.targets, ids, -scale * true[:, None] * q)
-    _add_rows(m.targets, noise, -scale * (wrong.T @ q))
-    _add_rows(m.bias, ids, -scale * true)
-    _add_rows(m.bias, noise, -scale * wrong.sum(axis=0))
-    _add_rows(m.features, one, -scale * to_a)
-    _add_rows(m.features, two, -scale * to_b)
-    m.near -= lr * near
-    m.far -= lr * far
+    _add_rows(m.targets, ids, (-of_class[ids] * true)[:, None] * unit)
+    _add_rows(m.targets, noise, -of_class[noise][:, None] * (wrong.T @ unit))
+    _add_rows(m.bias, ids, -of_class[ids] * true)
+    _add_rows(m.bias, noise, -of_class[noise] * wrong.sum(axis=0))
+    _add_rows(m.features, one, -of_context[one][:, None] * to_a)
+    _add_rows(m.features, two, -of_context[two][:, None] * to_b)
+    m.near -= np.float32(rate / len(ids)) * near
+    m.far -= np.float32(rate / len(ids)) * far
     for x in (m.features, m.targets, m.near, m.far):
         np.clip(x, -_LARGEST, _LARGEST, out=x)
 
@@ -239,14 +251,15 @@ def step(m: Model, ids: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.
 def learn(m: Model, v: Vocabulary, streams: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float, seed: int) -> int:
     """Run over (class, class before, class before that); the tokens it has seen."""
     random, p = np.random.default_rng(seed), (v.class_counts + 1) / (v.class_counts.sum() + v.size)
-    log_noise, upto, seen = np.log(p).astype(np.float32), np.cumsum(p), 0
+    log_noise, upto, seen, steps = np.log(p).astype(np.float32), np.cumsum(p), 0, 0
     for ids, one, two in streams:
         order = random.permutation(len(ids))
         for a in range(0, len(ids), v.settings.batch):
             rows = order[a:a + v.settings.batch]
             noise = np.minimum(np.searchsorted(upto, random.random(v.settings.noise)), v.size - 1)
-            # A short batch takes a shorter step.
-            step(m, ids[rows], one[rows], two[rows], noise, log_noise, rate * len(rows) / v.settings.batch)
+            # A short batch takes a shorter step, and steps get shorter with time.
+            step(m, ids[rows], one[rows], two[rows], noise, log_noise, rate * len(rows) / v.settings.batch / np.sqrt(1 + steps / _DECAY))
+            steps += 1
         seen += len(ids)
     return seen
 
@@ -271,7 +284,7 @@ def train(texts: DataFrame, v: Vocabulary, sample: list[str]) -> Model:
                 ids, _, one, two = classes_of(own, h, g, doc, batch.num_rows)
                 yield ids, one, two
 
-        seen = learn(m, own, streams(), own.settings.rate / 3, 1)
+        seen = learn(m, own, streams(), own.settings.rate / 2, 1)
         if seen:
             flat = np.concatenate(([1.0], m.flat())) * seen
             cut = range(0, len(flat), 4096)
@@ -305,15 +318,18 @@ def tables(spark, m: Model) -> Tables:
     shared = spark.sparkContext.broadcast((near, far, m.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, bias = shared.value
+        a, b, bias = (x.astype(np.float64) for x in shared.value)
         top = b.max(axis=1)
-        weight = np.exp(b - top[:, None])  # of the farther context, so that a product sums over the classes
+        weight = np.exp(b - top[:, None]).T  # of the farther context, so that a product sums over the classes
         for batch in batches:
-            ones = batch.column(0).to_numpy()
-            x = a[ones] + bias
+            x = a[batch.column(0).to_numpy()] + bias
             high = x.max(axis=1)
-            z = np.exp(x - high[:, None]).astype(np.float64) @ weight.T.astype(np.float64)
-            out = (np.log(z) + high[:, None] + top[None, :]).astype(np.float64)
+            z = np.exp(x - high[:, None]) @ weight
+            out = np.log(np.maximum(z, 1e-300)) + high[:, None] + top[None, :]
+            # Where the two contexts disagree so much that the product loses its digits, the sum is taken directly.
+            for i, j in np.argwhere(z < 1e-200).tolist():
+                both = x[i] + b[j]
+                out[i, j] = both.max() + np.log(np.exp(both - both.max()).sum())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in out], pa.binary())], ["id", "data"])
 
     rows = spark.range(0, contexts, 1, 8).mapInArrow(run, "id bigint, data binary").collect()
