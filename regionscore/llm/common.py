@@ -34,6 +34,13 @@ def key_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(quoted(id_col)).cast("bigint").alias("key"), F.col(quoted(text_col)).cast("string").alias("text"))
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
