@@ -1,28 +1,23 @@
 """Free-text address to region code, in stages, with the gazetteer as data.
 
-The gazetteer is a dimension (alias, code, fuzzy_eligible). While it stays below `INLINE_ALIASES`
-its names are put into the plan as a hash set, so the stages are projections and a listing is never
-shuffled; a larger gazetteer is joined instead, with the same result.
+The gazetteer is a dimension (alias, code, fuzzy_eligible) of any size. Every row gets a key of its own; the names
+that the stages 1-3 would accept are spread out once, met with the gazetteer in one join (a broadcast only by its
+true size), and the first in order of stage and place wins. What is left open is compared with similar names:
+distinct parts only, with names that length and common letters leave possible.
 """
 
 from __future__ import annotations
 
-import difflib
-import re
-from collections.abc import Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionscore.functions.clean import alias_variant_no, alias_variant_se, strip
 from regionscore.landing import land, sized
 
-INLINE_ALIASES = 20_000
-# A gazetteer lists the places of a country; more names than this are taken for a wrong input.
-MAX_FUZZY_NAMES = 1_000_000
-
 
 @dataclass(frozen=True)
 class AddressRules:
@@ -91,69 +86,112 @@ def _city_candidates(address: Column, rules: AddressRules) -> Column:
     return F.array(F.substring_index(found, " ", 1))
 
 
-def _word_runs(name: str) -> int:
-    return len(re.findall(r"\w+", name))
-
-
-def _phrase_candidates(address: Column, words: int) -> Column:
+def _phrase_candidates(address: Column, words: Column) -> Column:
     """Every stretch of 1..`words` whole words as written, separators included."""
     pieces = F.regexp_extract_all(F.lower(address), F.lit(r"(?U)(\w+|\W+)"), F.lit(0))
     first = F.when(F.get(pieces, F.lit(0)).rlike(r"(?U)^\w"), 1).otherwise(2)
 
-    def stretches(width: int) -> Column:
-        last = F.size(pieces) - (width - 1)
+    def stretches(n: Column) -> Column:
+        width = 2 * n - 1
+        last = F.size(pieces) - width + 1
         starts = F.when(last >= first, F.sequence(first, last, F.lit(2))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(pieces, i, width), ""))
 
-    return F.concat(*[stretches(2 * n - 1) for n in range(1, words + 1)])
+    return F.flatten(F.transform(F.sequence(F.lit(1), words), stretches))
 
 
-def _longest_first(candidates: Column) -> Column:
-    """Names of three letters or more, longest first, then alphabetical."""
-    keyed = F.transform(
-        F.filter(candidates, lambda c: F.length(c) >= 3),
-        lambda c: F.struct((-F.length(c)).alias("k"), c.alias("c")),
-    )
-    return F.transform(F.array_sort(keyed), lambda s: s.getField("c"))
-
+def _bare(alias: Column) -> Column:
+    """A name from its first letter or digit to its last."""
+    return F.regexp_replace(alias, r"(?U)^\W+|\W+$", "")
 
-def _bracketed_candidates(address: Column, names: Sequence[str]) -> Column | None:
-    """Names that begin or end with something other than a letter or digit, matched one by one."""
-    odd = [n for n in names if not re.match(r"\w.*\w\Z|\w\Z", n, re.S)]
-    if not odd:
-        return None
-    lower = F.lower(address)
-    hits = [F.when(lower.rlike(r"(?U)(?<!\w)" + re.escape(n) + r"(?!\w)"), F.lit(n)) for n in odd]
-    return F.array_compact(F.array(*hits))
 
+def _whole_word(alias: Column) -> Column:
+    """Pattern of the name with no letter or digit next to it."""
+    quoted = F.replace(alias, F.lit("\\E"), F.lit(r"\E\\E\Q"))
+    return F.concat(F.lit(r"(?U)(?<!\w)\Q"), quoted, F.lit(r"\E(?!\w)"))
 
-def _first_known(df: DataFrame, candidates: Column, names: DataFrame, inline: list[str] | None, id_col: str) -> DataFrame:
-    """Add `_hit`: the first candidate that is a name."""
-    if inline is not None:
-        known = F.filter(candidates, lambda c: c.isin(inline)) if inline else F.array()
-        return df.withColumn("_hit", F.get(known, F.lit(0)).cast("string"))
-    spread = df.select(id_col, F.posexplode(candidates).alias("_pos", "_alias"))
-    hits = spread.join(names.select(F.col("alias").alias("_alias")), "_alias", "left_semi")
-    first = hits.groupBy(id_col).agg(F.min_by("_alias", "_pos").alias("_hit"))
-    return df.join(first, id_col, "left")
 
+def _named(rows: DataFrame, row: str, address: str, aliases: DataFrame, rules: AddressRules) -> DataFrame:
+    """The stages 1-3: `row, alias, code, stage` of rows in whose address a name stands."""
+    place = strip(F.coalesce(F.col(address), F.lit("")))
+    eligible = aliases.filter(F.col("fuzzy_eligible") & (F.length("alias") >= 3))
+    words = F.size(F.regexp_extract_all(_bare(F.col("alias")), F.lit(r"(?U)\w+"), F.lit(0)))
+    longest = eligible.agg(F.coalesce(F.max(words), F.lit(0))).first()[0]
 
-def _closest_name(names: list[str], cutoff: float):
-    """Arrow UDF: parts, right-most first -> most similar name of the first part that has one."""
-
-    @F.pandas_udf("string")
-    def closest(column: pd.Series) -> pd.Series:
-        seen: dict[str, str | None] = {}  # within a batch, equal parts are compared once
-
-        def best(part: str) -> str | None:
-            if part not in seen:
-                found = difflib.get_close_matches(part, names, n=1, cutoff=cutoff)
-                seen[part] = found[0] if found else None
-            return seen[part]
-
-        return column.map(lambda parts: next((hit for p in parts if len(p) >= 2 and (hit := best(p))), None))
+    # (stage, place in it, name, is a phrase); a phrase's place is its length, longest first
+    def exact(stage: int, candidates: Column) -> Column:
+        return F.transform(candidates, lambda c, i: F.struct(F.lit(stage).alias("stage"), i.alias("k"), c.alias("key"), F.lit(False).alias("phrase")))
 
-    return closest
+    wanted = [exact(1, _exact_candidates(place, rules))]
+    if rules.city_after_postal:
+        wanted.append(exact(2, _city_candidates(place, rules)))
+    if longest:
+        phrases = F.array_distinct(_phrase_candidates(place, F.lit(longest)))
+        wanted.append(F.transform(phrases, lambda c: F.struct(F.lit(3).alias("stage"), F.lit(0).alias("k"), c.alias("key"), F.lit(True).alias("phrase"))))
+    spread = rows.select(row, place.alias("_place"), F.inline(F.filter(F.concat(*wanted), lambda w: F.length(w["key"]) > 0)))
+    names = aliases.select(F.col("alias").alias("key"), F.lit(False).alias("phrase"), "alias", "code").union(
+        eligible.select(_bare(F.col("alias")).alias("key"), F.lit(True), "alias", "code").filter("length(key) > 0"))
+    hits = spread.join(sized(names), ["key", "phrase"])
+    hits = hits.filter(~F.col("phrase") | (F.col("alias") == F.col("key")) | F.regexp_like(F.lower("_place"), _whole_word(F.col("alias"))))
+    order = F.struct("stage", F.when(F.col("phrase"), -F.length("alias")).otherwise(F.col("k")).alias("k"), "alias", "code")
+    return hits.groupBy(row).agg(F.min(order).alias("hit")).select(row, "hit.alias", "hit.code", "hit.stage")
+
+
+def similarity(a: str, b: str) -> float:
+    """Twice the letters in common blocks over all letters: the longest common block (first in `a`, then in `b`), and
+    so on at both sides of it."""
+    common, open_parts = 0, [(0, len(a), 0, len(b))]
+    while open_parts:
+        a0, a1, b0, b1 = open_parts.pop()
+        found = next(((i, j, size) for size in range(min(a1 - a0, b1 - b0), 0, -1) for i in range(a0, a1 - size + 1) if (j := b.find(a[i:i + size], b0, b1)) >= 0), None)
+        if found:
+            i, j, size = found
+            common += size
+            open_parts += [(a0, i, b0, j), (i + size, a1, j + size, b1)]
+    return 2.0 * common / (len(a) + len(b)) if a or b else 1.0
+
+
+def _letters(text: Column) -> Column:
+    """Letters numbered by occurrence (`e1`, `e2`), those of later occurrences first: what two texts share of these
+    is their largest possible number of common letters."""
+    chars = F.array_sort(F.filter(F.split(text, ""), lambda c: F.length(c) > 0))
+
+    def numbered(sorted_chars: Column) -> Column:
+        return F.transform(sorted_chars, lambda c, i: F.struct((F.array_position(sorted_chars, c).cast("int") - i - 1).alias("k"), c.alias("c")))
+
+    keyed = F.array_sort(F.get(F.transform(F.array(chars), numbered), F.lit(0)))
+    return F.transform(keyed, lambda x: F.concat(x["c"], (1 - x["k"]).cast("string")))
+
+
+def similar_names(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """`part, alias` of each distinct `part` with a name at least `cutoff` similar: the most similar, of equal ones the last.
+
+    Lengths and shared letters bound the similarity from above. Texts that share enough letters share one of their
+    first letters in a common order, so the two sides meet in a join on those.
+    """
+    share = cutoff / (2.0 - cutoff)
+    def measured(df: DataFrame, name: str) -> DataFrame:
+        out = df.select(F.col(name), F.length(name).alias(f"{name}_n"), _letters(F.col(name)).alias(f"{name}_letters"))
+        shortest = F.ceil(F.col(f"{name}_n") * share - 1e-9)
+        least = F.ceil((F.col(f"{name}_n") + shortest) * (cutoff / 2.0) - 1e-9)
+        first = F.slice(F.col(f"{name}_letters"), F.lit(1), F.greatest(F.col(f"{name}_n") - least + 1, F.lit(1)).cast("int"))
+        return out.select("*", F.explode(first).alias("letter"))
+
+    longest = names.agg(F.max(F.length("alias"))).first()[0] or 0
+    near = parts.select("part").distinct().filter(F.length("part") * share <= longest + 1e-9)
+    met = measured(near, "part").join(measured(names.select("alias"), "alias"), "letter")
+    all_letters = F.col("part_n") + F.col("alias_n")
+    bound = F.least(F.least("part_n", "alias_n"), F.size(F.array_intersect("part_letters", "alias_letters")))
+    possible = met.filter(2.0 * F.least("part_n", "alias_n") >= all_letters * cutoff - 1e-9).filter(2.0 * bound >= all_letters * cutoff - 1e-9)
+    possible = possible.select("part", "alias").distinct()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [similarity(a, p) for p, a in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], ["part", "alias", "score"])
+
+    scored = possible.mapInArrow(score, "part string, alias string, score double").filter(F.col("score") >= cutoff)
+    return scored.groupBy("part").agg(F.max(F.struct("score", "alias")).alias("best")).select("part", "best.alias")
 
 
 def resolve_addresses(
@@ -162,61 +200,34 @@ def resolve_addresses(
     regions: DataFrame,
     country: str = "norway",
     address: str = "address",
-    id_col: str = "listing_id",
     cutoff: float | None = None,
 ) -> DataFrame:
     """Add region code, names, zone and the stage (1-4, 0 = none) that found them.
 
     1 a comma part is an alias, right-most first; 2 the word after a postal code is one (Sweden);
     3 the longest eligible name occurs as whole words; 4 a part is similar to an eligible name.
-    The outcome of the stages 1-3 is landed; only what they leave open goes through Python.
+    The input is landed once, with a key for each row: rows that repeat an id, or have none, keep their own result.
+    Names without a letter or digit are found by stage 1 only.
     """
     rules = RULES[country]
-    aliases = sized(aliases)
-    place = strip(F.coalesce(F.col(address), F.lit("")))
-    eligible = aliases.filter("fuzzy_eligible")
-    rows = aliases.select("alias", "fuzzy_eligible").limit(INLINE_ALIASES + 1).collect()
-    inline = len(rows) <= INLINE_ALIASES
-    all_names = sorted(r.alias for r in rows) if inline else None
-    name_count = None if inline else eligible.count()
-    if name_count is not None and name_count > MAX_FUZZY_NAMES:
-        raise ValueError(f"{name_count} eligible names; a gazetteer of places was expected")
-    names = sorted(r.alias for r in (rows if inline else eligible.collect()) if r.fuzzy_eligible)
-
-    def step(frame: DataFrame, candidates: Column, stage: int, dim: DataFrame, known: list[str] | None) -> DataFrame:
-        open_only = F.when(F.col("_alias_hit").isNull(), candidates)
-        found = _first_known(frame, open_only, dim, known, id_col)
-        return found.select(
-            *df.columns,
-            F.coalesce("_alias_hit", "_hit").alias("_alias_hit"),
-            F.when(F.col("_alias_hit").isNotNull(), F.col("match_stage"))
-            .when(F.col("_hit").isNotNull(), F.lit(stage)).otherwise(F.lit(0)).alias("match_stage"),
-        )
+    aliases = land(aliases.select("alias", "code", "fuzzy_eligible"))
+    row = "_row"
+    while row in df.columns:
+        row = f"_{row}"
+    rows = land(df.withColumn(row, F.monotonically_increasing_id()))
+    found = land(_named(rows.select(row, address), row, address, aliases, rules))
 
-    out = df.select("*", F.lit(None).cast("string").alias("_alias_hit"), F.lit(0).alias("match_stage"))
-    out = step(out, _exact_candidates(place, rules), 1, aliases, all_names)
-    if rules.city_after_postal:
-        out = step(out, _city_candidates(place, rules), 2, aliases, all_names)
-    longest = max((_word_runs(n) for n in names), default=1)
-    phrases = _phrase_candidates(place, max(longest, 1))
-    odd = _bracketed_candidates(place, names)
-    if odd is not None:
-        phrases = F.concat(phrases, odd)
-    out = step(out, _longest_first(phrases), 3, eligible, names if inline else None)
-
-    # landed, so that both halves read the outcome of the stages and none works it out again
-    out = land(out)
-    closest = _closest_name(names, rules.cutoff if cutoff is None else cutoff)
-    fuzzy_parts = F.transform(
-        _parts(place), lambda p: F.lower(strip(F.regexp_replace(p, rules.postal, "")))
-    )
-    fuzzy = out.filter(F.col("_alias_hit").isNull()).withColumn("_alias_hit", closest(fuzzy_parts))
-    fuzzy = fuzzy.withColumn("match_stage", F.when(F.col("_alias_hit").isNotNull(), 4).otherwise(0))
-    out = out.filter(F.col("_alias_hit").isNotNull()).unionByName(fuzzy)
-
-    codes = aliases.select(F.col("alias").alias("_alias_hit"), F.col("code").alias("municipality_code"))
-    coded = out.join(codes, "_alias_hit", "left").drop("_alias_hit")
-    return with_region_names(coded, regions, rules)
+    place = strip(F.coalesce(F.col(address), F.lit("")))
+    open_rows = rows.select(row, address).join(found.select(row), row, "left_anti")
+    part = lambda p: F.lower(strip(F.regexp_replace(p, rules.postal, "")))
+    parts = land(open_rows.select(row, F.posexplode(F.transform(_parts(place), part)).alias("k", "part")).filter("length(part) >= 2"))
+    close = land(similar_names(parts, aliases.filter("fuzzy_eligible"), rules.cutoff if cutoff is None else cutoff))
+    close = close.join(aliases.select("alias", "code"), "alias")
+    fuzzy = parts.join(close, "part").groupBy(row).agg(F.min(F.struct("k", "alias", "code")).alias("hit")).select(row, "hit.alias", "hit.code", F.lit(4).alias("stage"))
+
+    hits = found.union(fuzzy).select(row, F.col("code").alias("municipality_code"), F.col("stage").alias("match_stage"))
+    out = rows.join(hits, row, "left").withColumn("match_stage", F.coalesce("match_stage", F.lit(0)))
+    return with_region_names(out.select(*df.columns, "match_stage", "municipality_code"), regions, rules)
 
 
 def with_region_names(df: DataFrame, regions: DataFrame, rules: AddressRules) -> DataFrame:

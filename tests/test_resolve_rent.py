@@ -59,13 +59,31 @@ def test_names_and_defaults(spark):
     assert (out[2].municipality_name, out[2].municipality_clean, out[2].region_name) == ("Ukjent", "ukjent", "Ukjent")
 
 
-def test_large_gazetteer_is_joined_with_the_same_result(spark, monkeypatch):
-    inline = placed(spark, "norway", list(CASES_NO))
-    monkeypatch.setattr(resolve, "INLINE_ALIASES", 3)
-    assert placed(spark, "norway", list(CASES_NO)) == inline
-    monkeypatch.setattr(resolve, "MAX_FUZZY_NAMES", 3)
-    with pytest.raises(ValueError):
-        placed(spark, "norway", ["Oslo"])
+def test_repeated_and_missing_ids_keep_their_own_result(spark):
+    dim, aliases = dims(spark, "norway")
+    df = spark.createDataFrame([(1, "Oslo", "x"), (1, "Bergen", "x"), (None, "Oslo", "y"), (None, "Drammenn", "y"), (1, "Oslo", "x")], "listing_id long, address string, _row string")
+    out = resolve.resolve_addresses(df, aliases, dim, "norway")
+    assert out.columns[:4] == ["listing_id", "address", "_row", "match_stage"]
+    got = sorted((r.listing_id or 0, r.address, r.municipality_code, r.match_stage) for r in out.collect())
+    assert got == [(0, "Drammenn", "3301", 4), (0, "Oslo", "0301", 1), (1, "Bergen", "4601", 1), (1, "Oslo", "0301", 1), (1, "Oslo", "0301", 1)]
+
+
+def test_similarity_equals_block_matching():
+    r = random.Random(6)
+    for _ in range(3000):
+        a, b = ("".join(r.choice("abcå ") for _ in range(r.randint(0, 9))) for _ in range(2))
+        assert resolve.similarity(a, b) == difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+
+
+@pytest.mark.parametrize("cutoff", [0.6, 0.7, 0.75, 0.9])
+def test_similar_names_lose_no_pair(spark, cutoff):
+    r = random.Random(int(cutoff * 100))
+    word = lambda: "".join(r.choice("abcdeø") for _ in range(r.randint(1, 12)))
+    names = sorted({word() for _ in range(60)})
+    parts = sorted({word() for _ in range(120)} | {n[:-1] + "x" for n in names if len(n) > 2})
+    got = resolve.similar_names(spark.createDataFrame([(p,) for p in parts], "part string"), spark.createDataFrame([(n,) for n in names], "alias string"), cutoff)
+    want = {p: hit[0] for p in parts if (hit := difflib.get_close_matches(p, names, n=1, cutoff=cutoff))}
+    assert {x.part: x.alias for x in got.collect()} == want
 
 
 def test_random_addresses_equal_a_plain_loop(spark):
