@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,11 @@ from regionscore.functions.clean import number_no, number_se, strip
 from regionscore.functions.ratios import rounded, truthy
 from regionscore.landing import computed_once
 
-# Names of characters, as the HTML standard lists them; `&amp;` is decoded after all others.
-NAMED_CHARACTERS = json.dumps({n: chr(c) for n, c in name2codepoint.items() if n != "amp"})
+# Names of characters, as the HTML standard lists them with a semicolon.
+NAMED_CHARACTERS = json.dumps({n[:-1]: c for n, c in html5.items() if n.endswith(";")})
+REFERENCE = r"&(?:#\d+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+# What no text pattern may see: comments, scripts and style sheets.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
 
 def bound(value: Column, use) -> Column:
@@ -27,25 +30,32 @@ def bound(value: Column, use) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters: decimal, hexadecimal, then named ones, `&amp;` last."""
-    def found(pattern: str, character) -> Column:
-        refs = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        pairs = F.transform(refs, lambda n: F.struct(n.alias("ref"), character(n).alias("ch")))
-        return F.filter(pairs, lambda p: p["ch"].isNotNull())
+    """Character references to characters, in one pass: what a reference stands for is not read again.
 
-    def put(prefix: str):
-        return lambda acc, p: F.replace(acc, F.concat(F.lit(prefix), p["ref"], F.lit(";")), p["ch"])
+    Numbers that are no character (surrogates, zero, beyond the last code point) give U+FFFD; unknown names stay.
+    """
+    names = F.from_json(F.lit(NAMED_CHARACTERS), "map<string,string>")
 
-    def code_point(hex_digits: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+    def number(ref: Column) -> Column:
+        hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
+        digits = F.regexp_replace(F.regexp_replace(ref, "^&#[xX]?0*|;$", ""), "^$", "0")
+        point = F.when(hexadecimal, F.conv(F.when(F.length(digits) <= 6, digits), 16, 10)).otherwise(
+            F.when(F.length(digits) <= 7, digits)).try_cast("int")
+        good = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        code = F.lpad(F.hex(F.when(good, point).otherwise(F.lit(0xFFFD)).cast("long")), 8, "0")
+        return F.decode(F.unhex(code), "UTF-32")
+
+    def piece(p: Column) -> Column:
+        named = F.coalesce(F.try_element_at(names, F.regexp_replace(p, "[&;]", "")), p)
+        return F.when(~F.startswith(p, F.lit("&")) | (F.length(p) < 3), p).when(F.startswith(p, F.lit("&#")), number(p)).otherwise(named)
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s){REFERENCE}|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
-    numeric = F.aggregate(found(r"&#(\d{1,7});", lambda n: code_point(F.hex(n.cast("long")))), text, put("&#"))
-    numeric = F.aggregate(found(r"&#x([0-9A-Fa-f]{1,6});", code_point), numeric, put("&#x"))
-    plain = F.when(F.contains(text, F.lit("&#")), numeric).otherwise(text)
-    names = F.from_json(F.lit(NAMED_CHARACTERS), "map<string,string>")
-    plain = F.aggregate(found(r"&([A-Za-z]+[0-9]*);", lambda n: F.try_element_at(names, n)), plain, put("&"))
-    decoded = F.replace(plain, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+def visible(html: Column) -> Column:
+    """The page without comments, scripts and style sheets."""
+    return F.regexp_replace(html, HIDDEN, "")
 
 
 def tag_text(inner: Column, joiner: str = "") -> Column:
@@ -61,11 +71,12 @@ def tag_text(inner: Column, joiner: str = "") -> Column:
 
 def first_match(text: Column, pattern: str, group: int) -> Column:
     """The group of the first match, NULL without one."""
-    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
-def page_title(html: Column) -> Column:
-    return tag_text(first_match(html, r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1>", 1))
+def page_title(body: Column) -> Column:
+    """Text of the first h1; `body` is a page without scripts (`visible`)."""
+    return tag_text(first_match(body, r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1>", 1))
 
 
 # ---- links -----------------------------------------------------------------------------------
@@ -233,6 +244,11 @@ def table_pairs(html: Column) -> Column:
     return F.transform(full, lambda c: F.struct(_label(F.get(c, F.lit(0))).alias("label"), tag_text(F.get(c, F.lit(1))).alias("value")))
 
 
+def known_pairs(pairs: Column, labels: Mapping[str, str]) -> Column:
+    """The pairs whose label fills a field."""
+    return F.filter(pairs, lambda p: p["label"].isin(*labels))
+
+
 def field_text(pairs: Column, labels: Mapping[str, str], name: str, last: bool) -> Column:
     """Value of the first or last pair whose label fills the field."""
     names = [label for label, target in labels.items() if target == name]
@@ -247,17 +263,24 @@ def plausible_year(number: Column) -> Column:
 # ---- structured data -------------------------------------------------------------------------
 
 
+# What of a structured block is used; an object or list where a text is wanted comes as JSON text.
+BLOCK = "`@type` string, name string, address string, offers struct<price:string>"
+ADDRESS = "streetAddress string, postalCode string, addressLocality string"
+
+
 def ld_blocks(html: Column) -> Column:
-    """Structured-data scripts as JSON object texts; of a list, its first object."""
-    pattern = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
-    scripts = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda s: strip(s))
+    """Structured-data scripts, each parsed once; of a list, its first object. Those inside comments or other scripts don't count."""
+    kind = r"""[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>"""
+    pattern = rf"(?is)<!--.*?-->|<script(?!{kind})\b[^>]*>.*?</script\s*>|<script{kind}(.*?)</script\s*>"
+    scripts = F.filter(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda s: strip(s)), lambda s: F.length(s) > 0)
 
     def as_object(text: Column) -> Column:
         items = F.from_json(text, "array<string>")
         first = F.get(F.filter(items, lambda x: F.startswith(F.ltrim(x), F.lit("{"))), F.lit(0))
         return F.when(F.startswith(text, F.lit("[")), first).otherwise(text)
 
-    return F.filter(F.transform(scripts, as_object), lambda b: F.get_json_object(b, "$").isNotNull())
+    blocks = F.transform(scripts, lambda s: F.from_json(as_object(s), BLOCK))
+    return F.filter(F.when(F.contains(F.lower(html), F.lit("ld+json")), blocks), lambda b: b.isNotNull())
 
 
 def _non_empty(col: Column) -> Column:
@@ -266,9 +289,9 @@ def _non_empty(col: Column) -> Column:
 
 def block_address(block: Column) -> Column:
     """Street, postal code and locality joined by spaces, or the address text as it is."""
-    address = F.get_json_object(block, "$.address")
-    parts = [_non_empty(F.get_json_object(address, f"$.{k}")) for k in ("streetAddress", "postalCode", "addressLocality")]
-    from_object = F.concat_ws(" ", *parts)
+    address = block["address"]
+    parts = F.from_json(address, ADDRESS)
+    from_object = F.concat_ws(" ", *[_non_empty(parts[k]) for k in ("streetAddress", "postalCode", "addressLocality")])
     return _non_empty(F.when(F.startswith(address, F.lit("{")), from_object).otherwise(address))
 
 
@@ -277,21 +300,44 @@ def _first_of(blocks: Column, pick) -> Column:
 
 
 def _listing_block(pick):
-    return lambda b: F.when(F.get_json_object(b, "$['@type']").isin(*LISTING_TYPES), pick(b))
+    return lambda b: F.when(b["@type"].isin(*LISTING_TYPES), pick(b))
 
 
-def selected_text(html: Column, selectors: Sequence[str]) -> Column:
-    """Text of the first element that a selector pattern (inner HTML as last group) finds."""
-    found = [first_match(html, pattern, group) for pattern, group in selectors]
+def element(html: Column, opening: str) -> Column:
+    """Inner HTML of the first element whose opening tag the pattern finds, up to the closing tag that balances it.
+
+    Without one, the rest of the page belongs to the element, as in a browser.
+    """
+    tag = F.regexp_substr(html, F.lit(opening))
+    name = F.regexp_extract(tag, r"<(\w+)", 1)
+    after = F.substr(html, F.regexp_instr(html, F.lit(opening)) + F.length(tag))
+    pieces = F.split(after, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"[\s>/])")))
+
+    def inner(found: Column) -> Column:
+        step = lambda p: F.when(F.startswith(p, F.lit("</")), -1).when(F.startswith(F.lower(p), F.concat(F.lit("<"), F.lower(name))), 1).otherwise(0)
+        # Pieces before the one that closes the element.
+        def count(acc: Column, p: Column) -> Column:
+            depth = acc["depth"] + step(p)
+            return F.when(acc["depth"] == 0, acc).otherwise(F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n")))
+
+        kept = F.aggregate(found, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), count, lambda acc: acc["n"])
+        return F.array_join(F.slice(found, F.lit(1), kept), "")
+
+    return F.when(tag.isNotNull(), bound(pieces, inner))
+
+
+def selected_text(html: Column, selectors: Sequence[str | tuple[str, int]]) -> Column:
+    """Text of the first element that a selector finds: a pattern of its opening tag, or one of its inner HTML with the group."""
+    found = [element(html, s) if isinstance(s, str) else first_match(html, *s) for s in selectors]
     return tag_text(F.coalesce(*found), " ")
 
 
-def _by_test_id(value: str) -> tuple[str, int]:
-    return rf"""(?is)<(\w+)\s(?:[^>]*\s)?data-testid\s*=\s*["']{value}["'][^>]*>(.*?)</\1\s*>""", 2
+def _by_test_id(value: str) -> str:
+    return rf"""(?is)<(\w+)\s(?:[^>]*\s)?data-testid\s*=\s*["']{value}["'][^>]*>"""
 
 
-def _by_class(name: str) -> tuple[str, int]:
-    return rf"""(?is)<(\w+)\s(?:[^>]*\s)?class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>(.*?)</\1\s*>""", 2
+def _by_class(name: str) -> str:
+    return rf"""(?is)<(\w+)\s(?:[^>]*\s)?class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>"""
 
 
 # Where the pages show an address, most reliable first.
@@ -312,12 +358,13 @@ def postal_block(html: Column, block: str, postal: str) -> Column:
     return F.get(F.filter(texts, lambda t: t.rlike(postal) & (F.length(t) < 200)), F.lit(0))
 
 
-def page_address(html: Column, blocks: Column, country: str) -> Column:
+def page_address(body: Column, blocks: Column, country: str) -> Column:
+    """Address from structured data, else from an element, else from a text block; `body` is a page without scripts."""
     selectors, block, postal = (
         (ADDRESS_NO, BLOCK_P, POSTAL_NO) if country == "norway" else (ADDRESS_SE, BLOCK_ANY, POSTAL_SE)
     )
     return F.coalesce(
-        _first_of(blocks, block_address), selected_text(html, selectors), postal_block(html, block, postal)
+        _first_of(blocks, block_address), selected_text(body, selectors), postal_block(body, block, postal)
     )
 
 
@@ -330,8 +377,9 @@ def extract_listings(pages: DataFrame, country: str) -> DataFrame:
 
 
 def _extract_no(pages: DataFrame) -> DataFrame:
-    base = computed_once(pages, ["listing_id", "url", "html"], {
-        "blocks": ld_blocks(F.col("html")), "dl": definition_pairs(F.col("html")), "rows": table_pairs(F.col("html"))})
+    seen = computed_once(pages, ["listing_id", "url"], {"blocks": ld_blocks(F.col("html")), "body": visible(F.col("html"))})
+    base = computed_once(seen, ["listing_id", "url", "body", "blocks"], {
+        "dl": known_pairs(definition_pairs(F.col("body")), LABELS_NO), "rows": known_pairs(table_pairs(F.col("body")), LABELS_NO)})
 
     def texts(name: str) -> tuple[Column, Column]:
         return field_text(F.col("dl"), LABELS_NO, name, last=True), field_text(F.col("rows"), LABELS_NO, name, last=False)
@@ -341,7 +389,7 @@ def _extract_no(pages: DataFrame) -> DataFrame:
         return bound(dl, lambda t: F.when(t.isNotNull(), of_dl(t)).otherwise(of_row(row))).alias(name)
 
     def count(text: Column) -> Column:
-        return truthy(number_no(text)).cast("int")
+        return truthy(number_no(text)).try_cast("int")
 
     def year(text: Column) -> Column:
         return plausible_year(truthy(number_no(text))).cast("int")
@@ -354,11 +402,11 @@ def _extract_no(pages: DataFrame) -> DataFrame:
         F.coalesce(*texts("total_price")).isNotNull().alias("_has_total"),
     ]
     ld_price = _first_of(F.col("blocks"), _listing_block(
-        lambda b: truthy(F.get_json_object(b, "$.offers.price").try_cast("double"))))
-    ld_name = _first_of(F.col("blocks"), _listing_block(lambda b: F.get_json_object(b, "$.name")))
+        lambda b: truthy(b["offers"]["price"].try_cast("double"))))
+    ld_name = _first_of(F.col("blocks"), _listing_block(lambda b: b["name"]))
     rows = _fields(base, [
-        F.coalesce(page_title(F.col("html")), ld_name).alias("title"),
-        page_address(F.col("html"), F.col("blocks"), "norway").alias("address"),
+        F.coalesce(page_title(F.col("body")), ld_name).alias("title"),
+        page_address(F.col("body"), F.col("blocks"), "norway").alias("address"),
         *columns, *flags, ld_price.alias("_ld_price"),
     ])
     asking = F.when(F.col("_has_asking"), F.col("asking_price")).otherwise(
@@ -393,26 +441,33 @@ def _with_unit_price(rows: DataFrame) -> DataFrame:
     return rows.withColumn("price_per_sqm", rounded(truthy(F.col("total_price_calc")) / size, 0))
 
 
+# What of a listing's object in the page's cache is used; a part may stand there, or be a reference to another entry.
+LISTING = "livingArea string, numberOfRooms string, constructionYear string, " + ", ".join(
+    f"{part} struct<__ref:string,{leaf}:string>" for part, leaf in (
+        ("fee", "amount"), ("askingPrice", "amount"), ("runningCosts", "amount"), ("housingForm", "name"), ("tenure", "name")))
+
+
 def _extract_se(pages: DataFrame) -> DataFrame:
     script = r"""(?is)<script[^>]*id\s*=\s*["']__NEXT_DATA__["'][^>]*>(.*?)</script>"""
     state = F.get_json_object(strip(first_match(F.col("html"), script, 1)), "$.props.apolloState")
-    base = computed_once(pages, ["listing_id", "url", "html"], {
-        "blocks": ld_blocks(F.col("html")), "dl": definition_pairs(F.col("html")),
-        "cache": F.from_json(state, "map<string,string>")})
+    seen = computed_once(pages, ["listing_id", "url"], {
+        "blocks": ld_blocks(F.col("html")), "body": visible(F.col("html")), "cache": F.from_json(state, "map<string,string>")})
     own = F.try_element_at("cache", F.concat(F.lit("ActivePropertyListing:"), F.col("listing_id")))
-    base = base.withColumn("own", own)
+    base = computed_once(seen, ["listing_id", "url", "body", "blocks", "cache"], {
+        "dl": known_pairs(definition_pairs(F.col("body")), LABELS_SE), "own": F.from_json(own, LISTING)})
 
-    def plain(path: str) -> Column:
-        return F.get_json_object("own", f"$.{path}")
+    def plain(name: str) -> Column:
+        return F.col("own")[name]
 
-    def linked(path: str, leaf: str) -> Column:
+    def linked(name: str, leaf: str) -> Column:
         """A value of the listing's object, or of the cache entry that the object points to."""
-        target = F.try_element_at("cache", plain(f"{path}.__ref"))
-        return F.when(plain(f"{path}.__ref").isNotNull(), F.get_json_object(target, f"$.{leaf}")).otherwise(plain(f"{path}.{leaf}"))
+        ref = F.col("own")[name]["__ref"]
+        target = F.from_json(F.try_element_at("cache", ref), f"{leaf} string")
+        return F.when(ref.isNotNull(), target[leaf]).otherwise(F.col("own")[name][leaf])
 
     cached = {
         "sqm": plain("livingArea").try_cast("double"),
-        "rooms": plain("numberOfRooms").try_cast("double").cast("int"),
+        "rooms": plain("numberOfRooms").try_cast("double").try_cast("int"),
         "monthly_fee": linked("fee", "amount").try_cast("double"),
         "asking_price": linked("askingPrice", "amount").try_cast("double"),
         "operating_cost": linked("runningCosts", "amount").try_cast("double"),
@@ -426,14 +481,14 @@ def _extract_se(pages: DataFrame) -> DataFrame:
         if name in TEXTS_SE:
             value = text
         elif name in COUNTS_SE:
-            value = truthy(number_se(text)).cast("int")
+            value = truthy(number_se(text)).try_cast("int")
         else:
             value = number_se(text)
         return (F.coalesce(cached[name], value) if name in cached else value).alias(name)
 
     rows = _fields(base, [
-        page_title(F.col("html")).alias("title"),
-        page_address(F.col("html"), F.col("blocks"), "sweden").alias("address"),
+        page_title(F.col("body")).alias("title"),
+        page_address(F.col("body"), F.col("blocks"), "sweden").alias("address"),
         *[field(n) for n in (*MONEY_AND_AREA_SE, *COUNTS_SE, *TEXTS_SE)],
     ])
     return derive_se(rows)
