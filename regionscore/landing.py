@@ -40,16 +40,12 @@ def land(df: DataFrame) -> DataFrame:
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """A dimension that the optimizer can size: as it is if known to be small enough to broadcast, else landed.
+    """A dimension that the optimizer can size: landed, so that its true size decides whether it is broadcast.
 
     Frames made from Python rows or from aggregates of large tables have no useful estimate, and a
-    join with them would shuffle the large side by a skewed key. Landed, the true size decides.
+    join with them would shuffle the large side by a skewed key.
     """
-    spark = df.sparkSession
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = estimate if isinstance(estimate, int) else int(estimate.toString())
-    return df if size <= limit else land(df)
+    return land(df)
 
 
 def drop_landed(spark: SparkSession) -> None:

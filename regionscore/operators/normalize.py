@@ -17,8 +17,6 @@ from regionscore.landing import land
 
 # Bits of the mantissa that a histogram level resolves; the last level compares values themselves.
 LEVELS = (10, 24, 38)
-# A bin with at most this many rows is resolved by value at once.
-SMALL_BIN = 1_000_000
 
 
 def _with_place(values: DataFrame) -> DataFrame:
@@ -51,24 +49,20 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
     return doubles.unpivot(list(by), list(columns), "signal", "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Exact median of each column, per group: the mean of the two middle values if n is even.
 
-    Reads `df` up to four times (once when `rows` says that it is small), so give it a landed or
-    otherwise cheap input. Groups in `by` must not be NULL. Columns without any value give NULL.
+    Reads `df` four times, so give it a landed or otherwise cheap input. Groups in `by` must not be NULL. Columns without any value give NULL.
     """
     values = _long(df, columns, by)
     key = [*by, "signal"]
     bins: list[str] = []
     picked = None
     for level in range(len(LEVELS)):
-        if rows is not None and rows <= SMALL_BIN:
-            break
         name = f"b{level}"
         counts = _inside(values, picked, key, bins, [name]).groupBy(*key, *bins, name).agg(F.count(F.lit(1)).alias("n"))
         picked = land(_pick(counts, picked, key, bins, name))
         bins.append(name)
-        rows = picked.agg(F.max("n")).first()[0] or 0
     counts = _inside(values, picked, key, bins, []).groupBy(*key, *bins, "v").agg(F.count(F.lit(1)).alias("n"))
     middle = _pick(counts, picked, key, bins, "v")
     wide = [F.avg(F.when(F.col("signal") == c, F.col("v"))).alias(c) for c in columns]
@@ -127,18 +121,18 @@ def signal_stats(df: DataFrame, signals: Sequence[str]) -> dict[str, float | int
     """
     stats = df.agg(*_limits(df, signals)).first().asDict()
     gaps = [s for s in signals if stats[f"{s}__null"] and stats[f"{s}__min"] is not None]
-    medians = exact_median(df, gaps, rows=stats["n"]).first().asDict() if gaps else {}
+    medians = exact_median(df, gaps).first().asDict() if gaps else {}
     return {**stats, **{f"{s}__median": medians.get(s) for s in signals}}
 
 
 def group_stats(df: DataFrame, signals: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The same per group, as a landed table with one row per group."""
     stats = land(df.groupBy(*by).agg(*_limits(df, signals)))
-    totals = stats.agg(F.max("n").alias("n"), *[
+    totals = stats.agg(*[
         F.bool_or((F.col(f"{s}__null") > 0) & F.col(f"{s}__min").isNotNull()).alias(s) for s in signals]).first()
     gaps = [s for s in signals if totals[s]]
     if gaps:
-        medians = exact_median(df, gaps, by, rows=totals["n"])
+        medians = exact_median(df, gaps, by)
         stats = land(stats.join(medians.select(*by, *[F.col(s).alias(f"{s}__median") for s in gaps]), list(by), "left"))
     return stats.select("*", *[F.lit(None).cast("double").alias(f"{s}__median") for s in signals if s not in gaps])
 

@@ -12,68 +12,89 @@ from regionscore.landing import land
 
 # monotonically_increasing_id keeps the row number of a partition in its lower 33 bits.
 ROW_BITS = 33
-# Distinct scores that one window may hold.
-MAX_HISTOGRAM = 1_000_000
+def _sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The table landed in the given order, with the range `_part` a row is in and its place there, `_within` (from 0)."""
+    landed = land(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    within = F.col("_place").bitwiseAND(F.lit(2**ROW_BITS - 1))
+    return landed.select("*", F.shiftright("_place", ROW_BITS).alias("_part"), within.alias("_within")).drop("_place")
+
+
+def _numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    rows = _sorted(df, order)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    joined = rows.join(F.broadcast(offsets), "_part")  # one row per range
+    return joined.withColumn(name, F.col("_offset") + F.col("_within") + 1).drop("_within", "_offset")
 
 
 def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Number all rows 1..n in the given order, which must be total (end it with a unique column).
 
     Spark sorts by range, so a score shared by a third of all rows is still split by the columns
-    after it. The sorted table is landed with its place within each partition; the offset of a
-    partition is the sum of the counts before it, over one row per partition.
+    after it. The sorted table is landed with its place within each range; the offset of a range is
+    the sum of the counts before it, over one row per range.
     """
-    place = F.monotonically_increasing_id()
-    landed = land(df.orderBy(*order).withColumn("_place", place))
-    part = F.shiftright("_place", ROW_BITS)
-    within = F.col("_place").bitwiseAND(F.lit(2**ROW_BITS - 1))
-    sizes = landed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    joined = landed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # one row per partition
-    return joined.withColumn(name, F.col("_offset") + within + 1).drop("_part", "_place", "_offset")
+    return _numbered(df, order, name).drop("_part")
+
+
+def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], add: Sequence[str]) -> DataFrame:
+    """Left join in which NULL keys meet, with the columns `add` of the right side."""
+    other = right.select(F.struct(*keys).alias("_other"), *add)
+    agree = None
+    for k in keys:
+        same = left[k].eqNullSafe(F.col("_other").getField(k))
+        agree = same if agree is None else agree & same
+    return left.join(other, agree, "left").drop("_other")
 
 
-def percentile_rank(
-    df: DataFrame, score: str, name: str, by: Sequence[str] = (), digits: int | None = 1, few_scores: bool = False,
-) -> DataFrame:
+def _ties(rows: DataFrame, at: str, by: Sequence[str], score: str) -> DataFrame:
+    """Add `_first` and `_last`, the first and the last number (`at`) of the rows that share group and score.
+
+    Within a range they come from its own rows. A score that goes over the border of ranges is the first or the last of
+    each range that it is in, and only those are put together across ranges; so no score is a key of the whole table.
+    """
+    key = [*by, score]
+    here = Window.partitionBy("_part", *key)
+    rows = land(rows.withColumn("_first", F.min(at).over(here)).withColumn("_last", F.max(at).over(here)))
+    ends = rows.groupBy("_part").agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    edge = _join_on(rows.select("_part", *key, "_first", "_last", F.col(at).alias("_at")), ends, ["_part"], ["_low", "_high"])
+    edge = edge.filter("_at = _low or _at = _high").select("_part", *key, "_first", "_last").distinct()
+    across = edge.groupBy(*key).agg(F.min("_first").alias("_g_first"), F.max("_last").alias("_g_last"), F.collect_set("_part").alias("_parts"))
+    across = land(across.filter(F.size("_parts") > 1).select(*key, "_g_first", "_g_last", F.explode("_parts").alias("_part")))
+    out = _join_on(rows, across, ["_part", *key], ["_g_first", "_g_last"])
+    return out.withColumn("_first", F.coalesce("_g_first", "_first")).withColumn("_last", F.coalesce("_g_last", "_last")).drop("_g_first", "_g_last")
+
+
+def _percentile(share: Column, digits: int | None) -> Column:
+    return share if digits is None else rounded(share, digits)
+
+
+def percentile_rank(df: DataFrame, score: str, name: str, by: Sequence[str] = (), digits: int | None = 1) -> DataFrame:
     """Percentile with ties sharing their mean rank: (rows below + (ties + 1) / 2) / n * 100.
 
-    A histogram of the scores gives all of it when there are few distinct ones: certain for scores
-    rounded to one decimal in 0..100 (`few_scores`), else checked. Otherwise the rows are numbered by a
-    range-partitioned sort, and the first and last number of a score give its mean rank.
+    Rows without a score have none and don't count; rows without a group are a group of their own.
+    The rows are numbered by a range-partitioned sort, so neither a group nor a score is gathered.
     """
-    counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_same"))
-    if not few_scores:
-        counts = land(counts)
-        if counts.count() > MAX_HISTOGRAM:
-            return _percentile_by_sort(df, score, name, by, digits)
-    group = Window.partitionBy(*by)
-    below = group.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_same").over(below), F.lit(0))
-    share = (before + (F.col("_same") + 1) / 2.0) / F.sum("_same").over(group) * 100.0
-    histogram = counts.select(*by, score, _percentile(share, digits, name))
-    if few_scores and not by:
-        histogram = F.broadcast(histogram)  # at most 1001 rows
-    return df.join(histogram, [*by, score])
-
-
-def _percentile(share: Column, digits: int | None, name: str) -> Column:
-    return (share if digits is None else rounded(share, digits)).alias(name)
-
-
-def _percentile_by_sort(df: DataFrame, score: str, name: str, by: Sequence[str], digits: int | None) -> DataFrame:
-    rows = numbered(df, [F.col(c).asc() for c in (*by, score)], "_at")  # any order among ties will do
-    first, last = F.min("_at"), F.max("_at")
-    ties = rows.groupBy(*by, score).agg(((first + last) / 2.0).alias("_mean"))
-    ends = rows.groupBy(*by).agg(first.alias("_first"), F.count(F.lit(1)).alias("_all"))
+    by = list(by)
+    rows = _numbered(df, [*[F.col(c).asc_nulls_first() for c in by], F.col(score).asc_nulls_last()], "_at")  # any order among ties will do
+    rows = _ties(rows, "_at", by, score)
     if by:
-        ties = ties.join(land(ends), list(by))
+        groups = land(rows.groupBy(*by).agg(F.min("_at").alias("_start"), F.count(score).alias("_all")))
+        rows = _join_on(rows, groups, by, ["_start", "_all"])
+        start, known = F.col("_start"), F.col("_all")
     else:
-        row = ends.first()
-        ties = ties.select("*", F.lit(row["_first"]).alias("_first"), F.lit(row["_all"]).alias("_all"))
-    share = (F.col("_mean") - F.col("_first") + 1) / F.col("_all") * 100.0
-    return df.join(ties.select(*by, score, _percentile(share, digits, name)), [*by, score])
+        start, known = F.lit(1), F.lit(rows.agg(F.count(score)).first()[0])
+    share = ((F.col("_first") + F.col("_last")) / 2.0 - start + 1) / known * 100.0
+    return rows.select(*df.columns, F.when(F.col(score).isNotNull(), _percentile(share, digits)).alias(name))
+
+
+def ranked(df: DataFrame, score: str, id_col: str, digits: int = 1) -> DataFrame:
+    """Add `rank` (best score first, then by id), `percentile` (as `percentile_rank`) and the number of rows, `_n`, from one sort."""
+    rows = _ties(_numbered(df, [F.col(score).desc_nulls_last(), F.col(id_col).asc()], "rank"), "rank", [], score)
+    known, n = rows.agg(F.count(score), F.count(F.lit(1))).first()
+    share = (F.lit(known) + 1 - (F.col("_first") + F.col("_last")) / 2.0) / known * 100.0 if known else F.lit(None).cast("double")
+    return rows.select(*df.columns, "rank", F.when(F.col(score).isNotNull(), _percentile(share, digits)).alias("percentile"), F.lit(n).alias("_n"))
 
 
 def listing_tier(rank: Column, n: Column) -> Column:
@@ -91,16 +112,21 @@ def region_tier(rank: Column, n: Column, top_n: int) -> Column:
 def pareto_frontier(scores: DataFrame, x: str = "yield_score", y: str = "growth_score", country: str | None = None) -> DataFrame:
     """Rows that no other row beats on one score while matching it on the other.
 
-    One grouping on `x` and one running maximum over its distinct (rounded) values replace the
-    comparison of all pairs. Duplicates of a frontier row stay; rows missing a score are never
-    beaten and stay too.
+    One grouping on `x`, and a running maximum over its distinct values, replace the comparison of all pairs.
+    The values are sorted by range: each range has a running maximum of its own, and one over the ranges before it.
+    Duplicates of a frontier row stay; rows missing a score are never beaten and stay too.
     """
     rows = scores if country is None else scores.filter(F.col("country") == country)
     best = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x).agg(F.max(y).alias("_best"))
-    above = Window.orderBy(F.col(x).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    edge = best.select(x, "_best", F.max("_best").over(above).alias("_above"))
-    edge = edge.filter(F.col("_above").isNull() | (F.col("_best") > F.col("_above")))
-    joined = rows.join(F.broadcast(edge.select(x, "_best")), x, "left")  # one row per rounded score
+    best = _sorted(best, [F.col(x).desc()])
+    ranges = best.groupBy("_part").agg(F.max("_best").alias("_top"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_part", F.max("_top").over(before).alias("_over"))
+    here = Window.partitionBy("_part").orderBy("_within").rowsBetween(Window.unboundedPreceding, -1)
+    edge = best.join(F.broadcast(ranges), "_part")  # one row per range
+    edge = edge.select(x, "_best", F.greatest("_over", F.max("_best").over(here)).alias("_above"))
+    edge = land(edge.filter(F.col("_above").isNull() | (F.col("_best") > F.col("_above"))).select(x, "_best"))
+    joined = rows.join(edge, x, "left")
     unknown = F.col(x).isNull() | F.col(y).isNull()
     kept = joined.filter(unknown | (F.col(y) == F.col("_best")))
     return kept.select(*scores.columns, F.lit(True).alias("pareto_optimal"))

@@ -13,7 +13,7 @@ from regionscore.functions.ratios import gross_yield, ratio, risk_label, rounded
 from regionscore.landing import land, sized
 from regionscore.operators.aggregates import first_by_key
 from regionscore.operators.normalize import scaled, signal_stats
-from regionscore.operators.ranking import listing_tier, numbered, percentile_rank
+from regionscore.operators.ranking import listing_tier, ranked
 from regionscore.operators.rent import estimate_rent, resolve_zone
 
 INDEX_COLUMNS = ("index_momentum_qoq", "volatility_qoq", "latest_index")
@@ -117,33 +117,34 @@ def tightening(acceleration: float | None) -> float:
     return 0.5 if acceleration is None else max(0.0, min(1.0, (5.0 - acceleration) / 10.0))
 
 
+SCORES = ["yield_score", "growth_score", "risk_score", "composite_score", "risk_label"]
+
+
 def score_listings(
     listings: DataFrame,
     macro: Mapping[str, float | None],
     yield_weight: float = 0.40,
     growth_weight: float = 0.30,
     risk_penalty: float = 0.30,
-    id_col: str = "listing_id",
     weights: ListingWeights = ListingWeights(),
 ) -> DataFrame:
-    """Scores 0..100, rank, percentile, tier and risk label of every listing.
+    """Scores 0..100 and risk label of every listing: a projection, with statistics of the signals as constants.
 
-    Missing signals score at the median of their column; absent or empty ones score 0.5. Ranks are
-    by composite score, then by `id_col`, which must be unique. The input is landed once, its
-    statistics are one aggregation, and the scores are a projection with those as constants.
+    Missing signals score at the median of their column; absent or empty ones score 0.5. The input is read twice; only
+    its signals are landed.
     """
     signals = _signals(listings)
-    rows = land(signals)
-    names = [c for c in rows.columns if c.startswith("_s_")]
-    stats = signal_stats(rows, names)
-    scored = _scores(rows, names, stats, macro, yield_weight, growth_weight, risk_penalty, weights)
-    scored = percentile_rank(scored, "composite_score", "percentile", few_scores=True)
-    ranked = numbered(scored, [F.col("composite_score").desc(), F.col(id_col).asc()])
-    n = F.lit(stats["n"])
-    ranked = ranked.withColumn("recommendation", listing_tier(F.col("rank"), n))
-    added = ["yield_score", "growth_score", "risk_score", "composite_score", "rank", "percentile", "recommendation", "risk_label"]
-    own = [c for c in listings.columns if c not in added and c != "gross_yield_pct"]
-    return ranked.select(*own, "gross_yield_pct", *added)
+    names = [c for c in signals.columns if c.startswith("_s_")]
+    stats = signal_stats(land(signals.select(*names)), names)
+    scored = _scores(signals, names, stats, macro, yield_weight, growth_weight, risk_penalty, weights)
+    own = [c for c in listings.columns if c not in SCORES and c != "gross_yield_pct"]
+    return scored.select(*own, "gross_yield_pct", *SCORES)
+
+
+def rank_listings(scored: DataFrame, id_col: str = "listing_id") -> DataFrame:
+    """Add rank, percentile and tier: by composite score, then by `id_col`, which must be unique. One sort gives all of them."""
+    rows = ranked(scored, "composite_score", id_col)
+    return rows.withColumn("recommendation", listing_tier(F.col("rank"), F.col("_n"))).drop("_n")
 
 
 def _signals(listings: DataFrame) -> DataFrame:

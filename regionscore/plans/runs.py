@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from regionscore.landing import land
 from regionscore.operators.resolve import resolve_addresses
 from regionscore.operators.timeseries import macro_signals
-from regionscore.plans.listings import Dimensions, enrich_listings, filter_regions, score_listings
+from regionscore.plans.listings import Dimensions, enrich_listings, filter_regions, rank_listings, score_listings
 from regionscore.sources.pages import cap_listings, extract_listings, valid_listings
 
 
@@ -29,7 +30,7 @@ def scored_listings(
 ) -> DataFrame:
     """Detail pages (listing_id, url, html) to scored listings.
 
-    Extraction is the costly part; it runs once, because address resolution lands its outcome.
+    Extraction is the costly part; it runs once, because address resolution lands its input.
     """
     listings = valid_listings(extract_listings(pages, country), country)
     placed = resolve_addresses(listings, aliases, regions, country)
@@ -37,7 +38,7 @@ def scored_listings(
         placed = filter_regions(placed, city_codes)
     enriched = enrich_listings(placed, features, rent_grid, index, dims, country)
     macro = macro_row(series, country)
-    return score_listings(enriched, macro, yield_weight, growth_weight, risk_penalty)
+    return rank_listings(score_listings(land(enriched), macro, yield_weight, growth_weight, risk_penalty))
 
 
 def macro_row(series: DataFrame | None, country: str) -> Mapping[str, float | None]:

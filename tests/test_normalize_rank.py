@@ -48,8 +48,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-def test_exact_median_narrows_to_the_middle(spark, monkeypatch, name):
-    monkeypatch.setattr(normalize, "SMALL_BIN", 0)  # every level, however few rows
+def test_exact_median_narrows_to_the_middle(spark, name):
     random.Random(2).shuffle(CASES[name])
     got = normalize.exact_median(frame(spark, [*CASES[name], None]), ["v"]).first()[0]
     assert got == statistics.median(CASES[name])
@@ -74,13 +73,33 @@ def test_percentile_shares_ties(spark, rows):
     assert rows(ranking.percentile_rank(df, "v", "p"), "v", "p") == [(1.0, 25.0), (2.0, 62.5), (2.0, 62.5), (4.0, 100.0)]
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_percentile_by_group_and_by_sort(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(ranking, "MAX_HISTOGRAM", limit)
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 4.0), ("b", 7.0), ("b", 7.0)], "g string, v double")
-    assert rows(ranking.percentile_rank(df, "v", "p", by=["g"]), "g", "v", "p") == [
-        ("a", 1.0, 25.0), ("a", 2.0, 62.5), ("a", 2.0, 62.5), ("a", 4.0, 100.0), ("b", 7.0, 75.0), ("b", 7.0, 75.0)]
-    assert rows(ranking.percentile_rank(df.filter("g = 'a'"), "v", "p"), "p") == [(100.0,), (25.0,), (62.5,), (62.5,)]
+def test_percentile_by_group(spark, rows):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 4.0), ("b", 7.0), ("b", 7.0), ("b", None), (None, 1.0), (None, None)], "g string, v double")
+    assert rows(ranking.percentile_rank(df, "v", "p", by=["g"]), "g", "v", "p") == sorted([
+        ("a", 1.0, 25.0), ("a", 2.0, 62.5), ("a", 2.0, 62.5), ("a", 4.0, 100.0), ("b", 7.0, 75.0), ("b", 7.0, 75.0), ("b", None, None), (None, 1.0, 100.0), (None, None, None)], key=repr)
+
+
+def test_percentile_of_scores_over_many_ranges(spark):
+    """A score that a third of the rows share goes over several ranges of the sort."""
+    r = random.Random(8)
+    data = [(i, r.choice(["a", "b", None]), r.choice([1.0, None, 5.0, 5.0, round(r.random(), 3)])) for i in range(4000)]
+    df = spark.createDataFrame(data, "id int, g string, v double").repartition(16)
+    got = {x.id: x for x in ranking.percentile_rank(ranking.percentile_rank(df, "v", "p", digits=None), "v", "q", by=["g"], digits=None).collect()}
+    assert len(got) == 4000
+
+    def want(values, v):
+        known = [x for x in values if x is not None]
+        return None if v is None else (sum(x < v for x in known) + (sum(x == v for x in known) + 1) / 2) / len(known) * 100
+
+    everything = [v for *_, v in data]
+    for i, g, v in data[::37]:
+        own = [y for _, h, y in data if h == g]
+        assert (got[i].p, got[i].q) == (pytest.approx(want(everything, v)) if v is not None else None, pytest.approx(want(own, v)) if v is not None else None)
+
+
+def test_ranked_gives_rank_and_percentile_from_one_sort(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 5.0), (4, None)], "id int, s double")
+    assert sorted(tuple(r) for r in ranking.ranked(df, "s", "id").select("id", "rank", "percentile", "_n").collect()) == [(1, 2, 50.0, 4), (2, 1, 100.0, 4), (3, 3, 50.0, 4), (4, 4, None, 4)]
 
 
 def test_numbered_equals_a_global_window(spark):

@@ -18,7 +18,7 @@ MACRO = {"nibor_percentile_10y": 0.8, "nibor_trend_6m": 0.5, "m3_acceleration":
 
 def score(spark, rows, macro=MACRO, schema=SIGNALS, **kw):
     df = spark.createDataFrame(rows, schema)
-    return {r.listing_id: r for r in L.score_listings(df, macro, **kw).collect()}
+    return {r.listing_id: r for r in L.rank_listings(L.score_listings(df, macro, **kw)).collect()}
 
 
 def test_scores_by_hand(spark):
@@ -37,7 +37,7 @@ def test_scores_by_hand(spark):
 
 def test_absent_columns_and_unknown_macro_are_neutral(spark):
     df = spark.createDataFrame([("a", 1000.0, 100.0), ("b", 500.0, 100.0)], "listing_id string, estimated_annual_rent double, total_price_calc double")
-    out = {r.listing_id: r for r in L.score_listings(df, {}).collect()}
+    out = {r.listing_id: r for r in L.rank_listings(L.score_listings(df, {})).collect()}
     assert out["a"].gross_yield_pct == 1000.0 and out["a"].yield_score == 87.5 and out["b"].yield_score == 12.5
     assert out["a"].growth_score == 50.0
     assert out["a"].risk_score == pytest.approx(0.2 * (0.4 * 0.5 + 0.3 * 0.5) + 0.8 * 0.5)
