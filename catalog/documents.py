@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import domain as d
-from catalog.oracle import code, full, rnd
+from catalog.oracle import code, full, quarter, rnd
 from catalog.queries import ORACLE, fixed, register
-from regionscore.landing import land
+from regionscore.fixed import DISTRICTS_GOTHENBURG, DISTRICTS_MALMO, DISTRICTS_STOCKHOLM, PLACES_NO, PLACES_SE, places
+from regionscore.landing import land, landing_path
 from regionscore.operators import resolve
+from regionscore.functions.ratios import rounded
 from regionscore.sources import cubes, pages, tables
 
 # ---- statistics documents: one cube per order, (status, measure), filled only for its own status ----
@@ -77,7 +81,7 @@ def series_load(spark, sf):
 
 @register(f"""select {code('n_nationkey')} as municipality_code, n_name as municipality, concat(year(o_orderdate), '') as year,
   lower(n_name) as municipality_clean, {rnd('avg(o_totalprice)', 4)} as price_sqm
-  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where year(o_orderdate) >= 1997
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where year(o_orderdate) in (select distinct year(o_orderdate) from orders order by 1 desc limit 5)
   group by all""")
 def cube_slice(spark, sf):
     """One cube per nation (year by dwelling type and measure), read through a source table's slice."""
@@ -186,6 +190,56 @@ def resolve_fuzzy(spark, sf):
 
 ORACLE["resolve_fuzzy"] = _FUZZY_SQL
 
+
+
+@register(f"""select c_custkey % 10 as listing_id, concat('Veien ', c_custkey, ', ', n_name) as address, {code('c_nationkey')} as municipality_code, 1 as match_stage {_FROM} where c_custkey % 3 <> 0
+  union all select null, concat('Nær ', n_name, ' nr ', c_custkey), {code('c_nationkey')}, 3 {_FROM} where c_custkey % 3 = 0""")
+def resolve_repeated_ids(spark, sf):
+    """Ten ids for all rows, and none for a third of them: every row keeps its own result."""
+    rows = d.addresses(spark, sf)
+    key = F.col("listing_id")
+    text = F.when(key % 3 != 0, F.concat(F.lit("Veien "), key, F.lit(", "), F.col("n_name"))).otherwise(F.concat(F.lit("Nær "), F.col("n_name"), F.lit(" nr "), key))
+    rows = rows.select(F.when(key % 3 != 0, key % 10).alias("listing_id"), text.alias("address"))
+    dim = d.regions(spark, sf)
+    out = resolve.resolve_addresses(rows, resolve.gazetteer(dim, d.no_places(spark), "norway"), dim, "norway")
+    return out.select("listing_id", "address", "municipality_code", "match_stage")
+
+
+_PLACE_LIST = sorted(PLACES_NO.items())
+_DISTRICT_LIST = sorted([(n, "0180") for n in DISTRICTS_STOCKHOLM] + [(n, "1480") for n in DISTRICTS_GOTHENBURG] + [(n, "1280") for n in DISTRICTS_MALMO])
+
+
+def _inside(district: str) -> str:
+    """Code of the longest place inside a district's name, as whole words; none gives 0000."""
+    hits = [n for n in PLACES_SE if re.search(rf"(?<!\w){re.escape(n)}(?!\w)", district)]
+    return PLACES_SE[min(hits, key=lambda n: (-len(n), n))] if hits else "0000"
+
+
+def _listed(pairs) -> str:
+    return "(select * from (values " + ", ".join(f"({i}, '{n}', '{c}')" for i, (n, c) in enumerate(pairs)) + ") as l(i, place, code))"
+
+
+@register(f"""select c_custkey as listing_id, code as municipality_code, case when c_custkey % 2 = 0 then 1 else 3 end as match_stage
+    from customer join {_listed(_PLACE_LIST)} l on c_custkey % {len(_PLACE_LIST)} = i
+  union all select -c_custkey, case when c_custkey % 2 = 0 then l.code else x.code end, case when c_custkey % 2 = 0 then 1 when x.code = '0000' then 0 else 3 end
+    from customer join {_listed(_DISTRICT_LIST)} l on c_custkey % {len(_DISTRICT_LIST)} = l.i join {_listed([(n, _inside(n)) for n, _ in _DISTRICT_LIST])} x on x.i = l.i""")
+def resolve_places(spark, sf):
+    """The fixed places of both countries: as a part of the address, and inside a sentence, where districts don't count."""
+    c = d.table(spark, sf, "customer").select("c_custkey")
+    key = F.col("c_custkey")
+
+    def listing(pairs, country: str, sign: int, inside) -> DataFrame:
+        place = F.element_at(F.array(*[F.lit(n) for n, _ in pairs]), (key % len(pairs)).cast("int") + 1)
+        rows = c.select((key * sign).alias("listing_id"), F.when(key % 2 == 0, F.concat(F.lit("9, "), place)).otherwise(inside(place)).alias("address"))
+        dim = d.regions(spark, sf)
+        out = resolve.resolve_addresses(rows, resolve.gazetteer(dim, places(spark, country), country), dim, country)
+        return out.select("listing_id", "municipality_code", "match_stage")
+
+    # Letters that no name has keep the sentence from being similar to one.
+    return listing(_PLACE_LIST, "norway", 1, lambda p: F.concat(F.lit("qqqqqqqqqqqqqqqqqqqqqqqq ("), p, F.lit(") 77 qqqqqqqqqqqqqqqqqqqqqqqqq"))).union(
+        listing(_DISTRICT_LIST, "sweden", -1, lambda p: F.concat(F.lit("qqqqqqqqqqqqqqqqqqqqqqqqqqqqqqq 7777 qqqqqqqqqqqqqqqqqqqqqqqqqqqq "), p, F.lit(" qqqqqqqqqqqqqqqqqqqqqqqqqqqq"))))
+
+
 # ---- pages -------------------------------------------------------------------------------------
 
 _TEXT = r"""replace(replace(replace(replace(replace(trim(regexp_replace({x}, '<[^>]*>', '', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')"""
@@ -193,7 +247,7 @@ _TEXT = r"""replace(replace(replace(replace(replace(trim(regexp_replace({x}, '<[
 
 @register("select page_id, " + _TEXT.format(x=r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1>', 1)") + " as title from pages")
 def page_titles(spark, sf):
-    return d.table(spark, sf, "pages").select("page_id", pages.page_title(F.col("html")).alias("title"))
+    return d.table(spark, sf, "pages").select("page_id", pages.page_title(pages.visible(F.col("html"))).alias("title"))
 
 
 _ANY_LINK = pages.LinkRule(primary=r"^/([^/?#]+)", fallback=r"([^/]+)$", host="https://example.com")
@@ -321,6 +375,53 @@ def extract_cached_pages(spark, sf):
         "listing_id", "address", "asking_price", "sqm", "rooms", "year_built", "property_type", "monthly_fee", "common_costs_monthly", "sqm_secondary", "price_per_sqm")
 
 
+def _order_pages(spark, sf, *parts) -> DataFrame:
+    """Every order as a page made of the parts; `key` stands for its number."""
+    o = d.spread(d.table(spark, sf, "orders").select("o_orderkey"))
+    key = F.col("o_orderkey").cast("string")
+    return o.select(key.alias("listing_id"), F.concat(F.lit("https://example.com/"), key).alias("url"), F.concat(*[key if p is None else F.lit(p) if isinstance(p, str) else p for p in parts]).alias("html"))
+
+
+@register("""select cast(o_orderkey as varchar) as listing_id, concat('Home ', o_orderkey, ' &lt; ', chr(65533), chr(65533), ' ', chr(10003), ' ''x'' &nosuch;') as title,
+  (o_orderkey * 1000)::DOUBLE as asking_price, null::INT as bedrooms, 'Villa' as property_type from orders""")
+def odd_pages(spark, sf):
+    """Titles in scripts and comments, references out of range or made of others, numbers that are no counts."""
+    pages_ = _order_pages(
+        spark, sf, '<script>var t="<h1>wrong</h1><dl><dt>Boligtype</dt><dd>wrong</dd></dl>"</script><!-- <h1>no</h1> --><style>h1{}</style><h1>Home ', None,
+        " &#38;lt; &#9999999;&#xD83D; &check; &apos;x&#x27; &nosuch;</h1><dl><dt>Soverom</dt><dd>99999999999</dd><dt>Prisantydning</dt><dd>", None,
+        "000 kr</dd><dt>Boligtype</dt><dd>Villa</dd></dl><!-- <dl><dt>Prisantydning</dt><dd>1 kr</dd></dl> -->")
+    return pages.extract_listings(pages_, "norway").select("listing_id", "title", "asking_price", "bedrooms", "property_type")
+
+
+@register(f"""select cast(o_orderkey as varchar) as listing_id, case o_orderkey % 4
+    when 0 then concat('Gatan ', o_orderkey, ' , 114 35 Solna') when 1 then concat('Gatan ', o_orderkey, ' 114 35 Solna')
+    when 2 then concat('Gatan ', o_orderkey, ', 114 35 Solna') else concat('Gatan ', o_orderkey, ' , 114 35 Solna') end as address from orders""")
+def address_selectors(spark, sf):
+    """The element that holds the address: by test id, by class, after the title; with elements of its own name inside."""
+    kind = F.col("o_orderkey") % 4
+    opening = F.when(kind == 0, '<div data-testid="property-address"><div>Gatan ').when(kind == 1, '<section><span class="x property-address y"><span>Gatan ').when(
+        kind == 2, "</h1>\n<p>Gatan ").otherwise('<DIV class="qa-property-address"><div><b>Gatan ')
+    rest = F.when(kind == 0, "</div>, 114 35 Solna</div><div>not this</div>").when(kind == 1, "</span> <i>114 35</i> Solna</span></section><span>not this</span>").when(
+        kind == 2, ", 114 35 Solna</p><p>not this</p>").otherwise("</b></div>, 114 35 Solna</DIV> not this")
+    pages_ = _order_pages(spark, sf, F.when(kind == 2, "<h1>Home").otherwise("<h1>Home</h1>"), opening, None, rest)
+    out = pages.extract_listings(pages_, "sweden").select("listing_id", F.regexp_replace("address", " 114 35 Solna$", " 114 35 Solna").alias("address"))
+    return out.withColumn("address", F.regexp_replace("address", r"\s+", " "))
+
+
+@register("""select cast(o_orderkey as varchar) as listing_id, concat('Named ', o_orderkey) as title, case when o_orderkey % 3 = 0 then null else o_orderkey * 100.0::DOUBLE end as asking_price,
+  case when o_orderkey % 2 = 0 then concat('Veien ', o_orderkey, ' 0182 Oslo') else 'Storgata 1, Bergen' end as address from orders""")
+def structured_fallbacks(spark, sf):
+    """Pages without title and price: both come from structured data, of the block that is a listing."""
+    key = F.col("o_orderkey")
+    address = F.when(key % 2 == 0, F.concat(F.lit('{"streetAddress":"Veien '), key, F.lit('","postalCode":"0182","addressLocality":"Oslo"}'))).otherwise(F.lit('"Storgata 1, Bergen"'))
+    price = F.when(key % 3 == 0, F.lit("0")).otherwise(F.concat(F.lit('"'), key * 100, F.lit('"')))
+    block = F.concat(F.lit('{"@type":"Product","name":"Named '), key, F.lit('","address":'), address, F.lit(',"offers":{"price":'), price, F.lit("}}"))
+    pages_ = _order_pages(
+        spark, sf, '<!-- <script type="application/ld+json">{"@type":"Product","name":"hidden"}</script> --><script type="application/ld+json">{"@type":"Organization","name":"Other","offers":{"price":5}}</script>',
+        '<script type="application/ld+json">not json</script><script type="application/ld+json">[', block, "]</script><dl></dl>")
+    return pages.extract_listings(pages_, "norway").select("listing_id", "title", "asking_price", "address")
+
+
 # ---- a whole run: pages to scores --------------------------------------------------------------
 
 _PAGED = f"""select cast(o_orderkey as varchar) as listing_id, floor(o_totalprice)::DOUBLE + o_orderkey * 3 as total_price_calc,
@@ -357,5 +458,122 @@ ORACLE["scored_pages"] = full(
   where regexp_matches(text, '[0-9]{4}\s+\w') and len(text) < 200) where rn = 1""")
 def page_postal_blocks(spark, sf):
     """First short paragraph with a postal code, over all pages."""
-    block = pages.postal_block(F.col("html"), pages.BLOCK_P, pages.POSTAL_NO)
+    block = pages.postal_block(pages.visible(F.col("html")), pages.BLOCK_P, pages.POSTAL_NO)
     return d.table(spark, sf, "pages").select("page_id", block.alias("text")).filter(F.col("text").isNotNull())
+
+
+# ---- slices of every source table ----------------------------------------------------------------
+
+
+def _slice_cube(spark, sf, spec: cubes.Slice, nation_rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One cube per nation with all kept codes of the slice, one code that is not kept for each dimension, and six periods.
+
+    The value is the nation's sum of prices times the place of the cell among the cells, so that a wrong cell shows.
+    """
+    named = [c.removesuffix("_code") for c in spec.columns if c.endswith("_code") and c != f"{spec.period}_code" and c.removesuffix("_code") not in spec.items]
+    lists = {dim: [*codes, "zz"] for dim, codes in spec.items.items()}
+    dims = [*named, *lists, spec.period]
+    periods = [str(p) for p in range(2001, 2007)]
+    sizes = [1] * len(named) + [len(x) for x in lists.values()] + [len(periods)]
+    total = 1
+    for n in sizes:
+        total *= n
+    one = lambda codes: F.struct(F.struct(codes.alias("index")).alias("category"))
+    key = d.code("nation")
+    label = F.struct(F.struct(F.array(key).alias("index"), F.create_map(key, F.concat(F.lit("Name "), key)).alias("label")).alias("category"))
+    shape = F.struct(*[label.alias(n) for n in named], *[one(F.array(*map(F.lit, x))).alias(n) for n, x in lists.items()], one(F.array(*map(F.lit, periods))).alias(spec.period))
+    values = F.transform(F.sequence(F.lit(1), F.lit(total)), lambda i: F.round(F.col("p"), 2) * i)
+    doc = F.to_json(F.struct(F.array(*map(F.lit, dims)).alias("id"), shape.alias("dimension"), values.alias("value")))
+    return cubes.jsonstat_to_long(nation_rows.select(doc.alias("doc")), dims), dims
+
+
+def _slice_sql(table: str, spec: cubes.Slice) -> str:
+    """The kept cells, worked out from their places."""
+    lists = [len(x) + 1 for x in spec.items.values()]
+    place, where, strides = [], [], 6
+    names = list(spec.items)
+    for n, size in zip(reversed(names), reversed(lists)):
+        place.append(f"c{names.index(n)} * {strides}")
+        strides *= size
+    froms = "".join(f", (select unnest(range({size - 1})) as c{i})" for i, size in enumerate(lists))
+    latest = min(spec.latest or 6, 6)
+    columns = []
+    for source, target in spec.columns.items():
+        dim = source.removesuffix("_code")
+        if dim == spec.period:
+            columns.append(f"cast(2001 + t as varchar) as {target}")
+        elif dim in spec.items:
+            codes = "[" + ", ".join(f"'{c}'" for c in spec.items[dim]) + "]"
+            columns.append(f"{codes}[c{names.index(dim)} + 1] as {target}")
+        else:
+            columns.append((f"{code('nation')}" if source.endswith("_code") else f"concat('Name ', {code('nation')})") + f" as {target}")
+    if any(t == "municipality" for t in spec.columns.values()):
+        columns.append(f"concat('name ', {code('nation')}) as municipality_clean")
+    at = " + ".join([*place, "t", "1"])
+    return f"""select '{table}' as slice, {{columns}} from (select {', '.join(columns)}, round(p, 2) * ({at}) as {spec.value}
+      from (select nation, sum(o_totalprice) as p from order_nation group by 1){froms}, (select unnest(range({6 - latest}, 6)) as t))"""
+
+
+_SLICE_COLUMNS = ("municipality_code", "municipality", "municipality_clean", "municipality_name", "region_code", "region", "zone_code", "zone", "size_code", "industry_code", "industry", "year", "quarter", "period")
+
+
+def _slices_sql(slices) -> str:
+    out = []
+    for name, spec in slices.items():
+        have = {*spec.columns.values()} | ({"municipality_clean"} if "municipality" in spec.columns.values() else set())
+        columns = ", ".join([*[c if c in have else f"null::VARCHAR as {c}" for c in _SLICE_COLUMNS], f"{rnd(spec.value, 2)} as value"])
+        out.append(_slice_sql(name, spec).replace("{columns}", columns))
+    return " union all ".join(out)
+
+
+def _slices(spark, sf, slices) -> DataFrame:
+    nations = land(d.order_nation(spark, sf, "o_totalprice").groupBy("nation").agg(F.sum("o_totalprice").alias("p")))
+    out = None
+    for name, spec in slices.items():
+        long, _ = _slice_cube(spark, sf, spec, nations)
+        rows = cubes.read_slice(land(long), spec)
+        columns = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in _SLICE_COLUMNS]
+        rows = rows.select(F.lit(name).alias("slice"), *columns, rounded(F.col(spec.value), 2).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register(_slices_sql(cubes.SLICES_NO))
+def cube_slices_no(spark, sf):
+    """All slices of the first country's source tables, each from a cube that also holds what the slice leaves out."""
+    return _slices(spark, sf, cubes.SLICES_NO)
+
+
+@register(_slices_sql(cubes.SLICES_SE))
+def cube_slices_se(spark, sf):
+    """All slices of the second country's source tables."""
+    return _slices(spark, sf, cubes.SLICES_SE)
+
+
+@register(f"""select {code('n_nationkey')} as code, null::VARCHAR as other, n_nationkey::DOUBLE as value from nation""")
+def cube_without_a_dimension(spark, sf):
+    """A dimension that no document has is NULL in every cell."""
+    n = d.table(spark, sf, "nation")
+    one = F.struct(F.struct(F.array(d.code("n_nationkey")).alias("index")).alias("category"))
+    doc = F.to_json(F.struct(F.array(F.lit("Region")).alias("id"), F.struct(one.alias("Region")).alias("dimension"), F.array(F.col("n_nationkey").cast("double")).alias("value")))
+    return cubes.jsonstat_to_long(n.select(doc.alias("doc")), ["Region", "Other"]).select(F.col("Region_code").alias("code"), F.col("Other").alias("other"), "value")
+
+
+@register("select country, listing_id, municipality_name, composite_score, rank, gross_yield_pct, bedrooms, rooms, fellesgjeld, monthly_fee from (select 'NO' as country, *, listing_id % 5 as bedrooms, null::BIGINT as rooms, listing_id * 2.0::DOUBLE as fellesgjeld, null::DOUBLE as monthly_fee from tiered union all select 'SE', *, null, listing_id % 5, null, listing_id * 2.0::DOUBLE from tiered)")
+def export_listings(spark, sf):
+    """Ranked listings exported with the column lists of both countries and read back."""
+    from catalog.queries import ranked
+
+    extra = (F.col("listing_id") % 5, F.col("listing_id") * 2.0)
+    rows = land(ranked(spark, sf).withColumns({"bedrooms": extra[0], "rooms": extra[0], "fellesgjeld": extra[1], "monthly_fee": extra[1], "not_listed": F.lit(1)}))
+    out = None
+    for country, columns in (("NO", tables.EXPORT_NO), ("SE", tables.EXPORT_SE)):
+        path = landing_path(spark)
+        tables.export_csv(rows, path, columns)
+        there = [c for c in columns if c in rows.columns]
+        schema = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in there)
+        back = spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+        assert "not_listed" not in back.columns
+        part = back.withColumn("country", F.lit(country))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.select("country", "listing_id", "municipality_name", "composite_score", "rank", "gross_yield_pct", "bedrooms", "rooms", "fellesgjeld", "monthly_fee")

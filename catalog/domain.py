@@ -8,21 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from regionscore.functions.ratios import ratio, rounded, truthy
+from regionscore.operators import timeseries
 from regionscore.plans.listings import Dimensions
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the files only once."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -193,13 +186,9 @@ def region_model_tables(spark, sf) -> dict[str, DataFrame]:
     )
     place = ["country", "region_code"]
     typed = [*place, "region", "dwelling_type"]
-    by_year = rows.groupBy(*typed).pivot("year", ["1998", "2000", "2001"]).agg(F.avg("price"))
-    growth = by_year.select(
-        *typed,
-        rounded((ratio(F.col("2001"), F.col("2000")) - 1.0) * 100.0, 6).alias("growth_1Y_ann"),
-        rounded((F.pow(ratio(F.col("2001"), F.col("1998")), F.lit(1.0) / 3.0) - 1.0) * 100.0, 6).alias("growth_3Y_ann"),
-        rounded(F.col("2001"), 6).alias("latest_index"),
-    )
+    by_year = rows.groupBy(*typed, "year").agg(F.avg("price").alias("price"))
+    growth = timeseries.growth(by_year, typed, "year", "price", names=("growth_1Y_ann", "growth_3Y_ann", "latest_index"), min_rows=1, digits=6)
+    growth = growth.withColumn("latest_index", rounded(F.col("latest_index"), 6))
     yields = rows.groupBy(*place, "region").agg(
         rounded(F.avg("price") / 200.0, 6).alias("avg_monthly_rent"), rounded(F.min("price"), 6).alias("avg_price_sqm"),
         rounded(F.max("price"), 6).alias("estimated_price"),

@@ -172,10 +172,9 @@ CTES: dict[str, str] = {
     "rm_rows": f"""select {code('n_regionkey', 2)} as country, {code('nation')} as region_code, n_name as region, o_orderstatus as dwelling_type,
         o_totalprice as price, cast(year(o_orderdate) as varchar) as year, {quarter('o_orderdate')} as period
       from order_nation join nation on nation = n_nationkey""",
-    "rm_growth": f"""select country, region_code, region, dwelling_type, {rnd(pct('y2001', 'y2000'), 6)} as growth_1Y_ann,
-        {rnd('(pow(y2001 / nullif(y1998, 0), 1.0::DOUBLE / 3) - 1.0) * 100.0', 6)} as growth_3Y_ann, {rnd('y2001', 6)} as latest_index
-      from (select country, region_code, region, dwelling_type, avg(price) filter (year = '1998') as y1998,
-              avg(price) filter (year = '2000') as y2000, avg(price) filter (year = '2001') as y2001 from rm_rows group by 1, 2, 3, 4)""",
+    "rm_growth": f"""select country, region_code, region, dwelling_type, growth_1Y_ann, growth_3Y_ann, {rnd('l', 6)} as latest_index from ({growth(
+        "(select country, region_code, region, dwelling_type, year, avg(price) as price from rm_rows group by all)",
+        "country, region_code, region, dwelling_type", "year", "price", "growth_1Y_ann", "growth_3Y_ann", "l", 1, 6)})""",
     "rm_yield": f"""select *, {rnd('avg_monthly_rent * 1200.0 / estimated_price', 6)} as gross_yield_pct from (
         select country, region_code, region, {rnd('avg(price) / 200.0', 6)} as avg_monthly_rent, {rnd('min(price)', 6)} as avg_price_sqm,
           {rnd('max(price)', 6)} as estimated_price from rm_rows group by 1, 2, 3)""",

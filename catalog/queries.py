@@ -126,9 +126,12 @@ def macro_signals(spark, sf):
     return timeseries.macro_signals(d.series(spark, sf))
 
 
-@register(f"select {r6('mortgage_rate_current, mortgage_rate_trend')} from mortgage")
+@register(f"""select country, {r6('mortgage_rate_current, mortgage_rate_trend')} from (select country, max(case when rn = 1 then value end) as mortgage_rate_current,
+    max(case when rn = 1 then value end) - max(case when rn = 12 then value end) as mortgage_rate_trend
+  from (select *, row_number() over (partition by country order by obs_date desc) as rn from series where series_key = 'rate') group by 1)""")
 def mortgage_trend(spark, sf):
-    return fixed(timeseries.rate_trend(d.norway_tables(spark, sf)["mortgage_rate"], "period", "mortgage_rate"))
+    rates = d.series(spark, sf).filter("series_key = 'rate'").select("country", "obs_date", "value")
+    return fixed(timeseries.rate_trend(rates, "obs_date", "value", by=["country"]))
 
 
 @register("""select country, series_key, strftime(obs_date, '%Y-%m-%d') as obs_date, value, from_end
@@ -179,19 +182,17 @@ def zone_size_expand(spark, sf):
     return rent.zone_rent_grid(rents, zones)
 
 
-@register(f"select municipality_code, round_even(sum(employed) * 2, 0)::DOUBLE as population from employment where industry_code <> 'BUILDING' group by 1")
+@register(f"select municipality_code, round_even(sum(employed) * 2, 0)::DOUBLE as population from employment group by 1")
 def population_doubled(spark, sf):
-    half = d.employment(spark, sf).filter("industry_code <> 'BUILDING'")
-    return agg.doubled_population(half, "municipality_code", "employed")
+    return agg.doubled_population(d.employment(spark, sf), "municipality_code", "employed")
 
 
-@register("""select municipality_clean, quarter, sum(permits) as permits from (
-  select municipality_clean, quarter, permits from permits where quarter like '%K1' union all select municipality_clean, quarter, permits from permits where quarter like '%K3'
-  ) group by 1, 2""")
+@register("select municipality_clean, quarter, sum(permits) as permits from permits group by 1, 2")
 def summed_slices(spark, sf):
+    """One slice for each quarter of a year; together they hold every row."""
     from regionscore.sources.cubes import union_slices
     rows = d.permits(spark, sf).select("municipality_clean", "quarter", "permits")
-    slices = [rows.filter(F.col("quarter").endswith(k)) for k in ("K1", "K3")]
+    slices = [rows.filter(F.col("quarter").endswith(k)) for k in ("K1", "K2", "K3", "K4")]
     return agg.sum_by(union_slices(slices), ["municipality_clean", "quarter"], "permits")
 
 
@@ -278,11 +279,23 @@ def exact_medians(spark, sf):
     return fixed(exact_median(rows, ["l_extendedprice", "l_quantity", "l_discount"], by=["l_returnflag"]))
 
 
-@register(f"""select o_orderkey, {rnd('(rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0) / count(*) over () * 100.0', 1)} as percentile
-  from (select o_orderkey, {rnd('o_totalprice / 5000.0', 1)} as s from orders)""")
+def _percentile_sql(score: str, by: str = "", digits: int = 1) -> str:
+    part = f"partition by {by} " if by else ""
+    both = f"{by}, {score}" if by else score
+    share = f"(rank() over ({part}order by {score}) + (count(*) over (partition by {both}) - 1) / 2.0) / count({score}) over ({part}) * 100.0"
+    return f"case when {score} is not null then {rnd(share, digits)} end"
+
+
+@register(f"""select o_orderkey, {_percentile_sql('s')} as percentile, {_percentile_sql('t', 'o_orderpriority', 4)} as within
+  from (select o_orderkey, o_orderpriority, case when o_orderkey % 11 <> 0 then {rnd('o_totalprice / 5000.0', 1)} end as s,
+          case when o_orderkey % 3 = 0 then 1.0 when o_orderkey % 13 <> 0 then o_totalprice end as t from orders)""")
 def rank_pct_avg_ties(spark, sf):
-    rows = d.table(spark, sf, "orders").select("o_orderkey", rounded(F.col("o_totalprice") / 5000.0, 1).alias("s"))
-    return ranking.percentile_rank(rows, "s", "percentile").drop("s")
+    """Rounded scores with gaps; and within groups unrounded ones, a third of the rows sharing one score."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    rows = d.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", F.when(key % 11 != 0, rounded(price / 5000.0, 1)).alias("s"), F.when(key % 3 == 0, 1.0).when(key % 13 != 0, price).alias("t"))
+    rows = ranking.percentile_rank(rows, "s", "percentile")
+    return ranking.percentile_rank(rows, "t", "within", by=["o_orderpriority"], digits=4).select("o_orderkey", "percentile", "within")
 
 
 @register("select o_orderkey, row_number() over (order by o_totalprice desc, o_orderkey) as rank from orders")
@@ -344,6 +357,10 @@ def scored(spark, sf) -> DataFrame:
     return L.score_listings(enriched(spark, sf), macro(spark, sf))
 
 
+def ranked(spark, sf) -> DataFrame:
+    return L.rank_listings(scored(spark, sf))
+
+
 @register(f"select listing_id, yield_score, growth_score, {r6('risk_score')}, composite_score, risk_label from ranked")
 def listing_scores(spark, sf):
     out = scored(spark, sf).select("listing_id", "yield_score", "growth_score", "risk_score", "composite_score", "risk_label")
@@ -352,17 +369,17 @@ def listing_scores(spark, sf):
 
 @register("select listing_id, rank, percentile, recommendation from tiered")
 def listing_tiers(spark, sf):
-    return scored(spark, sf).select("listing_id", "rank", "percentile", "recommendation")
+    return ranked(spark, sf).select("listing_id", "rank", "percentile", "recommendation")
 
 
 @register("select rank, listing_id, municipality_name, composite_score, recommendation from tiered where rank <= 50")
 def top_n_listings(spark, sf):
-    return L.top_listings(scored(spark, sf), 50).select("rank", "listing_id", "municipality_name", "composite_score", "recommendation")
+    return L.top_listings(ranked(spark, sf), 50).select("rank", "listing_id", "municipality_name", "composite_score", "recommendation")
 
 
 @register("select risk_label, recommendation, count(*) as n from tiered group by 1, 2")
 def tier_summary(spark, sf):
-    return scored(spark, sf).groupBy("risk_label", "recommendation").agg(F.count(F.lit(1)).alias("n"))
+    return ranked(spark, sf).groupBy("risk_label", "recommendation").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("select listing_id from listings where municipality_code in ('0003', '0007')")
@@ -456,6 +473,17 @@ def pareto_frontier(spark, sf):
     return out.select(*RM_KEYS.split(", "), "yield_score", "growth_score", "pareto_optimal")
 
 
+@register("""select o_orderkey from (select *, max(l) over (order by s desc rows between unbounded preceding and 1 preceding) as above from (
+    select *, max(l) over (partition by s) as best from (select o_orderkey, o_totalprice as s, l from orders left join
+      (select l_orderkey, max(l_extendedprice) as l from lineitem group by 1) on l_orderkey = o_orderkey)))
+  where s is null or l is null or (l = best and (above is null or l > above))""")
+def pareto_unrounded(spark, sf):
+    """Scores with as many values as rows."""
+    best = d.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("growth_score"))
+    rows = d.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("yield_score")).join(best, "o_orderkey", "left")
+    return ranking.pareto_frontier(land(rows)).select("o_orderkey")
+
+
 @register(_FRONTIER.format(cols="listing_id, yield_score, growth_score", src="(select distinct yield_score, growth_score from scored)").replace(
     "select listing_id, yield_score, growth_score from (select distinct yield_score, growth_score from scored) a where",
     "select listing_id, yield_score, growth_score from scored a where"))

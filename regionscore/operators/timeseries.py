@@ -26,7 +26,7 @@ def _maybe_round(col: Column, digits: int | None) -> Column:
 
 def growth(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     period: str,
     value: str,
     names: Sequence[str] = ("growth_1y", "growth_3y", "latest"),
@@ -40,10 +40,11 @@ def growth(
     Steps are positional: "one year back" is the previous row that exists. Keys with fewer than
     `min_rows` rows are dropped; too short a history gives NULL for the long change.
     """
-    w = Window.partitionBy(key).orderBy(period)
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(period)
     v = F.col(value)
-    rows = df.filter(F.col(key).isNotNull()).select(
-        key,
+    rows = df.dropna(subset=keys).select(
+        *keys,
         *keep,
         v.alias("_now"),
         F.lag(v, 1).over(w).alias("_prev"),
@@ -55,7 +56,7 @@ def growth(
     one, long, latest = names
     prev = F.when(F.col("_prev") > 0, F.col("_prev"))
     return last.select(
-        key,
+        *keys,
         *keep,
         _maybe_round(pct_change(F.col("_now"), prev), digits).alias(one),
         _maybe_round(annualised_pct(F.col("_now"), F.col("_base"), lag_long), digits).alias(long),
@@ -94,13 +95,14 @@ def last_observations(df: DataFrame, key: Sequence[str], period: str, n: int) ->
     return df.withColumn("from_end", F.row_number().over(w)).filter(F.col("from_end") <= n)
 
 
-def rate_trend(df: DataFrame, period: str, value: str, back: int = 11) -> DataFrame:
-    """One row: the latest value and its difference to the row `back` places earlier."""
-    top = df.orderBy(F.col(period).desc()).limit(back + 1)
-    numbered = top.withColumn("_rn", F.row_number().over(Window.orderBy(F.col(period).desc())))
+def rate_trend(df: DataFrame, period: str, value: str, back: int = 11, by: Sequence[str] = ()) -> DataFrame:
+    """One row, or one per group: the latest value and its difference to the row `back` places earlier."""
+    group = [F.col(c) for c in by] or [F.lit(0)]
+    latest = Window.partitionBy(*group).orderBy(F.col(period).desc())
+    numbered = df.withColumn("_rn", F.row_number().over(latest)).filter(F.col("_rn") <= back + 1)
     now = F.max(F.when(F.col("_rn") == 1, F.col(value)))
     then = F.max(F.when(F.col("_rn") == back + 1, F.col(value)))
-    return numbered.agg(
+    return numbered.groupBy(*by).agg(
         now.alias("mortgage_rate_current"), (now - then).alias("mortgage_rate_trend")
     )
 

@@ -30,5 +30,5 @@ def test_entry(spark):
 
 
 def test_all_are_registered():
-    assert QUERIES.items() <= registered.queries().items()
+    assert QUERIES.keys() <= registered.queries().keys()
     assert ORACLE.items() <= registered.oracle_sql().items()
