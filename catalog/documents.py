@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import domain as d
 from catalog.oracle import code, full, quarter, rnd
-from catalog.queries import ORACLE, fixed, register
+from catalog.queries import ORACLE, fixed, register, se_features_sql
 from regionscore.fixed import DISTRICTS_GOTHENBURG, DISTRICTS_MALMO, DISTRICTS_STOCKHOLM, PLACES_NO, PLACES_SE, places
 from regionscore.landing import land, landing_path
 from regionscore.operators import resolve
@@ -450,6 +450,48 @@ ORACLE["scored_pages"] = full(
       from ({_PAGED}) l left join zone_direct d using (municipality_code) left join zone_generic g on l.rent_zone = g.rent_zone""")
 
 
+_PAGED_SE = f"""select cast(o_orderkey as varchar) as listing_id, floor(o_totalprice)::DOUBLE as total_price_calc, o_orderkey % 90 + 10.5::DOUBLE as sqm,
+  {rnd('floor(o_totalprice) / (o_orderkey % 90 + 10.5)', 0)} as price_per_sqm,
+  code as municipality_code, name as municipality_name, lower(name) as municipality_clean, region_code, region_name, rent_zone
+  from order_nation join regions on {code('nation')} = code where floor(o_totalprice) > 0"""
+_SE_FEATURES = "municipality_code, municipality_clean, price_growth_1y, price_growth_3y, latest_price_sqm, population, employment_hhi, latest_wage, wage_growth_1y, permits_per_1000, permit_momentum, debt_burden_pct"
+
+
+@register(None)
+def scored_pages_sweden(spark, sf):
+    """The second country from cache pages to ranked listings: own zones, rents per square metre, counties as index regions."""
+    from catalog.queries import se_tables
+    from regionscore.operators.rent import sweden_rent_grid
+    from regionscore.plans.listings import Dimensions
+    from regionscore.plans.region_features import sweden_features
+    from regionscore.plans.runs import scored_listings
+
+    dim = land(d.regions(spark, sf))
+    features, index = sweden_features(se_tables(spark, sf), dim)
+    unit = F.try_divide(F.col("total_price_calc"), F.col("sqm")) / 200.0
+    rents = d.listings(spark, sf).groupBy(F.col("municipality_code").alias("code")).agg(F.avg(unit).alias("rent_per_sqm"))
+    grid = sweden_rent_grid(land(rents), dim.select("code", "rent_zone"))
+    by_name, by_region = d.index_dims(spark, sf)
+    dims = Dimensions(None, None, by_name.limit(0), by_region.withColumn("index_region_code", F.lit("00")), grid_zone="grid_zone")
+    series = d.series(spark, sf).filter("country = 'O'").withColumn("country", F.lit("sweden"))
+    out = scored_listings(detail_pages_se(spark, sf), features, grid, index, series, resolve.gazetteer(dim, d.no_places(spark), "sweden"), dim, dims, "sweden")
+    return out.select("listing_id", "municipality_name", "yield_score", "growth_score", "composite_score", "rank", "percentile", "recommendation", "risk_label")
+
+
+ORACLE["scored_pages_sweden"] = full(
+    "select listing_id, municipality_name, yield_score, growth_score, composite_score, rank, percentile, recommendation, risk_label from tiered",
+    zoned=f"select *, rent_zone as zone, sqm as size from ({_PAGED_SE})",
+    rent_grid=f"""select rent_zone as zone, s::DOUBLE as sqm, {rnd('m * s', 0)} as monthly_rent from (select rent_zone, avg(x) as m
+        from (select municipality_code as code, avg(total_price_calc / nullif(sqm, 0) / 200.0) as x from listings group by 1) join regions using (code) group by 1),
+      (select unnest([30, 45, 60, 75, 90, 105]) as s)""",
+    features=f"select {_SE_FEATURES} from ({se_features_sql(lambda x, digits: x)})",
+    index_by_name="select lower(n_name) as key, '00' as idx from nation where false",
+    index_by_region=f"select {code('r_regionkey', 2)} as key, '00' as idx from region where r_regionkey between 1 and 3",
+    index_signals=f"""select substr(municipality_code, 1, 2) as region_code, avg(price_growth_1y) / 4.0 as index_momentum_qoq,
+      coalesce(stddev_samp(price_growth_1y), 0.0) / 4.0 as volatility_qoq, null::DOUBLE as latest_index
+      from ({se_features_sql(lambda x, digits: x)}) where price_growth_1y is not null group by 1""")
+
+
 @register(r"""select page_id, text from (select page_id, text, row_number() over (partition by page_id order by i) as rn
   from (select page_id, i, list_aggregate(list_transform(list_filter(string_split_regex(regexp_extract(concat(part, '<p>'), '(?is)^(.*?)</?(?:p|div|ul|ol|dl|table|section|article|main|h[1-6])[\s>]', 1), '<[^>]*>'),
             lambda x: trim(x) <> ''), lambda x: trim(x)), 'string_agg', '') as text

@@ -213,14 +213,13 @@ def region_features(spark, sf):
     return out
 
 
-SE_YEARS = "o_orderdate < timestamp '2001-01-01'"
-
-
-@register(f"""select code as municipality_code, name as municipality_name, lower(name) as municipality_clean,
-  {rnd('price_growth_1y', 4)} as price_growth_1y, {rnd('price_growth_3y', 4)} as price_growth_3y, null::DOUBLE as latest_price_sqm,
-  population, {rnd('hhi', 6)} as employment_hhi, {rnd('latest * 1000.0 / 12.0', 4)} as latest_wage, {rnd('wage_growth_1y', 4)} as wage_growth_1y,
-  {rnd('permits_raw / nullif(population, 0) * 1000.0', 4)} as permits_per_1000, {rnd('permit_momentum', 4)} as permit_momentum,
-  {rnd('case when hi > lo then (ded - lo) / (hi - lo) else 0.5 end', 6)} as debt_burden_pct
+def se_features_sql(fix) -> str:
+    """The second country's features in SQL; `fix` rounds an expression to some digits, or leaves it."""
+    return f"""select code as municipality_code, name as municipality_name, lower(name) as municipality_clean,
+  {fix('price_growth_1y', 4)} as price_growth_1y, {fix('price_growth_3y', 4)} as price_growth_3y, null::DOUBLE as latest_price_sqm,
+  population, {fix('hhi', 6)} as employment_hhi, {fix('latest * 1000.0 / 12.0', 4)} as latest_wage, {fix('wage_growth_1y', 4)} as wage_growth_1y,
+  {fix('permits_raw / nullif(population, 0) * 1000.0', 4)} as permits_per_1000, {fix('permit_momentum', 4)} as permit_momentum,
+  {fix('case when hi > lo then (ded - lo) / (hi - lo) else 0.5 end', 6)} as debt_burden_pct
   from regions left join ({growth('price_sqm', 'municipality_code', 'year', 'price_sqm', 'price_growth_1y', 'price_growth_3y', 'l', 1, None)}) p on p.municipality_code = code
   left join (select municipality_code, round_even(sum(employed) * 2, 0)::DOUBLE as population from employment group by 1) q on q.municipality_code = code
   left join (select municipality_code, sum(employed * employed) / pow(sum(employed), 2) as hhi from employment where employed > 0 group by 1) h on h.municipality_code = code
@@ -229,21 +228,27 @@ SE_YEARS = "o_orderdate < timestamp '2001-01-01'"
      from (select *, {pct('permits', 'case when pv > 0 then pv end')} as m from (
         select *, lag(permits) over (partition by municipality_code order by quarter) as pv from permits)) group by 1) c on c.municipality_code = code
   left join (select *, min(ded) over () as lo, max(ded) over () as hi from (
-     select {code('c_nationkey')} as municipality_code, avg(c_acctbal) as ded from customer group by 1)) b on b.municipality_code = code""")
+     select {code('c_nationkey')} as municipality_code, avg(c_acctbal) as ded from customer group by 1)) b on b.municipality_code = code"""
+
+
+@register(se_features_sql(rnd))
 def region_features_from_dimension(spark, sf):
     """The second country's features: the region dimension is the base, growth is not rounded."""
+    out = sweden_features(se_tables(spark, sf), d.regions(spark, sf))[0]
+    digits = {"employment_hhi": 6, "debt_burden_pct": 6}
+    return out.select(*[
+        rounded(F.col(f.name), digits.get(f.name, 4)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in out.schema])
+
+
+def se_tables(spark, sf) -> dict[str, DataFrame]:
     wages = d.wages(spark, sf).select(F.substring("municipality_clean", 8, 9).alias("municipality_code"), "year", F.col("monthly_wage").alias("income_tkr"))
     debt = d.table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("municipality_code"), F.col("c_acctbal").alias("deduction_tkr"))
-    tables = {
+    return {
         "housing_prices": d.price_sqm(spark, sf).withColumnRenamed("price_sqm", "avg_price_tkr"),
         "population": d.employment(spark, sf).withColumnRenamed("employed", "population_half"),
         "employment": d.employment(spark, sf), "wages": wages,
         "construction": d.permits(spark, sf), "debt_burden": debt,
     }
-    out = sweden_features(tables, d.regions(spark, sf))[0]
-    digits = {"employment_hhi": 6, "debt_burden_pct": 6}
-    return out.select(*[
-        rounded(F.col(f.name), digits.get(f.name, 4)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in out.schema])
 
 
 # ---- normalisation and ranks -------------------------------------------------------------------
