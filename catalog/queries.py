@@ -581,12 +581,12 @@ def named_tables(spark, sf):
 
 @register("select code, name, region_code, region_name, case when n_nationkey % 2 = 0 then '99' else rent_zone end as rent_zone from regions join nation on n_name = name")
 def regions_from_document(spark, sf):
-    """The region dimension written as its JSON document (one entry per region) and loaded; even regions lack a zone."""
+    """The region dimension written as JSON documents, one for each county, and loaded; even regions lack a zone."""
     zone = F.when(F.substring("rent_zone", 2, 9).cast("int") % 2 == 1, F.col("rent_zone"))
     items = d.regions(spark, sf).withColumn("rent_zone", zone)
-    document = items.agg(F.collect_list(F.struct("*")).alias("municipalities"))
+    document = items.groupBy("region_code").agg(F.collect_list(F.struct("*")).alias("municipalities"))
     path = landing_path(spark)
-    document.select(F.to_json(F.struct("municipalities")).alias("value")).write.text(path)
+    document.select(F.to_json(F.struct("municipalities")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return T.load_regions(spark, path, "norway")
 
 

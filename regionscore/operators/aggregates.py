@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionscore.functions.ratios import pct_change, ratio, rounded
+from regionscore.landing import sized
 
 # Industry codes that hold totals.
 TOTAL_CODES = ("00-99", "00", "ALLE")
@@ -81,7 +82,7 @@ def permit_windows(permits: DataFrame, key: str, period: str = "quarter", value:
     )
     full = F.col("_quarters") >= 8
     sums = (
-        by_quarter.join(F.broadcast(newest), period)  # one row per quarter of the calendar
+        by_quarter.join(sized(newest), period)  # one row per quarter of the calendar
         .groupBy(key)
         .agg(
             F.max("_quarters").alias("_quarters"),
