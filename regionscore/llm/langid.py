@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regionscore.llm.common import as_bytes, blocks, key_and_text, quoted, text_column
+from regionscore.llm.common import as_bytes, blocks, free_name, key_and_text, quoted, text_column
 
 #: Label of texts without a letter.
 UNDETERMINED = "und"
@@ -221,7 +221,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def accept(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of `df`, all columns as they are, whose language is not rejected (see `predict`)."""
+    """The rows of `df`, all columns as they are, whose language is not rejected (see `predict`); an empty table stays empty."""
     shared, place = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,4 +231,5 @@ def accept(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
 
     letter = F.coalesce(F.col(quoted(text_col)).cast("string").rlike(r"\p{L}"), F.lit(False))
-    return df.select(*[F.col(quoted(c)) for c in df.columns], letter.alias("_letters")).mapInArrow(run, df.schema)
+    letter = letter.alias(free_name(df.columns, "letters"))
+    return df.select(*[F.col(quoted(c)) for c in df.columns], letter).mapInArrow(run, df.schema)
