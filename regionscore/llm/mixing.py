@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionscore.landing import land
-from regionscore.llm.common import quoted
+from regionscore.llm.common import free_name, quoted
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a leaf that one group of the order search holds, on average.
-GROUP = 10_000
+GROUP = 1_000
 _BIG = "decimal(38,0)"
 
 
@@ -144,10 +144,12 @@ def select(rows: DataFrame, planned: DataFrame, levels: Sequence[str], seed: int
 
 def mix(df: DataFrame, levels: Sequence[str], weights: Sequence[Column], part: tuple[int, int] = (1, 1), epochs: int = 4, seed: int = 0,
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of `df` mixed to the weights, all columns, with texts cut where the budget ends inside one.
+    """Rows of `df` mixed to the weights, all columns, with texts cut where the budget ends inside one, and with
+    `epoch` and `taken_tokens` (underscores before a name that `df` has already).
 
-    `weights` as in `leaf_budgets`, over the columns named in `levels`. NULL counts as the level's value ''. Tokens are words; a NULL text has
-    none, stays NULL, and goes with the others of its leaf. Repeated rows count each for itself; an empty table gives none.
+    `weights` as in `leaf_budgets`, over the columns named in `levels`. NULL counts as the level's value ''. Tokens are
+    words; a NULL text has none, stays NULL, and is taken with what stands around it in its leaf's order; a leaf without tokens
+    gives nothing. Repeated rows count each for itself; an empty table gives none.
     """
     made = [f"_level{k}" for k in range(len(levels))]
     text = F.col(quoted(text_col))
@@ -158,4 +160,5 @@ def mix(df: DataFrame, levels: Sequence[str], weights: Sequence[Column], part: t
     planned = plan(named, levels, weights, part, epochs, seed).select(*[F.col(c).alias(m) for c, m in zip(levels, made)], "budget", "whole", "part", "cut", "cut_tokens")
     taken = select(own, planned, made, seed)
     cut = F.when(F.col("taken_tokens") < F.col("n_tokens"), word_prefix(F.col("_row").getField(text_col), F.col("taken_tokens"))).otherwise(F.col("_row").getField(text_col))
-    return taken.select(*[cut.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in df.columns], "epoch", "taken_tokens")
+    return taken.select(*[cut.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in df.columns],
+                        F.col("epoch").alias(free_name(df.columns, "epoch")), F.col("taken_tokens").alias(free_name(df.columns, "taken_tokens")))
