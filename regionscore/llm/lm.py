@@ -382,10 +382,14 @@ def score(df: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: s
     both = df.select(F.col(quoted(id_col)).cast("bigint").alias("key"), F.col(quoted(text_col)).cast("string").alias("text"), F.coalesce(learn_from, F.lit(False)).alias("learns"))
     texts = both.filter("learns")
     counts = word_counts(texts, s)
-    v = vocabulary(counts, texts.count(), s)
+    number = texts.count()
+    v = vocabulary(counts, number, s)
+    # A hash lets about three times as many through as are wanted, so that no task hands over more than its share.
     order = F.xxhash64("key", "text")
-    start = F.pmod(F.xxhash64(order), F.greatest(F.length("text") - s.start_chars, F.lit(0)) + 1) + 1
-    chosen = texts.filter("text is not null").select(order.alias("h"), F.substring("text", start.cast("int"), F.lit(s.start_chars)).alias("text")).orderBy("h", "text").limit(s.start_texts)
+    share = min(1.0, 3.0 * s.start_texts / max(number, 1))
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - s.start_chars, F.lit(0)) + 1) + 1
+    chosen = texts.filter("text is not null").withColumn("h", order).filter(F.shiftrightunsigned("h", 11) / 2.0**53 < share)
+    chosen = chosen.select("h", F.substring("text", start.cast("int"), F.lit(s.start_chars)).alias("text")).orderBy("h", "text").limit(s.start_texts)
     m = train(texts, v, [r["text"] for r in chosen.collect()])
     shared = spark.sparkContext.broadcast((v, tables(spark, m)))
 
