@@ -8,8 +8,8 @@ What survives is verified on the sets themselves, exactly.
 Which points come into one tree: equal sets are one class. Two different sets that are similar enough share one of
 their first shingles in any order common to all sets; the order here puts often used shingles last (by counts in a
 table of fixed size), so that passages and lines that many documents share bring few sets together. The sets that
-share a first shingle are a block. All members of a block are first compared with its first member, which joins groups of near
-copies in linear work; only members of blocks that are not one component after that meet in a tree.
+share a first shingle are a block. All members of a block are first compared with one of them, that of the smallest document, which
+joins groups of near copies in linear work; only members of blocks that are not one component after that meet in a tree.
 """
 
 from __future__ import annotations
@@ -25,22 +25,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionscore.landing import land
-from regionscore.llm.common import add_up, as_bytes, blocks, key_and_text, mixed, quoted, sets_of, shingle_hashes, text_column, word_hashes
+from regionscore.llm.common import add_up, as_bytes, blocks, free_name, key_and_text, mixed, quoted, sets_of, shingle_hashes, text_column, word_hashes
 from regionscore.llm.components import components
 
 
 @dataclass(frozen=True)
 class Join:
-    """Words of a shingle, percent of intersection to union, coordinates of a point, counters of shingle use (a power
-    of two), entries of a tree's node, and members of a block that one group holds."""
+    """Words of a shingle, percent of intersection to union, shingles of a set for each coordinate of its point (half as
+    many at least), counters of shingle use (a power of two), entries of a tree's node, and members of a block that one
+    group holds."""
 
     words: int = 5
     percent: int = 80
-    groups: int = 128
+    crowd: int = 4
     counter_bits: int = 20
     fanout: int = 16
     chunk: int = 2048
 
+    def groups(self, n: int) -> int:
+        """Coordinates of the point of a set of n shingles: a power of two, so that sets of like size fit by adding neighbours."""
+        return 1 << max(4, (max(n, 1) - 1) // self.crowd).bit_length()
+
     def least_overlap(self, a, b):
         """Smallest overlap of sets of these sizes that links them."""
         return -(-self.percent * (a + b) // (100 + self.percent))
@@ -69,6 +74,16 @@ def set_id(shingles: np.ndarray) -> int:
     return int(np.array([a ^ (b << np.uint64(1))], np.uint64).view(np.int64)[0]) or 1
 
 
+def point(shingles: np.ndarray, groups: int) -> np.ndarray:
+    """Numbers of shingles by the first bits of their hashes."""
+    return np.bincount((shingles >> np.uint64(65 - groups.bit_length())).astype(np.int64), minlength=groups).astype("<u2")
+
+
+def folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points with fewer coordinates, sums of neighbours."""
+    return points if points.shape[1] == groups else points.reshape(len(points), groups, -1).sum(axis=2, dtype=points.dtype)
+
+
 SETS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("set", T.LongType()), T.StructField("data", T.BinaryType())])
 
@@ -77,10 +92,10 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
     """Landed row for each document: size, id and point of its set; and rows (n < 0) of the counters of shingle use."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = np.zeros(1 << join.counter_bits, np.uint32)
-        shift, top = np.uint64(64 - join.groups.bit_length() + 1), np.uint64(64 - join.counter_bits)
+        top = np.uint64(64 - join.counter_bits)
         for batch in blocks(batches):
             sets = shingle_sets(text_column(batch, "text"), join.words)
-            points = [np.bincount((s >> shift).astype(np.int64), minlength=join.groups).astype("<u4").tobytes() for s in sets]
+            points = [point(s, join.groups(len(s))).tobytes() for s in sets]
             every = np.concatenate(sets)
             np.add(used, np.bincount((every >> top).astype(np.int64), minlength=len(used)).astype(np.uint32), out=used)
             yield pa.RecordBatch.from_arrays([
@@ -94,10 +109,14 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
 
 
 def use_classes(counters: dict[int, np.ndarray]) -> np.ndarray:
-    """0 for shingles of usual use, then 1 and up for each doubling beyond four times the mean (8 at least)."""
+    """0 for shingles of usual use, then 1 and up for each doubling of what a counter has beyond that.
+
+    Many seldom used shingles share a counter; what they add up to, and the spread of it, is usual.
+    """
     used = np.concatenate([counters[k] for k in sorted(counters)])
-    usual = max(8.0, 4.0 * used.mean())
-    return np.where(used > usual, 1 + np.floor(np.log2(np.maximum(used, 1) / usual)), 0).astype(np.uint8)
+    middle = np.median(used)
+    beyond, usual = used - middle, 8 + 5 * np.sqrt(middle)
+    return np.where(beyond > usual, 1 + np.floor(np.log2(np.maximum(beyond, 1) / usual)), 0).astype(np.uint8)
 
 
 def first_shingles(docs: DataFrame, classes: np.ndarray, join: Join) -> DataFrame:
@@ -229,13 +248,14 @@ class Tree:
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, low, high = self.levels[depth]
             kept_q, kept_n = [], []
-            for a in range(0, len(query), 8192):
-                q, x = query[a:a + 8192], node[a:a + 8192]
+            size_of_step = max(1, (1 << 20) // points.shape[1])
+            for a in range(0, len(query), size_of_step):
+                q, x = query[a:a + size_of_step], node[a:a + size_of_step]
                 size = sizes[q]
                 good = (100 * high[x] >= join.percent * size) & (100 * size >= join.percent * low[x])
                 q, x, size = q[good], x[good], size[good]
                 least = join.least_overlap(size, np.maximum(low[x], -(-join.percent * size // 100)))
-                bound = np.minimum(points[q], upper[x]).sum(axis=1)
+                bound = np.minimum(points[q], upper[x]).sum(axis=1, dtype=np.int64)
                 kept_q.append(q[bound >= least])
                 kept_n.append(x[bound >= least])
             query, node = (np.concatenate(k) if k else np.zeros(0, np.int64) for k in (kept_q, kept_n))
@@ -247,19 +267,26 @@ class Tree:
         return query, self.rows[0][node]
 
 
-def _points(data: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(data.to_pylist()), "<u4").reshape(len(data), -1).astype(np.int64)
+def _points(data: list[bytes]) -> np.ndarray:
+    """Points of one number of coordinates as rows."""
+    return np.frombuffer(b"".join(data), "<u2").reshape(len(data), -1).astype(np.int32)
 
 
 def possible(pairs: DataFrame, join: Join) -> DataFrame:
     """Of the pairs `a, a_n, a_data, b, b_n, b_data` those whose points allow a link: distinct `a, b`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                bound = np.minimum(_points(part.column(2)), _points(part.column(5))).sum(axis=1)
-                good = bound >= join.least_overlap(part.column(1).to_numpy().astype(np.int64), part.column(4).to_numpy().astype(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], ["a", "b"]).filter(pa.array(good))
+            left, right = batch.column(2).to_pylist(), batch.column(5).to_pylist()
+            least = join.least_overlap(batch.column(1).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64))
+            sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)]) // 2
+            good = np.zeros(batch.num_rows, bool)
+            for p, q in np.unique(sizes, axis=0).tolist():
+                rows = np.flatnonzero((sizes[:, 0] == p) & (sizes[:, 1] == q))
+                for at in range(0, len(rows), max(1, (1 << 20) // max(p, q))):
+                    some = rows[at:at + max(1, (1 << 20) // max(p, q))]
+                    x, y = (folded(_points([of[i] for i in some]), min(p, q)) for of in (left, right))
+                    good[some] = np.minimum(x, y).sum(axis=1) >= least[some]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["a", "b"]).filter(pa.array(good))
 
     return pairs.select("a", "a_n", "a_data", "b", "b_n", "b_data").mapInArrow(run, "a bigint, b bigint")
 
@@ -317,14 +344,25 @@ def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return common.filter(F.lit(100) * F.col("i") >= F.lit(join.percent) * (F.col("p") + F.col("q") - F.col("i"))).select("a", "b")
 
 
-def unresolved(members: DataFrame, joined: DataFrame, described_sets: DataFrame, join: Join) -> DataFrame:
-    """Pairs in blocks whose members are not one component yet that size and trees leave possible: distinct `a, b`."""
-    # Blocks of two were compared when their member was.
-    rows = members.select("block", F.col("member").alias("id")).union(members.select("block", "first").distinct())
+def centred(members: DataFrame, one: DataFrame) -> DataFrame:
+    """Landed `block, id, n, centre, centre_n`: all members of each block, with the one that the smallest document has.
+
+    Copies come after what they were made from, so that is the member that most others are similar to.
+    """
+    rows = members.select("block", F.col("member").alias("id"), F.col("member_n").alias("n")).union(members.select("block", "first", "first_n").distinct())
+    known = rows.join(one.select("id", "least"), "id")
+    centre = known.groupBy("block").agg(F.min(F.struct("least", "id", "n")).alias("c")).select("block", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n"))
+    return land(rows.join(centre, "block"))
+
+
+def unresolved(rows: DataFrame, joined: DataFrame, described_sets: DataFrame, join: Join) -> DataFrame:
+    """Pairs in blocks whose members are not one component yet that size and trees leave possible: `a, b`."""
     rows = land(rows.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
-    open_blocks = rows.groupBy("block").agg(F.count("*").alias("m"), F.min("component").alias("main"), F.max("component").alias("other"))
-    open_blocks = land(open_blocks.filter("main < other and m > 2").select("block", "m", "main"))
-    rows = rows.join(open_blocks, "block")
+    # Blocks of two were compared when their member was.
+    main = F.max(F.when(F.col("id") == F.col("centre"), F.col("component")))
+    open_blocks = rows.groupBy("block").agg(F.count("*").alias("m"), main.alias("main"), F.min("component").alias("low"), F.max("component").alias("high"))
+    open_blocks = land(open_blocks.filter("low < high and m > 2").select("block", "m", "main"))
+    rows = rows.select("block", "id", "component").join(open_blocks, "block")
     rows = rows.withColumn("apart", F.col("component") != F.col("main"))
     others = rows.filter("apart").groupBy("block").agg(F.count("*").alias("m2"))
     rows = rows.join(others, "block").withColumn("cuts", F.ceil(F.col("m") / join.chunk).cast("int")).withColumn("cuts2", F.ceil(F.col("m2") / join.chunk).cast("int"))
@@ -335,7 +373,9 @@ def unresolved(members: DataFrame, joined: DataFrame, described_sets: DataFrame,
     queries = F.when(F.col("apart"), F.transform(spread(F.col("cuts")), lambda k: F.struct(k.alias("i"), j.alias("j"), F.lit(True).alias("query")))).otherwise(
         F.array().cast("array<struct<i:int,j:int,query:boolean>>"))
     met = rows.select("block", "id", "component", "apart", F.inline(F.concat(entries, queries)))
-    full = met.join(described_sets, "id").select(F.xxhash64("block", "i", "j").alias("g"), "id", "component", "apart", "query", "n", "data")
+    # With all its blocks (at most one for each of its first shingles), so that a pair counts in the first that both have.
+    known = described_sets.join(rows.groupBy("id").agg(F.collect_list("block").alias("blocks")), "id")
+    full = met.join(known, "id").select(F.xxhash64("block", "i", "j").alias("g"), "block", "id", "component", "apart", "query", "n", "data", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -356,19 +396,38 @@ def _meeting(rows: pa.Table, join: Join) -> pa.RecordBatch:
     """Possible links of each group's queries with its entries, of different components."""
     g, number, component, n = (rows.column(c).to_numpy() for c in ("g", "id", "component", "n"))
     apart, query = (rows.column(c).to_numpy().astype(bool) for c in ("apart", "query"))
-    points = _points(rows.column("data").combine_chunks())
-    n = n.astype(np.int64)
+    data, block, blocks_of = rows.column("data").to_pylist(), rows.column("block").to_pylist(), rows.column("blocks")
+    own_blocks: dict[int, set[int]] = {}
+
+    def first_met(i: int, j: int) -> bool:
+        """The two rows have no common block before this one."""
+        for k in (i, j):
+            if k not in own_blocks:
+                own_blocks[k] = set(blocks_of[k].as_py())
+        return min(own_blocks[i] & own_blocks[j]) == block[i]
+
+    n, width = n.astype(np.int64), np.array([len(x) for x in data]) // 2
     first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for start, stop in zip(first.tolist(), np.append(first[1:], len(g)).tolist()):
-        asks, entries = start + np.flatnonzero(query[start:stop]), start + np.flatnonzero(~query[start:stop])
-        if not len(asks) or not len(entries):
-            continue
-        p, q = Tree(points[entries], n[entries], join.fanout).near(points[asks], n[asks], join)
+
+    def meet(asks: np.ndarray, entries: np.ndarray, groups: int) -> None:
+        taken = lambda at: folded(_points([data[i] for i in at]), groups)
+        p, q = Tree(taken(entries), n[entries], join.fanout).near(taken(asks), n[asks], join)
         p, q = asks[p], entries[q]
         good = (component[p] != component[q]) & join.sizes_agree(n[p], n[q]) & (~apart[q] | (number[p] < number[q]))
-        a.append(number[p[good]])
-        b.append(number[q[good]])
+        p, q = p[good], q[good]
+        once = np.fromiter(map(first_met, p.tolist(), q.tolist()), bool, len(p))
+        a.append(number[p[once]])
+        b.append(number[q[once]])
+
+    for start, stop in zip(first.tolist(), np.append(first[1:], len(g)).tolist()):
+        asks, entries = start + np.flatnonzero(query[start:stop]), start + np.flatnonzero(~query[start:stop])
+        # Sets that can link have as many coordinates, or one twice as many as the other.
+        for w in np.unique(width[entries]).tolist():
+            own = entries[width[entries] == w]
+            for other in (w // 2, w, 2 * w):
+                if len(some := asks[width[asks] == other]):
+                    meet(some, own, min(w, other))
     a, b = np.concatenate(a), np.concatenate(b)
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"])
@@ -387,16 +446,20 @@ def links(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
         empty = sets.select(F.col("set").alias("a"), F.col("set").alias("b")).filter("false")
         return sets, empty
     members = block_members(first_shingles(docs, use_classes(counters), join), join)
-    one = land(sets.filter("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("data").alias("data")).withColumnRenamed("set", "id"))
-
-    agree = 100 * F.least("first_n", "member_n") >= join.percent * F.greatest("first_n", "member_n")
-    stars = members.filter(agree).select(F.col("first").alias("a"), F.col("member").alias("b")).distinct()
+    met = members.select(F.col("first").alias("set")).union(members.select("member")).distinct()
+    one = sets.filter("n > 0").join(met, "set", "left_semi").groupBy(F.col("set").alias("id")).agg(
+        F.coalesce(F.min("doc_id"), F.lit(2**63 - 1)).alias("least"), F.first("n").alias("n"), F.first("data").alias("data"))
+    one = land(one)
+    rows = centred(members, one)
+
+    agree = 100 * F.least("n", "centre_n") >= join.percent * F.greatest("n", "centre_n")
+    stars = rows.filter((F.col("id") != F.col("centre")) & agree).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     side = lambda x: one.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("data").alias(f"{x}_data"))
     stars = land(possible(stars.join(side("a"), "a").join(side("b"), "b"), join))
     ends = lambda pairs: pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     found = land(verified(stars, wanted_sets(docs, ends(stars), join), join))
 
-    more = land(unresolved(members, components(found), one, join).distinct().join(stars, ["a", "b"], "left_anti"))
+    more = land(unresolved(rows, components(found), one, join).distinct())
     return sets, land(found.union(verified(more, wanted_sets(docs, ends(more), join), join)))
 
 
@@ -428,20 +491,22 @@ def unique(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", join:
     join = join or Join()
     told = groups(df, id_col, text_col, join)
     key = F.coalesce("doc_id", F.lit(2**63 - 1))
-    kept = told.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct(key.alias("_key"), F.col("set").alias("_set"))).alias("k"))
-    kept = land(kept.select("k._key", "k._set"))
-    place = df.columns.index(text_col)
+    best = F.min(F.struct(key.alias("k"), F.col("set").alias("s")))
+    kept = land(told.filter("n_shingles > 0").groupBy("component").agg(best.alias("b")).select("b.k", "b.s"))
+    names = df.columns
+    own_key, own_set, own_row, stays = (free_name(names, x) for x in ("own_key", "own_set", "own_row", "stays"))
+    place = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             texts = pc.fill_null(batch.column(place).cast(pa.string()), "")
             numbers = [set_id(s) for s in shingle_sets(texts, join.words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "_set"])
-
-    own = df.select(*[F.col(quoted(c)) for c in df.columns], F.coalesce(F.col(quoted(id_col)).cast("bigint"), F.lit(2**63 - 1)).alias("_key"))
-    schema = T.StructType([*own.schema.fields, T.StructField("_set", T.LongType())])
-    rows = own.mapInArrow(run, schema)
-    empty = F.when(F.col("_set") == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    rows = rows.withColumn("_empty", empty).join(kept.withColumn("_kept", F.lit(True)), ["_key", "_set"], "left")
-    rows = rows.filter("_kept or _set = 0").dropDuplicates(["_key", "_set", "_empty"])
-    return rows.select(*[F.col(quoted(c)) for c in df.columns])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, own_set])
+
+    own = df.select(*[F.col(quoted(c)) for c in names], F.coalesce(F.col(quoted(id_col)).cast("bigint"), F.lit(2**63 - 1)).alias(own_key))
+    rows = own.mapInArrow(run, T.StructType([*own.schema.fields, T.StructField(own_set, T.LongType())]))
+    # A row without words is one of its own.
+    rows = rows.withColumn(own_row, F.when(F.col(own_set) == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    kept = kept.select(F.col("k").alias(own_key), F.col("s").alias(own_set), F.lit(True).alias(stays))
+    rows = rows.join(kept, [own_key, own_set], "left").filter(F.col(stays) | (F.col(own_set) == 0)).dropDuplicates([own_key, own_set, own_row])
+    return rows.select(*[F.col(quoted(c)) for c in names])
