@@ -71,3 +71,35 @@ def test_whole_table(spark):
     want = {d["doc_id"]: {name for line, name in lines.items() if line in (d["text"] or "")} for d in docs}
     got = {r["doc_id"]: r["license"] for r in QUERIES["op6_license_scan"](spark, sf).collect()}
     assert len(got) == len(docs) and all((got[k] in names) if names else got[k] is None for k, names in want.items())
+
+
+#: Notices as they stand in files, with names filled in; most were named after a sibling or missed.
+SIBLINGS = {
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-2.0": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL": "This work is licensed under the GNU General Public License.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "CC-BY-SA-3.0": "Licensed under CC BY-SA 3.0.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA": "Licensed under CC BY-NC-SA, see the site.", "CC0-1.0": "Licensed under CC0 1.0.", "EPL-2.0": "Licensed under the Eclipse Public License, Version 2.0.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.", "Apache-1.1": "Licensed under the Apache License, Version 1.1.", "Zlib": "Licensed under the zlib License.",
+}
+
+
+def test_siblings_are_told_apart(spark):
+    bsd = {n: licenses.TEMPLATES[f"BSD-{n}-Clause"][2] for n in (2, 3, 4)}
+    rows = [*SIBLINGS.items(), ("BSD-2-Clause", bsd[2]), ("BSD-2-Clause", licenses.TEMPLATES["BSD-2-Clause"][1]), ("MIT", licenses.TEMPLATES["MIT"][2]), ("MIT-0", licenses.TEMPLATES["MIT-0"][1]),
+            ("BSD-3-Clause", bsd[3].replace("the copyright holder nor", "Example Widgets Incorporated nor")), ("BSD-4-Clause", bsd[4].replace("the organization", "the University of Somewhere"))]
+    df = spark.createDataFrame([(i, corpus.sentence(i, 20) + "\n" + w + "\n" + corpus.sentence(i + 99, 20)) for i, (_, w) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(rows)}
+
+
+def test_every_wording_covers_its_whole_text(spark):
+    """The warranty of a whole text belongs to the stretch that is named."""
+    text = licenses.TEMPLATES["MIT"][2]
+    r = licenses.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert [(s["license"], s["start"], s["end"]) for s in r["spans"]] == [("MIT", 0, len(text) - 1)]
