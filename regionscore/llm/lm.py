@@ -2,19 +2,25 @@
 
 Counts of all words of the training texts are exact and stay distributed. The neural model predicts a class for each
 token from the two tokens before it: one of the most frequent words, the end, or one of `groups` groups (by the last
-bytes) of all other words, within which words go by their counts. A score is bilinear in the features of context and
-class, so tables of matrix products (context feature by class, for each of the two places) hold all of it, and the
-normaliser of every pair of contexts is worked out once, in batched matrix products. A token's probability is then
-exact and normalised: over all known words and one unknown word the probabilities add up to 1.
+bytes) of all other words. A group's words that occur `least` times or more have vectors of their own, as many as the
+corpus has (`frequent` at most): as targets in two more levels, a bin of the group and a word of the bin, each
+normalised over its few siblings, and as contexts, added to the features of their group. Other words of a group share
+one vector there and go by their counts.
+
+A score is bilinear in the features of context and class. For contexts without vectors of their own, tables of matrix
+products hold all of it with the normaliser of every pair; for others the normalisers are worked out by matrix products
+for each block of tokens. A token's probability is then exact and normalised: over all known words and one unknown
+word the probabilities add up to 1.
 
 Training reads all training texts: each task runs stochastic gradients over its own, from a start that a bounded
-sample gave, and the tasks' parameters are averaged by tokens.
+sample gave, and the tasks' parameters are averaged by tokens, a word's vectors by the tokens that met them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,28 +29,89 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionscore.landing import land
-from regionscore.llm.common import add_up, as_bytes, blocks, key_and_text, quoted, text_column, word_hashes
+from regionscore.llm.common import as_bytes, blocks, key_and_text, quoted, text_column, word_hashes
 
 
 @dataclass(frozen=True)
 class Settings:
     """Words with a class of their own, groups of the others, words whose counts are broadcast, width, and training.
 
+    Broadcast words that occur `least` times have vectors, trained in steps of `pace` against `siblings` noise words.
     `start_texts` windows of `start_chars` characters give the start of the training.
     """
 
     words: int = 767
     groups: int = 128
-    frequent: int = 65_536
+    frequent: int = 524_288
+    least: int = 5
     width: int = 24
     noise: int = 32
     batch: int = 2048
     rate: float = 0.4
+    siblings: int = 2
+    pace: float = 0.2
     start_texts: int = 400
     start_chars: int = 2000
     start_epochs: int = 4
 
 
+@dataclass
+class Tree:
+    """Words with vectors below the groups: `word` is the number of a frequent word (`words`: none).
+
+    Nodes are the words, bin after bin, then for each group its bins and what it has besides. Families of siblings are
+    the bins, then the groups; a family's nodes begin at `starts`. `base` is the log share of a node among its siblings by counts.
+    """
+
+    words: int
+    word: np.ndarray
+    bin_of: np.ndarray
+    bin_node: np.ndarray
+    rest: np.ndarray
+    rest_size: np.ndarray
+    starts: np.ndarray
+    base: np.ndarray
+
+    @property
+    def bins(self) -> int:
+        return len(self.starts) - 1 - len(self.rest)
+
+    def paths(self, group: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes of tokens of groups and their families: first all in their groups, then those (`has`) in their bins."""
+        has = np.flatnonzero(word < self.words)
+        bins = self.bin_of[word]
+        node = np.where(word < self.words, self.bin_node[bins], self.rest[group])
+        return np.concatenate((node, word[has])), np.concatenate((self.bins + group, bins[has])), has
+
+
+def grown(counts: np.ndarray, groups: np.ndarray, vectors: np.ndarray, rest: np.ndarray) -> Tree:
+    """The tree over the frequent words that `vectors` marks; `rest` is what else each group weighs."""
+    picked = np.flatnonzero(vectors)
+    picked = picked[np.lexsort((-counts[picked], groups[picked]))]
+    n, number = len(picked), len(rest)
+    word = np.full(len(counts), n)
+    word[picked] = np.arange(n)
+    many = np.bincount(groups[picked], minlength=number)
+    size = np.maximum(np.ceil(np.sqrt(many)).astype(np.int64), 1)
+    bins = -(-many // size)
+    first_word, first_bin = np.cumsum(many) - many, np.cumsum(bins) - bins
+    g = groups[picked]
+    bin_of = first_bin[g] + (np.arange(n) - first_word[g]) // size[g]
+    weight, total = counts[picked] + 1.0, int(bins.sum())
+    of_bin = np.bincount(bin_of, weight, total) if n else np.zeros(total)
+    group_of_bin = np.repeat(np.arange(number), bins)
+    bin_node = n + np.arange(total) + group_of_bin
+    rest_node = n + np.cumsum(bins + 1) - 1
+    base = np.zeros(n + total + number)
+    of_group = np.bincount(group_of_bin, of_bin, number) + rest if total else rest.astype(float)
+    base[:n] = np.log(weight / of_bin[bin_of])
+    base[bin_node] = np.log(of_bin / of_group[group_of_bin])
+    base[rest_node] = np.log(rest / of_group)
+    starts = np.concatenate((np.searchsorted(bin_of, np.arange(total)), rest_node - bins, [len(base)])).astype(np.int64)
+    pad = lambda x: np.append(x, 0).astype(np.int64)
+    return Tree(n, word, pad(bin_of), pad(bin_node), rest_node, rest, starts, base.astype(np.float32))
+
+
 @dataclass
 class Vocabulary:
     """Frequent words by sorted hash: their count and class (-1: by group). Classes: words, groups, then the end."""
@@ -59,11 +126,17 @@ class Vocabulary:
     tokens: int
     distinct: int
     class_counts: np.ndarray = field(default=None)
+    tree: Tree = field(default=None)
 
     @property
     def size(self) -> int:
         return self.settings.words + self.settings.groups + 1
 
+    @cached_property
+    def upto(self) -> np.ndarray:
+        """Shares of the tree's nodes added up; each family adds 1."""
+        return np.cumsum(np.exp(self.tree.base.astype(np.float64)))
+
     @property
     def end(self) -> int:
         return self.size - 1
@@ -132,25 +205,28 @@ def vocabulary(counts: DataFrame, texts: int, settings: Settings) -> Vocabulary:
         if room < 0:
             break
         least = r["s"]
-    rows = [] if least is None else counts.filter(step >= least).select("word", "grp", "c").collect()
-    rows.sort(key=lambda r: (-r["c"], r["word"]))
-    words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-    c, g = np.array([r["c"] for r in rows], np.int64), np.array([r["grp"] for r in rows], np.int64)
-    own = min(settings.words, len(rows))
+    rows = counts.filter(step >= least if least is not None else F.lit(False)).select("word", "grp", "c").toArrow()
+    words, g, c = (rows.column(x).to_numpy().astype(np.int64) for x in ("word", "grp", "c"))
+    by = np.lexsort((words, -c))
+    words, g, c = words[by].view(np.uint64), g[by], c[by]
+    own = min(settings.words, len(words))
     group_tokens, group_words = np.zeros(settings.groups), np.zeros(settings.groups)
     for r in counts.groupBy("grp").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         group_tokens[r["grp"]], group_words[r["grp"]] = r["c"], r["n"]
     tokens, distinct = int(group_tokens.sum()) + texts, int(group_words.sum()) + (texts > 0)
     np.subtract.at(group_tokens, g[:own], c[:own])
     np.subtract.at(group_words, g[:own], 1)
-    classes = np.full(len(rows), -1)
+    vectors = c >= settings.least
+    vectors[:own] = False
+    rest = group_tokens + group_words + 1 - np.bincount(g[vectors], c[vectors] + 1.0, settings.groups)
+    classes = np.full(len(words), -1)
     classes[:own] = np.arange(own)
     by = np.argsort(words)
     class_counts = np.zeros(settings.words + settings.groups + 1)
     class_counts[:own] = c[:own]
     class_counts[settings.words:-1] = group_tokens
     class_counts[-1] = texts
-    return Vocabulary(settings, words[by], c[by], classes[by], group_tokens, group_words, texts, tokens, distinct, class_counts)
+    return Vocabulary(settings, words[by], c[by], classes[by], group_tokens, group_words, texts, tokens, distinct, class_counts, grown(c[by], g[by], vectors[by], rest))
 
 
 def classes_of(v: Vocabulary, hashes: np.ndarray, groups: np.ndarray, doc: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -169,15 +245,141 @@ def classes_of(v: Vocabulary, hashes: np.ndarray, groups: np.ndarray, doc: np.nd
     return ids, found, one, two
 
 
+def words_of(v: Vocabulary, found: np.ndarray, doc: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of every token (words and ends) among the words with vectors, and of the two before it."""
+    none = v.tree.words
+    out = np.full(len(found) + texts, none)
+    out[np.arange(len(found)) + doc] = np.where(found >= 0, v.tree.word[found] if len(v.hashes) else none, none)
+    starts = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=texts) + 1)))[:-1]
+    one = np.concatenate(([none], out[:-1]))
+    one[starts] = none
+    two = np.concatenate(([none], one[:-1]))
+    two[starts] = none
+    return out, one, two
+
+
+@dataclass
+class Vectors:
+    """Vectors (with an offset) of the tree's nodes and what its words add to contexts (one row more, for none), and how often each was met."""
+
+    nodes: np.ndarray
+    own: np.ndarray
+    node_steps: np.ndarray = field(default=None)
+    own_steps: np.ndarray = field(default=None)
+    node_met: np.ndarray = field(default=None)
+    own_met: np.ndarray = field(default=None)
+
+    @staticmethod
+    def fresh(v: Vocabulary, kind=np.float32) -> Vectors:
+        n, d, w = len(v.tree.base), v.settings.width, v.tree.words + 1
+        return Vectors(np.zeros((n, d + 1), kind), np.zeros((w, d), kind))
+
+    def trained(self) -> Vectors:
+        self.node_steps, self.own_steps, self.node_met, self.own_met = (np.zeros(len(x), np.float32) for x in (self.nodes, self.own) * 2)
+        return self
+
+    def learn(self, v: Vocabulary, q: np.ndarray, ids: np.ndarray, word: np.ndarray, pace: float, random) -> np.ndarray:
+        """A step of noise-contrastive estimation among siblings, of the tokens that are in groups; what it tells the contexts."""
+        tree, k = v.tree, v.settings.siblings
+        at = np.flatnonzero((ids >= v.settings.words) & (ids < v.end))
+        nodes, family, has = tree.paths(ids[at] - v.settings.words, word[at])
+        token = np.concatenate((at, at[has]))
+        noise = np.searchsorted(v.upto, family[:, None] + random.random((len(family), k)))
+        noise = np.clip(noise, tree.starts[family][:, None], tree.starts[family + 1][:, None] - 1)
+        every = np.concatenate((nodes[:, None], noise), axis=1)
+        of, values = q[token], self.nodes[every]
+        # Siblings by counts are the noise and the start of the scores, so that the two cancel out.
+        x = np.einsum("nkd,nd->nk", values[:, :, :-1], of) + values[:, :, -1] - np.float32(np.log(k))
+        error = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        error[:, 0] -= 1
+        told = np.einsum("nk,nkd->nd", error, values[:, :, :-1])
+        back = np.zeros_like(q)
+        back[at] = told[:len(at)]
+        back[at[has]] += told[len(at):]
+        unit = np.concatenate((of / np.maximum(1, np.sqrt((of * of).sum(axis=1, keepdims=True))), np.ones((len(of), 1), np.float32)), axis=1)
+        _paced(self.nodes, self.node_steps, every.ravel(), (error * error).ravel(), (error[:, :, None] * unit[:, None, :]).reshape(-1, unit.shape[1]), pace)
+        np.add.at(self.node_met, nodes, np.float32(1))
+        return back
+
+    def learn_contexts(self, w1: np.ndarray, w2: np.ndarray, to_a: np.ndarray, to_b: np.ndarray, pace: float) -> None:
+        none = len(self.own) - 1
+        rows, values = np.concatenate((w1, w2)), np.concatenate((to_a, to_b))
+        has = np.flatnonzero(rows < none)
+        rows, values = rows[has], values[has]
+        if len(rows):
+            _paced(self.own, self.own_steps, rows, (values * values).sum(axis=1), values, pace)
+            np.add.at(self.own_met, rows, np.float32(1))
+
+    def packed(self) -> Iterator[tuple[int, bytes]]:
+        """Rows that were met, in blocks: even ones of the nodes, odd ones of the contexts."""
+        for kind, values, met in ((0, self.nodes, self.node_met), (1, self.own, self.own_met)):
+            rows = np.flatnonzero(met)
+            cut = np.searchsorted(rows, np.arange(0, len(met) + _ROWS, _ROWS))
+            for block, (a, b) in enumerate(zip(cut, cut[1:])):
+                if b > a:
+                    r = rows[a:b]
+                    yield 2 * block + kind, _pack(r - block * _ROWS, met[r], values[r])
+
+
+#: Rows of a block of vectors on the way.
+_ROWS = 1024
+
+
+def _pack(rows: np.ndarray, met: np.ndarray, values: np.ndarray) -> bytes:
+    return rows.astype("<u2").tobytes() + met.astype("<f4").tobytes() + values.astype("<f2").tobytes()
+
+
+def _unpack(data, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(data) // (6 + 2 * width)
+    return np.frombuffer(data, "<u2", n), np.frombuffer(data, "<f4", n, 2 * n), np.frombuffer(data, "<f2", n * width, 6 * n).reshape(n, width)
+
+
+def averaged(parts: DataFrame, width: int) -> list:
+    """One row for each `block`: sums of plain vectors (below 0), or the mean of each row of vectors by how often it was met."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block < 0:
+                    vector = np.frombuffer(data.as_buffer(), "<f8")
+                    sums[block] = sums[block] + vector if block in sums else vector.copy()
+                    continue
+                wide = width + 1 - block % 2
+                rows, met, values = _unpack(data.as_buffer(), wide)
+                if block not in sums:
+                    sums[block] = np.zeros((_ROWS, wide + 1))
+                sums[block][rows, 0] += met
+                sums[block][rows, 1:] += met[:, None] * values.astype(np.float64)
+        for block, x in sums.items():
+            if block >= 0:
+                rows = np.flatnonzero(x[:, 0])
+                data = _pack(rows, x[rows, 0], x[rows, 1:] / x[rows, :1])
+            else:
+                data = x.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
+
+    kind = "block int, data binary"
+    first = parts.repartition("block", F.pmod(F.spark_partition_id(), F.lit(4))).mapInArrow(run, kind)
+    return first.repartition("block").mapInArrow(run, kind).collect()
+
+
 @dataclass
 class Model:
-    """Features of contexts (one row more, for none) and classes, a matrix for each of the two places, and offsets."""
+    """Features of contexts (one row more, for none) and classes, a matrix for each of the two places, offsets, and vectors of words."""
 
     features: np.ndarray
     near: np.ndarray
     far: np.ndarray
     targets: np.ndarray
     bias: np.ndarray
+    vectors: Vectors | None = None
+
+    def inputs(self, one: np.ndarray, two: np.ndarray, w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of the two contexts, with what their words add."""
+        a, b = self.features[one], self.features[two]
+        if self.vectors is not None:
+            a, b = a + self.vectors.own[w1], b + self.vectors.own[w2]
+        return a, b
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.features, self.near, self.far, self.targets, self.bias)]).astype(np.float64)
@@ -211,16 +413,32 @@ def _add_rows(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     to[r[first]] += np.add.reduceat(values[by], first, axis=0)
 
 
-def step(m: Model, ids: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
+def _paced(to: np.ndarray, steps: np.ndarray, rows: np.ndarray, squares: np.ndarray, values: np.ndarray, pace: float) -> None:
+    """Steps against the values, shorter for rows that have taken many."""
+    if not len(rows):
+        return
+    by = np.argsort(rows, kind="stable")
+    r = rows[by]
+    first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+    r = r[first]
+    steps[r] += np.add.reduceat(squares[by], first)
+    moved = to[r] - (pace / np.sqrt(1 + steps[r]))[:, None] * np.add.reduceat(values[by], first, axis=0)
+    to[r] = np.clip(moved, -_LARGEST, _LARGEST)
+
+
+def step(m: Model, v: Vocabulary, tokens: tuple[np.ndarray, ...], noise: np.ndarray, log_noise: np.ndarray, rate: float, random) -> None:
     """A step of noise-contrastive estimation: true classes against noise words that the batch shares."""
+    ids, one, two, word, w1, w2 = tokens
     k = np.float32(np.log(len(noise)))
-    a, b = m.features[one], m.features[two]
+    a, b = m.inputs(one, two, w1, w2)
     q = a @ m.near + b @ m.far
     t = m.targets[ids]
     sigma = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     true = sigma((q * t).sum(axis=1) + m.bias[ids] - log_noise[ids] - k) - 1
     wrong = sigma(q @ m.targets[noise].T + m.bias[noise] - log_noise[noise] - k)
     back = true[:, None] * t + wrong @ m.targets[noise]
+    if m.vectors is not None:
+        back += m.vectors.learn(v, q, ids, word, v.settings.pace, random)
 
     def rates(weight: np.ndarray) -> np.ndarray:
         """Step of each row, by the weight of the tokens that meet it."""
@@ -236,6 +454,8 @@ def step(m: Model, ids: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.
     to_a, to_b = short(back @ m.near.T), short(back @ m.far.T)
     back = short(back)
     near, far = a.T @ back, b.T @ back
+    if m.vectors is not None:
+        m.vectors.learn_contexts(w1, w2, to_a, to_b, v.settings.pace)
     _add_rows(m.targets, ids, (-of_class[ids] * true)[:, None] * unit)
     _add_rows(m.targets, noise, -of_class[noise][:, None] * (wrong.T @ unit))
     _add_rows(m.bias, ids, -of_class[ids] * true)
@@ -248,19 +468,20 @@ def step(m: Model, ids: np.ndarray, one: np.ndarray, two: np.ndarray, noise: np.
         np.clip(x, -_LARGEST, _LARGEST, out=x)
 
 
-def learn(m: Model, v: Vocabulary, streams: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float, seed: int) -> int:
-    """Run over (class, class before, class before that); the tokens it has seen."""
+def learn(m: Model, v: Vocabulary, streams: Iterator[tuple[np.ndarray, ...]], rate: float, seed: int) -> int:
+    """Run over (class, class before, class before that, and the same of words with vectors); the tokens it has seen."""
     random, p = np.random.default_rng(seed), (v.class_counts + 1) / (v.class_counts.sum() + v.size)
     log_noise, upto, seen, steps = np.log(p).astype(np.float32), np.cumsum(p), 0, 0
-    for ids, one, two in streams:
-        order = random.permutation(len(ids))
-        for a in range(0, len(ids), v.settings.batch):
+    for tokens in streams:
+        n = len(tokens[0])
+        order = random.permutation(n)
+        for a in range(0, n, v.settings.batch):
             rows = order[a:a + v.settings.batch]
             noise = np.minimum(np.searchsorted(upto, random.random(v.settings.noise)), v.size - 1)
             # A short batch takes a shorter step, and steps get shorter with time.
-            step(m, ids[rows], one[rows], two[rows], noise, log_noise, rate * len(rows) / v.settings.batch / np.sqrt(1 + steps / _DECAY))
+            step(m, v, tuple(x[rows] for x in tokens), noise, log_noise, rate * len(rows) / v.settings.batch / np.sqrt(1 + steps / _DECAY), random)
             steps += 1
-        seen += len(ids)
+        seen += n
     return seen
 
 
@@ -269,32 +490,45 @@ def train(texts: DataFrame, v: Vocabulary, sample: list[str]) -> Model:
     s, start = v.settings, fresh(v)
     if sample:
         h, g, doc = tokenized(pa.array(sample, pa.string()), s.groups)
-        ids, _, one, two = classes_of(v, h, g, doc, len(sample))
+        ids, found, one, two = classes_of(v, h, g, doc, len(sample))
+        tokens = ids, one, two, *words_of(v, found, doc, len(sample))
         for epoch in range(s.start_epochs):
-            learn(start, v, iter([(ids, one, two)]), s.rate, epoch)
+            learn(start, v, iter([tokens]), s.rate, epoch)
     shared = texts.sparkSession.sparkContext.broadcast((v, start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, m = shared.value
         m = Model.of(m.flat(), own.size, own.settings.width)
+        m.vectors = Vectors.fresh(own).trained()
 
         def streams():
             for batch in blocks(batches):
                 h, g, doc = tokenized(text_column(batch, "text"), own.settings.groups)
-                ids, _, one, two = classes_of(own, h, g, doc, batch.num_rows)
-                yield ids, one, two
+                ids, found, one, two = classes_of(own, h, g, doc, batch.num_rows)
+                yield ids, one, two, *words_of(own, found, doc, batch.num_rows)
 
         seen = learn(m, own, streams(), own.settings.rate / 2, 1)
         if seen:
             flat = np.concatenate(([1.0], m.flat())) * seen
             cut = range(0, len(flat), 4096)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([flat[a:a + 4096].tobytes() for a in cut], pa.binary())], ["block", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - i for i in range(len(cut))], pa.int32()), pa.array([flat[a:a + 4096].tobytes() for a in cut], pa.binary())], ["block", "data"])
+            for block, data in m.vectors.packed():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
-    sums = add_up(texts.select("text").mapInArrow(run, "block int, data binary"), "f8")
+    sums = {r["block"]: r["data"] for r in averaged(texts.select("text").mapInArrow(run, "block int, data binary"), s.width)}
+    vectors = Vectors.fresh(v, np.float16)
     if not sums:
+        start.vectors = vectors
         return start
-    flat = np.concatenate([sums[k] for k in sorted(sums)])
-    return Model.of(flat[1:] / flat[0], v.size, s.width)
+    flat = np.concatenate([np.frombuffer(sums[k], "<f8") for k in sorted((k for k in sums if k < 0), reverse=True)])
+    for k in sums:
+        if k >= 0:
+            to = vectors.own if k % 2 else vectors.nodes
+            rows, _, values = _unpack(sums[k], to.shape[1])
+            to[k // 2 * _ROWS + rows.astype(np.int64)] = values
+    out = Model.of(flat[1:] / flat[0], v.size, s.width)
+    out.vectors = vectors
+    return out
 
 
 @dataclass
@@ -339,24 +573,59 @@ def tables(spark, m: Model) -> Tables:
     return Tables(near, far, m.bias, normaliser)
 
 
+#: Tokens whose scores of all classes are worked out at once.
+_AT_ONCE = 1024
+
+
+def modelled_log10(v: Vocabulary, m: Model, t: Tables, tokens: tuple[np.ndarray, ...]) -> np.ndarray:
+    """log10 of the probability of each token's class and, in a group, of its word, or of all words there that have no vector."""
+    ids, one, two, word, w1, w2 = tokens
+    none, out = v.tree.words, np.empty(len(ids))
+    a, b = m.inputs(one, two, w1, w2)
+    q = (a @ m.near + b @ m.far).astype(np.float32)
+    plain = (w1 == none) & (w2 == none)
+    out[plain] = t.log10(ids[plain], one[plain], two[plain]) * np.log(10)
+    others = np.flatnonzero(~plain)
+    for at in (others[i:i + _AT_ONCE] for i in range(0, len(others), _AT_ONCE)):
+        x = q[at] @ m.targets.T + m.bias
+        high = x.max(axis=1)
+        own = x[np.arange(len(at)), ids[at]] - high
+        x -= high[:, None]
+        np.exp(x, out=x)
+        out[at] = own - np.log(x.sum(axis=1, dtype=np.float64))
+    at = np.flatnonzero((ids >= v.settings.words) & (ids < v.end))
+    nodes, family, has = v.tree.paths(ids[at] - v.settings.words, word[at])
+    token = np.concatenate((at, at[has]))
+    by = np.argsort(family, kind="stable")
+    nodes, family, token, values = nodes[by], family[by], token[by], np.empty(len(by))
+    edges = np.flatnonzero(np.concatenate(([True], family[1:] != family[:-1]))) if len(by) else np.zeros(0, np.int64)
+    for i, j in zip(edges.tolist(), np.append(edges[1:], len(by)).tolist()):
+        first, end = v.tree.starts[family[i]], v.tree.starts[family[i] + 1]
+        of = m.vectors.nodes[first:end].astype(np.float32)
+        x = q[token[i:j]] @ of[:, :-1].T + (of[:, -1] + v.tree.base[first:end])
+        high = x.max(axis=1)
+        values[i:j] = x[np.arange(j - i), nodes[i:j] - first] - high - np.log(np.exp(x - high[:, None]).sum(axis=1, dtype=np.float64))
+    return (out + np.bincount(token, values, len(ids))) / np.log(10)
+
+
 PARTS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()),
     T.StructField("counted", T.DoubleType()), T.StructField("modelled", T.DoubleType()),
     T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
 
 
-def _parts(texts: pa.Array, keys: pa.Array, v: Vocabulary, t: Tables) -> pa.RecordBatch:
+def _parts(texts: pa.Array, keys: pa.Array, v: Vocabulary, m: Model, t: Tables) -> pa.RecordBatch:
     """What broadcast tables tell of each text, and the words (with their numbers) whose counts must be joined."""
     n = len(texts)
     h, g, doc = tokenized(texts, v.settings.groups)
     ids, found, one, two = classes_of(v, h, g, doc, n)
     text_of = np.repeat(np.arange(n), np.bincount(doc, minlength=n) + 1)
-    modelled = np.bincount(text_of, t.log10(ids, one, two), n)
+    word, w1, w2 = words_of(v, found, doc, n)
+    modelled = np.bincount(text_of, modelled_log10(v, m, t, (ids, one, two, word, w1, w2)), n)
     common = found >= 0
     counted = np.where(common, np.log10(v.counts[found] + 1.0) if len(v.counts) else 0.0, 0.0)
-    by_group = ~common | (v.classes[found] < 0 if len(v.classes) else True)
-    size = np.log10(v.group_tokens + v.group_words + 1)
-    modelled += np.bincount(doc, np.where(by_group, counted - size[g], 0.0), n)
+    by_count = (~common | (v.classes[found] < 0 if len(v.classes) else True)) & (word[np.arange(len(h)) + doc] == v.tree.words)
+    modelled += np.bincount(doc, np.where(by_count, counted - np.log10(v.tree.rest_size)[g], 0.0), n)
     counted = np.bincount(doc, counted, n) + np.log10(v.texts + 1.0)
     known = np.bincount(doc, common, n).astype(np.int64) + (v.texts > 0)
     # Distinct rare words of each text.
@@ -391,12 +660,12 @@ def score(df: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: s
     chosen = texts.filter("text is not null").withColumn("h", order).filter(F.shiftrightunsigned("h", 11) / 2.0**53 < share)
     chosen = chosen.select("h", F.substring("text", start.cast("int"), F.lit(s.start_chars)).alias("text")).orderBy("h", "text").limit(s.start_texts)
     m = train(texts, v, [r["text"] for r in chosen.collect()])
-    shared = spark.sparkContext.broadcast((v, tables(spark, m)))
+    shared = spark.sparkContext.broadcast((v, m, tables(spark, m)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, t = shared.value
+        own, learnt, t = shared.value
         for batch in blocks(batches):
-            yield _parts(text_column(batch, "text"), batch.column(0), own, t)
+            yield _parts(text_column(batch, "text"), batch.column(0), own, learnt, t)
 
     parts = land(key_and_text(df, id_col, text_col).mapInArrow(run, PARTS).withColumn("row", F.monotonically_increasing_id()))
     words = parts.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")

@@ -119,3 +119,44 @@ def test_normaliser_of_contexts_that_disagree(spark):
         for two in range(9):
             every = np.arange(8)
             assert abs((10 ** t.log10(every, np.full(8, one), np.full(8, two))).sum() - 1) < 1e-3
+
+
+def pairs(n, texts):
+    """Texts of one pair of words each, over and over; the words of all pairs are equally frequent."""
+    words = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) + "xy" for i in range(2 * n)]
+    return [f"{words[2 * (i % n)]} {words[2 * (i % n) + 1]} " * 30 for i in range(texts)]
+
+
+def test_context_tells_words_of_a_group(spark):
+    """Words without a class are told by their contexts too, and tell them: counts alone give each one in 120."""
+    df = spark.createDataFrame(list(enumerate(pairs(60, 960))), "doc_id bigint, text string").coalesce(2)
+    got = lm.score(df, F.lit(True), settings=lm.Settings(words=4, groups=2, width=16, batch=256)).collect()
+    assert sum(r["score"] for r in got) > 0.75 * sum(r["base_score"] for r in got)
+
+
+def test_vectors_grow_with_the_words(spark):
+    for n in (600, 3000):
+        df = spark.createDataFrame([(t,) for t in pairs(n, n)], "text string")
+        assert lm.vocabulary(lm.word_counts(df, lm.Settings()), n, lm.Settings()).tree.words == 2 * n - 767
+
+
+def test_words_of_groups_add_up_to_one(spark):
+    texts = [corpus.sentence(i % 9, 60) for i in range(60)]
+    settings = lm.Settings(words=20, groups=4, width=6)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = lm.word_counts(df, settings)
+    v = lm.vocabulary(counts, len(texts), settings)
+    m = lm.train(df, v, texts)
+    t = lm.tables(spark, m)
+    assert v.tree.words > 50 and np.abs(m.vectors.nodes).max() > 0.01 and np.abs(m.vectors.own).max() > 0.01
+    # Every class, every word with a vector, and what else each group has, after some contexts.
+    group = np.zeros(v.tree.words, np.int64)
+    by_hash = {r["word"]: r["grp"] for r in counts.collect()}
+    for h, w in zip(v.hashes.view(np.int64).tolist(), v.tree.word.tolist()):
+        if w < v.tree.words:
+            group[w] = by_hash[h]
+    ids = np.concatenate((np.arange(20), [v.end], 20 + group, 20 + np.arange(4)))
+    word = np.concatenate((np.full(21, v.tree.words), np.arange(v.tree.words), np.full(4, v.tree.words)))
+    for one, w1, two, w2 in ((0, v.tree.words, v.size, v.tree.words), (20 + group[3], 3, 5, v.tree.words), (20 + group[9], 9, 20 + group[7], 7)):
+        tokens = (ids, *(np.full(len(ids), x) for x in (one, two)), word, *(np.full(len(ids), x) for x in (w1, w2)))
+        assert abs((10 ** lm.modelled_log10(v, m, t, tokens)).sum() - 1) < 1e-4
