@@ -167,6 +167,12 @@ def block_members(firsts: DataFrame, join: Join) -> DataFrame:
                 out, long = _members(table, join, seen, long, whole=True)
                 if out.num_rows:
                     yield out
+            elif held and held[-1].column(0)[-1].as_py() != shingle[0]:
+                # A block starts with the batch: the one that was held ends before it.
+                out, long = _members(pa.Table.from_batches(held), join, seen, long, whole=True)
+                held = []
+                if out.num_rows:
+                    yield out
             held.append(batch.slice(last))
             if sum(b.num_rows for b in held) > 50_000:
                 out, long = _members(pa.Table.from_batches(held), join, seen, long, whole=False)

@@ -130,3 +130,12 @@ def test_blocks_larger_than_what_is_held(spark):
     rows = spark.range(120_000).select(F.lit(7).cast("bigint").alias("shingle"), (F.col("id") % 60_000).alias("set"), F.lit(10).alias("n"))
     got = jaccard.block_members(rows, jaccard.Join())
     assert got.count() == 59_999 and got.select("block", "first").distinct().collect() == [(7, 0)]
+
+
+def test_block_that_starts_with_a_batch(spark):
+    """A large block right after one that ends at the edge of an Arrow batch (10,000 rows) stays a block of its own."""
+    place = {r["id"]: r["p"] for r in spark.range(1, 1000).withColumn("p", F.expr("pmod(hash(id), 8)")).collect()}
+    after = next(k for k in range(2, 1000) if place[k] == place[1])
+    row = lambda n, shingle, first: spark.range(n).select(F.lit(shingle).cast("bigint").alias("shingle"), (F.col("id") + first).alias("set"), F.lit(10).alias("n"))
+    got = jaccard.block_members(row(10_000, 1, 0).union(row(70_000, after, 1_000_000)), jaccard.Join())
+    assert sorted(tuple(r) for r in got.groupBy("first", "block").count().select("first", "count").collect()) == [(0, 9_999), (1_000_000, 69_999)]
