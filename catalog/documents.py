@@ -594,11 +594,11 @@ def cube_slices_se(spark, sf):
 
 @register(f"""select {code('n_nationkey')} as code, null::VARCHAR as other, n_nationkey::DOUBLE as value from nation""")
 def cube_without_a_dimension(spark, sf):
-    """A dimension that no document has is NULL in every cell."""
-    n = d.table(spark, sf, "nation")
+    """A dimension that no document has is NULL in every cell; a document for each nation and each customer's."""
+    n = d.table(spark, sf, "nation").select("n_nationkey").union(d.table(spark, sf, "customer").select("c_nationkey"))
     one = F.struct(F.struct(F.array(d.code("n_nationkey")).alias("index")).alias("category"))
     doc = F.to_json(F.struct(F.array(F.lit("Region")).alias("id"), F.struct(one.alias("Region")).alias("dimension"), F.array(F.col("n_nationkey").cast("double")).alias("value")))
-    return cubes.jsonstat_to_long(n.select(doc.alias("doc")), ["Region", "Other"]).select(F.col("Region_code").alias("code"), F.col("Other").alias("other"), "value")
+    return cubes.jsonstat_to_long(n.select(doc.alias("doc")), ["Region", "Other"]).select(F.col("Region_code").alias("code"), F.col("Other").alias("other"), "value").distinct()
 
 
 @register("select country, listing_id, municipality_name, composite_score, rank, gross_yield_pct, bedrooms, rooms, fellesgjeld, monthly_fee from (select 'NO' as country, *, listing_id % 5 as bedrooms, null::BIGINT as rooms, listing_id * 2.0::DOUBLE as fellesgjeld, null::DOUBLE as monthly_fee from tiered union all select 'SE', *, null, listing_id % 5, null, listing_id * 2.0::DOUBLE from tiered)")
