@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regionscore.landing import land
-from regionscore.llm import bpe, chat, embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, warc
+from regionscore.llm import alignment, audit, bpe, chat, decontaminate, embeddings, fingerprints, jaccard, langid, licenses, lm, mixing, warc
 from regionscore.llm.common import crc_rest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +176,60 @@ def op10_byte_bpe(spark, sf):
     """Token ids of all documents and their decoding, as digests."""
     ranks, pattern = bpe.public_vocabulary(RANKS)
     return bpe.round_trip(table(spark, sf, "documents"), ranks, pattern)
+
+
+_ITEM_WORDS = _WORDS.replace(r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+@register(f"""
+with d as (select row_number() over () as row, doc_id, {_ITEM_WORDS} as ws from documents),
+i as (select coalesce(item_id::VARCHAR, '') as id, {_ITEM_WORDS} as ws from benchmark),
+n as (select id, unnest(case when len(ws) >= {decontaminate.WINDOW} then list_transform(range(1, len(ws) - {decontaminate.WINDOW - 2}), lambda k: array_to_string(ws[k:k + {decontaminate.WINDOW - 1}], ' '))
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as win, least(len(ws), {decontaminate.WINDOW}) as size from i),
+s as (select distinct size from n),
+p as (select row, unnest(range(1, len(ws) - size + 2)) as k, size, ws from d, s where len(ws) >= size),
+q as (select row, k, size, array_to_string(ws[k:k + size - 1], ' ') as win from p),
+f as (select distinct row, k, size, id from q join n using (win, size)),
+h as (select row, count(distinct k + j) as n_hit from f, unnest(range(size)) u(j) group by row),
+t as (select row, count(distinct id) as n_items, string_agg(distinct id, ',' order by id) as ids from f group by row)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (row) left join t using (row)""")
+def op11_decontaminate(spark, sf):
+    """Words of all documents that stand in a window of a benchmark item, and the items."""
+    return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register(f"""
+with recursive d as (select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part from documents),
+w as (select *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words from d),
+first as (select text, min(doc_id) as least from d group by text),
+good as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+m as (select part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT as mask, coalesce(good, false) as good, coalesce(toxic, false) as toxic
+  from w join first using (text) left join good using (doc_id)),
+o as (select '' as filter_order union all select filter_order || l from o, unnest(['A', 'B', 'C', 'D', 'E']) u(l) where position(l in filter_order) = 0),
+s as (select filter_order, step, substr(filter_order, step, 1) as letter, (1 << (ascii(substr(filter_order, step, 1)) - 65)) as bit,
+    list_sum([1 << (ascii(x) - 65) for x in string_split(substr(filter_order, 1, step - 1), '') if x <> '']) as before
+  from o, unnest(range(1, 6)) u(step) where length(filter_order) = 5),
+c as (select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from m group by all),
+r as (select part, filter_order, step, letter, coalesce(sum(n) filter (mask & (coalesce(before, 0)::INT | bit) = 0), 0) as kept,
+    coalesce(sum(n) filter (mask & bit <> 0 and mask & coalesce(before, 0)::INT = 0), 0) as removed,
+    coalesce(sum(n) filter (mask & bit <> 0 and mask & coalesce(before, 0)::INT <> 0), 0) as redundant, coalesce(sum(n) filter (mask = bit), 0) as unique_fails,
+    coalesce(sum(good) filter (mask & bit <> 0 and mask & coalesce(before, 0)::INT = 0), 0) as good_lost,
+    coalesce(sum(toxic) filter (mask & bit <> 0 and mask & coalesce(before, 0)::INT = 0), 0) as toxic_lost
+  from c, s group by part, filter_order, step, letter)
+select part, filter_order, step::INT as step, kept::BIGINT as kept, removed::BIGINT as removed, redundant::BIGINT as redundant, unique_fails::BIGINT as unique_fails,
+  good_lost::BIGINT as good_lost, toxic_lost::BIGINT as toxic_lost, (sum(removed) over (partition by part, letter))::BIGINT as shapley from r""")
+def op12_filter_audit(spark, sf):
+    """What each of five filters keeps and removes in all their orders, by language."""
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+ALIGNED_FILES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@register()
+def op13_token_alignment(spark, sf):
+    """Groups and links of two tokenizers' tokens in all documents, and how common the linked ids are."""
+    return alignment.measure(table(spark, sf, "documents"), *alignment.public_files(*ALIGNED_FILES))
