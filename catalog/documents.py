@@ -219,12 +219,13 @@ def _listed(pairs) -> str:
     return "(select * from (values " + ", ".join(f"({i}, '{n}', '{c}')" for i, (n, c) in enumerate(pairs)) + ") as l(i, place, code))"
 
 
-@register(f"""select c_custkey as listing_id, code as municipality_code, case when c_custkey % 2 = 0 then 1 else 3 end as match_stage
+@register(f"""select c_custkey as listing_id, case when c_custkey % 2 = 0 or length(place) >= 3 then code else '0000' end as municipality_code,
+    case when c_custkey % 2 = 0 then 1 when length(place) >= 3 then 3 else 0 end as match_stage
     from customer join {_listed(_PLACE_LIST)} l on c_custkey % {len(_PLACE_LIST)} = i
   union all select -c_custkey, case when c_custkey % 2 = 0 then l.code else x.code end, case when c_custkey % 2 = 0 then 1 when x.code = '0000' then 0 else 3 end
     from customer join {_listed(_DISTRICT_LIST)} l on c_custkey % {len(_DISTRICT_LIST)} = l.i join {_listed([(n, _inside(n)) for n, _ in _DISTRICT_LIST])} x on x.i = l.i""")
 def resolve_places(spark, sf):
-    """The fixed places of both countries: as a part of the address, and inside a sentence, where districts don't count."""
+    """The fixed places of both countries: as a part of the address, and inside a sentence, where districts and names of two letters don't count."""
     c = d.table(spark, sf, "customer").select("c_custkey")
     key = F.col("c_custkey")
 

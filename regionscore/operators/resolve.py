@@ -3,11 +3,12 @@
 The gazetteer is a dimension (alias, code, fuzzy_eligible) of any size. Every row gets a key of its own; the names
 that the stages 1-3 would accept are spread out once, met with the gazetteer in one join (a broadcast only by its
 true size), and the first in order of stage and place wins. What is left open is compared with similar names:
-distinct parts only, with names that length and common letters leave possible.
+distinct parts only, with names that an inverted index on pairs of letter pairs leaves possible.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -163,13 +164,72 @@ def _letters(text: Column) -> Column:
     return F.transform(keyed, lambda x: F.concat(x["c"], (1 - x["k"]).cast("string")))
 
 
-def similar_names(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
-    """`part, alias` of each distinct `part` with a name at least `cutoff` similar: the most similar, of equal ones the last.
+#: Names that one posting list holds; longer lists are dealt out by name, and the parts that ask for them go to every deal.
+POSTINGS = 10_000
+
+
+def _least_common(letters: Column, cutoff: float) -> Column:
+    """Letters in common blocks that two texts of so many letters together need at least."""
+    return F.ceil(letters * (cutoff / 2.0) - 1e-9).cast("int")
+
+
+def _grams(df: DataFrame, name: str) -> DataFrame:
+    """`name, size, at, gram`: pairs of neighbouring letters and their places, a start before and an end after the text."""
+    padded = F.concat(F.lit("\x01"), F.col(name), F.lit("\x02"))
+    size = F.length(name)
+    place = F.explode(F.sequence(F.lit(1), size + 1)).alias("at")
+    return df.select(name, size.alias("size"), padded.alias("_padded"), place).select(name, "size", "at", F.substr("_padded", F.col("at"), F.lit(2)).alias("gram"))
 
-    Lengths and shared letters bound the similarity from above. Texts that share enough letters share one of their
-    first letters in a common order, so the two sides meet in a join on those.
+
+def _postings(grams: DataFrame, frequency: DataFrame, name: str, cutoff: float) -> DataFrame:
+    """`key, name, size, at, then`: two grams of each text, rarest first, that a similar text has to share with it.
+
+    Texts of n and m letters with M letters in common blocks leave D = n + m - 2M unmatched, so the blocks are D + 1 at most
+    and hold M + 1 - D grams or more. The rarest two of those are among the first that remain when all but two of the
+    shared ones may come last. Grams that no name has can't be shared and take no place.
     """
     share = cutoff / (2.0 - cutoff)
+    other = F.sequence(F.ceil(F.col("size") * share - 1e-9).cast("int"), F.floor(F.col("size") / share + 1e-9).cast("int"))
+    needed = F.array_min(F.transform(other, lambda m: 3 * _least_common(F.col("size") + m, cutoff) + 1 - F.col("size") - m))
+    lists = grams.join(frequency, "gram").groupBy(name, "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram", "at"))).alias("all"))
+    lists = lists.withColumn("first", F.size("all") - needed + 2).filter("first >= 2")
+    lists = lists.select(name, "size", F.expr("slice(all, 1, first)").alias("grams"))
+    pairs = F.expr("flatten(transform(grams, (x, i) -> transform(slice(grams, i + 2, size(grams)), y -> struct(concat(x.gram, y.gram) as key, x.at as at, y.at as then))))")
+    return lists.select(F.col(name), "size", F.inline(pairs))
+
+
+def possible_names(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """`part, alias`, once or more: at least the pairs whose similarity reaches the cutoff, which must be above two thirds.
+
+    Both sides meet in an inverted index from two grams to texts. A meeting is kept if lengths allow the similarity and the
+    places of the two grams leave no more unmatched letters before, between and after them than it does.
+    """
+    names = names.select("alias").distinct()
+    named = _grams(names, "alias")
+    frequency = land(named.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    index = land(_postings(named, frequency, "alias", cutoff).withColumnsRenamed({"size": "alias_n", "at": "alias_at", "then": "alias_then"}))
+    asked = _postings(_grams(parts.select("part").distinct(), "part"), frequency, "part", cutoff)
+
+    hot = land(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > POSTINGS).select("key", F.expr(f"cast(n div {POSTINGS} as int)").alias("deals")))
+    if not hot.isEmpty():
+        index = index.join(hot, "key", "left").withColumn("deal", F.coalesce(F.pmod(F.xxhash64("alias"), F.col("deals") + 1).cast("int"), F.lit(0))).drop("deals")
+        asked = asked.join(hot, "key", "left").withColumn("deal", F.explode(F.sequence(F.lit(0), F.coalesce("deals", F.lit(0))))).drop("deals")
+    met = asked.join(index, [c for c in ("key", "deal") if c in index.columns])
+
+    both = F.col("size") + F.col("alias_n")
+    common = _least_common(both, cutoff)
+    # The two grams in order of place, in both texts.
+    first, last = F.least("at", "then"), F.greatest("at", "then")
+    alias_first, alias_last = F.least("alias_at", "alias_then"), F.greatest("alias_at", "alias_then")
+    unmatched = F.abs(first - alias_first) + F.abs(last - first - alias_last + alias_first) + F.abs(F.col("size") - last - F.col("alias_n") + alias_last)
+    kept = (F.least("size", "alias_n") >= common) & ((F.col("at") < F.col("then")) == (F.col("alias_at") < F.col("alias_then"))) & (unmatched <= both - 2 * common)
+    return met.filter(kept).select("part", "alias")
+
+
+def _by_letters(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """The same for any cutoff: texts that share enough letters share one of their first letters in a common order."""
+    share = cutoff / (2.0 - cutoff)
+
     def measured(df: DataFrame, name: str) -> DataFrame:
         out = df.select(F.col(name), F.length(name).alias(f"{name}_n"), _letters(F.col(name)).alias(f"{name}_letters"))
         shortest = F.ceil(F.col(f"{name}_n") * share - 1e-9)
@@ -177,17 +237,28 @@ def similar_names(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFram
         first = F.slice(F.col(f"{name}_letters"), F.lit(1), F.greatest(F.col(f"{name}_n") - least + 1, F.lit(1)).cast("int"))
         return out.select("*", F.explode(first).alias("letter"))
 
-    longest = names.agg(F.max(F.length("alias"))).first()[0] or 0
-    near = parts.select("part").distinct().filter(F.length("part") * share <= longest + 1e-9)
-    met = measured(near, "part").join(measured(names.select("alias"), "alias"), "letter")
+    met = measured(parts, "part").join(measured(names.select("alias"), "alias"), "letter")
     all_letters = F.col("part_n") + F.col("alias_n")
     bound = F.least(F.least("part_n", "alias_n"), F.size(F.array_intersect("part_letters", "alias_letters")))
-    possible = met.filter(2.0 * F.least("part_n", "alias_n") >= all_letters * cutoff - 1e-9).filter(2.0 * bound >= all_letters * cutoff - 1e-9)
-    possible = possible.select("part", "alias").distinct()
+    return met.filter(2.0 * F.least("part_n", "alias_n") >= all_letters * cutoff - 1e-9).filter(2.0 * bound >= all_letters * cutoff - 1e-9).select("part", "alias")
+
+
+def similar_names(parts: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """`part, alias` of each distinct `part` with a name at least `cutoff` similar: the most similar, of equal ones the last.
+
+    Above two thirds similar texts share two neighbouring pairs of letters or more, which an inverted index finds; a lower cutoff
+    falls back on single letters, which meet far more pairs.
+    """
+    share = cutoff / (2.0 - cutoff)
+    longest = names.agg(F.max(F.length("alias"))).first()[0] or 0
+    near = parts.select("part").distinct().filter((F.length("part") > 0) & (F.length("part") * share <= longest + 1e-9))
+    names = names.filter(F.length("alias") > 0)
+    possible = (possible_names if 3 * cutoff > 2.0 else _by_letters)(near, names, cutoff).distinct()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [similarity(a, p) for p, a in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            values = [similarity(a, p) if 2 * (Counter(a) & Counter(p)).total() >= cutoff * (len(a) + len(p)) - 1e-9 else 0.0 for p, a in pairs]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], ["part", "alias", "score"])
 
     scored = possible.mapInArrow(score, "part string, alias string, score double").filter(F.col("score") >= cutoff)

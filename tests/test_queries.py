@@ -25,6 +25,12 @@ def test_query_equals_sql(spark, duck, name):
     assert difference(df, duck, sql) is None
 
 
+def test_all_fixed_places(spark):
+    """The smallest table has fewer customers than there are places."""
+    sf = "/root/testdata/sf0.01"
+    assert difference(QUERIES["resolve_places"](spark, sf), connection(sf), ORACLE["resolve_places"]) is None
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
 

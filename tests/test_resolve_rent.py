@@ -86,6 +86,45 @@ def test_similar_names_lose_no_pair(spark, cutoff):
     assert {x.part: x.alias for x in got.collect()} == want
 
 
+def _words(r, n, letters, low=2, high=14):
+    return sorted({"".join(r.choice(letters) for _ in range(r.randint(low, high))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("cutoff", [0.68, 0.7, 0.75, 0.85])
+def test_index_keeps_every_similar_pair(spark, cutoff):
+    r = random.Random(int(cutoff * 1000))
+    for letters in ("ab", "abcdeø ", "aaaaabcdefghijklmnoprstuvåæø -"):
+        names = _words(r, 50, letters, 1)
+        parts = sorted({*_words(r, 80, letters, 1), *(n[1:] + n[:1] for n in names), *(n.replace("a", "") for n in names if n.replace("a", ""))})
+        met = resolve.possible_names(spark.createDataFrame([(p,) for p in parts], "part string"), spark.createDataFrame([(n,) for n in names], "alias string"), cutoff)
+        got = {tuple(x) for x in met.collect()}
+        assert {(p, n) for p in parts for n in names if difflib.SequenceMatcher(None, n, p, autojunk=False).ratio() >= cutoff} <= got
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzåæø", "eeeeeennnnnaaaaarrrrrtttllliiiooossdkggmvbufhpåøyjæ"])
+def test_few_pairs_meet_and_no_key_is_hot(spark, letters):
+    r = random.Random(8)
+    names, parts = _words(r, 3000, letters, 4, 12), _words(r, 3000, letters, 4, 12)
+    frames = spark.createDataFrame([(p,) for p in parts], "part string"), spark.createDataFrame([(n,) for n in names], "alias string")
+    met = resolve.possible_names(*frames, 0.7)
+    assert met.count() < 0.05 * len(names) * len(parts)
+    for df, name in zip(frames, ("part", "alias")):
+        grams = resolve._grams(df, name)
+        frequency = resolve._grams(frames[1], "alias").groupBy("gram").count().withColumnRenamed("count", "n")
+        keys = resolve._postings(grams, frequency, name, 0.7)
+        assert keys.groupBy("key").count().agg({"count": "max"}).first()[0] < 0.01 * keys.count()
+
+
+def test_long_posting_lists_are_dealt_out(spark, monkeypatch):
+    r = random.Random(9)
+    names = [f"kommune {w}" for w in _words(r, 120, "abcdef", 1, 5)]
+    parts = [f"kommune {w}" for w in _words(r, 60, "abcdef", 1, 5)]
+    frames = spark.createDataFrame([(p,) for p in parts], "part string"), spark.createDataFrame([(n,) for n in names], "alias string")
+    whole = sorted(map(tuple, resolve.possible_names(*frames, 0.75).collect()))
+    monkeypatch.setattr(resolve, "POSTINGS", 9)
+    assert sorted(map(tuple, resolve.possible_names(*frames, 0.75).collect())) == whole and whole
+
+
 def test_random_addresses_equal_a_plain_loop(spark):
     """Norwegian rules restated row by row: parts from the right, longest whole word, most similar name."""
     dim, aliases = dims(spark, "norway")
