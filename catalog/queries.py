@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import domain as d
@@ -14,7 +14,7 @@ from regionscore.functions.ratios import gross_yield, oversupply, risk_label, ro
 from regionscore.landing import land, landing_path
 from regionscore.operators import aggregates as agg
 from regionscore.operators import ranking, rent, timeseries
-from regionscore.operators.normalize import exact_median, minmax, minmax_unfilled
+from regionscore.operators.normalize import approximate_median, exact_median, minmax, minmax_unfilled
 from regionscore.operators.resolve import gazetteer
 from regionscore.plans import listings as L
 from regionscore.plans import regions as R
@@ -284,6 +284,20 @@ def exact_medians(spark, sf):
     return fixed(exact_median(rows, ["l_extendedprice", "l_quantity", "l_discount"], by=["l_returnflag"]))
 
 
+@register("""select l_returnflag, count(l_extendedprice) as n, true as price_in_bound, true as quantity_in_bound from lineitem group by 1""")
+def approximate_medians(spark, sf):
+    """Medians off by at most a thousandth of the rows in rank: a value's ranks are counted, and must reach that range."""
+    rows = d.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    found = approximate_median(rows, ["l_extendedprice", "l_quantity"], by=["l_returnflag"], accuracy=1000)
+    met = rows.join(F.broadcast(found.select("l_returnflag", F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("q"))), "l_returnflag")  # a row per flag
+
+    def near(column: str, at: str) -> Column:
+        n, below, upto = F.count(column), F.count_if(F.col(column) < F.col(at)), F.count_if(F.col(column) <= F.col(at))
+        return (below <= n / 2 + n / 1000 + 1) & (upto >= n / 2 - n / 1000 - 1)
+
+    return met.groupBy("l_returnflag").agg(F.count("l_extendedprice").alias("n"), near("l_extendedprice", "p").alias("price_in_bound"), near("l_quantity", "q").alias("quantity_in_bound"))
+
+
 def _percentile_sql(score: str, by: str = "", digits: int = 1) -> str:
     part = f"partition by {by} " if by else ""
     both = f"{by}, {score}" if by else score

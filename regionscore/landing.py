@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,12 @@ def land(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def land_observed(df: DataFrame, metrics: list[Column]) -> tuple[DataFrame, dict]:
+    """`land`, and aggregates of the rows from the pass that writes them, by name."""
+    seen = Observation()
+    return land(df.observe(seen, *metrics)), seen.get
+
+
 def sized(df: DataFrame) -> DataFrame:
     """A dimension that the optimizer can size: landed, so that its true size decides whether it is broadcast.
 

@@ -1,8 +1,8 @@
-"""Exact medians and min-max scaling that hold at any size.
+"""Exact and approximate medians, and min-max scaling, that hold at any size.
 
-`median` and `percentile` in Spark gather every distinct value of a group in one task. The exact
-median here narrows a histogram instead: doubles are binned by sign, exponent and leading mantissa
-bits, so each pass moves at most one row per bin and task, whatever the number or skew of values.
+`median` and `percentile` in Spark gather every distinct value of a group in one task. The exact median here takes two
+passes: a mergeable quantile sketch gives two values around the middle, and an exact pass counts what is below them and
+keeps the few values between them.
 """
 
 from __future__ import annotations
@@ -10,91 +10,80 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regionscore.landing import land
+from regionscore.landing import land, land_observed
+from regionscore.operators import cells
 
-# Bits of the mantissa that a histogram level resolves; the last level compares values themselves.
-LEVELS = (10, 24, 38)
+#: The sketch is off by at most n / ACCURACY ranks; the bracket reaches twice as far on both sides of the middle.
+ACCURACY = 1000
 
 
-def _with_place(values: DataFrame) -> DataFrame:
-    """Add the exponent `e` and the mantissa above it, `m` in [0, 1), of the size of `v`.
+def _clean(column: str) -> Column:
+    """The column as a double, NaN as NULL."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None))
 
-    The steps are separate projections, so that each is worked out once.
-    """
-    size = F.abs(F.col("v"))
-    finite = F.when((size > 0) & (size < F.lit(math.inf)), size)
-    guess = values.withColumn("_guess", F.floor(F.log2(finite)).cast("int"))
-    lead = guess.withColumn("_lead", size / F.pow(F.lit(2.0), F.col("_guess")))
-    # the logarithm may be off by one next to a power of two; dividing by the power is exact
-    high, low = F.col("_lead") >= 2.0, F.col("_lead") < 1.0
-    step = F.when(high, 1).when(low, -1).otherwise(0)
-    part = F.when(high, F.col("_lead") / 2.0).when(low, F.col("_lead") * 2.0).otherwise(F.col("_lead")) - 1.0
-    return lead.select(*values.columns, (F.col("_guess") + step).alias("e"), part.alias("m"))
-
-
-def _bin(level: int) -> Column:
-    """Bin number of `v` that grows with `v`, within one bin of the level before."""
-    cells = F.floor(F.col("m") * float(2 ** LEVELS[level])).cast("long")
-    if level == 0:
-        cells = (F.col("e") + 1100) * F.lit(2 ** LEVELS[0]) + cells
-        cells = F.when(F.abs(F.col("v")) == F.lit(math.inf), F.lit(2**31)).otherwise(cells)
-    return F.coalesce(F.signum("v") * cells, F.lit(0)).cast("long")
 
+def approximate_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
+    """A value of each column, per group, whose rank is off the middle by n / `accuracy` at most, from one pass.
 
-def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot(list(by), list(columns), "signal", "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    Columns without any value give NULL.
+    """
+    return df.groupBy(*by).agg(*[F.percentile_approx(_clean(c), F.lit(0.5), F.lit(accuracy)).alias(c) for c in columns])
 
 
-def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def exact_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Exact median of each column, per group: the mean of the two middle values if n is even.
 
-    Reads `df` four times, so give it a landed or otherwise cheap input. Groups in `by` must not be NULL. Columns without any value give NULL.
+    Reads `df` twice, so give it a landed or otherwise cheap input (once and at the end if `rows`, how many it has, is small). Groups
+    in `by` must not be NULL. Columns without any value give NULL.
     """
-    values = _long(df, columns, by)
     key = [*by, "signal"]
-    bins: list[str] = []
-    picked = None
-    for level in range(len(LEVELS)):
-        name = f"b{level}"
-        counts = _inside(values, picked, key, bins, [name]).groupBy(*key, *bins, name).agg(F.count(F.lit(1)).alias("n"))
-        picked = land(_pick(counts, picked, key, bins, name))
-        bins.append(name)
-    counts = _inside(values, picked, key, bins, []).groupBy(*key, *bins, "v").agg(F.count(F.lit(1)).alias("n"))
-    middle = _pick(counts, picked, key, bins, "v")
+    values = df.select(*by, *[_clean(c).alias(c) for c in columns]).unpivot(list(by), list(columns), "signal", "v").filter("v is not null")
+    if rows is not None and rows * len(columns) <= cells.FEW:
+        counts = values.groupBy(*key, F.lit(0).alias("zone"), "v").agg(F.count(F.lit(1)).alias("n"))
+        middle = _middle(counts, key, True)
+    else:
+        middle = _bracketed(df, values, columns, by)
     wide = [F.avg(F.when(F.col("signal") == c, F.col("v"))).alias(c) for c in columns]
     return middle.groupBy(*by).agg(*wide)
 
 
-def _inside(values: DataFrame, picked: DataFrame | None, key: list[str], bins: list[str], new: list[str]) -> DataFrame:
-    """Values in the bins that hold a middle rank, with their bin numbers, the `new` ones included.
-
-    `picked` is landed and tiny, so the join is a broadcast by its true size.
-    """
-    if not bins and not new:
-        return values
-    cells = _with_place(values).select(*values.columns, *[_bin(int(b[1:])).alias(b) for b in [*bins, *new]])
-    return cells if picked is None else cells.join(picked.select(*key, *bins).distinct(), [*key, *bins], "left_semi")
-
-
-def _pick(counts: DataFrame, picked: DataFrame | None, key: list[str], bins: list[str], name: str) -> DataFrame:
-    """The cells in which the middle ranks fall. Windows run over cells, never over rows."""
-    group = Window.partitionBy(*key, *bins)
-    upto = group.orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = counts.select("*", F.sum("n").over(upto).alias("_upto"))
-    if picked is None:
-        cells = cells.withColumn("_total", F.sum("n").over(group))
-        ranks = F.expr("array_distinct(array((_total + 1) div 2, _total div 2 + 1))")
-        cells = cells.select("*", F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("_below"))
+def _bracketed(df: DataFrame, values: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The middle cells of `values`; of those whose bracket missed them, should there be any, from all distinct values."""
+    key = [*by, "signal"]
+    around = F.array(F.lit(0.5 - 2 / ACCURACY), F.lit(0.5 + 2 / ACCURACY))
+    sketched = df.groupBy(*by).agg(*[F.percentile_approx(_clean(c), around, F.lit(ACCURACY)).alias(c) for c in columns])
+    if by:
+        brackets = land(sketched.unpivot(list(by), list(columns), "signal", "_ends"))
+        values = values.join(brackets, key)
     else:
-        targets = picked.select(*key, *bins, "rank", F.col("below").alias("_below"))
-        cells = cells.join(targets, [*key, *bins])
-    upper = F.col("_below") + F.col("_upto")
-    hit = (F.col("rank") <= upper) & (F.col("rank") > upper - F.col("n"))
-    return cells.filter(hit).select(*key, *bins, name, "rank", "n", (upper - F.col("n")).alias("below"))
+        ends = {c: e for c, e in sketched.first().asDict().items() if e}
+        chosen = F.lit(None).cast("array<double>")
+        for c, (low, high) in ends.items():
+            chosen = F.when(F.col("signal") == c, F.array(F.lit(float(low)), F.lit(float(high)))).otherwise(chosen)
+        values = values.withColumn("_ends", chosen)
+    low, high = F.get("_ends", F.lit(0)), F.get("_ends", F.lit(1))
+    zone = F.when(F.col("v") < low, -1).when(F.col("v") > high, 1).otherwise(0)
+    placed = values.select(*key, zone.alias("zone"), "v").withColumn("v", F.when(F.col("zone") == 0, F.col("v")))
+    counts = land(placed.groupBy(*key, "zone", "v").agg(F.count(F.lit(1)).alias("n")))
+    middle = land(_middle(counts, key, counts.count() <= cells.FEW))
+    missed = middle.filter("zone <> 0").select(*key).distinct()
+    if missed.isEmpty():
+        return middle
+    counts = land(values.join(missed, key, "left_semi").groupBy(*key, F.lit(0).alias("zone"), "v").agg(F.count(F.lit(1)).alias("n")))
+    again = _middle(counts, key, counts.count() <= cells.FEW)
+    return middle.join(missed, key, "left_anti").unionByName(again)
+
+
+def _middle(counts: DataFrame, key: list[str], few: bool) -> DataFrame:
+    """`key, zone, v, n` of the one or two cells that hold the middle ranks, once for each rank."""
+    counts = counts.withColumn("_some", F.lit(True))
+    placed = cells.running(counts, key, ["zone", "v", "_some"], few)
+    ranks = F.array((F.col("_all") + 1) / 2, F.col("_all") / 2 + 1)
+    rank = placed.select("*", F.explode(F.array_distinct(F.transform(ranks, lambda r: F.floor(r)))).alias("_rank"))
+    return rank.filter((F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_below") + F.col("n"))).select(*key, "zone", "v", "n")
 
 
 def scaled(value: Column, low: Column, high: Column, invert: bool = False) -> Column:
@@ -108,7 +97,7 @@ def scaled(value: Column, low: Column, high: Column, invert: bool = False) -> Co
 def _limits(df: DataFrame, signals: Sequence[str]) -> list[Column]:
     out = [F.count(F.lit(1)).alias("n")]
     for s in signals:
-        clean = F.nanvl(F.col(s).cast("double"), F.lit(None))
+        clean = _clean(s)
         out += [F.count_if(clean.isNull()).alias(f"{s}__null"), F.min(clean).alias(f"{s}__min"), F.max(clean).alias(f"{s}__max")]
     return out
 
@@ -116,23 +105,23 @@ def _limits(df: DataFrame, signals: Sequence[str]) -> list[Column]:
 def signal_stats(df: DataFrame, signals: Sequence[str]) -> dict[str, float | int | None]:
     """Rows (`n`), and per signal missing values, minimum, maximum and, where values are missing, median.
 
-    Filling gaps with the median changes neither minimum nor maximum, so those come from one
-    aggregation; medians are worked out only for signals that have gaps.
+    Only the signals are landed, and all but the medians comes from the pass that writes them. Filling gaps with the median changes
+    neither minimum nor maximum; medians are worked out only for signals that have gaps.
     """
-    stats = df.agg(*_limits(df, signals)).first().asDict()
+    rows, stats = land_observed(df.select(*signals), _limits(df, signals))
     gaps = [s for s in signals if stats[f"{s}__null"] and stats[f"{s}__min"] is not None]
-    medians = exact_median(df, gaps).first().asDict() if gaps else {}
+    medians = exact_median(rows, gaps, rows=stats["n"]).first().asDict() if gaps else {}
     return {**stats, **{f"{s}__median": medians.get(s) for s in signals}}
 
 
 def group_stats(df: DataFrame, signals: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The same per group, as a landed table with one row per group."""
     stats = land(df.groupBy(*by).agg(*_limits(df, signals)))
-    totals = stats.agg(*[
+    totals = stats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"), *[
         F.bool_or((F.col(f"{s}__null") > 0) & F.col(f"{s}__min").isNotNull()).alias(s) for s in signals]).first()
     gaps = [s for s in signals if totals[s]]
     if gaps:
-        medians = exact_median(df, gaps, by)
+        medians = exact_median(df, gaps, by, totals["_rows"])
         stats = land(stats.join(medians.select(*by, *[F.col(s).alias(f"{s}__median") for s in gaps]), list(by), "left"))
     return stats.select("*", *[F.lit(None).cast("double").alias(f"{s}__median") for s in signals if s not in gaps])
 
@@ -151,7 +140,7 @@ def minmax(df: DataFrame, signals: dict[str, bool], by: Sequence[str] = (), suff
         joined, limit = df, {c: F.lit(stats[c]).cast("double") for c in limits}
 
     def norm(s: str, invert: bool) -> Column:
-        value = F.coalesce(F.nanvl(F.col(s).cast("double"), F.lit(None)), limit[f"{s}__median"])
+        value = F.coalesce(_clean(s), limit[f"{s}__median"])
         return scaled(value, limit[f"{s}__min"], limit[f"{s}__max"], invert).alias(s + suffix)
 
     return joined.select(*df.columns, *[norm(s, invert) for s, invert in signals.items()])

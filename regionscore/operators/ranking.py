@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regionscore.functions.ratios import rounded
 from regionscore.landing import land
-
-# monotonically_increasing_id keeps the row number of a partition in its lower 33 bits.
-ROW_BITS = 33
-def _sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """The table landed in the given order, with the range `_part` a row is in and its place there, `_within` (from 0)."""
-    landed = land(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
-    within = F.col("_place").bitwiseAND(F.lit(2**ROW_BITS - 1))
-    return landed.select("*", F.shiftright("_place", ROW_BITS).alias("_part"), within.alias("_within")).drop("_place")
+from regionscore.operators import cells
+from regionscore.operators.cells import sort_by_range
 
 
 def _numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    rows = _sorted(df, order)
+    rows = sort_by_range(df, order)
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
@@ -38,34 +32,6 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> Data
     return _numbered(df, order, name).drop("_part")
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], add: Sequence[str]) -> DataFrame:
-    """Left join in which NULL keys meet, with the columns `add` of the right side."""
-    other = right.select(F.struct(*keys).alias("_other"), *add)
-    agree = None
-    for k in keys:
-        same = left[k].eqNullSafe(F.col("_other").getField(k))
-        agree = same if agree is None else agree & same
-    return left.join(other, agree, "left").drop("_other")
-
-
-def _ties(rows: DataFrame, at: str, by: Sequence[str], score: str) -> DataFrame:
-    """Add `_first` and `_last`, the first and the last number (`at`) of the rows that share group and score.
-
-    Within a range they come from its own rows. A score that goes over the border of ranges is the first or the last of
-    each range that it is in, and only those are put together across ranges; so no score is a key of the whole table.
-    """
-    key = [*by, score]
-    here = Window.partitionBy("_part", *key)
-    rows = land(rows.withColumn("_first", F.min(at).over(here)).withColumn("_last", F.max(at).over(here)))
-    ends = rows.groupBy("_part").agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
-    edge = _join_on(rows.select("_part", *key, "_first", "_last", F.col(at).alias("_at")), ends, ["_part"], ["_low", "_high"])
-    edge = edge.filter("_at = _low or _at = _high").select("_part", *key, "_first", "_last").distinct()
-    across = edge.groupBy(*key).agg(F.min("_first").alias("_g_first"), F.max("_last").alias("_g_last"), F.collect_set("_part").alias("_parts"))
-    across = land(across.filter(F.size("_parts") > 1).select(*key, "_g_first", "_g_last", F.explode("_parts").alias("_part")))
-    out = _join_on(rows, across, ["_part", *key], ["_g_first", "_g_last"])
-    return out.withColumn("_first", F.coalesce("_g_first", "_first")).withColumn("_last", F.coalesce("_g_last", "_last")).drop("_g_first", "_g_last")
-
-
 def _percentile(share: Column, digits: int | None) -> Column:
     return share if digits is None else rounded(share, digits)
 
@@ -73,28 +39,45 @@ def _percentile(share: Column, digits: int | None) -> Column:
 def percentile_rank(df: DataFrame, score: str, name: str, by: Sequence[str] = (), digits: int | None = 1) -> DataFrame:
     """Percentile with ties sharing their mean rank: (rows below + (ties + 1) / 2) / n * 100.
 
-    Rows without a score have none and don't count; rows without a group are a group of their own.
-    The rows are numbered by a range-partitioned sort, so neither a group nor a score is gathered.
+    Rows without a score have none and don't count; rows without a group are a group of their own. `df` is read twice: rows are
+    counted by group and score, the counts are added up, and each row looks its score up (see `cells`).
     """
+    return percentile_ranks(df, {score: name}, by, digits)
+
+
+def percentile_ranks(df: DataFrame, scores: Mapping[str, str], by: Sequence[str] = (), digits: int | None = 1) -> DataFrame:
+    """The percentiles of several scores, by the names of their columns, from one pass that counts; several are compared as doubles."""
     by = list(by)
-    rows = _numbered(df, [*[F.col(c).asc_nulls_first() for c in by], F.col(score).asc_nulls_last()], "_at")  # any order among ties will do
-    rows = _ties(rows, "_at", by, score)
-    if by:
-        groups = land(rows.groupBy(*by).agg(F.min("_at").alias("_start"), F.count(score).alias("_all")))
-        rows = _join_on(rows, groups, by, ["_start", "_all"])
-        start, known = F.col("_start"), F.col("_all")
-    else:
-        start, known = F.lit(1), F.lit(rows.agg(F.count(score)).first()[0])
-    share = ((F.col("_first") + F.col("_last")) / 2.0 - start + 1) / known * 100.0
-    return rows.select(*df.columns, F.when(F.col(score).isNotNull(), _percentile(share, digits)).alias(name))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    value = [F.struct(F.lit(s).alias("_signal"), F.col(s).cast(kinds[s] if len(scores) == 1 else "double").alias("_value")) for s in scores]
+    counts = df.select(*by, F.inline(F.array(*value))).groupBy(*by, "_signal", "_value").agg(F.count(F.lit(1)).alias("n"))
+    counts = land(counts)
+    size, total = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+    few = size <= cells.FEW
+    placed = cells.running(counts, [*by, "_signal"], ["_value"], few)
+    share = (F.col("_below") + (F.col("n") + 1) / 2.0) / F.col("_all") * 100.0
+    found = placed.select(*counts.columns, _percentile(share, digits).alias("_share"))
+    found = found if few else land(found)
+    out = df
+    for score, name in scores.items():
+        one = found.filter(F.col("_signal") == score).drop("_signal").withColumnsRenamed({"_value": score, "_share": name})
+        kept = out.drop(name)
+        out = cells.look_up(kept, one, by, score, name, (total or 0) // len(scores), few).select(*kept.columns, name)
+    return out
 
 
 def ranked(df: DataFrame, score: str, id_col: str, digits: int = 1) -> DataFrame:
-    """Add `rank` (best score first, then by id), `percentile` (as `percentile_rank`) and the number of rows, `_n`, from one sort."""
-    rows = _ties(_numbered(df, [F.col(score).desc_nulls_last(), F.col(id_col).asc()], "rank"), "rank", [], score)
-    known, n = rows.agg(F.count(score), F.count(F.lit(1))).first()
-    share = (F.lit(known) + 1 - (F.col("_first") + F.col("_last")) / 2.0) / known * 100.0 if known else F.lit(None).cast("double")
-    return rows.select(*df.columns, "rank", F.when(F.col(score).isNotNull(), _percentile(share, digits)).alias("percentile"), F.lit(n).alias("_n"))
+    """Add `rank` (best score first, then by id), `percentile` (as `percentile_rank`) and the number of rows, `_n`, from one sort.
+
+    Ties have the mean of the first and the last rank of their score, which each score's rows tell.
+    """
+    rows = _numbered(df, [F.col(score).desc_nulls_last(), F.col(id_col).asc()], "rank").drop("_part")
+    ties = land(rows.groupBy(score).agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("_first"), F.max("rank").alias("_last")))
+    size, n, known = ties.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col(score).isNotNull(), F.col("n"))), F.lit(0))).first()
+    share = (F.lit(known) + 1 - (F.col("_first") + F.col("_last")) / 2.0) / F.lit(float(max(known, 1))) * 100.0
+    found = ties.select(score, "n", _percentile(share, digits).alias("percentile"))
+    out = cells.look_up(rows.drop("percentile"), found, [], score, "percentile", n, size <= cells.FEW)
+    return out.select(*[c for c in df.columns if c not in ("rank", "percentile")], "rank", "percentile", F.lit(n).alias("_n"))
 
 
 def listing_tier(rank: Column, n: Column) -> Column:
@@ -118,7 +101,7 @@ def pareto_frontier(scores: DataFrame, x: str = "yield_score", y: str = "growth_
     """
     rows = scores if country is None else scores.filter(F.col("country") == country)
     best = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x).agg(F.max(y).alias("_best"))
-    best = _sorted(best, [F.col(x).desc()])
+    best = sort_by_range(best, [F.col(x).desc()])
     ranges = best.groupBy("_part").agg(F.max("_best").alias("_top"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select("_part", F.max("_top").over(before).alias("_over"))

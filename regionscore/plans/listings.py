@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from regionscore.functions.clean import strip, zone_key
 from regionscore.functions.ratios import gross_yield, ratio, risk_label, rounded
-from regionscore.landing import land, sized
+from regionscore.landing import sized
 from regionscore.operators.aggregates import first_by_key
 from regionscore.operators.normalize import scaled, signal_stats
 from regionscore.operators.ranking import listing_tier, ranked
@@ -135,7 +135,7 @@ def score_listings(
     """
     signals = _signals(listings)
     names = [c for c in signals.columns if c.startswith("_s_")]
-    stats = signal_stats(land(signals.select(*names)), names)
+    stats = signal_stats(signals, names)
     scored = _scores(signals, names, stats, macro, yield_weight, growth_weight, risk_penalty, weights)
     own = [c for c in listings.columns if c not in SCORES and c != "gross_yield_pct"]
     return scored.select(*own, "gross_yield_pct", *SCORES)

@@ -16,7 +16,7 @@ from regionscore.functions.ratios import oversupply, ratio, risk_label, rounded
 from regionscore.landing import land, with_constants
 from regionscore.operators.aggregates import latest_non_null
 from regionscore.operators.normalize import minmax
-from regionscore.operators.ranking import percentile_rank, region_tier
+from regionscore.operators.ranking import percentile_ranks, region_tier
 
 REGION = ["country", "region_code"]
 OBJECTIVES = {"yield": "yield_score", "growth": "growth_score", "balanced": "composite_score"}
@@ -137,9 +137,7 @@ def score_regions(
     check_weights(yield_weight, growth_weight)
     raw = region_signals(features, weights)
     scored = land(_scaled_scores(raw, F.lit(yield_weight), F.lit(growth_weight), risk_penalty))
-    for name in ("yield", "growth", "composite"):
-        scored = percentile_rank(scored, f"{name}_score", f"{name}_pct_rank", by=["country"])
-    return scored
+    return percentile_ranks(scored, {f"{name}_score": f"{name}_pct_rank" for name in ("yield", "growth", "composite")}, by=["country"])
 
 
 def _recommend(df: DataFrame, objective: str, top_n: int, group: list[str]) -> DataFrame:

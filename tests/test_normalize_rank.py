@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from regionscore.operators import normalize, ranking
+from regionscore.operators import cells, normalize, ranking
 
 
 def frame(spark, values):
@@ -60,12 +60,34 @@ def test_exact_median_by_group(spark, rows):
     assert rows(normalize.exact_median(df, ["v", "w"], by=["g"])) == [("a", 5.0, None), ("b", 6.5, 2.5)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64), min_size=1, max_size=40))
-def test_bins_grow_with_values(spark, values):
-    bins = [r for r in normalize._with_place(frame(spark, sorted(values))).select("v", normalize._bin(0).alias("b")).collect()]
-    order = sorted(bins, key=lambda r: r.v)
-    assert all(x.b <= y.b for x, y in zip(order, order[1:]))
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_medians_of_many_rows_come_from_a_bracket(spark, monkeypatch, few):
+    monkeypatch.setattr(cells, "FEW", few)
+    r = random.Random(5)
+    data = [(r.choice("abc"), r.choice([r.gauss(0, 1), 5.0, float("nan"), None, float("inf"), -float("inf")]), float(r.randint(0, 3))) for _ in range(9000)]
+    df = spark.createDataFrame(data, "g string, v double, w double").repartition(5)
+    clean = lambda xs: [x for x in xs if x is not None and x == x]
+    got = {x.g: (x.v, x.w) for x in normalize.exact_median(df, ["v", "w"], by=["g"]).collect()}
+    assert got == {g: tuple(statistics.median(clean([row[k] for row in data if row[0] == g])) for k in (1, 2)) for g in "abc"}
+    assert tuple(normalize.exact_median(df, ["v", "w"]).first()) == tuple(statistics.median(clean([row[k] for row in data])) for k in (1, 2))
+
+
+def test_a_bracket_that_misses_the_middle_is_given_up(spark, monkeypatch):
+    data = [(float(i), float(i % 7)) for i in range(2001)]
+    df = spark.createDataFrame(data, "v double, w double").repartition(4)
+    monkeypatch.setattr(normalize, "ACCURACY", -10)  # both ends at one side: 0.7 and 0.3
+    monkeypatch.setattr(normalize.F, "percentile_approx", lambda c, p, a, wrong=normalize.F.percentile_approx: wrong(c, normalize.F.array(normalize.F.lit(0.9), normalize.F.lit(0.95)), normalize.F.lit(1000)))
+    assert tuple(normalize.exact_median(df, ["v", "w"]).first()) == (1000.0, 3.0)
+
+
+def test_approximate_medians_are_within_their_rank_error(spark):
+    r = random.Random(6)
+    data = [(r.choice("ab"), r.paretovariate(1)) for _ in range(20_000)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(7)
+    for accuracy in (100, 10_000):
+        for g, v in normalize.approximate_median(df, ["v"], by=["g"], accuracy=accuracy).collect():
+            values = sorted(x for h, x in data if h == g)
+            assert abs(values.index(v) + 1 - len(values) / 2) <= len(values) / accuracy + 1
 
 
 def test_percentile_shares_ties(spark, rows):
@@ -79,8 +101,10 @@ def test_percentile_by_group(spark, rows):
         ("a", 1.0, 25.0), ("a", 2.0, 62.5), ("a", 2.0, 62.5), ("a", 4.0, 100.0), ("b", 7.0, 75.0), ("b", 7.0, 75.0), ("b", None, None), (None, 1.0, 100.0), (None, None, None)], key=repr)
 
 
-def test_percentile_of_scores_over_many_ranges(spark):
-    """A score that a third of the rows share goes over several ranges of the sort."""
+@pytest.mark.parametrize("few", [100_000, 20])
+def test_percentile_of_scores_over_many_ranges(spark, monkeypatch, few):
+    """A score that a third of the rows share, few cells in a window and many by ranges."""
+    monkeypatch.setattr(cells, "FEW", few)
     r = random.Random(8)
     data = [(i, r.choice(["a", "b", None]), r.choice([1.0, None, 5.0, 5.0, round(r.random(), 3)])) for i in range(4000)]
     df = spark.createDataFrame(data, "id int, g string, v double").repartition(16)
@@ -97,6 +121,40 @@ def test_percentile_of_scores_over_many_ranges(spark):
         assert (got[i].p, got[i].q) == (pytest.approx(want(everything, v)) if v is not None else None, pytest.approx(want(own, v)) if v is not None else None)
 
 
+def test_a_shared_score_and_missing_ones_are_dealt_out(spark, monkeypatch):
+    """Broadcasts off but for the bounded list of hot scores: no task gets more than twice the mean."""
+    monkeypatch.setattr(cells, "FEW", 20)
+    rows = spark.range(60_000).selectExpr("id", "case when id % 3 = 0 then 7.5 when id % 3 = 1 then null else id / 7.0 end as s", "map('a', id) as m")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = ranking.percentile_rank(rows, "s", "p", digits=None)
+        sizes = [n for _, n in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+        got = out.groupBy("p").count().filter("count > 1").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(x["count"] for x in got) == [20_000, 20_000] and sum(sizes) == 60_000
+
+
+def test_several_percentiles_from_one_pass(spark, rows):
+    df = spark.createDataFrame([(1, "a", 1.0, 5), (2, "a", 2.0, 5), (3, "b", None, 7), (4, None, 2.0, None)], "id int, g string, x double, y int")
+    got = ranking.percentile_ranks(df, {"x": "px", "y": "py"}, by=["g"])
+    assert got.columns == ["id", "g", "x", "y", "px", "py"]
+    assert rows(got, "id", "px", "py") == [(1, 50.0, 75.0), (2, 100.0, 75.0), (3, None, 100.0), (4, 100.0, None)]
+
+
+@pytest.mark.parametrize("few", [100_000, 2])
+def test_ranked_with_few_and_many_scores(spark, monkeypatch, few):
+    monkeypatch.setattr(cells, "FEW", few)
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else float(i % 7)) for i in range(200)], "id int, s double").repartition(6)
+    want = {r.id: r.p for r in ranking.percentile_rank(df, "s", "p").collect()}
+    got = ranking.ranked(df, "s", "id").collect()
+    assert {r.id: r.percentile for r in got} == want and sorted(r["rank"] for r in got) == list(range(1, 201))
+
+
 def test_ranked_gives_rank_and_percentile_from_one_sort(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 5.0), (4, None)], "id int, s double")
     assert sorted(tuple(r) for r in ranking.ranked(df, "s", "id").select("id", "rank", "percentile", "_n").collect()) == [(1, 2, 50.0, 4), (2, 1, 100.0, 4), (3, 3, 50.0, 4), (4, 4, None, 4)]
