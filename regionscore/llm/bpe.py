@@ -190,7 +190,7 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes and decodes texts; each match of the pattern is a piece of its own."""
+    """Encodes and decodes texts; each match of the pattern is a piece of its own. `forget` drops what texts have taught it."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -225,6 +225,10 @@ class Encoder:
                     del known[piece]
         return packed
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.vocabulary.apart.clear()
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed([text])[0], "<u4").tolist()
 
@@ -232,7 +236,8 @@ class Encoder:
         return b"".join(map(self.token_of.__getitem__, ids))
 
 
-#: One encoder for each rank file and pattern in a Python worker: the ranks are read once.
+#: One encoder for each rank file and pattern in a Python worker: the ranks are read once. A worker goes on to other stages, so
+#: remembered pieces and pairs are dropped at the end of a partition.
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
@@ -261,6 +266,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
             offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        e.forget()
 
     return key_and_text(df, id_col, text_col).mapInArrow(run, ENCODED)
 
@@ -292,6 +298,7 @@ def round_trip(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
                 of_ids.append(digest(packed))
                 of_bytes.append(digest(e.decode(ids.tolist())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)], DIGESTS.names)
+        e.forget()
 
     return key_and_text(df, id_col, text_col).mapInArrow(run, DIGESTS)
 

@@ -7,6 +7,7 @@ Distinct words (or shingles) share a hash with a probability of about pairs / 2*
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD_BYTE = _BYTE[_LOWER]
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_POWERS: list[np.ndarray] = []
+#: Bytes that one pass of hashing takes, and powers that the tables hold.
+SEGMENT = 1 << 16
 
 
 def key_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,17 +88,19 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int = 0) -> Iterator[pa.Reco
             yield batch.slice(a, b - a)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, `n` at least."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=np.uint64))
-        _POWERS[:] = made
-    return _POWERS[0], _POWERS[1]
+@functools.cache
+def _powers(base: int) -> np.ndarray:
+    """The first `SEGMENT` powers of the base modulo 2**64."""
+    steps = np.full(SEGMENT, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+def _segment_scales(base: int, n: int) -> np.ndarray:
+    """The base to the power of where each of `n` segments starts."""
+    steps = np.full(n, pow(base, SEGMENT, 2**64), np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -108,11 +113,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end)."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * up[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
+    """64-bit hashes of the byte spans [start, end).
+
+    Sums over the bytes are worked out for one segment after the other and kept only where spans start and end, so that memory
+    grows with the spans, not with eight bytes for each byte of a long text.
+    """
+    up, scales = _powers(_BASE), _segment_scales(_BASE, len(data) // SEGMENT + 1)
+    down, unscales = _powers(_INVERSE), _segment_scales(_INVERSE, len(data) // SEGMENT + 1)
+    sums = []
+    for places in (starts, ends):
+        order = None if (places[1:] >= places[:-1]).all() else np.argsort(places, kind="stable")
+        sums.append((places if order is None else places[order], order, np.zeros(len(places), np.uint64)))
+    before = np.zeros(1, np.uint64)
+    inside = np.zeros(SEGMENT + 1, np.uint64)
+    for k in range(len(scales)):
+        low, scale = k * SEGMENT, scales[k:k + 1]
+        part = table[data[low:low + SEGMENT]] * up[:len(data) - low]
+        np.cumsum(part, out=inside[1:len(part) + 1])
+        for places, _, at in sums:
+            a, b = np.searchsorted(places, [low, low + len(part) + (k + 1 == len(scales))])
+            at[a:b] = before + inside[places[a:b] - low] * scale
+        before = before + inside[len(part):len(part) + 1] * scale
+    for places, order, at in sums:
+        if order is not None:
+            at[order] = at.copy()
+    h = (sums[1][2] - sums[0][2]) * (down[starts % SEGMENT] * unscales[starts // SEGMENT])
     return mixed(h ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

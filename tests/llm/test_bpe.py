@@ -83,3 +83,13 @@ def test_neighbours_stay_as_merging_says(seed):
     for _ in range(2000):
         a, b = r.choice(ids), r.choice(ids[:3000])
         assert v.stays(a, b) == (v.merged(v.bytes_of[a] + v.bytes_of[b]) == [a, b])
+
+
+def test_pieces_are_forgotten(spark):
+    from regionscore.llm.queries import RANKS
+
+    e = bpe.encoder(*bpe.public_vocabulary(RANKS))
+    ids = e.encode("some words, some more")
+    assert e.known and e.vocabulary.apart
+    e.forget()
+    assert not e.known and not e.vocabulary.apart and e.encode("some words, some more") == ids
