@@ -508,10 +508,10 @@ def page_postal_blocks(spark, sf):
 # ---- slices of every source table ----------------------------------------------------------------
 
 
-def _slice_cube(spark, sf, spec: cubes.Slice, nation_rows: DataFrame) -> tuple[DataFrame, list[str]]:
-    """One cube per nation with all kept codes of the slice, one code that is not kept for each dimension, and six periods.
+def _slice_cube(spark, sf, spec: cubes.Slice) -> DataFrame:
+    """One cube per customer, its key kept, with all kept codes of the slice, one code that is not kept for each dimension, and six periods.
 
-    The value is the nation's sum of prices times the place of the cell among the cells, so that a wrong cell shows.
+    The value is the customer's balance times the place of the cell among the cells, so that a wrong cell shows.
     """
     named = [c.removesuffix("_code") for c in spec.columns if c.endswith("_code") and c != f"{spec.period}_code" and c.removesuffix("_code") not in spec.items]
     lists = {dim: [*codes, "zz"] for dim, codes in spec.items.items()}
@@ -522,12 +522,12 @@ def _slice_cube(spark, sf, spec: cubes.Slice, nation_rows: DataFrame) -> tuple[D
     for n in sizes:
         total *= n
     one = lambda codes: F.struct(F.struct(codes.alias("index")).alias("category"))
-    key = d.code("nation")
+    key = d.code("c_nationkey")
     label = F.struct(F.struct(F.array(key).alias("index"), F.create_map(key, F.concat(F.lit("Name "), key)).alias("label")).alias("category"))
     shape = F.struct(*[label.alias(n) for n in named], *[one(F.array(*map(F.lit, x))).alias(n) for n, x in lists.items()], one(F.array(*map(F.lit, periods))).alias(spec.period))
-    values = F.transform(F.sequence(F.lit(1), F.lit(total)), lambda i: F.round(F.col("p"), 2) * i)
+    values = F.transform(F.sequence(F.lit(1), F.lit(total)), lambda i: F.col("c_acctbal") * i)
     doc = F.to_json(F.struct(F.array(*map(F.lit, dims)).alias("id"), shape.alias("dimension"), values.alias("value")))
-    return cubes.jsonstat_to_long(nation_rows.select(doc.alias("doc")), dims), dims
+    return cubes.jsonstat_to_long(d.table(spark, sf, "customer").select("c_custkey", doc.alias("doc")), dims, keep=["c_custkey"])
 
 
 def _slice_sql(table: str, spec: cubes.Slice) -> str:
@@ -549,12 +549,13 @@ def _slice_sql(table: str, spec: cubes.Slice) -> str:
             codes = "[" + ", ".join(f"'{c}'" for c in spec.items[dim]) + "]"
             columns.append(f"{codes}[c{names.index(dim)} + 1] as {target}")
         else:
-            columns.append((f"{code('nation')}" if source.endswith("_code") else f"concat('Name ', {code('nation')})") + f" as {target}")
+            columns.append((f"{code('c_nationkey')}" if source.endswith("_code") else f"concat('Name ', {code('c_nationkey')})") + f" as {target}")
     if any(t == "municipality" for t in spec.columns.values()):
-        columns.append(f"concat('name ', {code('nation')}) as municipality_clean")
+        columns.append(f"concat('name ', {code('c_nationkey')}) as municipality_clean")
     at = " + ".join([*place, "t", "1"])
-    return f"""select '{table}' as slice, {{columns}} from (select {', '.join(columns)}, round(p, 2) * ({at}) as {spec.value}
-      from (select nation, sum(o_totalprice) as p from order_nation group by 1){froms}, (select unnest(range({6 - latest}, 6)) as t))"""
+    items = "concat_ws(' '" + "".join(f", {list(codes)}[c{i} + 1]" for i, codes in enumerate(spec.items.values())) + ")"
+    return f"""select '{table}' as slice, c_custkey, items, {{columns}} from (select c_custkey, {items} as items, {', '.join(columns)}, c_acctbal * ({at}) as {spec.value}
+      from customer{froms}, (select unnest(range({6 - latest}, 6)) as t))"""
 
 
 _SLICE_COLUMNS = ("municipality_code", "municipality", "municipality_clean", "municipality_name", "region_code", "region", "zone_code", "zone", "size_code", "industry_code", "industry", "year", "quarter", "period")
@@ -570,13 +571,15 @@ def _slices_sql(slices) -> str:
 
 
 def _slices(spark, sf, slices) -> DataFrame:
-    nations = land(d.order_nation(spark, sf, "o_totalprice").groupBy("nation").agg(F.sum("o_totalprice").alias("p")))
     out = None
     for name, spec in slices.items():
-        long, _ = _slice_cube(spark, sf, spec, nations)
-        rows = cubes.read_slice(land(long), spec)
+        long, path = _slice_cube(spark, sf, spec), landing_path(spark)
+        cubes.write_cube(long, path, spec.period)
+        codes = [f"{dim}_code" for dim in spec.items]
+        rows = cubes.stored_slice(spark, path, long.schema, spec, ["c_custkey", *[c for c in codes if c not in spec.columns]])
+        items = F.concat_ws(" ", *[spec.columns.get(c, c) for c in codes])
         columns = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in _SLICE_COLUMNS]
-        rows = rows.select(F.lit(name).alias("slice"), *columns, rounded(F.col(spec.value), 2).alias("value"))
+        rows = rows.select(F.lit(name).alias("slice"), "c_custkey", items.alias("items"), *columns, rounded(F.col(spec.value), 2).alias("value"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -593,13 +596,16 @@ def cube_slices_se(spark, sf):
     return _slices(spark, sf, cubes.SLICES_SE)
 
 
-@register(f"""select {code('n_nationkey')} as code, null::VARCHAR as other, n_nationkey::DOUBLE as value from nation""")
+@register(f"""select c_custkey as key, {code('c_nationkey')} as code, null::VARCHAR as other, c_nationkey::DOUBLE as value from customer
+  union all select -1 - n_nationkey, {code('n_nationkey')}, null, n_nationkey::DOUBLE from nation""")
 def cube_without_a_dimension(spark, sf):
     """A dimension that no document has is NULL in every cell; a document for each nation and each customer's."""
-    n = d.table(spark, sf, "nation").select("n_nationkey").union(d.table(spark, sf, "customer").select("c_nationkey"))
+    n = d.table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("key"), F.col("c_nationkey").alias("n_nationkey")).union(
+        d.table(spark, sf, "nation").select((-1 - F.col("n_nationkey")).cast("bigint"), "n_nationkey"))
     one = F.struct(F.struct(F.array(d.code("n_nationkey")).alias("index")).alias("category"))
     doc = F.to_json(F.struct(F.array(F.lit("Region")).alias("id"), F.struct(one.alias("Region")).alias("dimension"), F.array(F.col("n_nationkey").cast("double")).alias("value")))
-    return cubes.jsonstat_to_long(n.select(doc.alias("doc")), ["Region", "Other"]).select(F.col("Region_code").alias("code"), F.col("Other").alias("other"), "value").distinct()
+    long = cubes.jsonstat_to_long(n.select("key", doc.alias("doc")), ["Region", "Other"], keep=["key"])
+    return long.select("key", F.col("Region_code").alias("code"), F.col("Other").alias("other"), "value")
 
 
 @register("select country, listing_id, municipality_name, composite_score, rank, gross_yield_pct, bedrooms, rooms, fellesgjeld, monthly_fee from (select 'NO' as country, *, listing_id % 5 as bedrooms, null::BIGINT as rooms, listing_id * 2.0::DOUBLE as fellesgjeld, null::DOUBLE as monthly_fee from tiered union all select 'SE', *, null, listing_id % 5, null, listing_id * 2.0::DOUBLE from tiered)")

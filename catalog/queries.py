@@ -630,3 +630,15 @@ def radius_filter(spark, sf):
     c = d.table(spark, sf, "customer")
     placed = c.select("c_custkey", (59.0 + F.col("c_custkey") % 997 / 100.0).alias("lat"), (9.0 + F.col("c_acctbal") / 5000.0).alias("lon"))
     return L.within_radius(placed, 63.43049, 10.39506, 60000.0).select("c_custkey")
+
+
+@register("""select c_custkey, s_suppkey as centre_id from (select c_custkey, 59.0 + c_custkey % 997 / 100.0 as lat, 9.0 + c_acctbal / 5000.0 as lon from customer),
+    (select s_suppkey, 59.0 + s_suppkey % 89 / 10.0 as clat, 9.0 + s_acctbal / 5000.0 as clon, 1000.0 * (5 + s_suppkey % 13 * 8) as metres from supplier)
+  where asin(sqrt(pow(sin(radians(lat - clat) / 2), 2) + cos(radians(lat)) * cos(radians(clat)) * pow(sin(radians(lon - clon) / 2), 2))) * 2 * 6371000.0 <= metres""")
+def radius_of_many(spark, sf):
+    """Listings within a distance of each of many centres, every centre with a radius of its own."""
+    c, s = d.table(spark, sf, "customer"), d.table(spark, sf, "supplier")
+    placed = c.select("c_custkey", (59.0 + F.col("c_custkey") % 997 / 100.0).alias("lat"), (9.0 + F.col("c_acctbal") / 5000.0).alias("lon"))
+    centres = s.select(F.col("s_suppkey").alias("centre_id"), (59.0 + F.col("s_suppkey") % 89 / 10.0).alias("lat"), (9.0 + F.col("s_acctbal") / 5000.0).alias("lon"),
+                       (1000.0 * (5 + F.col("s_suppkey") % 13 * 8)).alias("metres"))
+    return L.near_centres(placed, centres).select("c_custkey", "centre_id")

@@ -12,6 +12,7 @@ from regionscore.functions.clean import strip, zone_key
 from regionscore.functions.ratios import gross_yield, ratio, risk_label, rounded
 from regionscore.landing import sized
 from regionscore.operators.aggregates import first_by_key
+from regionscore.operators.geo import near_centres, within_radius  # noqa: F401  (filters of listings)
 from regionscore.operators.normalize import scaled, signal_stats
 from regionscore.operators.ranking import listing_tier, ranked
 from regionscore.operators.rent import estimate_rent, resolve_zone
@@ -101,13 +102,6 @@ def filter_regions(listings: DataFrame, codes: list[str]) -> DataFrame:
     return listings.filter(F.col("municipality_code").isin(*codes))
 
 
-def within_radius(listings: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
-    """Listings whose `lat`/`lon` lie within a great-circle distance of a point."""
-    dlat, dlon = F.radians(F.col("lat") - lat), F.radians(F.col("lon") - lon)
-    h = F.pow(F.sin(dlat / 2), F.lit(2)) + F.cos(F.radians(F.col("lat"))) * F.cos(F.radians(F.lit(lat))) * F.pow(F.sin(dlon / 2), F.lit(2))
-    return listings.filter(F.asin(F.sqrt(h)) * (2 * 6_371_000.0) <= metres)
-
-
 def _known(value) -> float | None:
     return None if value is None or value != value else float(value)
 

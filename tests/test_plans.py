@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -87,6 +88,45 @@ def test_radius_and_city_filters(spark, rows):
     assert rows(L.filter_regions(df, ["5001"]), "id") == [("a",), ("c",)]
 
 
+def _far(a, b, c, e):
+    h = math.sin(math.radians(a - c) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(b - e) / 2) ** 2
+    return math.asin(min(1.0, math.sqrt(h))) * 2 * 6_371_000.0
+
+
+def _points(spark):
+    r = random.Random(11)
+    spots = [(r.uniform(-90, 90), r.uniform(-180, 180)) for _ in range(300)] + [(r.choice([89.9, -89.95, 0.0, 59.9]) + r.uniform(-0.1, 0.1), r.choice([180.0, -180.0, 179.9, -179.9, 10.0]) + r.uniform(-0.2, 0.2)) for _ in range(300)]
+    spots = [(max(-90.0, min(90.0, a)), b) for a, b in spots] + [(90.0, 0.0), (-90.0, 5.0), (0.0, 180.0), (0.0, -180.0), (59.9, 370.1), (None, 1.0), (1.0, None)]
+    return spots, spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "id int, lat double, lon double").repartition(4)
+
+
+CENTRES = [(0, 89.95, 10.0, 30_000.0), (1, -89.99, 0.0, 5_000.0), (2, 0.0, 179.95, 20_000.0), (3, 0.0, -179.99, 15_000.0), (4, 59.9, 10.0, 12_000.0), (5, 10.0, 10.0, 9_000_000.0),
+           (6, 0.0, 0.0, 30_000_000.0), (7, 59.9, 10.0, 0.0), (8, 60.0, 10.1, 400.0), (9, 80.0, -170.0, 2_000_000.0)]
+
+
+def test_near_centres_equal_all_pairs(spark, rows):
+    spots, points = _points(spark)
+    centres = spark.createDataFrame([*CENTRES, (20, None, 1.0, 5.0), (21, 1.0, 1.0, None), (22, 1.0, 1.0, -3.0)], "centre_id int, lat double, lon double, metres double")
+    want = sorted((i, k) for i, (a, b) in enumerate(spots) if a is not None and b is not None for k, c, e, m in CENTRES if _far(a, b, c, e) <= m)
+    assert sorted(rows(L.near_centres(points, centres), "id", "centre_id")) == want
+    assert L.near_centres(points, centres.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("centre", CENTRES)
+def test_the_box_around_a_circle_loses_no_point(spark, rows, centre):
+    spots, points = _points(spark)
+    _, lat, lon, metres = centre
+    want = sorted((i,) for i, (a, b) in enumerate(spots) if a is not None and b is not None and _far(a, b, lat, lon) <= metres)
+    assert sorted(rows(L.within_radius(points, lat, lon, metres), "id")) == want
+
+
+def test_the_box_is_pushed_to_the_files(spark, tmp_path):
+    _points(spark)[1].write.parquet(str(tmp_path / "points"))
+    plan = L.within_radius(spark.read.parquet(str(tmp_path / "points")), 59.9, 10.0, 5000.0)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters")[1]
+    assert "GreaterThanOrEqual(lat" in pushed and "LessThanOrEqual(lat" in pushed and "lon" in pushed
+
+
 # ---- region model ------------------------------------------------------------------------------
 
 

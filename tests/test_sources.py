@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from regionscore import schemas
 from regionscore.sources import cubes, tables
@@ -116,3 +117,19 @@ def test_ragged_rows_and_fixed_columns(spark, rows):
     assert rows(tables.union_ragged([a, b]), "i", "s", "d") == [(1, "x", None), (2, None, 0.5)]
     out = tables.with_columns_in_order(a, schemas.RENT_GRID)
     assert out.columns == ["zone", "sqm", "monthly_rent"] and tuple(out.first()) == (None, None, None)
+
+
+def test_stored_cubes_read_only_the_latest_periods(spark, tmp_path, rows):
+    spec = cubes.SLICES_NO["construction"]
+    data = [(r, f"Name {r}", b, f"202{q // 4}K{q % 4 + 1}", float(q)) for r in ("0301", "4601") for b in ("111", "142", "zz") for q in range(10)]
+    long = spark.createDataFrame(data, "Region_code string, Region string, Byggeareal_code string, Tid_code string, value double")
+    path = str(tmp_path / "cube")
+    cubes.write_cube(long, path, "Tid")
+    cubes.write_cube(long.limit(0), path, "Tid")
+    got = cubes.stored_slice(spark, path, long.schema, spec, ["Byggeareal_code"])
+    want = cubes.read_slice(long, spec, ["Byggeareal_code"])
+    assert got.columns == want.columns and rows(got) == rows(want) and got.count() == 2 * 2 * 8
+    assert len({r.f.rsplit("/", 2)[1] for r in got.select(F.input_file_name().alias("f")).collect()}) == 8
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2020K3" in plan.split("PartitionFilters")[1]
+    assert rows(cubes.stored_slice(spark, path, long.schema, cubes.replace(spec, latest=None)))  == rows(cubes.read_slice(long, cubes.replace(spec, latest=None)))
