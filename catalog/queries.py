@@ -14,6 +14,7 @@ from regionscore.functions.ratios import gross_yield, oversupply, risk_label, ro
 from regionscore.landing import land, landing_path
 from regionscore.operators import aggregates as agg
 from regionscore.operators import ranking, rent, timeseries
+from regionscore.operators.colocate import bucketed
 from regionscore.operators.normalize import approximate_median, exact_median, minmax, minmax_unfilled
 from regionscore.operators.resolve import gazetteer
 from regionscore.plans import listings as L
@@ -356,6 +357,15 @@ def enriched(spark, sf) -> DataFrame:
     return L.enrich_listings(rows, features, grid, index, d.dimensions(spark, sf))
 
 
+@register("select listing_id, municipality_code, population, employment_hhi from listings left join (select municipality_code, population, employment_hhi from features) using (municipality_code)")
+def colocated_features(spark, sf):
+    """Listings kept in buckets by region, joined with region features without moving the listings again."""
+    rows = land(d.listings(spark, sf))
+    features = norway_features(d.norway_tables(spark, sf, rows))[0].select("municipality_code", "population", "employment_hhi")
+    kept = bucketed(rows.select("listing_id", "municipality_code"), "municipality_code", 32)
+    return kept.join(features).select("listing_id", "municipality_code", "population", "employment_hhi")
+
+
 def macro(spark, sf) -> dict:
     return timeseries.macro_signals(d.series(spark, sf).filter("country = 'O'")).first().asDict()
 
