@@ -189,8 +189,13 @@ def sets_of(hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
-def add_up(parts: DataFrame, dtype: str) -> dict[int, np.ndarray]:
-    """Sums by `block` of the vectors in `data` (bytes of `dtype`), one vector for each of a fixed number of blocks.
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts as unsigned integers of as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def add_up(parts: DataFrame, width: int) -> dict[int, np.ndarray]:
+    """Sums by `block` of the vectors in `data` (`width` unsigned integers of any size), one vector for each of a fixed number of blocks.
 
     Each task adds up what it reads while it reads; a second round adds up the few results of each block.
     """
@@ -198,14 +203,18 @@ def add_up(parts: DataFrame, dtype: str) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                vector = np.frombuffer(data.as_buffer(), dtype)
+                vector = _counts(data.as_buffer(), width)
                 if block in sums:
                     sums[block] += vector
                 else:
-                    sums[block] = vector.copy()
+                    sums[block] = vector.astype(np.uint64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([narrow(v) for v in sums.values()], pa.binary())], ["block", "data"])
 
     kind = "block int, data binary"
-    first = parts.select("block", "data").repartition("block", F.pmod(F.spark_partition_id(), F.lit(64))).mapInArrow(run, kind)
-    return {r["block"]: np.frombuffer(r["data"], dtype) for r in first.repartition("block").mapInArrow(run, kind).collect()}
+    first = parts.select("block", "data").repartition("block", F.pmod(F.spark_partition_id(), F.lit(16))).mapInArrow(run, kind)
+    return {r["block"]: _counts(r["data"], width).astype(np.int64) for r in first.repartition("block").mapInArrow(run, kind).collect()}
+
+
+def _counts(data, width: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // width}")

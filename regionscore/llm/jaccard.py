@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionscore.landing import land
-from regionscore.llm.common import add_up, as_bytes, blocks, free_name, key_and_text, mixed, quoted, sets_of, shingle_hashes, text_column, word_hashes
+from regionscore.llm.common import add_up, as_bytes, blocks, free_name, key_and_text, mixed, narrow, quoted, sets_of, shingle_hashes, text_column, word_hashes
 from regionscore.llm.components import components
 
 
@@ -75,8 +75,9 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def point(shingles: np.ndarray, groups: int) -> np.ndarray:
-    """Numbers of shingles by the first bits of their hashes."""
-    return np.bincount((shingles >> np.uint64(65 - groups.bit_length())).astype(np.int64), minlength=groups).astype("<u2")
+    """Numbers of shingles by the first bits of their hashes; a set with more than 255 in a group gets the point that meets all others."""
+    counts = np.bincount((shingles >> np.uint64(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+    return counts.astype("u1") if counts.max() < 256 else np.full(groups, 255, "u1")
 
 
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
@@ -101,19 +102,23 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array(points, pa.binary())], SETS.names)
         if used.any():
-            cut = used.astype("<i8").reshape(-1, min(_COUNTER_BLOCK, len(used)))
+            cut = used.reshape(-1, min(_COUNTER_BLOCK, len(used)))
+            some = np.flatnonzero(cut.any(axis=1))
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(cut), pa.int64()), pa.array(-1 - np.arange(len(cut), dtype=np.int32)), pa.nulls(len(cut), pa.int64()), pa.array([c.tobytes() for c in cut], pa.binary())], SETS.names)
+                pa.nulls(len(some), pa.int64()), pa.array((-1 - some).astype(np.int32)), pa.nulls(len(some), pa.int64()), pa.array([narrow(cut[k]) for k in some], pa.binary())], SETS.names)
 
     return land(docs.mapInArrow(run, SETS))
 
 
-def use_classes(counters: dict[int, np.ndarray]) -> np.ndarray:
+def use_classes(counters: dict[int, np.ndarray], join: Join) -> np.ndarray:
     """0 for shingles of usual use, then 1 and up for each doubling of what a counter has beyond that.
 
     Many seldom used shingles share a counter; what they add up to, and the spread of it, is usual.
     """
-    used = np.concatenate([counters[k] for k in sorted(counters)])
+    used = np.zeros((max(1, (1 << join.counter_bits) // _COUNTER_BLOCK), min(_COUNTER_BLOCK, 1 << join.counter_bits)))
+    for block, sums in counters.items():
+        used[block] = sums
+    used = used.ravel()
     middle = np.median(used)
     beyond, usual = used - middle, 8 + 5 * np.sqrt(middle)
     return np.where(beyond > usual, 1 + np.floor(np.log2(np.maximum(beyond, 1) / usual)), 0).astype(np.uint8)
@@ -275,7 +280,7 @@ class Tree:
 
 def _points(data: list[bytes]) -> np.ndarray:
     """Points of one number of coordinates as rows."""
-    return np.frombuffer(b"".join(data), "<u2").reshape(len(data), -1).astype(np.int32)
+    return np.frombuffer(b"".join(data), "u1").reshape(len(data), -1).astype(np.int32)
 
 
 def possible(pairs: DataFrame, join: Join) -> DataFrame:
@@ -284,7 +289,7 @@ def possible(pairs: DataFrame, join: Join) -> DataFrame:
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(5).to_pylist()
             least = join.least_overlap(batch.column(1).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64))
-            sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)]) // 2
+            sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)])
             good = np.zeros(batch.num_rows, bool)
             for p, q in np.unique(sizes, axis=0).tolist():
                 rows = np.flatnonzero((sizes[:, 0] == p) & (sizes[:, 1] == q))
@@ -362,7 +367,7 @@ def centred(members: DataFrame, one: DataFrame) -> DataFrame:
 
 
 def unresolved(rows: DataFrame, joined: DataFrame, described_sets: DataFrame, join: Join) -> DataFrame:
-    """Pairs in blocks whose members are not one component yet that size and trees leave possible: `a, b`."""
+    """Pairs in blocks whose members are not one component yet that size and trees leave possible: `a, b`, once for each such block."""
     rows = land(rows.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     # Blocks of two were compared when their member was.
     main = F.max(F.when(F.col("id") == F.col("centre"), F.col("component")))
@@ -370,18 +375,16 @@ def unresolved(rows: DataFrame, joined: DataFrame, described_sets: DataFrame, jo
     open_blocks = land(open_blocks.filter("low < high and m > 2").select("block", "m", "main"))
     rows = rows.select("block", "id", "component").join(open_blocks, "block")
     rows = rows.withColumn("apart", F.col("component") != F.col("main"))
-    others = rows.filter("apart").groupBy("block").agg(F.count("*").alias("m2"))
+    others = land(rows.filter("apart").groupBy("block").agg(F.count("*").alias("m2")))
     rows = rows.join(others, "block").withColumn("cuts", F.ceil(F.col("m") / join.chunk).cast("int")).withColumn("cuts2", F.ceil(F.col("m2") / join.chunk).cast("int"))
-    # Every member as an entry of a tree, those apart from the main component as queries.
+    # Every member as an entry of a tree, those apart from the main component as queries too; in the cell of both it is one row.
     i, j = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"), F.pmod(F.xxhash64("id"), F.col("cuts2")).cast("int")
     spread = lambda n: F.sequence(F.lit(0), n - 1)
-    entries = F.transform(spread(F.col("cuts2")), lambda k: F.struct(i.alias("i"), k.alias("j"), F.lit(False).alias("query")))
-    queries = F.when(F.col("apart"), F.transform(spread(F.col("cuts")), lambda k: F.struct(k.alias("i"), j.alias("j"), F.lit(True).alias("query")))).otherwise(
-        F.array().cast("array<struct<i:int,j:int,query:boolean>>"))
+    entries = F.transform(spread(F.col("cuts2")), lambda k: F.struct(i.alias("i"), k.alias("j"), F.lit(True).alias("entry"), (F.col("apart") & (k == j)).alias("query")))
+    others = F.filter(spread(F.col("cuts")), lambda k: F.col("apart") & (k != i))
+    queries = F.transform(others, lambda k: F.struct(k.alias("i"), j.alias("j"), F.lit(False).alias("entry"), F.lit(True).alias("query")))
     met = rows.select("block", "id", "component", "apart", F.inline(F.concat(entries, queries)))
-    # With all its blocks (at most one for each of its first shingles), so that a pair counts in the first that both have.
-    known = described_sets.join(rows.groupBy("id").agg(F.collect_list("block").alias("blocks")), "id")
-    full = met.join(known, "id").select(F.xxhash64("block", "i", "j").alias("g"), "block", "id", "component", "apart", "query", "n", "data", "blocks")
+    full = met.join(described_sets, "id").select(F.xxhash64("block", "i", "j").alias("g"), "id", "component", "apart", "entry", "query", "n", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -401,18 +404,9 @@ def unresolved(rows: DataFrame, joined: DataFrame, described_sets: DataFrame, jo
 def _meeting(rows: pa.Table, join: Join) -> pa.RecordBatch:
     """Possible links of each group's queries with its entries, of different components."""
     g, number, component, n = (rows.column(c).to_numpy() for c in ("g", "id", "component", "n"))
-    apart, query = (rows.column(c).to_numpy().astype(bool) for c in ("apart", "query"))
-    data, block, blocks_of = rows.column("data").to_pylist(), rows.column("block").to_pylist(), rows.column("blocks")
-    own_blocks: dict[int, set[int]] = {}
-
-    def first_met(i: int, j: int) -> bool:
-        """The two rows have no common block before this one."""
-        for k in (i, j):
-            if k not in own_blocks:
-                own_blocks[k] = set(blocks_of[k].as_py())
-        return min(own_blocks[i] & own_blocks[j]) == block[i]
-
-    n, width = n.astype(np.int64), np.array([len(x) for x in data]) // 2
+    apart, entry, query = (rows.column(c).to_numpy().astype(bool) for c in ("apart", "entry", "query"))
+    data = rows.column("data").to_pylist()
+    n, width = n.astype(np.int64), np.array([len(x) for x in data])
     first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
@@ -421,13 +415,11 @@ def _meeting(rows: pa.Table, join: Join) -> pa.RecordBatch:
         p, q = Tree(taken(entries), n[entries], join.fanout).near(taken(asks), n[asks], join)
         p, q = asks[p], entries[q]
         good = (component[p] != component[q]) & join.sizes_agree(n[p], n[q]) & (~apart[q] | (number[p] < number[q]))
-        p, q = p[good], q[good]
-        once = np.fromiter(map(first_met, p.tolist(), q.tolist()), bool, len(p))
-        a.append(number[p[once]])
-        b.append(number[q[once]])
+        a.append(number[p[good]])
+        b.append(number[q[good]])
 
     for start, stop in zip(first.tolist(), np.append(first[1:], len(g)).tolist()):
-        asks, entries = start + np.flatnonzero(query[start:stop]), start + np.flatnonzero(~query[start:stop])
+        asks, entries = start + np.flatnonzero(query[start:stop]), start + np.flatnonzero(entry[start:stop])
         # Sets that can link have as many coordinates, or one twice as many as the other.
         for w in np.unique(width[entries]).tolist():
             own = entries[width[entries] == w]
@@ -446,12 +438,12 @@ def links(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     out only where its ends are joined already.
     """
     told = described(docs, join)
-    counters = add_up(told.filter("n < 0").select((-1 - F.col("n")).alias("block"), "data"), "<i8")
+    counters = add_up(told.filter("n < 0").select((-1 - F.col("n")).alias("block"), "data"), min(_COUNTER_BLOCK, 1 << join.counter_bits))
     sets = told.filter("n >= 0")
     if not counters:
         empty = sets.select(F.col("set").alias("a"), F.col("set").alias("b")).filter("false")
         return sets, empty
-    members = block_members(first_shingles(docs, use_classes(counters), join), join)
+    members = block_members(first_shingles(docs, use_classes(counters, join), join), join)
     met = members.select(F.col("first").alias("set")).union(members.select("member")).distinct()
     one = sets.filter("n > 0").join(met, "set", "left_semi").groupBy(F.col("set").alias("id")).agg(
         F.coalesce(F.min("doc_id"), F.lit(2**63 - 1)).alias("least"), F.first("n").alias("n"), F.first("data").alias("data"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regionscore.llm import jaccard
+from regionscore.llm.common import add_up, narrow
 from regionscore.llm.queries import QUERIES, table
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -110,6 +111,21 @@ def test_points_bound_the_overlap():
         assert true <= bound <= 0.92 * min(len(a), len(b))
 
 
+def test_crowded_group_meets_all():
+    """More than 255 shingles in one group don't fit its byte: the point's bound then leaves nothing out."""
+    few = np.arange(40, dtype=np.uint64) << np.uint64(55)
+    many = np.concatenate((few, np.arange(1000, 1300, dtype=np.uint64)))
+    p, q = jaccard.point(few, 16), jaccard.point(many, 16)
+    assert p.dtype == q.dtype == np.uint8 and (q == 255).all() and np.minimum(p, q).sum() == len(few)
+
+
+def test_counters_of_any_width(spark):
+    vectors = [(0, [1, 2, 3]), (0, [300, 0, 0]), (1, [70_000, 1, 2**31]), (1, [0, 0, 2**31])]
+    rows = spark.createDataFrame([(k, bytearray(narrow(np.array(v)))) for k, v in vectors], "block int, data binary")
+    sums = add_up(rows, 3)
+    assert {k: v.tolist() for k, v in sums.items()} == {0: [301, 2, 3], 1: [70_000, 1, 2**32]}
+
+
 def test_filter_of_wanted_sets_agrees_with_spark(spark):
     ids = [0, 1, -1, 2**63 - 1, -(2**63), 123456789]
     bits = jaccard.wanted_filter(spark.createDataFrame([(i,) for i in ids], "id bigint"))
