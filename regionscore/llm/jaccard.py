@@ -37,7 +37,7 @@ class Join:
 
     words: int = 5
     percent: int = 80
-    crowd: int = 4
+    crowd: int = 1
     counter_bits: int = 20
     fanout: int = 16
     chunk: int = 2048
@@ -280,7 +280,7 @@ class Tree:
 
 def _points(data: list[bytes]) -> np.ndarray:
     """Points of one number of coordinates as rows."""
-    return np.frombuffer(b"".join(data), "u1").reshape(len(data), -1).astype(np.int32)
+    return np.frombuffer(b"".join(data), "u1").reshape(len(data), -1).astype(np.uint16)
 
 
 def possible(pairs: DataFrame, join: Join) -> DataFrame:
