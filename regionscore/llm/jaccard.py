@@ -80,6 +80,13 @@ def point(shingles: np.ndarray, groups: int) -> np.ndarray:
     return counts.astype("u1") if counts.max() < 256 else np.full(groups, 255, "u1")
 
 
+def packed(point: np.ndarray) -> bytes:
+    """A point in a bit for each shingle and each coordinate: as many ones as the coordinate's number, then a zero."""
+    bits = np.ones(-(-(len(point) + int(point.sum(dtype=np.int64))) // 8) * 8, "u1")
+    bits[np.cumsum(point, dtype=np.int64) + np.arange(len(point))] = 0
+    return np.packbits(bits).tobytes()
+
+
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """Points with fewer coordinates, sums of neighbours."""
     return points if points.shape[1] == groups else points.reshape(len(points), groups, -1).sum(axis=2, dtype=points.dtype)
@@ -96,7 +103,7 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
         top = np.uint64(64 - join.counter_bits)
         for batch in blocks(batches):
             sets = shingle_sets(text_column(batch, "text"), join.words)
-            points = [point(s, join.groups(len(s))).tobytes() for s in sets]
+            points = [packed(point(s, join.groups(len(s)))) for s in sets]
             every = np.concatenate(sets)
             np.add(used, np.bincount((every >> top).astype(np.int64), minlength=len(used)).astype(np.uint32), out=used)
             yield pa.RecordBatch.from_arrays([
@@ -278,9 +285,15 @@ class Tree:
         return query, self.rows[0][node]
 
 
-def _points(data: list[bytes]) -> np.ndarray:
-    """Points of one number of coordinates as rows."""
-    return np.frombuffer(b"".join(data), "u1").reshape(len(data), -1).astype(np.uint16)
+def _points(data: list[bytes], groups: int) -> np.ndarray:
+    """Packed points of one number of coordinates as rows."""
+    out, at_once = np.empty((len(data), groups), np.uint16), max(1, (1 << 20) // groups)
+    for a in range(0, len(data), at_once):
+        some = data[a:a + at_once]
+        zeros = np.flatnonzero(np.unpackbits(np.frombuffer(b"".join(some), "u1")) == 0).reshape(len(some), groups)
+        size = 8 * np.array([len(x) for x in some])
+        out[a:a + at_once] = np.diff(zeros, axis=1, prepend=(np.cumsum(size) - size - 1)[:, None]) - 1
+    return out
 
 
 def possible(pairs: DataFrame, join: Join) -> DataFrame:
@@ -288,14 +301,15 @@ def possible(pairs: DataFrame, join: Join) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(5).to_pylist()
-            least = join.least_overlap(batch.column(1).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64))
-            sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)])
+            a_n, b_n = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 4))
+            least = join.least_overlap(a_n, b_n)
+            sizes = np.array([(join.groups(x), join.groups(y)) for x, y in zip(a_n.tolist(), b_n.tolist())])
             good = np.zeros(batch.num_rows, bool)
             for p, q in np.unique(sizes, axis=0).tolist():
                 rows = np.flatnonzero((sizes[:, 0] == p) & (sizes[:, 1] == q))
                 for at in range(0, len(rows), max(1, (1 << 20) // max(p, q))):
                     some = rows[at:at + max(1, (1 << 20) // max(p, q))]
-                    x, y = (folded(_points([of[i] for i in some]), min(p, q)) for of in (left, right))
+                    x, y = (folded(_points([of[i] for i in some], wide), min(p, q)) for of, wide in ((left, p), (right, q)))
                     good[some] = np.minimum(x, y).sum(axis=1) >= least[some]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["a", "b"]).filter(pa.array(good))
 
@@ -406,12 +420,12 @@ def _meeting(rows: pa.Table, join: Join) -> pa.RecordBatch:
     g, number, component, n = (rows.column(c).to_numpy() for c in ("g", "id", "component", "n"))
     apart, entry, query = (rows.column(c).to_numpy().astype(bool) for c in ("apart", "entry", "query"))
     data = rows.column("data").to_pylist()
-    n, width = n.astype(np.int64), np.array([len(x) for x in data])
+    n, width = n.astype(np.int64), np.array([join.groups(x) for x in n.tolist()])
     first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
     def meet(asks: np.ndarray, entries: np.ndarray, groups: int) -> None:
-        taken = lambda at: folded(_points([data[i] for i in at]), groups)
+        taken = lambda at: folded(_points([data[i] for i in at], int(width[at[0]])), groups)
         p, q = Tree(taken(entries), n[entries], join.fanout).near(taken(asks), n[asks], join)
         p, q = asks[p], entries[q]
         good = (component[p] != component[q]) & join.sizes_agree(n[p], n[q]) & (~apart[q] | (number[p] < number[q]))

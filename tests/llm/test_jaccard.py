@@ -99,6 +99,17 @@ def test_tree_loses_no_pair():
     assert set(zip(q.tolist(), x.tolist())) == want and len(want) < 3000
 
 
+def test_packed_points_come_back():
+    """Points of one width in one piece, with empty, full and uneven ones; more of them than are unpacked at once."""
+    r = np.random.default_rng(5)
+    for groups, rows in ((16, 1), (16, 300), (1 << 16, 40)):
+        points = np.minimum(r.poisson(r.choice([0, 0.7, 3, 200], (rows, 1)), (rows, groups)), 255).astype("u1")
+        points[0] = 0
+        points[-1, -1] = 255
+        got = jaccard._points([jaccard.packed(x) for x in points], groups)
+        assert (got == points).all()
+
+
 def test_points_bound_the_overlap():
     r, join = np.random.default_rng(5), jaccard.Join()
     for n, m in ((10, 9), (100, 125), (128, 129), (129, 128), (2000, 1700), (4097, 4096)):
