@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from regionscore import fixed, schemas
 from regionscore.landing import computed_once, drop_landed, land, with_constants
+from regionscore.operators import geo
 from regionscore.operators.rent import sized_grid, sweden_rent_grid
 from regionscore.plans import listings as L
 from regionscore.plans import regions as R
@@ -112,6 +113,20 @@ def test_near_centres_equal_all_pairs(spark, rows):
     assert L.near_centres(points, centres.limit(0)).collect() == []
 
 
+def test_a_circle_around_the_whole_earth_holds_every_point(spark, rows):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, -80.0, 170.0), (3, 90.0, -180.0)], "id int, lat double, lon double")
+    centres = spark.createDataFrame([("all", 0.0, 0.0, 4e7), ("point", 90.0, 12.0, 0.0)], "centre_id string, lat double, lon double, metres double")
+    near = rows(L.near_centres(points, centres.filter("centre_id = 'all'")), "id", "centre_id")
+    assert near == [(1, "all"), (2, "all"), (3, "all")]
+
+
+def test_cells_of_a_circle_are_hardly_larger_than_it(spark):
+    centres = spark.createDataFrame([("a", 60.0, 10.0, 20000.0), ("b", 0.0, 179.99, 5.0)], "centre_id string, lat double, lon double, metres double")
+    area = F.pow(F.lit(40_030_174.0 / 1000) / F.pow(F.lit(2.0), F.col("_level")), F.lit(2)) * F.cos(F.radians("_lat")) / (math.pi * F.pow(F.col("metres") / 1000, F.lit(2)))
+    found = geo.covering_cells(centres).groupBy("centre_id").agg(F.sum(area).alias("times"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(found) == 2 and all(1 <= r["times"] < 4 and r["n"] <= 100 for r in found)
+
+
 @pytest.mark.parametrize("centre", CENTRES)
 def test_the_box_around_a_circle_loses_no_point(spark, rows, centre):
     spots, points = _points(spark)
