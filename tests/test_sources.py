@@ -69,6 +69,15 @@ def test_slice(spark, rows):
     assert rows(out, "year", "price_sqm", "municipality_clean") == [(str(y), 1.0, "oslo") for y in range(2020, 2024)] + [("2024", 100.0, "oslo"), ("2024", 101.0, "oslo")]
 
 
+def test_cubes_of_one_small_file_are_flattened_in_all_tasks(spark, tmp_path):
+    from catalog.documents import _slice_cube
+
+    spark.createDataFrame([(1, 3, 10.0), (2, 4, -1.5)], "c_custkey long, c_nationkey int, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    long = _slice_cube(spark, str(tmp_path), cubes.SLICES_SE["construction"])
+    assert long.count() == 2 * 3 * 6
+    assert long.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_every_slice_reads_a_cube_with_its_dimensions(spark):
     for spec in [*cubes.SLICES_NO.values(), *cubes.SLICES_SE.values()]:
         dims = {c[:-5] if c.endswith("_code") else c for c in spec.columns} | set(spec.items) | {spec.period}
