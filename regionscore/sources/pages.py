@@ -9,6 +9,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +18,23 @@ from regionscore.functions.clean import number_no, number_se, strip
 from regionscore.functions.ratios import rounded, truthy
 from regionscore.landing import computed_once
 
-# Names of characters, as the HTML standard lists them with a semicolon.
-NAMED_CHARACTERS = json.dumps({n[:-1]: c for n, c in html5.items() if n.endswith(";")})
+#: Names of characters are looked up in as many small maps, since a map is searched entry by entry.
+NAME_MAPS = 1024
+
+
+def _named_characters() -> str:
+    """Names of characters, as the HTML standard lists them with a semicolon: maps by the names' checksum."""
+    maps = [{} for _ in range(NAME_MAPS)]
+    for name, character in html5.items():
+        if name.endswith(";"):
+            maps[crc32(name[:-1].encode()) % NAME_MAPS][name[:-1]] = character
+    return json.dumps(maps)
+
+
+NAMED_CHARACTERS = _named_characters()
 REFERENCE = r"&(?:#\d+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 # What no text pattern may see: comments, scripts and style sheets.
-HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z))"
 
 
 def bound(value: Column, use) -> Column:
@@ -34,7 +47,7 @@ def decode_entities(text: Column) -> Column:
 
     Numbers that are no character (surrogates, zero, beyond the last code point) give U+FFFD; unknown names stay.
     """
-    names = F.from_json(F.lit(NAMED_CHARACTERS), "map<string,string>")
+    names = F.from_json(F.lit(NAMED_CHARACTERS), "array<map<string,string>>")
 
     def number(ref: Column) -> Column:
         hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
@@ -46,7 +59,9 @@ def decode_entities(text: Column) -> Column:
         return F.decode(F.unhex(code), "UTF-32")
 
     def piece(p: Column) -> Column:
-        named = F.coalesce(F.try_element_at(names, F.regexp_replace(p, "[&;]", "")), p)
+        name = F.substr(p, F.lit(2), F.length(p) - 2)
+        near = F.get(names, F.pmod(F.crc32(name.cast("binary")), F.lit(NAME_MAPS)).cast("int"))
+        named = F.coalesce(F.try_element_at(near, name), p)
         return F.when(~F.startswith(p, F.lit("&")) | (F.length(p) < 3), p).when(F.startswith(p, F.lit("&#")), number(p)).otherwise(named)
 
     pieces = F.regexp_extract_all(text, F.lit(rf"(?s){REFERENCE}|[^&]+|&"), F.lit(0))
@@ -60,18 +75,20 @@ def visible(html: Column) -> Column:
 
 def tag_text(inner: Column, joiner: str = "") -> Column:
     """Text of a fragment: its text nodes, each stripped, joined by `joiner`."""
-    def text(t: Column) -> Column:
-        pieces = F.transform(F.split(t, r"(?s)<!--.*?-->|<[^>]*>"), lambda p: strip(decode_entities(p)))
-        joined = F.array_join(F.filter(pieces, lambda p: F.length(p) > 0), joiner)
-        plain = ~F.contains(t, F.lit("<")) & ~F.contains(t, F.lit("&"))
-        return F.when(plain, strip(t)).otherwise(joined)
+    return bound(inner, lambda t: node_text(t, joiner))
+
 
-    return bound(inner, text)
+def node_text(t: Column, joiner: str = "") -> Column:
+    """`tag_text` of a value that is at hand: `t` is referred to many times."""
+    pieces = F.transform(F.split(t, r"(?s)<!--.*?-->|<[^>]*>"), lambda p: strip(decode_entities(p)))
+    joined = F.array_join(F.filter(pieces, lambda p: F.length(p) > 0), joiner)
+    plain = ~F.contains(t, F.lit("<")) & ~F.contains(t, F.lit("&"))
+    return F.when(plain, strip(t)).otherwise(joined)
 
 
 def first_match(text: Column, pattern: str, group: int) -> Column:
     """The group of the first match, NULL without one."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+    return bound(F.regexp_extract(text, pattern, group), lambda found: F.when((F.length(found) > 0) | text.rlike(pattern), found))
 
 
 def page_title(body: Column) -> Column:
@@ -211,37 +228,40 @@ COUNTS_SE = ("rooms", "year_built")
 TEXTS_SE = ("ownership_type", "property_type", "floor", "energy_rating")
 
 
-def _label(inner: Column) -> Column:
-    return F.rtrim(F.lower(tag_text(inner)), F.lit(":"))
+def _texts(found: Column) -> Column:
+    """(label, value) texts of fragments (name, value)."""
+    return F.transform(found, lambda f: F.struct(
+        F.rtrim(F.lower(node_text(f["name"])), F.lit(":")).alias("label"), node_text(f["value"]).alias("value")))
 
 
 def definition_pairs(html: Column) -> Column:
     """(label, value) of every `<dt>`, in page order; the value is the next `<dd>` of the list."""
     after = F.split(html, r"(?i)<dt(?:\s[^>]*)?>")
     sections = F.slice(after, 2, F.greatest(F.size(after), F.lit(1)))
-    dd = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd>|<d[dt][\s>]|</dl>|\z)"
+    dd = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=<(?:/dd>|d[dt][\s>]|/dl>)|\z)"
 
     def before(text: Column, pattern: str) -> Column:
-        return F.get(F.split(text, pattern, 2), F.lit(0))
+        return F.regexp_extract(text, rf"(?is)\A(.*?)(?:{pattern}|\z)", 1)  # a split would compile its pattern for every text
 
     def pair(section: Column, i: Column) -> Column:
-        own = first_match(before(section, r"(?i)</dl>"), dd, 1)
-        shared = F.when(~section.rlike(r"(?i)</dl>"), first_match(F.get(sections, i + 1), dd, 1))
-        name = before(section, r"(?i)</dt>|<dd[\s>]")
-        return F.struct(_label(name).alias("label"), tag_text(F.coalesce(own, shared)).alias("value"))
+        ends = section.rlike(r"(?i)</dl>")
+        own = first_match(F.when(ends, before(section, "</dl>")).otherwise(section), dd, 1)
+        shared = F.when(~ends, first_match(F.get(sections, i + 1), dd, 1))
+        name = before(section, r"<(?:/dt>|dd[\s>])")
+        return F.struct(name.alias("name"), F.coalesce(own, shared).alias("value"))
 
-    return F.filter(F.transform(sections, pair), lambda p: p["value"].isNotNull())
+    return _texts(F.filter(F.transform(sections, pair), lambda p: p["value"].isNotNull()))
 
 
 def table_pairs(html: Column) -> Column:
     """(label, value) from the first two cells of every table row that has two."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr(?:\s[^>]*)?>(.*?)(?=</tr>|<tr[\s>]|</table>|\z)"), F.lit(1))
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr(?:\s[^>]*)?>(.*?)(?=<(?:/tr>|tr[\s>]|/table>)|\z)"), F.lit(1))
 
     def cells(row: Column) -> Column:
-        return F.regexp_extract_all(row, F.lit(r"(?is)<t[hd](?:\s[^>]*)?>(.*?)(?=</t[hd]>|<t[hd][\s>]|\z)"), F.lit(1))
+        return F.regexp_extract_all(row, F.lit(r"(?is)<t[hd](?:\s[^>]*)?>(.*?)(?=<(?:/t[hd]>|t[hd][\s>])|\z)"), F.lit(1))
 
     full = F.filter(F.transform(rows, cells), lambda c: F.size(c) >= 2)
-    return F.transform(full, lambda c: F.struct(_label(F.get(c, F.lit(0))).alias("label"), tag_text(F.get(c, F.lit(1))).alias("value")))
+    return _texts(F.transform(full, lambda c: F.struct(F.get(c, F.lit(0)).alias("name"), F.get(c, F.lit(1)).alias("value"))))
 
 
 def known_pairs(pairs: Column, labels: Mapping[str, str]) -> Column:
@@ -271,7 +291,7 @@ ADDRESS = "streetAddress string, postalCode string, addressLocality string"
 def ld_blocks(html: Column) -> Column:
     """Structured-data scripts, each parsed once; of a list, its first object. Those inside comments or other scripts don't count."""
     kind = r"""[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>"""
-    pattern = rf"(?is)<!--.*?-->|<script(?!{kind})\b[^>]*>.*?</script\s*>|<script{kind}(.*?)</script\s*>"
+    pattern = rf"(?is)<(?:!--.*?-->|script(?!{kind})\b[^>]*>.*?</script\s*>|script{kind}(.*?)</script\s*>)"
     scripts = F.filter(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda s: strip(s)), lambda s: F.length(s) > 0)
 
     def as_object(text: Column) -> Column:
@@ -290,9 +310,9 @@ def _non_empty(col: Column) -> Column:
 def block_address(block: Column) -> Column:
     """Street, postal code and locality joined by spaces, or the address text as it is."""
     address = block["address"]
-    parts = F.from_json(address, ADDRESS)
-    from_object = F.concat_ws(" ", *[_non_empty(parts[k]) for k in ("streetAddress", "postalCode", "addressLocality")])
-    return _non_empty(F.when(F.startswith(address, F.lit("{")), from_object).otherwise(address))
+    from_object = bound(F.from_json(address, ADDRESS), lambda parts: F.concat_ws(
+        " ", *[_non_empty(parts[k]) for k in ("streetAddress", "postalCode", "addressLocality")]))
+    return bound(F.when(F.startswith(address, F.lit("{")), from_object).otherwise(address), _non_empty)
 
 
 def _first_of(blocks: Column, pick) -> Column:

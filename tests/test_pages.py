@@ -1,5 +1,7 @@
 import json
+from html.entities import html5
 
+from pyspark.sql import functions as F
 
 from regionscore import schemas
 from regionscore.sources import pages
@@ -18,6 +20,21 @@ def test_output_has_the_declared_columns(spark):
         assert all(v is None for k, v in out.first().asDict().items() if k not in ("listing_id", "url"))
 
 
+def test_every_named_character_from_a_small_map(spark):
+    names = {n: c for n, c in html5.items() if n.endswith(";")}
+    df = spark.createDataFrame([(n, f"x&{n}y") for n in names], "name string, text string")
+    found = {r["name"]: r["t"] for r in df.select("name", pages.decode_entities(F.col("text")).alias("t")).collect()}
+    assert found == {n: f"x{c}y" for n, c in names.items()}
+    maps = json.loads(pages.NAMED_CHARACTERS)
+    assert isinstance(maps, list) and max(map(len, maps)) <= 16
+
+
+def test_lists_and_tables_at_their_edges(spark):
+    row, = extract(spark, "norway", "<dl><DT>Soverom<dd></dd><dt>Etasje</DT><DD>2.<!-- <b> --> etg<DT>Eieform<dt>Boligtype<dd>A<B>&amp;</b> b</DL><dd>no</dd>"
+                   "<table><tr><td>Energimerking:<td>A &lt; B<tr><th>Tomteareal</th></TR></table>")
+    assert (row["bedrooms"], row["floor"], row["ownership_type"], row["property_type"], row["energy_rating"]) == (None, "2. etg", "A&b", "A&b", "A < B")
+
+
 def test_title_and_entities(spark):
     row, = extract(spark, "norway", "<H1 class='a'>\n Fin <b>leilighet &amp;lt; b&#248;d</b>&nbsp;p&#xe5; Gr&uuml;ner &nosuch; </h1><h1>second</h1>")
     assert row["title"] == "Finleilighet &lt; bødpå Grüner &nosuch;"
