@@ -8,9 +8,9 @@ normalised over its few siblings, and as contexts, added to the features of thei
 one vector there and go by their counts.
 
 A score is bilinear in the features of context and class. For contexts without vectors of their own, tables of matrix
-products hold all of it with the normaliser of every pair; for others the normalisers are worked out by matrix products
-for each block of tokens. A token's probability is then exact and normalised: over all known words and one unknown
-word the probabilities add up to 1.
+products hold all of it with the normaliser of every pair; for others the normaliser sums products of the exponentials
+of both contexts, kept for frequent words and worked out once in a block for others. A token's probability is then
+exact and normalised: over all known words and one unknown word the probabilities add up to 1.
 
 Training reads all training texts: each task runs stochastic gradients over its own, from a start that a bounded
 sample gave, and the tasks' parameters are averaged by tokens, a word's vectors by the tokens that met them.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionscore.landing import land
-from regionscore.llm.common import as_bytes, blocks, key_and_text, quoted, text_column, word_hashes
+from regionscore.llm.common import BLOCK_BYTES, as_bytes, blocks, key_and_text, quoted, text_column, word_hashes
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,21 @@ class Vocabulary:
         """Shares of the tree's nodes added up; each family adds 1."""
         return np.cumsum(np.exp(self.tree.base.astype(np.float64)))
 
+    @cached_property
+    def guide(self) -> np.ndarray:
+        """The node where each of a family's equal shares begins, as many shares as it has nodes."""
+        starts = self.tree.starts
+        size = np.diff(starts)
+        family = np.repeat(np.arange(len(size)), size)
+        return np.searchsorted(self.upto, family + (np.arange(len(family)) - starts[family]) / size[family])
+
+    def siblings(self, family: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        """Nodes of the families by their shares, for draws between 0 and 1."""
+        first, end = self.tree.starts.take(family), self.tree.starts.take(family + 1)
+        at = np.minimum(self.guide.take(first + (draws * (end - first)).astype(np.int64)), len(self.upto) - 1)
+        draws = draws + family
+        return np.clip(_advanced(at, self.upto, draws), first, end - 1)
+
     @property
     def end(self) -> int:
         return self.size - 1
@@ -145,8 +160,30 @@ class Vocabulary:
         """Place among the frequent words; -1 for others."""
         if not len(self.hashes):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        shift, starts = self.leading
+        at = _advanced(starts.take((hashes >> shift).view(np.int64)), self.hashes, hashes)
+        at[self.hashes.take(at) != hashes] = -1
+        return at
+
+    @cached_property
+    def leading(self) -> tuple[np.uint64, np.ndarray]:
+        """Bits that follow the leading ones, and the first place (one that exists) whose hash is no less than each number of leading bits."""
+        bits = min(len(self.hashes).bit_length() + 1, 22)
+        shift = np.uint64(64 - bits)
+        return shift, np.minimum(np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift), len(self.hashes) - 1)
+
+    def __getstate__(self) -> dict:
+        return {k: x for k, x in self.__dict__.items() if k not in ("leading", "upto", "guide")}
+
+
+def _advanced(at: np.ndarray, ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The first place from `at` on (the last one at most) where the ordered numbers are no less than the values; overwrites `at`."""
+    less = np.flatnonzero((ordered.take(at) < values) & (at < len(ordered) - 1))
+    while len(less):
+        at[less] += 1
+        now = at[less]
+        less = less[(ordered.take(now) < values[less]) & (now < len(ordered) - 1)]
+    return at
 
 
 def group_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, groups: int) -> np.ndarray:
@@ -278,36 +315,49 @@ class Vectors:
         self.node_steps, self.own_steps, self.node_met, self.own_met = (np.zeros(len(x), np.float32) for x in (self.nodes, self.own) * 2)
         return self
 
-    def learn(self, v: Vocabulary, q: np.ndarray, ids: np.ndarray, word: np.ndarray, pace: float, random) -> np.ndarray:
-        """A step of noise-contrastive estimation among siblings, of the tokens that are in groups; what it tells the contexts."""
-        tree, k = v.tree, v.settings.siblings
-        at = np.flatnonzero((ids >= v.settings.words) & (ids < v.end))
-        nodes, family, has = tree.paths(ids[at] - v.settings.words, word[at])
-        token = np.concatenate((at, at[has]))
-        noise = np.searchsorted(v.upto, family[:, None] + random.random((len(family), k)))
-        noise = np.clip(noise, tree.starts[family][:, None], tree.starts[family + 1][:, None] - 1)
-        every = np.concatenate((nodes[:, None], noise), axis=1)
-        of, values = q[token], self.nodes[every]
+    def learn(self, v: Vocabulary, q: np.ndarray, ids: np.ndarray, word: np.ndarray, turn: np.ndarray, pace: float, random) -> np.ndarray:
+        """A step of noise-contrastive estimation among siblings, of the tokens that are in groups; what it tells the contexts.
+
+        Tokens are ordered by class and word; `turn` is their place in the batch, by which they draw their noise.
+        """
+        tree, k, d = v.tree, v.settings.siblings, q.shape[1]
+        low, high = np.searchsorted(ids, [v.settings.words, v.end])
+        nodes, family, has = tree.paths(ids[low:high] - v.settings.words, word[low:high])
+        turn = turn[low:high]
+        draw = np.concatenate((_ranks(turn), high - low + _ranks(turn[has])))
+        noise = v.siblings(np.repeat(family, k), random.random((len(family), k)).take(draw, axis=0).ravel())
+        every = np.concatenate((nodes[:, None], noise.reshape(-1, k)), axis=1)
+        unit = np.zeros((len(every), d + 2), np.float32)
+        unit[:high - low, :d], unit[high - low:, :d] = q[low:high], q[low:high].take(has, axis=0)
+        unit[:, d] = 1
+        values = self.nodes.take(every, axis=0)
         # Siblings by counts are the noise and the start of the scores, so that the two cancel out.
-        x = np.einsum("nkd,nd->nk", values[:, :, :-1], of) + values[:, :, -1] - np.float32(np.log(k))
-        error = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        error = _sigma(np.einsum("nkd,nd->nk", values, unit[:, :-1]) - np.float32(np.log(k)))
         error[:, 0] -= 1
         told = np.einsum("nk,nkd->nd", error, values[:, :, :-1])
         back = np.zeros_like(q)
-        back[at] = told[:len(at)]
-        back[at[has]] += told[len(at):]
-        unit = np.concatenate((of / np.maximum(1, np.sqrt((of * of).sum(axis=1, keepdims=True))), np.ones((len(of), 1), np.float32)), axis=1)
-        _paced(self.nodes, self.node_steps, every.ravel(), (error * error).ravel(), (error[:, :, None] * unit[:, None, :]).reshape(-1, unit.shape[1]), pace)
+        back[low:high] = told[:high - low]
+        back[low + has] += told[high - low:]
+        _shorten(unit[:, :d])
+        by, rows = _ordered(every.ravel())
+        error = error.ravel().take(by)
+        steps = unit.take(np.repeat(np.arange(len(every)), k + 1).take(by), axis=0)
+        steps *= error[:, None]
+        steps[:, -1] = error * error
+        _paced(self.nodes, self.node_steps, rows, steps, pace)
         np.add.at(self.node_met, nodes, np.float32(1))
         return back
 
-    def learn_contexts(self, w1: np.ndarray, w2: np.ndarray, to_a: np.ndarray, to_b: np.ndarray, pace: float) -> None:
-        none = len(self.own) - 1
-        rows, values = np.concatenate((w1, w2)), np.concatenate((to_a, to_b))
-        has = np.flatnonzero(rows < none)
-        rows, values = rows[has], values[has]
-        if len(rows):
-            _paced(self.own, self.own_steps, rows, (values * values).sum(axis=1), values, pace)
+    def learn_contexts(self, w1: np.ndarray, w2: np.ndarray, told: np.ndarray, squares: np.ndarray, pace: float) -> None:
+        """Steps of the words before, near ones first, by what they are told."""
+        rows = np.concatenate((w1, w2))
+        has = np.flatnonzero(rows < len(self.own) - 1)
+        if len(has):
+            by, rows = _ordered(rows[has])
+            has = has.take(by)
+            steps = np.empty((len(has), told.shape[1] + 1), np.float32)
+            steps[:, :-1], steps[:, -1] = told.take(has, axis=0), squares.take(has)
+            _paced(self.own, self.own_steps, rows, steps, pace)
             np.add.at(self.own_met, rows, np.float32(1))
 
     def packed(self) -> Iterator[tuple[int, bytes]]:
@@ -334,6 +384,18 @@ def _unpack(data, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, "<u2", n), np.frombuffer(data, "<f4", n, 2 * n), np.frombuffer(data, "<f2", n * width, 6 * n).reshape(n, width)
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """Half floats that are finite as single ones, by their bits, as numpy takes them one by one; others as they are."""
+    if x.dtype != np.float16:
+        return x
+    bits = np.ascontiguousarray(x).view(np.int16).astype(np.int32)
+    bits <<= 13
+    bits &= -0x70002000
+    out = bits.view(np.float32)
+    out *= np.float32(2.0**112)
+    return out
+
+
 def averaged(parts: DataFrame, width: int) -> list:
     """One row for each `block`: sums of plain vectors (below 0), or the mean of each row of vectors by how often it was met."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,10 +438,18 @@ class Model:
 
     def inputs(self, one: np.ndarray, two: np.ndarray, w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Features of the two contexts, with what their words add."""
-        a, b = self.features[one], self.features[two]
+        return self.context(one, w1), self.context(two, w2)
+
+    def context(self, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
+        out = self.features.take(cls, axis=0)
         if self.vectors is not None:
-            a, b = a + self.vectors.own[w1], b + self.vectors.own[w2]
-        return a, b
+            out += _single(self.vectors.own.take(word, axis=0))
+        return out
+
+    @cached_property
+    def reach(self) -> tuple[float, float]:
+        """Length of the longest class and the largest offset."""
+        return float(_longest(self.targets)), float(np.abs(self.bias).max())
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.features, self.near, self.far, self.targets, self.bias)]).astype(np.float64)
@@ -394,6 +464,10 @@ class Model:
         return Model(*out)
 
 
+def _longest(x: np.ndarray) -> float:
+    return np.sqrt(np.einsum("nd,nd->n", x, x).max(initial=0))
+
+
 def fresh(v: Vocabulary, seed: int = 11) -> Model:
     random, d, n = np.random.default_rng(seed), v.settings.width, v.size
     p = (v.class_counts + 1) / (v.class_counts.sum() + n)
@@ -406,64 +480,118 @@ def fresh(v: Vocabulary, seed: int = 11) -> Model:
 _LARGEST, _FEW, _MEANS, _DECAY = 4.0, 30, 2, 2000
 
 
-def _add_rows(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    by = np.argsort(rows, kind="stable")
-    r = rows[by]
-    first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-    to[r[first]] += np.add.reduceat(values[by], first, axis=0)
+def _ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of small keys that are not negative, and the keys in it; both are sorted as one number."""
+    bits = len(keys).bit_length()
+    both = np.sort((keys.astype(np.int64) << bits) | np.arange(len(keys)))
+    return both & ((1 << bits) - 1), both >> bits
+
+
+def _ranks(places: np.ndarray) -> np.ndarray:
+    """Rank of each of some different places."""
+    taken = np.zeros(places.max(initial=-1) + 1, np.int64)
+    taken[places] = 1
+    return (np.cumsum(taken) - 1)[places]
+
+
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at `first`. Short runs are added up in pairs, pairs of pairs and so on, in place."""
+    n = len(values)
+    if n > 3 * len(first):
+        return np.add.reduceat(values, first, axis=0)
+    size = np.diff(first, append=n)
+    place = np.arange(n) - np.repeat(first, size)
+    left, reach = np.repeat(size, size) - place, 1
+    at = np.flatnonzero((place & 1 == 0) & (left > 1))
+    while len(at):
+        values[at] = values.take(at, axis=0) + values.take(at + reach, axis=0)
+        reach *= 2
+        at = at[(place[at] & (2 * reach - 1) == 0) & (left[at] > reach)]
+    return values.take(first, axis=0)
 
 
-def _paced(to: np.ndarray, steps: np.ndarray, rows: np.ndarray, squares: np.ndarray, values: np.ndarray, pace: float) -> None:
-    """Steps against the values, shorter for rows that have taken many."""
-    if not len(rows):
+def _sigma(x: np.ndarray) -> np.ndarray:
+    """The logistic function, in place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _shorten(x: np.ndarray) -> np.ndarray:
+    """Makes rows longer than 1 as long as 1, in place; the sums of their squares before."""
+    squares = np.einsum("nd,nd->n", x, x)
+    x *= np.reciprocal(np.sqrt(np.maximum(1, squares)))[:, None]
+    return squares
+
+
+def _paced(to: np.ndarray, steps: np.ndarray, ordered: np.ndarray, values: np.ndarray, pace: float) -> None:
+    """Steps against the values of ordered rows, shorter for rows that have taken many; the last column is the square that counts."""
+    if not len(ordered):
         return
-    by = np.argsort(rows, kind="stable")
-    r = rows[by]
-    first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-    r = r[first]
-    steps[r] += np.add.reduceat(squares[by], first)
-    moved = to[r] - (pace / np.sqrt(1 + steps[r]))[:, None] * np.add.reduceat(values[by], first, axis=0)
-    to[r] = np.clip(moved, -_LARGEST, _LARGEST)
+    first = _runs(ordered)
+    r, sums = ordered[first], _sums(values, first)
+    steps[r] += sums[:, -1]
+    sums *= (pace / np.sqrt(1 + steps[r]))[:, None]
+    moved = to.take(r, axis=0)
+    moved -= sums[:, :-1]
+    to[r] = np.clip(moved, -_LARGEST, _LARGEST, out=moved)
 
 
-def step(m: Model, v: Vocabulary, tokens: tuple[np.ndarray, ...], noise: np.ndarray, log_noise: np.ndarray, rate: float, random) -> None:
-    """A step of noise-contrastive estimation: true classes against noise words that the batch shares."""
+def step(m: Model, v: Vocabulary, tokens: tuple[np.ndarray, ...], turn: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, rate: float, random) -> None:
+    """A step of noise-contrastive estimation: true classes against noise words that the batch shares. Tokens are ordered by class and word."""
     ids, one, two, word, w1, w2 = tokens
-    k = np.float32(np.log(len(noise)))
+    n, k = len(ids), np.float32(np.log(len(noise)))
     a, b = m.inputs(one, two, w1, w2)
     q = a @ m.near + b @ m.far
-    t = m.targets[ids]
-    sigma = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    true = sigma((q * t).sum(axis=1) + m.bias[ids] - log_noise[ids] - k) - 1
-    wrong = sigma(q @ m.targets[noise].T + m.bias[noise] - log_noise[noise] - k)
-    back = true[:, None] * t + wrong @ m.targets[noise]
+    t, against = m.targets.take(ids, axis=0), m.targets[noise]
+    true = _sigma(np.einsum("nd,nd->n", q, t) + (m.bias - log_noise - k)[ids]) - 1
+    wrong = q @ against.T
+    wrong += (m.bias - log_noise - k)[noise]
+    wrong = _sigma(wrong)
+    t *= true[:, None]
+    back = wrong @ against
+    back += t
     if m.vectors is not None:
-        back += m.vectors.learn(v, q, ids, word, v.settings.pace, random)
+        back += m.vectors.learn(v, q, ids, word, turn, v.settings.pace, random)
 
     def rates(weight: np.ndarray) -> np.ndarray:
         """Step of each row, by the weight of the tokens that meet it."""
-        return (rate * np.minimum(_FEW / len(ids), _MEANS / np.maximum(weight, 1e-9))).astype(np.float32)
+        return (rate * np.minimum(_FEW / n, _MEANS / np.maximum(weight, 1e-9))).astype(np.float32)
 
-    n = len(m.bias)
-    of_class = rates(np.bincount(ids, -true, n) + np.bincount(noise, wrong.sum(axis=0), n))
+    classes, wrongs = len(m.bias), wrong.sum(axis=0)
+    of_class = rates(np.bincount(ids, -true, classes) + np.bincount(noise, wrongs, classes))
     each = wrong.sum(axis=1) - true
-    of_context = rates(np.bincount(one, each, n + 1) + np.bincount(two, each, n + 1))
+    by, contexts = _ordered(np.concatenate((one, two)))
+    of_context = rates(np.bincount(contexts, np.concatenate((each, each)).take(by), classes + 1))
     # Inputs longer than 1 take shorter steps, or the steps would overshoot.
-    unit = q / np.maximum(1, (q * q).sum(axis=1, keepdims=True))
-    short = lambda x: x / np.maximum(1, np.sqrt((x * x).sum(axis=1, keepdims=True)))
-    to_a, to_b = short(back @ m.near.T), short(back @ m.far.T)
-    back = short(back)
+    q *= np.reciprocal(np.maximum(1, np.einsum("nd,nd->n", q, q)))[:, None]
+    told = np.concatenate((back @ m.near.T, back @ m.far.T))
+    squares = np.minimum(1, _shorten(told))
+    _shorten(back)
     near, far = a.T @ back, b.T @ back
     if m.vectors is not None:
-        m.vectors.learn_contexts(w1, w2, to_a, to_b, v.settings.pace)
-    _add_rows(m.targets, ids, (-of_class[ids] * true)[:, None] * unit)
-    _add_rows(m.targets, noise, -of_class[noise][:, None] * (wrong.T @ unit))
-    _add_rows(m.bias, ids, -of_class[ids] * true)
-    _add_rows(m.bias, noise, -of_class[noise] * wrong.sum(axis=0))
-    _add_rows(m.features, one, -of_context[one][:, None] * to_a)
-    _add_rows(m.features, two, -of_context[two][:, None] * to_b)
-    m.near -= np.float32(rate / len(ids)) * near
-    m.far -= np.float32(rate / len(ids)) * far
+        m.vectors.learn_contexts(w1, w2, told, squares, v.settings.pace)
+    first = _runs(ids)
+    own = ids[first]
+    m.targets[own] -= of_class[own][:, None] * _sums(true[:, None] * q, first)
+    m.bias[own] -= of_class[own] * np.add.reduceat(true, first)
+    drawn, noise = _ordered(noise)
+    first = _runs(noise)
+    own = noise[first]
+    m.targets[own] -= of_class[own][:, None] * np.add.reduceat((wrong.T @ q)[drawn], first, axis=0)
+    m.bias[own] -= of_class[own] * np.add.reduceat(wrongs[drawn], first)
+    first = _runs(contexts)
+    own = contexts[first]
+    m.features[own] -= of_context[own][:, None] * _sums(told.take(by, axis=0), first)
+    m.near -= np.float32(rate / n) * near
+    m.far -= np.float32(rate / n) * far
     for x in (m.features, m.targets, m.near, m.far):
         np.clip(x, -_LARGEST, _LARGEST, out=x)
 
@@ -474,12 +602,14 @@ def learn(m: Model, v: Vocabulary, streams: Iterator[tuple[np.ndarray, ...]], ra
     log_noise, upto, seen, steps = np.log(p).astype(np.float32), np.cumsum(p), 0, 0
     for tokens in streams:
         n = len(tokens[0])
-        order = random.permutation(n)
+        order, key = random.permutation(n), tokens[0] * (v.tree.words + 1) + tokens[3]
         for a in range(0, n, v.settings.batch):
             rows = order[a:a + v.settings.batch]
+            turn = _ordered(key.take(rows))[0]
+            rows = rows.take(turn)
             noise = np.minimum(np.searchsorted(upto, random.random(v.settings.noise)), v.size - 1)
             # A short batch takes a shorter step, and steps get shorter with time.
-            step(m, v, tuple(x[rows] for x in tokens), noise, log_noise, rate * len(rows) / v.settings.batch / np.sqrt(1 + steps / _DECAY), random)
+            step(m, v, tuple(x.take(rows) for x in tokens), turn, noise, log_noise, rate * len(rows) / v.settings.batch / np.sqrt(1 + steps / _DECAY), random)
             steps += 1
         seen += n
     return seen
@@ -573,39 +703,160 @@ def tables(spark, m: Model) -> Tables:
     return Tables(near, far, m.bias, normaliser)
 
 
-#: Tokens whose scores of all classes are worked out at once.
-_AT_ONCE = 1024
+#: Contexts or tokens whose scores of all classes are worked out at once, words whose exponentials are kept, the largest scores whose exponentials
+#: need no shift, and sums of exponentials beyond which digits may be lost.
+_AT_ONCE, _KEPT, _PLAIN, _SAFE = 128, 8192, 40.0, (1e-20, 1e30)
 
 
-def modelled_log10(v: Vocabulary, m: Model, t: Tables, tokens: tuple[np.ndarray, ...]) -> np.ndarray:
-    """log10 of the probability of each token's class and, in a group, of its word, or of all words there that have no vector."""
-    ids, one, two, word, w1, w2 = tokens
-    none, out = v.tree.words, np.empty(len(ids))
-    a, b = m.inputs(one, two, w1, w2)
-    q = (a @ m.near + b @ m.far).astype(np.float32)
-    plain = (w1 == none) & (w2 == none)
-    out[plain] = t.log10(ids[plain], one[plain], two[plain]) * np.log(10)
-    others = np.flatnonzero(~plain)
-    for at in (others[i:i + _AT_ONCE] for i in range(0, len(others), _AT_ONCE)):
-        x = q[at] @ m.targets.T + m.bias
+@dataclass
+class Kept:
+    """Exponentials of the scores of all classes by contexts that come often, for each of the two places, and what was taken off the scores.
+
+    `rows` is the row of a word with a vector, or -1; contexts without (one row more, for none) come after the words.
+    """
+
+    rows: np.ndarray
+    plain: int
+    near: tuple[np.ndarray, np.ndarray]
+    far: tuple[np.ndarray, np.ndarray]
+
+    def row(self, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
+        own = self.rows.take(word)
+        return np.where(word == len(self.rows) - 1, self.plain + cls, own)
+
+
+def kept(v: Vocabulary, m: Model, most: int = _KEPT) -> Kept:
+    """The tables of contexts of classes and of the `most` frequent words with vectors."""
+    none = v.tree.words
+    places = np.flatnonzero(v.tree.word < none)
+    places = places[np.argsort(-v.counts[places], kind="stable")[:most]]
+    words = np.concatenate((v.tree.word[places], np.full(len(m.features), none))).astype(np.int64)
+    rows = np.full(none + 1, -1)
+    rows[words[:len(places)]] = np.arange(len(places))
+    # The group of a word is that of its bin.
+    groups = np.searchsorted(v.tree.rest, v.tree.bin_node[v.tree.bin_of[words[:len(places)]]])
+    cls = np.concatenate((v.settings.words + groups, np.arange(len(m.features))))
+    out = []
+    for place in (0, 1):
+        values, high = np.empty((len(cls), len(m.bias)), np.float32), np.empty(len(cls), np.float32)
+        for a in range(0, len(cls), _AT_ONCE):
+            values[a:a + _AT_ONCE], high[a:a + _AT_ONCE] = exponentials(m, place, cls[a:a + _AT_ONCE], words[a:a + _AT_ONCE])
+        out.append((values, high))
+    return Kept(rows, len(places), *out)
+
+
+def exponentials(m: Model, place: int, cls: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the scores of all classes by contexts at a place (0: the nearer one, with the offsets), and what was taken off the scores."""
+    q = m.context(cls, word) @ (m.far if place else m.near)
+    return _exponentials(m, q, not place)
+
+
+def _exponentials(m: Model, q: np.ndarray, offsets: bool) -> tuple[np.ndarray, np.ndarray]:
+    x = q @ m.targets.T
+    if offsets:
+        x += m.bias
+    if _longest(q) * m.reach[0] + (m.reach[1] if offsets else 0) < _PLAIN:
+        high = np.zeros(len(x), np.float32)
+    else:
         high = x.max(axis=1)
-        own = x[np.arange(len(at)), ids[at]] - high
         x -= high[:, None]
-        np.exp(x, out=x)
-        out[at] = own - np.log(x.sum(axis=1, dtype=np.float64))
+    return np.exp(x, out=x), high
+
+
+def normalisers(m: Model, q: np.ndarray, tokens: tuple[np.ndarray, ...], often: Kept) -> np.ndarray:
+    """Log of the sums over all classes for tokens of these contexts; the exponential of a score is a product of both contexts' ones.
+
+    A context that isn't kept is worked out once for all tokens that have a kept one beside it. Two such contexts take a sum of their own.
+    """
+    one, two, w1, w2 = tokens
+    rows = often.row(one, w1), often.row(two, w2)
+    z, out = np.empty(len(one), np.float32), np.empty(len(one))
+    here = [r >= 0 for r in rows]
+
+    def times(at: np.ndarray, x: tuple[np.ndarray, np.ndarray], i: np.ndarray, y: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> None:
+        for a in range(0, len(at), _AT_ONCE):
+            some = slice(a, a + _AT_ONCE)
+            z[at[some]] = np.vecdot(x[0].take(i[some], axis=0), y[0].take(j[some], axis=0))
+        out[at] = x[1].take(i) + y[1].take(j)
+
+    both = np.flatnonzero(here[0] & here[1])
+    both = both[_ordered(rows[0][both])[0]]
+    times(both, often.near, rows[0][both], often.far, rows[1][both])
+    for place, (cls, word), table in ((0, (one, w1), often.far), (1, (two, w2), often.near)):
+        at = np.flatnonzero(here[1 - place] & ~here[place])
+        by, words = _ordered(word[at])
+        at, first = at[by], _runs(words)
+        edges = np.append(first, len(at))
+        for a in range(0, len(first), _AT_ONCE):
+            lead = at[first[a:a + _AT_ONCE]]
+            x = exponentials(m, place, cls[lead], word[lead])
+            low, high = edges[a], edges[a + len(lead)]
+            times(at[low:high], x, np.repeat(np.arange(len(lead)), np.diff(edges[a:a + len(lead) + 1])), table, rows[1 - place][at[low:high]])
+    rest = np.flatnonzero(~(here[0] | here[1]))
+    for at in (rest[i:i + _AT_ONCE] for i in range(0, len(rest), _AT_ONCE)):
+        x, out[at] = _exponentials(m, q[at, :-1], True)
+        z[at] = x @ np.ones(x.shape[1], np.float32)
+    out += np.log(np.maximum(z, 1e-38))
+    # Where the two contexts disagree so much that the product loses its digits, the sum is taken directly.
+    for at in np.array_split(np.flatnonzero(~((z > _SAFE[0]) & (z < _SAFE[1]))), np.arange(_AT_ONCE, len(z), _AT_ONCE)):
+        if len(at):
+            x = q[at, :-1].astype(np.float64) @ m.targets.T + m.bias
+            high = x.max(axis=1)
+            out[at] = high + np.log(np.exp(x - high[:, None]).sum(axis=1))
+    return out
+
+
+def families(v: Vocabulary, m: Model, q: np.ndarray, ids: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Log of the probability of each token in its group, and of its word in its bin, each family for all its tokens."""
     at = np.flatnonzero((ids >= v.settings.words) & (ids < v.end))
     nodes, family, has = v.tree.paths(ids[at] - v.settings.words, word[at])
     token = np.concatenate((at, at[has]))
-    by = np.argsort(family, kind="stable")
-    nodes, family, token, values = nodes[by], family[by], token[by], np.empty(len(by))
-    edges = np.flatnonzero(np.concatenate(([True], family[1:] != family[:-1]))) if len(by) else np.zeros(0, np.int64)
-    for i, j in zip(edges.tolist(), np.append(edges[1:], len(by)).tolist()):
-        first, end = v.tree.starts[family[i]], v.tree.starts[family[i] + 1]
-        of = m.vectors.nodes[first:end].astype(np.float32)
-        x = q[token[i:j]] @ of[:, :-1].T + (of[:, -1] + v.tree.base[first:end])
-        high = x.max(axis=1)
-        values[i:j] = x[np.arange(j - i), nodes[i:j] - first] - high - np.log(np.exp(x - high[:, None]).sum(axis=1, dtype=np.float64))
-    return (out + np.bincount(token, values, len(ids))) / np.log(10)
+    by, family = _ordered(family)
+    token, place = token[by], nodes[by] - v.tree.starts[family]
+    own, sums, edges = np.empty(len(by), np.float32), np.empty(len(by), np.float32), _runs(family)
+    starts, ends = v.tree.starts[family[edges]], v.tree.starts[family[edges] + 1]
+    upto, low, high = np.append(edges[1:], len(by)), 0, 0
+    steps, ones = np.arange(_TOKENS), np.ones(np.max(ends - starts, initial=0), np.float32)
+    for i, j, first, end in zip(edges.tolist(), upto.tolist(), starts.tolist(), ends.tolist()):
+        if end > high:  # nodes of the next families
+            low, high = first, max(end, first + _NODES)
+            values = _single(m.vectors.nodes[low:high])
+            values = np.concatenate((values[:, :-1], (values[:, -1] + v.tree.base[low:high])[:, None]), axis=1)
+        of = values[first - low:end - low]
+        for a in range(i, j, _TOKENS):
+            b = min(a + _TOKENS, j)
+            x = q.take(token[a:b], axis=0) @ of.T
+            own[a:b] = x.take(steps[:b - a] * (end - first) + place[a:b])
+            with np.errstate(over="ignore"):
+                sums[a:b] = np.exp(x, out=x) @ ones[:end - first]
+    out = own - np.log(np.maximum(sums, 1e-38).astype(np.float64))
+    # Sums of scores too large or too small for single exponentials.
+    for i in np.flatnonzero(~((sums > _SAFE[0]) & (sums < _SAFE[1]))):
+        family_of = slice(v.tree.starts[family[i]], v.tree.starts[family[i] + 1])
+        x = _single(m.vectors.nodes[family_of]).astype(np.float64) @ q[token[i]] + v.tree.base[family_of]
+        out[i] = x[place[i]] - x.max() - np.log(np.exp(x - x.max()).sum())
+    return np.bincount(token, out, len(ids))
+
+
+#: Tokens whose rows of factors are worked out at once, and nodes of the tree that are made single floats at once.
+_TOKENS, _NODES = 1 << 14, 4096
+
+
+def modelled_log10(v: Vocabulary, m: Model, t: Tables, tokens: tuple[np.ndarray, ...], often: Kept | None = None) -> np.ndarray:
+    """log10 of the probability of each token's class and, in a group, of its word, or of all words there that have no vector."""
+    ids, one, two, word, w1, w2 = tokens
+    none, out = v.tree.words, np.empty(len(ids))
+    q = np.ones((len(ids), len(m.near) + 1), np.float32)
+    for some in (slice(i, i + _TOKENS) for i in range(0, len(ids), _TOKENS)):
+        a, b = m.inputs(one[some], two[some], w1[some], w2[some])
+        x = q[some, :-1] = a @ m.near + b @ m.far
+        out[some] = np.einsum("nd,nd->n", x, m.targets.take(ids[some], axis=0)) + m.bias[ids[some]]
+    plain = (w1 == none) & (w2 == none)
+    others = np.flatnonzero(~plain)
+    if len(others):
+        out[others] -= normalisers(m, q if len(others) == len(q) else q.take(others, axis=0), tuple(x[others] for x in (one, two, w1, w2)), often or kept(v, m))
+    out[plain] = t.log10(ids[plain], one[plain], two[plain]) * np.log(10)
+    return (out + families(v, m, q, ids, word)) / np.log(10)
 
 
 PARTS = T.StructType([
@@ -614,14 +865,14 @@ PARTS = T.StructType([
     T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
 
 
-def _parts(texts: pa.Array, keys: pa.Array, v: Vocabulary, m: Model, t: Tables) -> pa.RecordBatch:
+def _parts(texts: pa.Array, keys: pa.Array, v: Vocabulary, m: Model, t: Tables, often: Kept) -> pa.RecordBatch:
     """What broadcast tables tell of each text, and the words (with their numbers) whose counts must be joined."""
     n = len(texts)
     h, g, doc = tokenized(texts, v.settings.groups)
     ids, found, one, two = classes_of(v, h, g, doc, n)
     text_of = np.repeat(np.arange(n), np.bincount(doc, minlength=n) + 1)
     word, w1, w2 = words_of(v, found, doc, n)
-    modelled = np.bincount(text_of, modelled_log10(v, m, t, (ids, one, two, word, w1, w2)), n)
+    modelled = np.bincount(text_of, modelled_log10(v, m, t, (ids, one, two, word, w1, w2), often), n)
     common = found >= 0
     counted = np.where(common, np.log10(v.counts[found] + 1.0) if len(v.counts) else 0.0, 0.0)
     by_count = (~common | (v.classes[found] < 0 if len(v.classes) else True)) & (word[np.arange(len(h)) + doc] == v.tree.words)
@@ -664,8 +915,10 @@ def score(df: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, learnt, t = shared.value
-        for batch in blocks(batches):
-            yield _parts(text_column(batch, "text"), batch.column(0), own, learnt, t)
+        often = kept(own, learnt)
+        # Blocks are large, so that words meet again in them.
+        for batch in blocks(batches, 2 * BLOCK_BYTES):
+            yield _parts(text_column(batch, "text"), batch.column(0), own, learnt, t, often)
 
     parts = land(key_and_text(df, id_col, text_col).mapInArrow(run, PARTS).withColumn("row", F.monotonically_increasing_id()))
     words = parts.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")

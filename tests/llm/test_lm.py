@@ -160,3 +160,64 @@ def test_words_of_groups_add_up_to_one(spark):
     for one, w1, two, w2 in ((0, v.tree.words, v.size, v.tree.words), (20 + group[3], 3, 5, v.tree.words), (20 + group[9], 9, 20 + group[7], 7)):
         tokens = (ids, *(np.full(len(ids), x) for x in (one, two)), word, *(np.full(len(ids), x) for x in (w1, w2)))
         assert abs((10 ** lm.modelled_log10(v, m, t, tokens)).sum() - 1) < 1e-4
+
+
+@pytest.mark.parametrize("longer", [1, 30])
+def test_normalisers_by_products(spark, longer, monkeypatch):
+    """Kept, repeated and single contexts of any pair give the sum over all classes, and a context's exponentials are worked out once."""
+    texts = [corpus.sentence(i % 9, 60) for i in range(60)]
+    settings = lm.Settings(words=20, groups=4, width=6)
+    v = lm.vocabulary(lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"), settings), len(texts), settings)
+    r, none = np.random.default_rng(4), v.tree.words
+    m = lm.fresh(v)
+    m.targets *= longer
+    m.vectors = lm.Vectors(r.normal(0, 0.3, (len(v.tree.base), 7)).astype("f2"), r.normal(0, 3, (none + 1, 6)).astype("f2"))
+    m.vectors.own[-1] = 0
+    h, g, doc = lm.tokenized(pa.array(texts), 4)
+    ids, found, one, two = lm.classes_of(v, h, g, doc, len(texts))
+    word, w1, w2 = lm.words_of(v, found, doc, len(texts))
+    a, b = m.inputs(one, two, w1, w2)
+    q = np.concatenate((a @ m.near + b @ m.far, np.ones((len(ids), 1), np.float32)), axis=1)
+    x = q[:, :-1].astype(float) @ m.targets.T + m.bias
+    want = x.max(axis=1) + np.log(np.exp(x - x.max(axis=1)[:, None]).sum(axis=1))
+    rows, plain = [], lm._exponentials
+    monkeypatch.setattr(lm, "_exponentials", lambda m, q, offsets: rows.append(len(q)) or plain(m, q, offsets))
+    for most in (0, 5, none):
+        often = lm.kept(v, m, most)
+        rows.clear()
+        assert np.abs(lm.normalisers(m, q, (one, two, w1, w2), often) - want).max() < 1e-3
+        assert sum(rows) < (len(ids) if most == 0 else 1 + 0.7 * len(ids) if most < none else 1)
+    # In the families, too, far scores leave no sum of single exponentials.
+    m.vectors.nodes *= np.float16(40 if longer > 1 else 1)
+    got, at = lm.families(v, m, q, ids, word), np.flatnonzero((ids >= 20) & (ids < v.end))[:200]
+    nodes, family, has = v.tree.paths(ids[at] - 20, word[at])
+    for i, t in enumerate(at):
+        want = 0
+        for j in (i, *(len(at) + np.flatnonzero(has == i))):
+            of = slice(*v.tree.starts[family[j]:family[j] + 2])
+            x = m.vectors.nodes[of].astype(float) @ q[t] + v.tree.base[of]
+            want += x[nodes[j] - of.start] - x.max() - np.log(np.exp(x - x.max()).sum())
+        assert abs(got[t] - want) < 1e-3 * max(1, abs(want))
+
+
+def test_places_and_sums():
+    """Look-ups that begin at a guess, half floats by their bits and sums of runs are what plain numpy gives."""
+    r = np.random.default_rng(5)
+    for hashes in (np.sort(r.integers(0, 2**64, 5000, dtype=np.uint64)), np.array([0, 1, 2, 2**64 - 1], np.uint64), np.zeros(0, np.uint64)):
+        v = lm.Vocabulary(lm.Settings(), hashes, *[None] * 7)
+        asked = np.concatenate((hashes, r.integers(0, 2**64, 5000, dtype=np.uint64), np.array([0, 2**63, 2**64 - 1], np.uint64)))
+        places = {h: i for i, h in enumerate(hashes.tolist())}
+        assert v.find(asked).tolist() == [places.get(h, -1) for h in asked.tolist()]
+    counts = r.integers(1, 50, 900)
+    v = lm.Vocabulary(lm.Settings(), *[None] * 8, tree=lm.grown(counts, r.integers(0, 6, 900), counts > 20, np.arange(1.0, 9.0)))
+    family = np.sort(r.integers(0, len(v.tree.starts) - 1, 20000))
+    draws = r.random(20000)
+    plain = np.searchsorted(v.upto, family + draws)
+    assert (v.siblings(family, draws) == np.clip(plain, v.tree.starts[family], v.tree.starts[family + 1] - 1)).all()
+    half = np.concatenate((r.normal(0, 1, 1000), [0.0, -0.0, 6e-8, 1e-5, -4, 4])).astype("f2")
+    assert (lm._single(half) == half.astype("f4")).all()
+    for most in (3, 40, 5000):
+        by, keys = lm._ordered(r.integers(0, most, 3000))
+        values, first = r.normal(0, 1, (3000, 3)), lm._runs(keys)
+        want = np.stack([np.bincount(keys, values[:, i])[keys[first]] for i in range(3)], axis=1)
+        assert np.abs(lm._sums(values, first) - want).max() < 1e-9
