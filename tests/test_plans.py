@@ -127,6 +127,31 @@ def test_cells_of_a_circle_are_hardly_larger_than_it(spark):
     assert len(found) == 2 and all(1 <= r["times"] < 4 and r["n"] <= 100 for r in found)
 
 
+def test_circles_meet_points_in_blocks_without_a_row_for_each_cell(spark, rows, monkeypatch):
+    """A row moves once, in a block: wide circles land no more rows than narrow ones, and large tables are not shuffled by cell."""
+    rng = random.Random(5)
+    spots = [(i, rng.uniform(59, 61), rng.uniform(9, 11), "x" * (i % 3)) for i in range(300)] + [(300, math.nan, 10.0, None), (300, 60.0, 10.0, None)]
+    around = [(k, rng.uniform(59, 61), rng.uniform(9, 11), 1000.0 * (1 + 20 * (k % 4))) for k in range(60)] + [(0, 60.0, 10.0, 0.0), (None, 60.0, 10.0, 500.0)]
+    points = spark.createDataFrame(spots, "id int, lat double, lon double, text string")
+    centres = spark.createDataFrame(around, "centre_id int, lat double, lon double, metres double")
+    landed = []
+    sized = geo.sized
+    monkeypatch.setattr(geo, "sized", lambda df: landed.append(sized(df)) or landed[-1])
+    monkeypatch.setattr(geo, "POINTS_A_BLOCK", 16)
+    monkeypatch.setattr(geo, "CENTRES_A_BLOCK", 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = L.near_centres(points, centres)
+        want = sorted(((i, t, k) for i, a, b, t in spots for k, c, e, m in around if _far(a, b, c, e) <= m), key=str)
+        assert found.columns == ["id", "lat", "lon", "text", "centre_id"]
+        assert sorted([(r["id"], r["text"], r["centre_id"]) for r in found.collect()], key=str) == want and len(want) > 500
+        assert sum(df.count() for df in landed) <= 62
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("centre", CENTRES)
 def test_the_box_around_a_circle_loses_no_point(spark, rows, centre):
     spots, points = _points(spark)
