@@ -1,9 +1,11 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from regionscore import schemas
+from regionscore.landing import landing_folder
 from regionscore.sources import cubes, tables
 
 DIMS = {"R": {"category": {"index": {"b": 1, "a": 0}, "label": {"a": "A", "b": "B"}}},
@@ -142,3 +144,35 @@ def test_stored_cubes_read_only_the_latest_periods(spark, tmp_path, rows):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2020K3" in plan.split("PartitionFilters")[1]
     assert rows(cubes.stored_slice(spark, path, long.schema, cubes.replace(spec, latest=None)))  == rows(cubes.read_slice(long, cubes.replace(spec, latest=None)))
+
+
+def test_cells_are_written_where_they_are_made(spark, rows, tmp_path):
+    """No shuffle and no sort for the folders of periods, and the session's setting stays as it was."""
+    data = [(r, "111", f"202{q // 4}K{q % 4 + 1}" if q < 39 else None, float(q)) for r in ("0301", "4601") for q in range(40)]
+    long = spark.createDataFrame(data, "Region_code string, Byggeareal_code string, Tid_code string, value double").repartition(3)
+    path, name = str(tmp_path / "cube"), "spark.sql.maxConcurrentOutputFileWriters"
+    for periods, before in ((cubes.OPEN_PERIODS, "0"), (2, "5")):
+        spark.conf.set(name, before)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(cubes, "OPEN_PERIODS", periods)
+            cubes.write_cube(long, path, "Tid")
+        assert spark.conf.get(name) == before
+    spark.conf.unset(name)
+    stored = spark.read.schema(long.schema).parquet(path)
+    assert rows(stored, *long.columns) == rows(long.union(long))
+    assert len({r.f for r in stored.select(F.input_file_name().alias("f")).collect()}) > 2 * 40
+
+
+def test_one_cube_at_a_time_is_on_disk(spark, tmp_path):
+    """What is left of the slices is their rows: a cube's table goes when its slice is landed."""
+    from catalog import documents
+
+    folder = Path(landing_folder(spark).removeprefix("file:"))
+    before = {p.name for p in folder.glob("*")}
+    spark.createDataFrame([(k, k % 3, k * 1.5) for k in range(7)] + [(7, 1, None)], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    slices = {n: cubes.SLICES_SE[n] for n in ("population", "employment")}
+    out = documents._slices(spark, str(tmp_path), slices)
+    left = [p for p in folder.glob("*") if p.name not in before]
+    assert len(left) == len(slices) and not [p for p in left if list(p.glob("Tid_code=*"))]
+    counts = {r["slice"]: r["count"] for r in out.groupBy("slice").count().collect()}
+    assert counts == {"population": 8, "employment": 7 * 2}
