@@ -37,6 +37,10 @@ REFERENCE = r"&(?:#\d+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z))"
 
 
+#: More than an array's length: the length of a slice that goes on to the end, for which the array needn't be made twice.
+ALL = 1 << 30
+
+
 def bound(value: Column, use) -> Column:
     """`use(value)` with the value worked out once, though `use` may refer to it many times."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -237,20 +241,22 @@ def _texts(found: Column) -> Column:
 def definition_pairs(html: Column) -> Column:
     """(label, value) of every `<dt>`, in page order; the value is the next `<dd>` of the list."""
     after = F.split(html, r"(?i)<dt(?:\s[^>]*)?>")
-    sections = F.slice(after, 2, F.greatest(F.size(after), F.lit(1)))
     dd = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=<(?:/dd>|d[dt][\s>]|/dl>)|\z)"
 
     def before(text: Column, pattern: str) -> Column:
         return F.regexp_extract(text, rf"(?is)\A(.*?)(?:{pattern}|\z)", 1)  # a split would compile its pattern for every text
 
-    def pair(section: Column, i: Column) -> Column:
-        ends = section.rlike(r"(?i)</dl>")
-        own = first_match(F.when(ends, before(section, "</dl>")).otherwise(section), dd, 1)
-        shared = F.when(~ends, first_match(F.get(sections, i + 1), dd, 1))
-        name = before(section, r"<(?:/dt>|dd[\s>])")
-        return F.struct(name.alias("name"), F.coalesce(own, shared).alias("value"))
+    def found(sections: Column) -> Column:
+        def pair(section: Column, i: Column) -> Column:
+            ends = section.rlike(r"(?i)</dl>")
+            own = first_match(F.when(ends, before(section, "</dl>")).otherwise(section), dd, 1)
+            shared = F.when(~ends, first_match(F.get(sections, i + 1), dd, 1))
+            name = before(section, r"<(?:/dt>|dd[\s>])")
+            return F.struct(name.alias("name"), F.coalesce(own, shared).alias("value"))
+
+        return F.filter(F.transform(sections, pair), lambda p: p["value"].isNotNull())
 
-    return _texts(F.filter(F.transform(sections, pair), lambda p: p["value"].isNotNull()))
+    return _texts(bound(F.slice(after, 2, ALL), found))
 
 
 def table_pairs(html: Column) -> Column:
@@ -409,10 +415,10 @@ def _extract_no(pages: DataFrame) -> DataFrame:
         return bound(dl, lambda t: F.when(t.isNotNull(), of_dl(t)).otherwise(of_row(row))).alias(name)
 
     def count(text: Column) -> Column:
-        return truthy(number_no(text)).try_cast("int")
+        return bound(number_no(text), truthy).try_cast("int")
 
     def year(text: Column) -> Column:
-        return plausible_year(truthy(number_no(text))).cast("int")
+        return bound(number_no(text), lambda n: plausible_year(truthy(n))).cast("int")
 
     columns = [either(n, number_no, number_no) for n in MONEY_AND_AREA_NO]
     columns += [either("bedrooms", count, count), either("year_built", year, count)]
@@ -501,7 +507,7 @@ def _extract_se(pages: DataFrame) -> DataFrame:
         if name in TEXTS_SE:
             value = text
         elif name in COUNTS_SE:
-            value = truthy(number_se(text)).try_cast("int")
+            value = bound(number_se(text), truthy).try_cast("int")
         else:
             value = number_se(text)
         return (F.coalesce(cached[name], value) if name in cached else value).alias(name)

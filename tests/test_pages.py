@@ -156,3 +156,11 @@ def test_links_sweden(spark, rows):
     df = spark.createDataFrame([(1, "u", html)], schemas.SEARCH_PAGE)
     assert rows(pages.first_seen(pages.harvest_links(df, pages.LINKS_SE)), "listing_id", "url") == [
         ("123", "https://www.hemnet.se/bostad/lagenhet-2rum-solna-123")]
+
+
+def test_a_page_is_split_once_however_many_labels_share_a_value(spark):
+    """A label without a value of its own takes the next one's; the page is not taken apart again for it."""
+    html = "<dl>" + "".join(f"<dt>a{i}</dt>" + (f"<dd>{i}</dd>" if i % 2 else "") for i in range(6)) + "<dt>last</dt></dl>"
+    df = spark.createDataFrame([(html,), ("no list",), (None,)], "html string").select(pages.definition_pairs(F.col("html")).alias("p"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(html") == 1
+    assert [r.p and [tuple(x) for x in r.p] for r in df.collect()] == [[(f"a{i}", str(i | 1)) for i in range(6)], [], None]
